@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from traceframe.plans.ranking import hash_rank, ordered_rank, quantile_cuts, bucket_of, _as_number
+from traceframe.plans.ranking import as_number, hash_rank, ordered_rank, with_value_bucket
 
 
 def sample_rows(df: DataFrame, n: int, keys: list[str], seed: str = "42") -> DataFrame:
@@ -45,11 +45,7 @@ def split_threshold(df: DataFrame, order: str, position: Column, buckets: int =
     Bucket counts find the bucket that holds the position; only that bucket is
     sorted. ``order`` must be unique, numeric or time.
     """
-    from pyspark.sql import Window
-
-    number = _as_number(df, order)
-    cuts = df.agg(quantile_cuts(number, buckets).alias("c")).scalar()
-    tagged = df.select(number.alias("_v")).withColumn("_b", bucket_of(cuts, F.col("_v"), buckets))
+    tagged = with_value_bucket(df.select(order), order, buckets).select("_v", "_b")
     counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).withColumn("_all", F.lit(1))
     everything = Window.partitionBy("_all")
     before = everything.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
@@ -76,7 +72,7 @@ def halves(df: DataFrame, order: str, name: str = "side") -> DataFrame:
     The cut is a value, so the table itself is tagged while it is scanned.
     """
     cut = split_threshold(df, order, F.floor(F.col("_total") / 2)).scalar()
-    inside = F.coalesce(_as_number(df, order) <= cut, F.lit(False))
+    inside = F.coalesce(as_number(df, order) <= cut, F.lit(False))
     return df.withColumn(name, F.when(inside, "reference").otherwise("current"))
 
 

@@ -23,7 +23,6 @@ def _previous(by: list[str], order: str):
 def _bucket_offsets(df: DataFrame, by: list[str], bucket: str) -> DataFrame:
     """Rows before each bucket, per group; the window runs over bucket counts only."""
     counts = df.groupBy(*by, bucket).agg(F.count(F.lit(1)).alias("_n"))
-    keep = by or [F.lit(1).alias("_all")]
     out = counts if by else counts.withColumn("_all", F.lit(1))
     before = F.coalesce(F.sum("_n").over(_previous(by or ["_all"], bucket)), F.lit(0))
     return out.withColumn("_before", before).select(*(by or []), bucket, "_n", "_before")
@@ -83,9 +82,7 @@ def bucket_of(cuts: Column, value: Column, buckets: int) -> Column:
 
 def ordered_rank(df: DataFrame, order: str, name: str = "rank", buckets: int = 64) -> DataFrame:
     """Append the 1-based position of every row by a unique numeric or time column."""
-    number = _as_number(df, order)
-    cuts = df.agg(quantile_cuts(number, buckets).alias("c")).scalar()
-    tagged = df.withColumn("_v", number).withColumn("_b", bucket_of(cuts, F.col("_v"), buckets))
+    tagged = with_value_bucket(df, order, buckets)
     offsets = F.broadcast(_bucket_offsets(tagged.select("_b"), [], "_b").select("_b", "_before"))
     inside = Window.partitionBy("_b").orderBy("_v")
     out = tagged.join(offsets, "_b").withColumn(
@@ -94,7 +91,19 @@ def ordered_rank(df: DataFrame, order: str, name: str = "rank", buckets: int = 6
     return out.drop("_b", "_v", "_before")
 
 
-def _as_number(df: DataFrame, column: str) -> Column:
+def with_value_bucket(df: DataFrame, order: str, buckets: int) -> DataFrame:
+    """Append the order value ``_v`` and its even-sized bucket ``_b``.
+
+    The cut points are ``buckets - 1`` numbers fetched once, so both uses of the
+    result agree on them. They decide how even the buckets are, never the ranks.
+    """
+    number = as_number(df, order)
+    cuts = df.agg(quantile_cuts(number, buckets)).first()[0] or []
+    listed = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
+    return df.withColumn("_v", number).withColumn("_b", bucket_of(listed, F.col("_v"), buckets))
+
+
+def as_number(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType.typeName()
     if kind == "timestamp":
         return F.unix_micros(F.col(column))
