@@ -1,0 +1,34 @@
+from pyspark.sql import functions as F
+
+from traceframe.checks.registry import query
+from traceframe.operators import sampling
+from traceframe.session import shared_folder
+from traceframe.sources import roles, segy
+
+_SEGY_SQL = f"""WITH {roles.TRACES_SQL}
+SELECT format('{{:03d}}', trace_id // 100) AS file_id, trace_id % 100 AS trace_id, num_samples, sample_rate, inline, crossline, cdp_x, cdp_y,
+  field_record, trace_number, round(list_sum(trace_data), 5) AS sample_sum FROM traces"""
+
+
+def _written(spark, sf) -> str:
+    folder = shared_folder(spark, "segy")
+    numbered = sampling.number_files(roles.traces(spark, sf), "trace_id", 100)
+    segy.write_segy(numbered, folder, "trace_id")
+    return folder
+
+
+def _read(spark, folder, **options):
+    total = F.aggregate("trace_data", F.lit(0.0), lambda a, x: a + x)
+    return segy.read_segy(spark, folder, **options).withColumn("sample_sum", F.round(total, 5)).drop("trace_data")
+
+
+@query("segy_round_trip", _SEGY_SQL)
+def segy_round_trip(spark, sf):
+    """All traces to files of 100, then all files in one scan."""
+    return _read(spark, _written(spark, sf))
+
+
+@query("segy_split_read", _SEGY_SQL)
+def segy_split_read(spark, sf):
+    """The same files read in byte ranges that cut through traces."""
+    return _read(spark, _written(spark, sf), split_bytes=10_000)

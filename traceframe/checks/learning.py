@@ -1,0 +1,103 @@
+from pyspark.sql import functions as F
+
+from traceframe.checks.registry import query, rounded
+from traceframe.operators import features as ft, sampling, scoring, training as tr
+from traceframe.schemas import HANDCRAFTED
+from traceframe.session import cut_lineage
+from traceframe.sources import roles
+
+COLUMNS = [f"{c}_scaled" for c in HANDCRAFTED]
+
+
+def _assembled(spark, sf):
+    """Features with split, fold and weight, stored once for all fits."""
+    feats = ft.standardise(ft.extract(roles.traces(spark, sf)), HANDCRAFTED)
+    split = sampling.stratified_split(feats, "class_label", ["trace_id"])
+    weighted = sampling.with_class_weights(split, "class_label")
+    folded = sampling.stratified_folds(weighted, "class_label", ["trace_id"], k=3)
+    return tr.assemble(cut_lineage(folded, "training"), COLUMNS)
+
+
+def _fit(df, model_type, params):
+    train = df.filter(F.col("split") == "train")
+    return tr.estimator(model_type, params, True, train.count()).fit(train)
+
+
+def _metrics(spark, sf, model_type, params):
+    df = _assembled(spark, sf)
+    out = tr.split_metrics(_fit(df, model_type, params), df)
+    return rounded(out.select("split", "num_samples", "accuracy", "f1_weighted", "precision_weighted", "recall_weighted"), 4)
+
+
+@query("logistic_regression")
+def logistic_regression(spark, sf):
+    return _metrics(spark, sf, "LogisticRegression", {"max_iter": 100})
+
+
+@query("decision_tree")
+def decision_tree(spark, sf):
+    return _metrics(spark, sf, "DecisionTree", {"max_depth": 8})
+
+
+@query("random_forest")
+def random_forest(spark, sf):
+    return _metrics(spark, sf, "RandomForest", {"n_estimators": 20, "max_depth": 8})
+
+
+@query("gradient_boosting")
+def gradient_boosting(spark, sf):
+    return _metrics(spark, sf, "GradientBoosting", {"n_estimators": 5, "max_depth": 3})
+
+
+@query("feature_importance")
+def feature_importance(spark, sf):
+    model = _fit(_assembled(spark, sf), "RandomForest", {"n_estimators": 20, "max_depth": 6})
+    return rounded(tr.importance(spark, model, COLUMNS).orderBy(F.col("importance").desc(), "feature"))
+
+
+@query("coefficient_importance")
+def coefficient_importance(spark, sf):
+    model = _fit(_assembled(spark, sf), "LogisticRegression", {"max_iter": 50, "penalty": "l1", "C": 0.37})
+    return rounded(tr.importance(spark, model, COLUMNS).orderBy(F.col("importance").desc(), "feature"), 4)
+
+
+@query("parameter_search")
+def parameter_search(spark, sf):
+    """Two trials for each of two model types over three folds."""
+    small = {
+        "DecisionTree": tr.SPACES["DecisionTree"],
+        "LogisticRegression": tr.SPACES["LogisticRegression"],
+    }
+    df = _assembled(spark, sf)
+    found = tr.search(df, list(small), 2, n_folds=3, spaces=small)
+    return rounded(
+        found.trials.select("model_type", "trial", "value", F.lit(found.best_type).alias("best_type")), 4
+    )
+
+
+@query("table_scoring")
+def table_scoring(spark, sf):
+    df = _assembled(spark, sf)
+    model = _fit(df, "RandomForest", {"n_estimators": 10, "max_depth": 6})
+    scored = scoring.score_table(model, df.select("file_id", "trace_id", "class_label", *COLUMNS), COLUMNS)
+    return rounded(scored.select("trace_id", "predicted_class", "predicted_class_name", "prob_normal", "prob_anomaly", "prob_boundary", "confidence"), 4)
+
+
+@query("boosted_scoring")
+def boosted_scoring(spark, sf):
+    """A model without probabilities: class shares come from its raw scores."""
+    df = _assembled(spark, sf)
+    model = _fit(df, "GradientBoosting", {"n_estimators": 3, "max_depth": 3})
+    scored = scoring.score_table(model, df.select("trace_id", *COLUMNS), COLUMNS)
+    return rounded(scored.select("trace_id", "predicted_class", "prob_normal", "prob_anomaly", "prob_boundary", "confidence"), 4)
+
+
+@query("raw_trace_scoring")
+def raw_trace_scoring(spark, sf):
+    traces = roles.traces(spark, sf)
+    silver, embedder, scaler = ft.silver(traces)
+    columns = [f"{c}_scaled" for c in scaler.mean]
+    train = tr.assemble(cut_lineage(silver, "silver"), columns)
+    model = tr.estimator("LogisticRegression", {"max_iter": 30}, False, train.count()).fit(train)
+    scored = scoring.TraceScorer(model, scaler, embedder).score(traces.select("file_id", "trace_id", "trace_data"))
+    return rounded(scored, 4)

@@ -1,0 +1,110 @@
+from pyspark.sql import functions as F
+
+from traceframe.checks.registry import query, rounded
+from traceframe.session import shared_folder
+from traceframe.sources import roles
+from traceframe.streaming import counters, monitors
+
+_COUNTS_SQL = """SELECT epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS window_micros, event_type AS predicted_class, count(*) AS n FROM events GROUP BY 1, 2"""
+_HIST_SQL = (
+    "SELECT epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS window_micros, "
+    + ", ".join(f"count(*) FILTER (WHERE value / 1000 <= {b}) AS {counters.bucket_name(b)}" for b in counters.LATENCY_BOUNDS)
+    + ", count(*) AS le_inf, round(sum(value / 1000), 6) AS latency_sum FROM events GROUP BY 1"
+)
+
+
+def _micros(df):
+    return df.withColumn("window_micros", F.unix_micros(F.col("window_start").cast("timestamp"))).drop("window_start")
+
+
+def _stream(spark, sf, table="events"):
+    schema = spark.read.parquet(f"{sf}/{table}.parquet").schema
+    return counters.stream_table(spark, sf, schema, pattern=f"{table}.parquet")
+
+
+def _scored_stream(spark, sf):
+    # Watermarks need instants, so the zone-less times are read as session time.
+    return _stream(spark, sf).select(
+        F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("predicted_class"), (F.col("value") / 1000).alias("latency")
+    )
+
+
+@query("prediction_counts", _COUNTS_SQL)
+def prediction_counts(spark, sf):
+    return _micros(counters.prediction_counts(roles.scored_events(spark, sf)))
+
+
+@query("latency_histogram", _HIST_SQL)
+def latency_histogram(spark, sf):
+    return rounded(_micros(counters.latency_histogram(roles.scored_events(spark, sf))))
+
+
+def _run(spark, updates, purpose):
+    folder = shared_folder(spark, purpose)
+    counters.run_available(updates, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query("prediction_counts_stream", _COUNTS_SQL)
+def prediction_counts_stream(spark, sf):
+    stored = _run(spark, counters.counted_stream(_scored_stream(spark, sf)), "counts")
+    return _micros(counters.current_state(stored, ["window_start", "predicted_class"]))
+
+
+@query("latency_histogram_stream", _HIST_SQL)
+def latency_histogram_stream(spark, sf):
+    stored = _run(spark, counters.histogram_stream(_scored_stream(spark, sf)), "histogram")
+    return rounded(_micros(counters.current_state(stored, ["window_start"])))
+
+
+@query("latest_gauges", "SELECT event_type AS name, arg_max(value, {'t': ts, 'e': event_id}) AS value FROM events GROUP BY 1")
+def latest_gauges(spark, sf):
+    history = roles.table(spark, sf, "events").select(
+        F.col("event_type").alias("name"), F.struct("ts", "event_id").alias("at"), "value"
+    )
+    return counters.latest_gauge(history, time="at").select("name", "value")
+
+
+@query(
+    "accuracy_history_stream",
+    "SELECT round(avg(CAST(event_type = 'view' AS INT)), 6) AS accuracy, count(*) AS n FROM events",
+)
+def accuracy_history_stream(spark, sf):
+    folder = shared_folder(spark, "history")
+    stream = _stream(spark, sf).select("event_type")
+
+    def measure(batch):
+        return batch.agg(F.avg((F.col("event_type") == "view").cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+
+    monitors.metric_history(stream, measure, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return rounded(spark.read.parquet(f"{folder}/out").select("accuracy", "n"))
+
+
+@query(
+    "drift_stream",
+    "SELECT CAST(1 AS BIGINT) AS features_tested, CAST(0 AS BIGINT) AS features_drifted, 'none' AS severity",
+)
+def drift_stream(spark, sf):
+    """New events against the stored ones: the same values, hence no drift."""
+    folder = shared_folder(spark, "drift")
+    reference = roles.table(spark, sf, "events").select("value")
+    stream = _stream(spark, sf).select("value")
+    monitors.drift_monitor(stream, reference, ["value"], f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("features_tested", "features_drifted", "severity")
+
+
+@query(
+    "validated_ingest_stream",
+    f"""WITH {roles.GAPPY_SQL}
+SELECT CASE WHEN trace_data IS NULL OR cdp_x IS NULL OR cdp_y IS NULL OR len(trace_data) <> num_samples OR sample_rate <= 0
+  THEN 'rejected' ELSE 'valid' END AS outcome, count(*) AS n FROM gappy GROUP BY 1""",
+)
+def validated_ingest_stream(spark, sf):
+    folder = shared_folder(spark, "ingest")
+    gappy = roles.gappy_traces(spark, sf)
+    gappy.write.parquet(f"{folder}/arrivals")
+    stream = counters.stream_table(spark, f"{folder}/arrivals", gappy.schema)
+    monitors.validated_ingest(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
