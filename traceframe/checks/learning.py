@@ -10,12 +10,10 @@ COLUMNS = [f"{c}_scaled" for c in HANDCRAFTED]
 
 
 def _assembled(spark, sf):
-    """Features with split, fold and weight, stored once for all fits."""
-    feats = ft.standardise(ft.extract(roles.traces(spark, sf)), HANDCRAFTED)
-    split = sampling.stratified_split(feats, "class_label", ["trace_id"])
-    weighted = sampling.with_class_weights(split, "class_label")
-    folded = sampling.stratified_folds(weighted, "class_label", ["trace_id"], k=3)
-    return tr.assemble(cut_lineage(folded, "training"), COLUMNS)
+    """Stored features with split, fold and weight, read by all fits."""
+    feats = cut_lineage(ft.extract(roles.traces(spark, sf)), "features")
+    scaled = ft.standardise(feats, HANDCRAFTED)
+    return tr.assemble(cut_lineage(sampling.training_assignment(scaled, "class_label", ["trace_id"], k=3), "training"), COLUMNS)
 
 
 def _fit(df, model_type, params):
@@ -29,6 +27,19 @@ def _metrics(spark, sf, model_type, params):
     return rounded(out.select("split", "num_samples", "accuracy", "f1_weighted", "precision_weighted", "recall_weighted"), 4)
 
 
+@query(
+    "training_assignment",
+    """WITH r AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY md5('42:' || event_id), event_id) AS r,
+  count(*) OVER (PARTITION BY event_type) AS n FROM events),
+s AS (SELECT *, round(n * 0.2) AS t, round((n - round(n * 0.2)) * 0.2) AS v FROM r)
+SELECT event_id, CASE WHEN r <= t THEN 'test' WHEN r <= t + v THEN 'validation' ELSE 'train' END AS split, CAST((r - 1) % 5 AS INT) AS fold,
+  round((SELECT count(*) FROM events) / ((SELECT count(DISTINCT event_type) FROM events) * n), 6) AS weight FROM s""",
+)
+def training_assignment(spark, sf):
+    df = roles.table(spark, sf, "events").select("event_id", "event_type")
+    return rounded(sampling.training_assignment(df, "event_type", ["event_id"]).drop("event_type"))
+
+
 @query("logistic_regression")
 def logistic_regression(spark, sf):
     return _metrics(spark, sf, "LogisticRegression", {"max_iter": 100})

@@ -43,7 +43,7 @@ _WALK_SQL = (
 
 
 def _chunks(spark, sf, **options):
-    return rt.chunk_documents(roles.table(spark, sf, "documents"), "text", "doc_id", **options)
+    return rt.chunk_documents(roles.documents(spark, sf), "text", "doc_id", **options)
 
 
 @query(
@@ -80,7 +80,7 @@ terms AS (SELECT k, unnest(list_concat(w, list_transform(list_zip(w[1:len(w) - 1
     f"WITH {terms_sql('documents', 'doc_id')}\nSELECT term, count(*) AS corpus_tf, count(DISTINCT k) AS df FROM terms GROUP BY term",
 )
 def document_terms(spark, sf):
-    docs = roles.table(spark, sf, "documents")
+    docs = roles.documents(spark, sf)
     exploded = docs.select("doc_id", F.explode(tx.terms(F.col("text"))).alias("term"))
     per_doc = exploded.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
     return per_doc.groupBy("term").agg(F.sum("tf").alias("corpus_tf"), F.count(F.lit(1)).alias("df"))
@@ -93,7 +93,7 @@ vocab AS (SELECT term, count(*) AS corpus_tf, count(DISTINCT k) AS df, ln((1 + (
 
 @query("tfidf_vocabulary", f"WITH {_VOCAB_SQL}\nSELECT term, corpus_tf, df, round(idf, 6) AS idf FROM vocab")
 def tfidf_vocabulary(spark, sf):
-    return rounded(rt.vocabulary(roles.table(spark, sf, "documents"), "text"))
+    return rounded(rt.vocabulary(roles.documents(spark, sf), "text"))
 
 
 _WEIGHTS_SQL = """{name} AS (SELECT k, term, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY k)) AS weight
@@ -105,7 +105,7 @@ _WEIGHTS_SQL = """{name} AS (SELECT k, term, tf * idf / sqrt(sum(tf * idf * tf *
     f"WITH {_VOCAB_SQL}, {_WEIGHTS_SQL.format(name='weights', terms='terms')}\nSELECT k AS doc_id, term, round(weight, 6) AS weight FROM weights",
 )
 def tfidf_weights(spark, sf):
-    docs = roles.table(spark, sf, "documents")
+    docs = roles.documents(spark, sf)
     return rounded(rt.TfidfModel.fit(docs, "text").weights(docs, "text", "doc_id"))
 
 
@@ -121,7 +121,7 @@ hits AS (SELECT * FROM ranked WHERE rank <= 5)"""
 
 
 def _hits(spark, sf):
-    docs = roles.table(spark, sf, "documents")
+    docs = roles.documents(spark, sf)
     model = rt.TfidfModel.fit(docs, "text")
     return model.search(roles.table(spark, sf, "benchmark"), "item_id", "text", docs, "doc_id", "text", k=5)
 
@@ -145,7 +145,7 @@ SELECT item_id, string_agg('[Source: ' || d.source || ']' || chr(10) || d.text,
 FROM hits JOIN documents d ON d.doc_id = hits.doc_id GROUP BY item_id""",
 )
 def retrieval_context(spark, sf):
-    docs = roles.table(spark, sf, "documents").select(F.col("doc_id").alias("match_id"), "source", F.col("text").alias("content"))
+    docs = roles.documents(spark, sf).select(F.col("doc_id").alias("match_id"), "source", F.col("text").alias("content"))
     out = rt.assemble_context(_hits(spark, sf).join(docs, "match_id"))
     return out.select(
         F.col("probe_id").alias("item_id"),
@@ -204,7 +204,7 @@ def neighbour_cosine(spark, sf):
 )
 def vector_store_round_trip(spark, sf):
     path = shared_folder(spark, "store")
-    docs = roles.table(spark, sf, "documents")
+    docs = roles.documents(spark, sf)
     rt.save_store(rt.TfidfModel.fit(docs, "text").encode(docs, "text"), path)
     v = vector_to_array("vector")
     stored = rt.load_store(spark, path)
@@ -222,8 +222,8 @@ def vector_store_round_trip(spark, sf):
 @query("knowledge_table")
 def knowledge_table(spark, sf):
     """Chunks of documents, conversations, a validation record and a feature summary in one encoded table."""
-    docs = roles.table(spark, sf, "documents").select(F.concat(F.lit("doc"), "doc_id").alias("source"), F.col("text").alias("content"))
-    talks = roles.table(spark, sf, "conversations").select(
+    docs = roles.documents(spark, sf).select(F.concat(F.lit("doc"), "doc_id").alias("source"), F.col("text").alias("content"))
+    talks = roles.documents(spark, sf, "conversations").select(
         F.concat_ws("-", F.lit("talk"), "conv_id", "turn").alias("source"), F.col("text").alias("content")
     )
     traces = roles.traces(spark, sf)

@@ -31,8 +31,9 @@ def words(text: Column) -> Column:
 
 def terms(text: Column, stop_words: list[str] | None = None) -> Column:
     """Words without stop words, then every pair of words that are now neighbours."""
-    stop = F.array(*[F.lit(w) for w in (STOP_WORDS if stop_words is None else stop_words)])
-    kept = F.filter(words(text), lambda w: ~F.array_contains(stop, w))
+    stop = STOP_WORDS if stop_words is None else stop_words
+    # A long list of literals becomes a hash set.
+    kept = F.filter(words(text), lambda w: ~w.isin(*stop)) if stop else words(text)
     # Each kept list is turned into pairs by zipping it with its own tail.
     return F.transform(F.array(kept), _with_pairs)[0]
 

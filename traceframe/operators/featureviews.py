@@ -7,7 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from traceframe.plans.ranking import bucket_of, quantile_cuts
+from traceframe.plans.ranking import quantile_cuts, with_bucket
 
 # Rows of one key that are still ordered in one task.
 HOT_ROWS = 2_000_000
@@ -77,8 +77,7 @@ def as_of_join(
         .groupBy(*keys)
         .agg(quantile_cuts(F.col("_t"), buckets).alias("_cuts"))
     )
-    bucket = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(bucket_of(F.col("_cuts"), F.col("_t"), buckets))
-    tagged = stacked.join(cuts, keys, "left").withColumn("_b", bucket)
+    tagged = with_bucket(stacked.join(cuts, keys, "left"), F.col("_cuts"), F.col("_t"), buckets)
     stamped = F.when(F.col("_f").isNotNull(), F.struct(F.col("_t").alias("at"), F.col("_f").alias("f")))
     walk = (
         Window.partitionBy(*keys, "_b").orderBy("_t", "_point").rowsBetween(Window.unboundedPreceding, 0)

@@ -50,16 +50,16 @@ def vocabulary(
     """
     texts = df.filter(F.col(content).isNotNull())
     listed = texts.select(tx.terms(F.col(content), stop_words).alias("_t"))
-    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    marks = F.concat(
-        F.transform("_t", lambda t: F.struct(t.alias("term"), one.alias("tf"), zero.alias("df"))),
-        F.transform(F.array_distinct("_t"), lambda t: F.struct(t.alias("term"), zero.alias("tf"), one.alias("df"))),
+    both = F.array(
+        F.struct(F.lit(False).alias("once"), F.col("_t").alias("list")),
+        F.struct(F.lit(True).alias("once"), F.array_distinct("_t").alias("list")),
     )
     total = texts.agg(F.count(F.lit(1))).scalar()
     return (
-        listed.select(F.inline(marks))
+        listed.select(F.inline(both))
+        .select("once", F.explode("list").alias("term"))
         .groupBy("term")
-        .agg(F.sum("tf").alias("corpus_tf"), F.sum("df").alias("df"))
+        .agg(F.count(F.when(~F.col("once"), 1)).alias("corpus_tf"), F.count(F.when(F.col("once"), 1)).alias("df"))
         .orderBy(F.col("corpus_tf").desc(), "term")
         .limit(max_features)
         .withColumn("idf", F.log((total + 1) / (F.col("df") + 1)) + 1)

@@ -85,17 +85,35 @@ def stratified_split(
     seed: str = "42",
 ) -> DataFrame:
     """Append ``split``: test, then validation out of the rest, then train, per class."""
-    ranked = hash_rank(df, keys, seed, by=[label], name="_r")
-    totals = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    joined = ranked.join(totals, ranked[label].eqNullSafe(totals[label])).drop(totals[label])
-    n_test = F.round(F.col("_n") * test)
-    n_val = F.round((F.col("_n") - n_test) * validation)
-    split = (
-        F.when(F.col("_r") <= n_test, "test")
-        .when(F.col("_r") <= n_test + n_val, "validation")
-        .otherwise("train")
+    ranked = hash_rank(df, keys, seed, by=[label], name="_r", total="_n")
+    return ranked.withColumn("split", _split(F.col("_r"), F.col("_n"), test, validation)).drop("_r", "_n")
+
+
+def _split(rank: Column, size: Column, test: float, validation: float) -> Column:
+    n_test = F.round(size * test)
+    n_val = F.round((size - n_test) * validation)
+    return F.when(rank <= n_test, "test").when(rank <= n_test + n_val, "validation").otherwise("train")
+
+
+def training_assignment(
+    df: DataFrame,
+    label: str,
+    keys: list[str],
+    test: float = 0.2,
+    validation: float = 0.2,
+    k: int = 5,
+    seed: str = "42",
+) -> DataFrame:
+    """Append split, fold and balanced class weight from one ranking of the rows."""
+    ranked = hash_rank(df, keys, seed, by=[label], name="_r", total="_n")
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    t = sizes.agg(F.struct(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"))).scalar()
+    return (
+        ranked.withColumn("split", _split(F.col("_r"), F.col("_n"), test, validation))
+        .withColumn("fold", ((F.col("_r") - 1) % k).cast("int"))
+        .withColumn("weight", t["total"] / (t["classes"] * F.col("_n")))
+        .drop("_r", "_n")
     )
-    return joined.withColumn("split", split).drop("_r", "_n")
 
 
 def stratified_folds(

@@ -21,11 +21,19 @@ def _previous(by: list[str], order: str):
 
 
 def _bucket_offsets(df: DataFrame, by: list[str], bucket: str) -> DataFrame:
-    """Rows before each bucket, per group; the window runs over bucket counts only."""
+    """Rows before each bucket and rows in all, per group.
+
+    The windows run over bucket counts only.
+    """
     counts = df.groupBy(*by, bucket).agg(F.count(F.lit(1)).alias("_n"))
     out = counts if by else counts.withColumn("_all", F.lit(1))
-    before = F.coalesce(F.sum("_n").over(_previous(by or ["_all"], bucket)), F.lit(0))
-    return out.withColumn("_before", before).select(*(by or []), bucket, "_n", "_before")
+    group = by or ["_all"]
+    before = F.coalesce(F.sum("_n").over(_previous(group, bucket)), F.lit(0))
+    return (
+        out.withColumn("_before", before)
+        .withColumn("_total", F.sum("_n").over(Window.partitionBy(*group)))
+        .select(*by, bucket, "_n", "_before", "_total")
+    )
 
 
 def hash_rank(
@@ -35,29 +43,35 @@ def hash_rank(
     by: list[str] | None = None,
     name: str = "rank",
     first: int | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """Append the 1-based rank of every row in hash order, per group.
 
     With ``first`` only ranks up to that number are produced: buckets past it
     are dropped while scanning, so little more than ``first`` rows is shuffled.
+    With ``total`` the size of the group is appended under that name. The input
+    is read twice, the first time for its keys and groups only.
     """
     by = by or []
     tagged = df.withColumn("_h", digest(seed, *keys)).withColumn("_b", F.substring("_h", 1, PREFIX))
     offsets = _bucket_offsets(df.select(*by, F.substring(digest(seed, *keys), 1, PREFIX).alias("_b")), by, "_b")
     if first is not None:
         offsets = offsets.filter(F.col("_before") < first)
-    offsets = offsets.select(*by, "_b", "_before")
-    if not by:
-        # At most 4096 rows of two short values.
-        offsets = F.broadcast(offsets)
-    else:
+    group = []
+    if by:
         # Null groups rank among themselves.
+        group = ["_g"]
         tagged = tagged.withColumn("_g", F.to_json(F.struct(*by)))
-        offsets = offsets.select(F.to_json(F.struct(*by)).alias("_g"), "_b", "_before")
-    joined = tagged.join(offsets, (["_g"] if by else []) + ["_b"])
-    inside = Window.partitionBy(*(["_g"] if by else []), "_b").orderBy("_h", *keys)
+        offsets = offsets.select(F.to_json(F.struct(*by)).alias("_g"), "_b", "_before", "_total")
+    else:
+        # At most 4096 rows of a few numbers.
+        offsets = F.broadcast(offsets.select("_b", "_before", "_total"))
+    joined = tagged.join(offsets, [*group, "_b"])
+    inside = Window.partitionBy(*group, "_b").orderBy("_h", *keys)
     ranked = joined.withColumn(name, (F.row_number().over(inside) + F.col("_before")).cast("long"))
-    ranked = ranked.drop("_h", "_b", "_before", "_g")
+    if total is not None:
+        ranked = ranked.withColumn(total, F.col("_total"))
+    ranked = ranked.drop("_h", "_b", "_before", "_total", "_g")
     return ranked if first is None else ranked.filter(F.col(name) <= first)
 
 
@@ -70,14 +84,19 @@ def quantile_cuts(value: Column, buckets: int) -> Column:
     return F.percentile_approx(value, fractions(buckets), F.lit(max(1000, 20 * buckets)))
 
 
-def bucket_of(cuts: Column, value: Column, buckets: int) -> Column:
-    """How many cut points lie below ``value``; two short scans, not one long one."""
-    if buckets <= 64:
-        return F.size(F.filter(cuts, lambda c: c < value))
-    step = max(2, int(buckets**0.5))
-    heads = F.filter(F.sequence(F.lit(step), F.size(cuts), F.lit(step)), lambda i: F.element_at(cuts, i) < value)
-    base = F.when(F.size(cuts) >= step, F.size(heads) * step).otherwise(F.lit(0))
-    return base + F.size(F.filter(F.slice(cuts, base + 1, step), lambda c: c < value))
+def with_bucket(df: DataFrame, cuts: Column, value: Column, buckets: int, name: str = "_b") -> DataFrame:
+    """Append how many of the ascending ``cuts`` lie below ``value``.
+
+    A binary search written as one projection per halving step: plain array
+    reads and comparisons that stay in generated code. Null cuts give 0.
+    """
+    out = df.withColumn(name, F.lit(0))
+    step = 1 << max(0, (buckets - 1).bit_length() - 1)
+    while step:
+        below = F.get(cuts, F.col(name) + (step - 1)) < value
+        out = out.withColumn(name, F.col(name) + F.when(below, F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return out
 
 
 def ordered_rank(df: DataFrame, order: str, name: str = "rank", buckets: int = 64) -> DataFrame:
@@ -100,7 +119,7 @@ def with_value_bucket(df: DataFrame, order: str, buckets: int) -> DataFrame:
     number = as_number(df, order)
     cuts = df.agg(quantile_cuts(number, buckets)).first()[0] or []
     listed = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    return df.withColumn("_v", number).withColumn("_b", bucket_of(listed, F.col("_v"), buckets))
+    return with_bucket(df.withColumn("_v", number), listed, F.col("_v"), buckets)
 
 
 def as_number(df: DataFrame, column: str) -> Column:
@@ -126,9 +145,7 @@ def running_totals(
     an array of cut points; groups are columns or classes, never data keys, so
     it is small by construction. Adds ``cum_<sum>`` (own row included).
     """
-    tagged = counts.join(F.broadcast(cuts), by).withColumn(
-        "_b", bucket_of(F.col("cuts"), F.col(value), buckets)
-    ).drop("cuts")
+    tagged = with_bucket(counts.join(F.broadcast(cuts), by), F.col("cuts"), F.col(value), buckets).drop("cuts")
     per_bucket = tagged.groupBy(by, "_b").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     before = _previous([by], "_b")
     # Groups x buckets rows.

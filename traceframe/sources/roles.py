@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from traceframe.functions.hashing import uniform
 from traceframe.functions.labels import first_maximum, shares
+from traceframe.plans.spread import spread
 from traceframe.schemas import HEADERS
 
 
@@ -17,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A text table, ready for heavy work per row."""
+    return spread(table(spark, sf_dir, name))
+
+
 def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as trace rows in the bronze layout."""
     v = F.col("vec_id")
