@@ -56,7 +56,7 @@ def shapiro(df: DataFrame, value: str, by: list[str]) -> DataFrame:
         ]
     )
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         w, p = sig.shapiro_wilk(pdf["_x"].to_numpy())
         return pd.DataFrame([[*key, w, p, bool(p > NORMAL_LEVEL)]], columns=schema.names)
 

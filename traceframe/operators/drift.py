@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from traceframe.functions import rules, significance as sig
-from traceframe.plans.ranking import running_totals, unpivot, wide_cuts
+from traceframe.plans.ranking import bucket_count, running_totals, unpivot, wide_cuts
 
 LEVEL = 0.05
 
 
-def ks_statistics(df: DataFrame, columns: list[str], is_reference: Column, buckets: int = 64) -> DataFrame:
+def ks_statistics(df: DataFrame, columns: list[str], is_reference: Column, buckets: int | None = None) -> DataFrame:
     """Two-sample distance of every column between the two sides of one table.
 
     Values are reduced to counts per distinct value, with map-side combination;
     the running counts are then split into value buckets, so neither a hot value
     nor a single feature is bound to one task. Nulls are left out per column.
     """
+    buckets = buckets or bucket_count(df)
     sides = df.select(
         is_reference.alias("_ref"),
         # Adding zero folds the two signed zeros into one value.
@@ -43,7 +44,7 @@ def ks_statistics(df: DataFrame, columns: list[str], is_reference: Column, bucke
 
 
 def feature_drift(
-    df: DataFrame, columns: list[str], is_reference: Column, level: float = LEVEL, buckets: int = 64
+    df: DataFrame, columns: list[str], is_reference: Column, level: float = LEVEL, buckets: int | None = None
 ) -> DataFrame:
     """Distance, p-value and decision per feature."""
     d = ks_statistics(df, columns, is_reference, buckets)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from traceframe.functions.labels import class_name
-from traceframe.plans.ranking import running_totals, unpivot, wide_cuts
+from traceframe.plans.ranking import bucket_count, running_totals, unpivot, wide_cuts
 
 AVERAGES = ("precision", "recall", "f1")
 
@@ -97,13 +97,14 @@ def classification_report(counts: DataFrame) -> DataFrame:
 
 
 def roc_auc(
-    df: DataFrame, truth: str, probabilities: list[str], buckets: int = 64
+    df: DataFrame, truth: str, probabilities: list[str], buckets: int | None = None
 ) -> DataFrame:
     """One-vs-rest AUC per class by tie-aware counting; no row if a class is absent.
 
     Scores are reduced to distinct values first, and the running count of
     negatives is split into value buckets.
     """
+    buckets = buckets or bucket_count(df)
     long = unpivot(df, [truth], probabilities, "class_column", "score")
     at = {c: i for i, c in enumerate(probabilities)}
     is_class = F.lit(False)

@@ -7,11 +7,10 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from traceframe.plans.ranking import quantile_cuts, with_bucket
+from traceframe.plans.ranking import bucket_count, quantile_cuts, with_bucket
 
 # Rows of one key that are still ordered in one task.
 HOT_ROWS = 2_000_000
-HOT_BUCKETS = 256
 
 
 @dataclass
@@ -43,7 +42,7 @@ def as_of_join(
     feature_time: str | None = None,
     tie_break: str | None = None,
     hot_rows: int = HOT_ROWS,
-    buckets: int = HOT_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Latest feature row at or before each spine row and no older than ``ttl``.
 
@@ -54,6 +53,7 @@ def as_of_join(
     without a match get nulls.
     """
     feature_time = feature_time or time
+    buckets = buckets or bucket_count(spine)
     value = F.struct(*[F.col(f) for f in fields])
     order = [F.col(feature_time)] + ([F.col(tie_break)] if tie_break else [])
     latest = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from traceframe.functions import rules
-from traceframe.functions.signal import mean as trace_mean, std_pop
+from traceframe.functions.signal import mean as trace_mean
 from traceframe.plans.ranking import unpivot
 
 
@@ -39,18 +39,20 @@ def _single_valued(column: str) -> Column:
     return F.coalesce(F.min(column) == F.max(column), F.lit(False))
 
 
+def _validation_measures() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("total_traces"),
+        F.countDistinct("file_id").alias("total_files"),
+        _n(F.col("trace_data").isNull()).alias("missing_trace_data"),
+        _n(F.col("cdp_x").isNull() | F.col("cdp_y").isNull()).alias("missing_coordinates"),
+        _single_valued("sample_rate").alias("sample_rate_consistency"),
+        _single_valued("num_samples").alias("num_samples_consistency"),
+    ]
+
+
 def validation(df: DataFrame) -> DataFrame:
-    """One row of validation results; class counts travel as a map of three."""
-    return _with_rules(
-        df.agg(
-            F.count(F.lit(1)).alias("total_traces"),
-            F.countDistinct("file_id").alias("total_files"),
-            _n(F.col("trace_data").isNull()).alias("missing_trace_data"),
-            _n(F.col("cdp_x").isNull() | F.col("cdp_y").isNull()).alias("missing_coordinates"),
-            _single_valued("sample_rate").alias("sample_rate_consistency"),
-            _single_valued("num_samples").alias("num_samples_consistency"),
-        )
-    )
+    """One row of validation results with the list of broken rules."""
+    return _with_rules(df.agg(*_validation_measures()))
 
 
 def _with_rules(df: DataFrame) -> DataFrame:
@@ -100,21 +102,43 @@ def balance(df: DataFrame, label: str = "class_label", by: list[str] | None = No
     return agg.select(*by, "num_classes", score.alias("balance_score"), (F.lit(1.0) - score).alias("imbalance_score"))
 
 
+def with_row_measures(df: DataFrame, trace: str = "trace_data") -> DataFrame:
+    """Per trace: count ``_c``, mean ``_m``, squared deviations ``_q``, range ``_lo`` to ``_hi``.
+
+    Everything the roll-ups need, so that no sample array passes an aggregate.
+    Traces without samples have a count of 0 and nulls.
+    """
+    xs = F.col(trace)
+    rows = df.withColumn("_c", F.when(F.size(xs) > 0, F.size(xs)).otherwise(0).cast("long")).withColumn(
+        "_m", trace_mean(xs)
+    )
+    spread = F.aggregate(xs, F.lit(0.0), lambda a, x: a + (x - F.col("_m")) * (x - F.col("_m")))
+    return (
+        rows.withColumn("_q", F.when(F.col("_c") > 0, spread))
+        .withColumn("_lo", F.array_min(xs))
+        .withColumn("_hi", F.array_max(xs))
+    )
+
+
+def _trace_measures() -> list[Column]:
+    std = F.sqrt(F.col("_q") / F.nullif(F.col("_c"), F.lit(0)))
+    return [
+        F.avg("_m").alias("mean_of_means"),
+        F.stddev_pop("_m").alias("std_of_means"),
+        F.avg(std).alias("mean_of_stds"),
+        F.stddev_pop(std).alias("std_of_stds"),
+        F.min("_lo").alias("overall_min"),
+        F.max("_hi").alias("overall_max"),
+        _n(F.col("_q") == 0).alias("dead_traces"),
+        _n(F.col("_c") > 0).alias("sample_size"),
+    ]
+
+
 def trace_statistics(df: DataFrame, trace: str = "trace_data", by: list[str] | None = None) -> DataFrame:
     """Roll-up of per-trace mean and deviation, overall range, dead traces."""
-    rows = drop_empty_traces(df, trace).select(
-        *(by or []), trace, trace_mean(F.col(trace)).alias("_mean")
-    ).withColumn("_std", std_pop(F.col(trace), F.col("_mean")))
-    return rows.groupBy(*(by or [])).agg(
-        F.avg("_mean").alias("mean_of_means"),
-        F.stddev_pop("_mean").alias("std_of_means"),
-        F.avg("_std").alias("mean_of_stds"),
-        F.stddev_pop("_std").alias("std_of_stds"),
-        F.min(F.array_min(trace)).alias("overall_min"),
-        F.max(F.array_max(trace)).alias("overall_max"),
-        _n(F.col("_std") == 0).alias("dead_traces"),
-        F.count(F.lit(1)).alias("sample_size"),
-    )
+    by = by or []
+    rows = with_row_measures(df.select(*by, trace), trace)
+    return rows.groupBy(*by).agg(*_trace_measures())
 
 
 def coordinate_ranges(df: DataFrame, columns: tuple[str, ...] = ("cdp_x", "cdp_y")) -> DataFrame:
@@ -148,33 +172,16 @@ def rate_and_length(df: DataFrame, key: str = "trace_id") -> DataFrame:
 RATE_LOW_MS, RATE_HIGH_MS = 0.5, 4.0
 
 
-def _with_sums(df: DataFrame, trace: str) -> DataFrame:
-    """Per-trace count, mean and squared deviation: the parts of a flattened variance."""
-    m = trace_mean(F.col(trace))
-    rows = df.withColumn("_c", F.when(F.size(trace) > 0, F.size(trace)).otherwise(0).cast("long")).withColumn("_m", m)
-    spread = F.aggregate(
-        F.coalesce(F.col(trace), F.array().cast("array<double>")),
-        F.lit(0.0),
-        lambda a, x: a + (x - F.col("_m")) * (x - F.col("_m")),
-    )
-    return rows.withColumn("_q", spread)
-
-
 def _amplitude() -> list[Column]:
+    """Mean and deviation of all samples, from the per-trace parts."""
     n = F.nullif(F.sum("_c"), F.lit(0))
     mu = F.sum(F.col("_c") * F.col("_m")) / n
     second = F.sum(F.col("_q") + F.col("_c") * F.col("_m") * F.col("_m")) / n
     return [mu.alias("mean_amplitude"), F.sqrt(F.greatest(second - mu * mu, F.lit(0.0))).alias("std_amplitude")]
 
 
-def domain_checks(df: DataFrame, key: str = "trace_id", trace: str = "trace_data") -> DataFrame:
-    """One row of amplitude, rate, spatial, coordinate and completeness checks.
-
-    Flattened amplitudes come from per-row sums; the samples are never exploded.
-    """
-    rows = _with_sums(df, trace)
-    present = F.col("_c") > 0
-    dead = _n(present & (F.col("_q") == 0))
+def _domain_measures(key: str) -> list[Column]:
+    dead = _n(F.col("_q") == 0)
     rate = F.min_by("sample_rate", key) * 1000
     ranges = [
         f(c).cast("double").alias(f"{c}_{name}")
@@ -182,27 +189,38 @@ def domain_checks(df: DataFrame, key: str = "trace_id", trace: str = "trace_data
         for name, f in (("min", F.min), ("max", F.max))
     ]
     unique = [F.countDistinct(c).alias(f"unique_{c}") for c in ("inline", "crossline", "cdp_x", "cdp_y", "file_id")]
-    return rows.agg(
-        F.min(F.array_min(trace)).alias("min_amplitude"),
-        F.max(F.array_max(trace)).alias("max_amplitude"),
+    return [
+        F.min("_lo").alias("min_amplitude"),
+        F.max("_hi").alias("max_amplitude"),
         *_amplitude(),
         dead.alias("dead_traces"),
-        (dead / F.nullif(_n(present), F.lit(0)) * 100).alias("dead_traces_pct"),
+        (dead / F.nullif(_n(F.col("_c") > 0), F.lit(0)) * 100).alias("dead_traces_pct"),
         rate.alias("sample_rate_ms"),
         rate.between(RATE_LOW_MS, RATE_HIGH_MS).alias("within_standards"),
         *ranges,
         *unique,
         F.count(F.lit(1)).alias("total_traces"),
-        _n(F.col(trace).isNull()).alias("missing_trace_data"),
+        _n(F.col("_missing")).alias("missing_trace_data"),
         _n(F.col("cdp_x").isNull() | F.col("cdp_y").isNull()).alias("missing_coordinates"),
-    )
+    ]
+
+
+def domain_checks(df: DataFrame, key: str = "trace_id", trace: str = "trace_data") -> DataFrame:
+    """One row of amplitude, rate, spatial, coordinate and completeness checks.
+
+    Flattened amplitudes come from per-row parts; the samples are never exploded.
+    """
+    rows = with_row_measures(df, trace).withColumn("_missing", F.col(trace).isNull())
+    return rows.agg(*_domain_measures(key))
+
+
+def _history_measures() -> list[Column]:
+    return [F.count(F.lit(1)).alias("total_traces"), F.countDistinct("file_id").alias("total_files"), *_amplitude()]
 
 
 def history_statistics(df: DataFrame, trace: str = "trace_data") -> DataFrame:
     """Totals and flattened amplitude of one load: the numeric part of a history row."""
-    return _with_sums(df, trace).agg(
-        F.count(F.lit(1)).alias("total_traces"), F.countDistinct("file_id").alias("total_files"), *_amplitude()
-    )
+    return with_row_measures(df, trace).agg(*_history_measures())
 
 
 def class_shares(df: DataFrame, label: str = "class_label") -> DataFrame:
@@ -240,16 +258,11 @@ def compare_shares(current: DataFrame, history: DataFrame) -> DataFrame:
 CLASS_CHANGE, AMPLITUDE_SHIFT, VOLUME_CHANGE_PCT = 0.1, 100.0, 20.0
 
 
-def drift_indicators(
-    current_stats: DataFrame, current_shares: DataFrame, history_stats: DataFrame, history_shares: DataFrame
-) -> DataFrame:
-    """One row: largest class change, amplitude shift and volume change, each with a flag."""
-    change = compare_shares(current_shares, history_shares).agg(F.max("change")).scalar()
-    past = history_stats.select(F.struct("total_traces", "mean_amplitude")).scalar()
-    volume = F.abs(F.col("total_traces") - past["total_traces"])
+def _indicators(now: Column, past: Column, change: Column) -> list[Column]:
+    volume = F.abs(now["total_traces"] - past["total_traces"])
     pct = volume / F.greatest(past["total_traces"], F.lit(1)) * 100
-    shift = F.abs(F.col("mean_amplitude") - past["mean_amplitude"])
-    return current_stats.select(
+    shift = F.abs(now["mean_amplitude"] - past["mean_amplitude"])
+    return [
         change.alias("max_class_change"),
         (change > CLASS_CHANGE).alias("class_change_significant"),
         shift.alias("amplitude_shift"),
@@ -257,7 +270,17 @@ def drift_indicators(
         volume.alias("volume_change"),
         pct.alias("volume_change_pct"),
         (pct > VOLUME_CHANGE_PCT).alias("volume_change_significant"),
-    )
+    ]
+
+
+def drift_indicators(
+    current_stats: DataFrame, current_shares: DataFrame, history_stats: DataFrame, history_shares: DataFrame
+) -> DataFrame:
+    """One row: largest class change, amplitude shift and volume change, each with a flag."""
+    change = compare_shares(current_shares, history_shares).agg(F.max("change")).scalar()
+    past = history_stats.select(F.struct("total_traces", "mean_amplitude")).scalar()
+    now = current_stats.select(F.struct("total_traces", "mean_amplitude").alias("now"))
+    return now.select(*_indicators(F.col("now"), past, change))
 
 
 def evaluate(df: DataFrame, history: DataFrame | None = None) -> DataFrame:
@@ -266,27 +289,37 @@ def evaluate(df: DataFrame, history: DataFrame | None = None) -> DataFrame:
     ``history`` is a one-row table as made by :func:`history_record`; without it
     the drift status is ``no_history``.
     """
-    checked = validation(df)
+    key, trace = "trace_id", "trace_data"
+    rows = with_row_measures(df, trace).withColumn("_missing", F.col(trace).isNull())
+    # One aggregate over the samples for all parts; the rest reads single header columns.
+    parts = {
+        "validation": _validation_measures(),
+        "statistics": _trace_measures(),
+        "domain": _domain_measures(key),
+        "current": _history_measures(),
+    }
+    measured = rows.withColumn("trace_data", F.when(~F.col("_missing"), F.lit(1))).agg(
+        *[F.struct(*columns).alias(name) for name, columns in parts.items()]
+    )
+    checked = _with_rules(measured.select("validation.*", "statistics", "domain", "current"))
     level = rules.priority(F.col("validation_passed"), F.size("anomalies"))
-    stats = trace_statistics(df)
-    domain = domain_checks(df)
     out = (
         checked.withColumn("priority", level)
         .withColumn("action", rules.action(F.col("priority")))
         .withColumn("reasoning", rules.reasoning(F.col("priority")))
-        .withColumn("statistics", stats.select(F.struct(*stats.columns)).scalar())
         .withColumn("balance", balance(df).select(F.struct("balance_score", "imbalance_score")).scalar())
-        .withColumn("domain", domain.select(F.struct(*domain.columns)).scalar())
     )
     if history is None:
-        return out.withColumn("drift_status", F.lit("no_history"))
-    past_shares = history.select(F.explode("class_distribution").alias("class_label", "share")).select(
-        F.col("class_label").cast("long").alias("class_label"), "share"
+        return out.drop("current").withColumn("drift_status", F.lit("no_history"))
+    past = history.select(
+        F.struct("total_traces", "mean_amplitude").alias("totals"), F.col("class_distribution").alias("shares")
     )
-    drift = drift_indicators(history_statistics(df), class_shares(df), history, past_shares)
-    return out.withColumn("drift_status", F.lit("compared")).withColumn(
-        "drift", drift.select(F.struct(*drift.columns)).scalar()
+    past_shares = past.select(F.explode("shares").alias("class_label", "share")).select(
+        F.col("class_label").cast("long").alias("class_label"), "share"
     )
+    change = compare_shares(class_shares(df), past_shares).agg(F.max("change")).scalar()
+    drift = _indicators(F.col("current"), past.select("totals").scalar(), change)
+    return out.withColumn("drift", F.struct(*drift)).withColumn("drift_status", F.lit("compared")).drop("current")
 
 
 def historical_frame(spark: SparkSession, path: str) -> DataFrame:

@@ -5,9 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from traceframe.functions import rules, text as tx
 from traceframe.plans import nearest
@@ -93,21 +92,35 @@ class TfidfModel:
 
     def weights(self, df: DataFrame, content: str, key: str) -> DataFrame:
         """Long form (key, term, weight) of the encoded table."""
-        coded = self.encode(df, content).select(key, vector_to_array("vector").alias("_v"))
+        coded = self._sparse(df, content, F.col(key))
         names = F.array(*[F.lit(t) for t in self.terms])
-        pairs = F.arrays_zip(names.alias("term"), F.col("_v").alias("weight"))
-        return coded.select(key, F.inline(F.filter(pairs, lambda p: p["weight"] > 0)))
-
-    def search(self, queries: DataFrame, query_key: str, query_text: str,
-               documents: DataFrame, key: str, content: str, k: int = 5) -> DataFrame:
-        """Best ``k`` documents of every query by cosine."""
-        q = self.encode(queries, query_text).select(
-            F.col(query_key).alias("probe_id"), vector_to_array("vector").alias("vector")
-        )
-        d = self.encode(documents, content).select(
-            F.col(key).alias("match_id"), vector_to_array("vector").alias("vector")
-        )
-        return nearest.top_k(q, d, k)
+        pairs = F.zip_with("at", "vector", lambda i, w: F.struct(F.get(names, i).alias("term"), w.alias("weight")))
+        return coded.select(key, F.inline(pairs))
+
+    def search(
+        self,
+        queries: DataFrame,
+        query_key: str,
+        query_text: str,
+        documents: DataFrame,
+        key: str,
+        content: str,
+        k: int = 5,
+        vector: str | None = None,
+    ) -> DataFrame:
+        """Best ``k`` documents of every query by cosine.
+
+        ``vector`` names stored vectors of the documents, which are then not
+        computed again.
+        """
+        q = self._sparse(queries, query_text, F.col(query_key).alias("probe_id"))
+        d = self._sparse(documents, content, F.col(key).alias("match_id"), vector)
+        return nearest.top_k(q, d, k, width=len(self.terms))
+
+    def _sparse(self, df: DataFrame, content: str, key: Column, vector: str | None = None) -> DataFrame:
+        coded = df if vector else self.encode(df, content, "_vector")
+        parts = F.unwrap_udt(vector or "_vector")
+        return coded.select(key, parts["indices"].alias("at"), parts["values"].alias("vector"))
 
 
 def vector_search(queries: DataFrame, documents: DataFrame, k: int = 5) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from traceframe.plans.ranking import as_number, hash_rank, ordered_rank, with_value_bucket
+from traceframe.plans.ranking import as_number, bucket_count, hash_rank, ordered_rank, with_value_bucket
 
 
 def sample_rows(df: DataFrame, n: int, keys: list[str], seed: str = "42") -> DataFrame:
@@ -39,13 +39,13 @@ def dataset_metadata(df: DataFrame) -> DataFrame:
     )
 
 
-def split_threshold(df: DataFrame, order: str, position: Column, buckets: int = 64) -> DataFrame:
+def split_threshold(df: DataFrame, order: str, position: Column, buckets: int | None = None) -> DataFrame:
     """One row with the ``order`` value at a 1-based position.
 
     Bucket counts find the bucket that holds the position; only that bucket is
     sorted. ``order`` must be unique, numeric or time.
     """
-    tagged = with_value_bucket(df.select(order), order, buckets).select("_v", "_b")
+    tagged = with_value_bucket(df.select(order), order, buckets or bucket_count(df)).select("_v", "_b")
     counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).withColumn("_all", F.lit(1))
     everything = Window.partitionBy("_all")
     before = everything.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)

@@ -77,22 +77,30 @@ class _Winners:
         self.keys[part] = np.take_along_axis(named, best, 1)
 
     def frame(self, ids: list) -> pd.DataFrame:
-        if self.keys is None:
-            return pd.DataFrame({"probe_id": [], "match_id": [], "score": []})
-        kept = np.isfinite(self.scores)
+        # Object columns let the declared schema decide the type, also without rows.
+        kept = np.isfinite(self.scores) if self.keys is not None else np.zeros((self.n, self.k), dtype=bool)
+        matched = self.keys[kept] if self.keys is not None else np.array([], dtype=object)
         return pd.DataFrame(
             {
-                "probe_id": [ids[i] for i in np.nonzero(kept)[0]],
-                "match_id": self.keys[kept],
+                "probe_id": pd.Series([ids[i] for i in np.nonzero(kept)[0]], dtype=object),
+                "match_id": pd.Series(matched.tolist(), dtype=object),
                 "score": self.scores[kept],
             }
         )
 
 
-def _stack(column: pd.Series) -> np.ndarray:
-    if len(column) == 0:
-        return np.zeros((0, 0))
-    return np.stack([np.asarray(v, dtype=np.float64) for v in column])
+def _stack(batch: pd.DataFrame, width: int | None) -> np.ndarray:
+    """The vectors of a batch as a matrix; sparse rows are filled in here, in the task."""
+    if len(batch) == 0:
+        return np.zeros((0, width or 0))
+    if width is None:
+        return np.stack([np.asarray(v, dtype=np.float64) for v in batch["vector"]])
+    out = np.zeros((len(batch), width))
+    lengths = batch["vector"].map(len).to_numpy()
+    rows = np.repeat(np.arange(len(batch)), lengths)
+    if len(rows):
+        out[rows, np.concatenate(batch["at"].to_numpy())] = np.concatenate(batch["vector"].to_numpy())
+    return out
 
 
 def _keys(column: pd.Series) -> np.ndarray:
@@ -105,44 +113,48 @@ def top_k(
     k: int,
     score: Score = cosine_scores,
     probe_values: int = PROBE_VALUES,
+    width: int | None = None,
 ) -> DataFrame:
     """Best ``k`` candidates of every probe.
 
     ``probes`` has (probe_id, vector), ``candidates`` has (match_id, vector).
-    Returns (probe_id, match_id, score, rank); equal scores go to the smaller id.
+    With ``width`` both vectors are sparse: ``vector`` has the values and a
+    column ``at`` their positions below ``width``. Returns (probe_id, match_id,
+    score, rank); equal scores go to the smaller id.
     """
-    probes = probes.select("probe_id", "vector")
-    candidates = candidates.select("match_id", "vector")
+    parts = ["vector"] if width is None else ["at", "vector"]
+    probes = probes.select("probe_id", *parts)
+    candidates = candidates.select("match_id", *parts)
     schema = T.StructType(
         [probes.schema["probe_id"], candidates.schema["match_id"], T.StructField("score", T.DoubleType())]
     )
     size = probes.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vector")), F.lit(1))).first()
-    rows, width = size[0], max(1, size[1])
-    if rows * width <= probe_values:
-        partial = _with_sent_probes(probes, candidates, k, score, schema)
+    rows, values = size[0], width or max(1, size[1])
+    if rows * values <= probe_values:
+        partial = _with_sent_probes(probes, candidates, k, score, schema, width)
     else:
-        partial = _with_grid(probes, candidates, k, score, schema, rows, max(1, probe_values // width))
+        partial = _with_grid(probes, candidates, k, score, schema, width, rows, max(1, probe_values // values))
     order = Window.partitionBy("probe_id").orderBy(F.col("score").desc(), F.col("match_id"))
     return partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _with_sent_probes(probes, candidates, k, score, schema):
+def _with_sent_probes(probes, candidates, k, score, schema, width):
     # Size measured above: at most PROBE_VALUES numbers.
     held = probes.toPandas()
-    sent = probes.sparkSession.sparkContext.broadcast((held["probe_id"].tolist(), _stack(held["vector"])))
+    sent = probes.sparkSession.sparkContext.broadcast((held["probe_id"].tolist(), _stack(held, width)))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, matrix = sent.value
         winners = _Winners(len(ids), k)
         for batch in batches:
             if len(batch):
-                winners.offer(matrix, _keys(batch["match_id"]), _stack(batch["vector"]), score)
+                winners.offer(matrix, _keys(batch["match_id"]), _stack(batch, width), score)
         yield winners.frame(ids)
 
     return candidates.mapInPandas(scan, schema)
 
 
-def _with_grid(probes, candidates, k, score, schema, rows, block_rows):
+def _with_grid(probes, candidates, k, score, schema, width, rows, block_rows):
     total = candidates.count()
     probe_blocks = math.ceil(rows / block_rows)
     match_blocks = max(1, math.ceil(total / block_rows))
@@ -157,7 +169,7 @@ def _with_grid(probes, candidates, k, score, schema, rows, block_rows):
     def cell(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         winners = _Winners(len(a), k)
         if len(a) and len(b):
-            winners.offer(_stack(a["vector"]), _keys(b["match_id"]), _stack(b["vector"]), score)
+            winners.offer(_stack(a, width), _keys(b["match_id"]), _stack(b, width), score)
         return winners.frame(a["probe_id"].tolist())
 
     return left.groupBy("pb", "mb").cogroup(right.groupBy("pb", "mb")).applyInPandas(cell, schema)

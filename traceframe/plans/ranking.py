@@ -75,6 +75,11 @@ def hash_rank(
     return ranked if first is None else ranked.filter(F.col(name) <= first)
 
 
+def bucket_count(df: DataFrame) -> int:
+    """Value buckets for this session: as many as shuffle partitions, within limits."""
+    return min(4096, max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def fractions(buckets: int) -> list[float]:
     return [i / buckets for i in range(1, buckets)]
 
@@ -99,8 +104,9 @@ def with_bucket(df: DataFrame, cuts: Column, value: Column, buckets: int, name:
     return out
 
 
-def ordered_rank(df: DataFrame, order: str, name: str = "rank", buckets: int = 64) -> DataFrame:
+def ordered_rank(df: DataFrame, order: str, name: str = "rank", buckets: int | None = None) -> DataFrame:
     """Append the 1-based position of every row by a unique numeric or time column."""
+    buckets = buckets or bucket_count(df)
     tagged = with_value_bucket(df, order, buckets)
     offsets = F.broadcast(_bucket_offsets(tagged.select("_b"), [], "_b").select("_b", "_before"))
     inside = Window.partitionBy("_b").orderBy("_v")
@@ -173,8 +179,9 @@ def unpivot(df: DataFrame, ids: list[str], columns: list[str], name: str, value:
     return df.select(*ids, F.inline(pairs))
 
 
-def exact_median(df: DataFrame, columns: list[str], buckets: int = 64) -> DataFrame:
+def exact_median(df: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
     """Exact median of each column, nulls left out: rows (column_name, median)."""
+    buckets = buckets or bucket_count(df)
     long = unpivot(
         df.select(*[F.col(c).cast("double").alias(c) for c in columns]), [], columns, "column_name", "value"
     ).filter(F.col("value").isNotNull())
