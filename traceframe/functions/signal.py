@@ -91,15 +91,21 @@ def dominant_frequency_native(xs: Column) -> Column:
 def handcrafted(df, trace: str = "trace_data"):
     """Append the eight signal features of every trace in ``df``."""
     xs = F.col(trace)
-    return (
-        df.withColumn("mean_amplitude", mean(xs))
-        .withColumn("std_amplitude", std_pop(xs, F.col("mean_amplitude")))
-        .withColumn("min_amplitude", F.array_min(xs))
-        .withColumn("max_amplitude", F.array_max(xs))
-        .withColumn("energy", energy(xs))
-        .withColumn("rms_amplitude", F.when(F.size(xs) > 0, F.sqrt(F.col("energy") / F.size(xs))))
-        .withColumn("zero_crossings", zero_crossings(xs).cast("double"))
-        .withColumn("dominant_frequency", dominant_frequency(xs))
+    first = df.withColumns(
+        {
+            "mean_amplitude": mean(xs),
+            "min_amplitude": F.array_min(xs),
+            "max_amplitude": F.array_max(xs),
+            "energy": energy(xs),
+            "zero_crossings": zero_crossings(xs).cast("double"),
+            "dominant_frequency": dominant_frequency(xs),
+        }
+    )
+    return first.withColumns(
+        {
+            "std_amplitude": std_pop(xs, F.col("mean_amplitude")),
+            "rms_amplitude": F.when(F.size(xs) > 0, F.sqrt(F.col("energy") / F.size(xs))),
+        }
     )
 
 

@@ -53,9 +53,11 @@ def kolmogorov_series(d: Column, n: Column, m: Column, terms: int = 40) -> Colum
     """Large-sample p-value of a two-sample distance, with the small-sample correction."""
     root = F.sqrt(n.cast("double") * m / (n + m))
     z = (root + 0.12 + F.lit(0.11) / root) * d
-    tail = F.lit(0.0)
-    for j in range(1, terms + 1):
-        tail = tail + F.lit(2.0 * (-1) ** (j - 1)) * F.exp(F.lit(-2.0 * j * j) * z * z)
+    tail = F.aggregate(
+        F.sequence(F.lit(1), F.lit(terms)),
+        F.lit(0.0),
+        lambda acc, j: acc + F.when(j % 2 == 1, 2.0).otherwise(-2.0) * F.exp(F.lit(-2.0) * j * j * z * z),
+    )
     # Below this argument the alternating sum has not settled, and the tail is 1.
     return F.when(z < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), tail)))
 

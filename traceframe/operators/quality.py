@@ -109,15 +109,10 @@ def with_row_measures(df: DataFrame, trace: str = "trace_data") -> DataFrame:
     Traces without samples have a count of 0 and nulls.
     """
     xs = F.col(trace)
-    rows = df.withColumn("_c", F.when(F.size(xs) > 0, F.size(xs)).otherwise(0).cast("long")).withColumn(
-        "_m", trace_mean(xs)
-    )
-    spread = F.aggregate(xs, F.lit(0.0), lambda a, x: a + (x - F.col("_m")) * (x - F.col("_m")))
-    return (
-        rows.withColumn("_q", F.when(F.col("_c") > 0, spread))
-        .withColumn("_lo", F.array_min(xs))
-        .withColumn("_hi", F.array_max(xs))
-    )
+    count = F.when(F.size(xs) > 0, F.size(xs)).otherwise(0).cast("long")
+    rows = df.withColumns({"_c": count, "_m": trace_mean(xs), "_lo": F.array_min(xs), "_hi": F.array_max(xs)})
+    squares = F.aggregate(xs, F.lit(0.0), lambda a, x: a + (x - F.col("_m")) * (x - F.col("_m")))
+    return rows.withColumn("_q", F.when(F.col("_c") > 0, squares))
 
 
 def _trace_measures() -> list[Column]:
@@ -303,11 +298,12 @@ def evaluate(df: DataFrame, history: DataFrame | None = None) -> DataFrame:
     )
     checked = _with_rules(measured.select("validation.*", "statistics", "domain", "current"))
     level = rules.priority(F.col("validation_passed"), F.size("anomalies"))
-    out = (
-        checked.withColumn("priority", level)
-        .withColumn("action", rules.action(F.col("priority")))
-        .withColumn("reasoning", rules.reasoning(F.col("priority")))
-        .withColumn("balance", balance(df).select(F.struct("balance_score", "imbalance_score")).scalar())
+    out = checked.withColumn("priority", level).withColumns(
+        {
+            "action": rules.action(F.col("priority")),
+            "reasoning": rules.reasoning(F.col("priority")),
+            "balance": balance(df).select(F.struct("balance_score", "imbalance_score")).scalar(),
+        }
     )
     if history is None:
         return out.drop("current").withColumn("drift_status", F.lit("no_history"))

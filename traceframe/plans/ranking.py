@@ -80,28 +80,26 @@ def bucket_count(df: DataFrame) -> int:
     return min(4096, max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def fractions(buckets: int) -> list[float]:
-    return [i / buckets for i in range(1, buckets)]
-
-
 def quantile_cuts(value: Column, buckets: int) -> Column:
     """Aggregate giving ascending cut points that split ``value`` into even buckets."""
-    return F.percentile_approx(value, fractions(buckets), F.lit(max(1000, 20 * buckets)))
+    listed = ", ".join(repr(i / buckets) + "D" for i in range(1, buckets))
+    return F.percentile_approx(value, F.expr(f"array({listed})"), F.lit(max(1000, 20 * buckets)))
 
 
 def with_bucket(df: DataFrame, cuts: Column, value: Column, buckets: int, name: str = "_b") -> DataFrame:
     """Append how many of the ascending ``cuts`` lie below ``value``.
 
-    A binary search written as one projection per halving step: plain array
-    reads and comparisons that stay in generated code. Null cuts give 0.
+    A binary search, one projected column per halving step, each using the one
+    before: plain array reads and comparisons that stay in generated code. Null
+    cuts give 0.
     """
-    out = df.withColumn(name, F.lit(0))
-    step = 1 << max(0, (buckets - 1).bit_length() - 1)
-    while step:
-        below = F.get(cuts, F.col(name) + (step - 1)) < value
-        out = out.withColumn(name, F.col(name) + F.when(below, F.lit(step)).otherwise(F.lit(0)))
-        step //= 2
-    return out
+    steps = [1 << i for i in reversed(range((buckets - 1).bit_length()))]
+    found, columns = F.lit(0), []
+    for i, step in enumerate(steps):
+        below = F.get(cuts, found + (step - 1)) < value
+        columns.append((found + F.when(below, F.lit(step)).otherwise(F.lit(0))).alias(f"_at{i}"))
+        found = F.col(f"_at{i}")
+    return df.select("*", *columns, found.alias(name)).drop(*[f"_at{i}" for i in range(len(steps))])
 
 
 def ordered_rank(df: DataFrame, order: str, name: str = "rank", buckets: int | None = None) -> DataFrame:
@@ -162,9 +160,8 @@ def running_totals(
     )
     inside = Window.partitionBy(by, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     out = tagged.join(offsets, [by, "_b"])
-    for s in sums:
-        out = out.withColumn(f"cum_{s}", F.sum(s).over(inside) + F.col(f"_o_{s}"))
-    return out.drop("_b", *[f"_o_{s}" for s in sums])
+    totals = {f"cum_{s}": F.sum(s).over(inside) + F.col(f"_o_{s}") for s in sums}
+    return out.withColumns(totals).drop("_b", *[f"_o_{s}" for s in sums])
 
 
 def wide_cuts(df: DataFrame, columns: list[str], name: str, buckets: int) -> DataFrame:
