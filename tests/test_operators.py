@@ -210,8 +210,9 @@ def test_nearest_imputation_against_loops(spark):
 # --- point-in-time joins ---------------------------------------------------
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10_000])
-def test_as_of_join_against_loops(spark, hot_rows):
+@pytest.mark.parametrize("hot_rows, sent_keys", [(10, 1000), (10, 1), (10_000, 1000)])
+def test_as_of_join_against_loops(spark, monkeypatch, hot_rows, sent_keys):
+    monkeypatch.setattr(fv, "SENT_KEYS", sent_keys)
     start = datetime(2024, 1, 1)
     keys = ["hot"] * 60 + ["a", "b"] * 20
     feats = [(k, start + timedelta(minutes=int(RNG.integers(0, 500))), i, float(i)) for i, k in enumerate(keys)]

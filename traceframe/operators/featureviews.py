@@ -11,6 +11,8 @@ from traceframe.plans.ranking import bucket_count, quantile_cuts, with_bucket
 
 # Rows of one key that are still ordered in one task.
 HOT_ROWS = 2_000_000
+# Hot keys that may be sent to all tasks.
+SENT_KEYS = 1000
 
 
 @dataclass
@@ -46,11 +48,58 @@ def as_of_join(
 ) -> DataFrame:
     """Latest feature row at or before each spine row and no older than ``ttl``.
 
+    Spine rows without a match get nulls; their count never changes. See
+    :func:`as_of_answers` for how skewed keys are handled.
+    """
+    answers = as_of_answers(
+        spine, features, keys, time, fields, ttl, feature_time, tie_break, hot_rows, buckets
+    )
+    out = spine.withColumn("_t", _micros(F.col(time))).join(answers, [*keys, "_t"], "left")
+    return out.select(*spine.columns, "feature_time", *fields)
+
+
+def _hot_key_cuts(times: DataFrame, keys: list[str], hot_rows: int, buckets: int) -> DataFrame | None:
+    """Time cut points of every key with more than ``hot_rows`` rows; None if there is no such key.
+
+    The keys are counted on the raw rows first, combined on the map side. A short
+    list of hot keys is sent to all tasks; a list beyond ``SENT_KEYS`` is joined
+    the ordinary way. A key gets about one cut per ``hot_rows`` rows.
+    """
+    hot = times.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    found = hot.limit(SENT_KEYS + 1).collect()
+    if not found:
+        return None
+    few = len(found) <= SENT_KEYS
+    sizes = F.broadcast(times.sparkSession.createDataFrame(found, hot.schema)) if few else hot
+    step = F.greatest(F.lit(1), F.floor(F.lit(float(buckets) * hot_rows) / F.col("_n")).cast("int"))
+    cuts = (
+        times.join(sizes, keys)
+        .groupBy(*keys)
+        .agg(quantile_cuts(F.col("_t"), buckets).alias("_all"), F.max("_n").alias("_n"))
+        .withColumn("_step", step)
+        .select(*keys, F.filter("_all", lambda _, i: i % F.col("_step") == 0).alias("_cuts"))
+    )
+    return F.broadcast(cuts) if few else cuts
+
+
+def as_of_answers(
+    spine: DataFrame,
+    features: DataFrame,
+    keys: list[str],
+    time: str,
+    fields: list[str],
+    ttl: timedelta,
+    feature_time: str | None = None,
+    tie_break: str | None = None,
+    hot_rows: int = HOT_ROWS,
+    buckets: int | None = None,
+) -> DataFrame:
+    """The answer for every distinct (key, time) a spine asks for.
+
     Both sides are stacked and walked once in time order. Features are first
     reduced to one row per key and time, and spine rows to distinct points, so
-    copies never pile up. A key with more than ``hot_rows`` of them is cut into
-    time buckets; the last feature of earlier buckets is carried over. Spine rows
-    without a match get nulls.
+    copies never pile up. A key with more than ``hot_rows`` rows is cut into
+    time buckets; the last feature of earlier buckets is carried over.
     """
     feature_time = feature_time or time
     buckets = buckets or bucket_count(spine)
@@ -66,56 +115,54 @@ def as_of_join(
         points.select(*keys, "_t", F.lit(None).cast(latest.schema["_f"].dataType).alias("_f"), F.lit(1).alias("_point"))
     )
 
-    # Hot keys are found on the raw rows, before any shuffle by time. There are at
-    # most (all rows / hot_rows) of them, each with one short array of cut points.
     times = features.select(*keys, _micros(F.col(feature_time)).alias("_t")).unionByName(
         spine.select(*keys, _micros(F.col(time)).alias("_t"))
     )
-    hot = times.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
-    cuts = F.broadcast(
-        times.join(F.broadcast(hot), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(quantile_cuts(F.col("_t"), buckets).alias("_cuts"))
-    )
-    tagged = with_bucket(stacked.join(cuts, keys, "left"), F.col("_cuts"), F.col("_t"), buckets)
+    cuts = _hot_key_cuts(times, keys, hot_rows, buckets)
+    if cuts is None:
+        tagged = stacked.withColumn("_b", F.lit(0))
+    else:
+        tagged = with_bucket(stacked.join(cuts, keys, "left"), F.col("_cuts"), F.col("_t"), buckets)
     stamped = F.when(F.col("_f").isNotNull(), F.struct(F.col("_t").alias("at"), F.col("_f").alias("f")))
     walk = (
         Window.partitionBy(*keys, "_b").orderBy("_t", "_point").rowsBetween(Window.unboundedPreceding, 0)
     )
     walked = tagged.withColumn("_last", F.last(stamped, ignorenulls=True).over(walk))
 
-    # Hot keys only: one row per key and bucket.
-    carried = (
-        tagged.filter(F.col("_cuts").isNotNull())
-        .groupBy(*keys, "_b")
-        .agg(F.max_by(stamped, stamped["at"]).alias("_s"))
-        .withColumn(
-            "_carry",
-            F.last("_s", ignorenulls=True).over(
-                Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-            ),
+    answered = walked.filter(F.col("_point") == 1)
+    if cuts is None:
+        answered = answered.withColumn("_hit", F.col("_last"))
+    else:
+        # One row per hot key and bucket.
+        carried = (
+            tagged.filter(F.col("_cuts").isNotNull())
+            .groupBy(*keys, "_b")
+            .agg(F.max_by(stamped, stamped["at"]).alias("_s"))
+            .withColumn(
+                "_carry",
+                F.last("_s", ignorenulls=True).over(
+                    Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+                ),
+            )
+            .select(*keys, "_b", "_carry")
         )
-        .select(*keys, "_b", "_carry")
-    )
-    answered = (
-        walked.filter(F.col("_point") == 1)
-        .join(carried, [*keys, "_b"], "left")
-        .withColumn("_hit", F.coalesce("_last", "_carry"))
-    )
+        answered = answered.join(carried, [*keys, "_b"], "left").withColumn("_hit", F.coalesce("_last", "_carry"))
     age = F.col("_t") - F.col("_hit")["at"]
     fresh = age <= int(ttl.total_seconds() * 1_000_000)
-    answered = answered.select(
+    return answered.select(
         *keys,
         "_t",
         F.when(fresh, F.timestamp_micros(F.col("_hit")["at"])).alias("feature_time"),
         *[F.when(fresh, F.col("_hit")["f"][f]).alias(f) for f in fields],
     )
-    out = spine.withColumn("_t", _micros(F.col(time))).join(answered, [*keys, "_t"], "left")
-    return out.select(*spine.columns, "feature_time", *fields)
 
 
 def historical_features(spine: DataFrame, views: list[FeatureView], refs: list[str], time: str) -> DataFrame:
-    """Several ``view:field`` references for one spine, one as-of join per view."""
+    """Several ``view:field`` references for one spine, one as-of search per view.
+
+    Every view is searched for the points of the spine itself and joined to it
+    by key and time, so the spine is not computed anew on top of each join.
+    """
     by_name = {v.name: v for v in views}
     wanted: dict[str, list[str]] = {}
     for ref in refs:
@@ -123,13 +170,14 @@ def historical_features(spine: DataFrame, views: list[FeatureView], refs: list[s
         if view not in by_name or column not in by_name[view].fields:
             raise ValueError(f"unknown feature reference {ref}")
         wanted.setdefault(view, []).append(column)
-    out = spine
+    out = spine.withColumn("_t", _micros(F.col(time)))
     for name, fields in wanted.items():
         v = by_name[name]
-        out = as_of_join(
-            out, v.source, v.keys, time, fields, v.ttl, feature_time=v.event_time, tie_break=v.tie_break
-        ).drop("feature_time")
-    return out
+        answers = as_of_answers(
+            spine, v.source, v.keys, time, fields, v.ttl, feature_time=v.event_time, tie_break=v.tie_break
+        )
+        out = out.join(answers.drop("feature_time"), [*v.keys, "_t"], "left")
+    return out.select(*spine.columns, *[f for fields in wanted.values() for f in fields])
 
 
 def in_window(df: DataFrame, time: str, end: Column, days: int = 365, start: Column | None = None) -> DataFrame:

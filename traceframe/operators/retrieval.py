@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from traceframe.functions import rules, text as tx
 from traceframe.plans import nearest
+from traceframe.session import cut_lineage
 
 
 def chunk_documents(df: DataFrame, content: str, source: str, **options) -> DataFrame:
@@ -209,8 +210,16 @@ def feature_summary_text(summary: DataFrame, samples: int | None = None) -> Data
     return summary.agg(body.alias("content")).select(F.lit("feature_summary").alias("source"), "content")
 
 
-def knowledge_table(*texts: DataFrame, model: TfidfModel | None = None, max_features: int = 1000, **options):
-    """Chunk every (source, content) table, union them and encode: (table, model)."""
+def knowledge_table(
+    *texts: DataFrame, model: TfidfModel | None = None, max_features: int = 1000, store: bool = True, **options
+) -> tuple[DataFrame, TfidfModel]:
+    """Chunk every (source, content) table, union them and encode: (table, model).
+
+    The chunks are stored before the two passes over them (fit, encode), so the
+    texts are cut once.
+    """
     chunks = union_sources(*[chunk_documents(t, "content", "source", **options) for t in texts])
+    if store:
+        chunks = cut_lineage(chunks, "chunks")
     model = model or TfidfModel.fit(chunks, "content", max_features)
     return model.encode(chunks, "content"), model

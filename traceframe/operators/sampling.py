@@ -130,9 +130,3 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     totals = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"))
     t = totals.select(F.struct("total", "classes")).scalar()
     return counts.withColumn("weight", t["total"] / (t["classes"] * F.col("n")))
-
-
-def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Join the class weights; one row per class, so Spark sends the small side."""
-    weights = class_weights(df, label).select(label, F.col("weight").alias(name))
-    return df.join(weights, label, "left")
