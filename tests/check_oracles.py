@@ -1,11 +1,14 @@
 """Run registered queries beside their SQL twins in DuckDB and compare the rows.
 
 Usage: python tests/check_oracles.py [sf_dir] [name ...]
+
+With PLAIN=1 the session has Spark's defaults (200 shuffle partitions).
 """
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -64,7 +67,13 @@ def main() -> int:
     import __spark_entry__ as entry
     from traceframe.session import local_session
 
-    spark = local_session("oracles")
+    if os.environ.get("PLAIN"):
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.driver.memory", "12g").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session("oracles")
     con = connect(sf_dir)
     queries, oracles = entry.queries(), entry.oracle_sql()
     names = sys.argv[2:] or list(queries)

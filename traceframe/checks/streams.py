@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from traceframe.checks.drifts import ks_sql
 from traceframe.checks.registry import query, rounded
 from traceframe.session import shared_folder
 from traceframe.sources import roles
@@ -80,17 +81,29 @@ def accuracy_history_stream(spark, sf):
     return rounded(spark.read.parquet(f"{folder}/out").select("accuracy", "n"))
 
 
+_DRIFT_SQL = """SELECT 'value' AS feature, true AS is_ref, value FROM events WHERE ts < TIMESTAMP '2024-01-15'
+  UNION ALL SELECT 'latency', true, value / 1000 FROM events WHERE ts < TIMESTAMP '2024-01-15'
+  UNION ALL SELECT 'value', false, value FROM events UNION ALL SELECT 'latency', false, value / 1000 FROM events"""
+
+
 @query(
     "drift_stream",
-    "SELECT CAST(1 AS BIGINT) AS features_tested, CAST(0 AS BIGINT) AS features_drifted, 'none' AS severity",
+    f"""WITH {ks_sql(_DRIFT_SQL)}, s AS (SELECT count(*) AS features_tested, count(*) FILTER (WHERE p < 0.05) AS features_drifted FROM p)
+SELECT features_tested, features_drifted, round(features_drifted / features_tested, 6) AS drift_ratio,
+  CASE WHEN features_drifted = 0 THEN 'none' WHEN features_drifted / features_tested > 0.3 THEN 'high'
+    WHEN features_drifted / features_tested > 0.1 THEN 'medium' ELSE 'low' END AS severity FROM s""",
 )
 def drift_stream(spark, sf):
-    """New events against the stored ones: the same values, hence no drift."""
+    """Arriving events against the first half month as the stored reference."""
     folder = shared_folder(spark, "drift")
-    reference = roles.table(spark, sf, "events").select("value")
-    stream = _stream(spark, sf).select("value")
-    monitors.drift_monitor(stream, reference, ["value"], f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{folder}/out").select("features_tested", "features_drifted", "severity")
+    columns = ["value", "latency"]
+    both = [F.col("value"), (F.col("value") / 1000).alias("latency")]
+    early = F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00"))
+    reference = roles.table(spark, sf, "events").filter(early).select(*both)
+    stream = _stream(spark, sf).select(*both)
+    monitors.drift_monitor(stream, reference, columns, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    stored = spark.read.parquet(f"{folder}/out")
+    return rounded(stored.select("features_tested", "features_drifted", "drift_ratio", "severity"))
 
 
 @query(

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from traceframe.functions.hashing import digest
 
-# Hash buckets are the leading hex digits of a digest: 16 ** 3 = 4096 of them,
+# Hash buckets are the leading hex digits of a digest: 16 ** 4 = 65536 of them,
 # each holding an even share of the rows whatever the keys look like.
-PREFIX = 3
+PREFIX = 4
 
 
 def _previous(by: list[str], order: str):
@@ -64,7 +64,7 @@ def hash_rank(
         tagged = tagged.withColumn("_g", F.to_json(F.struct(*by)))
         offsets = offsets.select(F.to_json(F.struct(*by)).alias("_g"), "_b", "_before", "_total")
     else:
-        # At most 4096 rows of a few numbers.
+        # At most 65536 rows of a few numbers.
         offsets = F.broadcast(offsets.select("_b", "_before", "_total"))
     joined = tagged.join(offsets, [*group, "_b"])
     inside = Window.partitionBy(*group, "_b").orderBy("_h", *keys)
