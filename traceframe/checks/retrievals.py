@@ -60,7 +60,14 @@ def text_chunks(spark, sf):
     )
 
 
-@query("text_chunks_without_contained_tail")
+@query(
+    "text_chunks_without_contained_tail",
+    _WALK_SQL
+    + ",\ntails AS (SELECT *, lag(content) OVER w AS before, lead(content) OVER w IS NULL AS is_last FROM chunks\n"
+    "  WINDOW w AS (PARTITION BY source ORDER BY chunk_index))\n"
+    "SELECT source || '_' || chunk_index AS chunk_id, content FROM tails\n"
+    "WHERE NOT (is_last AND before IS NOT NULL AND ends_with(before, content))",
+)
 def text_chunks_without_contained_tail(spark, sf):
     return _chunks(spark, sf, drop_contained_tail=True).select(F.col("doc_id").alias("chunk_id"), "content")
 

@@ -267,10 +267,38 @@ def feature_source(spark, sf):
     )
 
 
-@query("synthetic_traces")
+SYNTHETIC = [c for c in HANDCRAFTED if c != "dominant_frequency"]
+_FREQ = "CASE c WHEN 0 THEN {} WHEN 1 THEN {} ELSE {} END"
+
+
+def _by_class(at: int) -> str:
+    return _FREQ.format(*[synthetic.SHAPES[c][at] for c in (0, 1, 2)])
+
+
+def _u(seed: str, *keys: str) -> str:
+    return roles.sql_uniform(f"42-{seed}", " || ':' || ".join(f"CAST({k} AS VARCHAR)" for k in keys))
+
+
+@query(
+    "synthetic_traces",
+    f"""WITH keys AS (SELECT vec_id AS k, CASE WHEN {roles.sql_uniform('42', 'vec_id')} < 0.5 THEN 0
+    WHEN {roles.sql_uniform('42', 'vec_id')} < 0.8 THEN 1 ELSE 2 END AS c FROM embeddings),
+par AS (SELECT k, c, ({_by_class(0)}) + ({_by_class(1)}) * ({_u('freq', 'k')} * 2 - 1) AS f,
+  ({_by_class(2)}) + ({_by_class(3)}) * ({_u('amp', 'k')} * 2 - 1) AS a, {_by_class(4)} AS sd,
+  35.0 + 5.0 * ({_u('second', 'k')} * 2 - 1) AS f2,
+  list_transform(range(1, 6), lambda j: CAST(floor({_u('spike', 'k', 'j')} * 500) AS BIGINT)) AS spikes FROM keys),
+pts AS (SELECT *, unnest(range(500)) AS i FROM par),
+vals AS (SELECT k, c, i, a * sin(2 * pi() * CASE WHEN c = 2 AND i >= 250 THEN f2 ELSE f END * i * (500 * 0.002 / 499))
+  + CASE WHEN c = 1 AND list_contains(spikes, i) THEN 500.0 + 500.0 * {_u('lift', 'k', 'i')} ELSE 0 END
+  + sd * sqrt(-2 * ln(greatest({_u('noise-u', 'k', 'i')}, 1e-12))) * cos(2 * pi() * {_u('noise-v', 'k', 'i')}) AS x FROM pts),
+marked AS (SELECT *, (x < 0) <> lag(x < 0) OVER (PARTITION BY k ORDER BY i) AS crossed FROM vals)
+SELECT format('{{:03d}}', k // 100) AS file_id, k AS trace_id, CAST(any_value(c) AS BIGINT) AS class_label,
+  round(avg(x), 2) AS mean_amplitude, round(stddev_pop(x), 2) AS std_amplitude, round(min(x), 2) AS min_amplitude,
+  round(max(x), 2) AS max_amplitude, round(sqrt(avg(x * x)), 2) AS rms_amplitude, round(sum(x * x), 0) AS energy,
+  CAST(count(*) FILTER (WHERE crossed) AS DOUBLE) AS zero_crossings FROM marked GROUP BY k""",
+)
 def synthetic_traces(spark, sf):
     keys = roles.traces(spark, sf).select("file_id", "trace_id", three_way_label("42", "trace_id").alias("class_label"))
     made = synthetic.synthesize(keys, "trace_id", "class_label", samples=500)
-    return rounded(ft.extract(made), 3)
-
-
+    out = ft.extract(made).select("file_id", "trace_id", "class_label", *SYNTHETIC)
+    return rounded(out.withColumn("energy", F.round("energy", 0)), 2)
