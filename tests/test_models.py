@@ -98,3 +98,30 @@ def test_knowledge_table_and_context(spark):
 def test_tail_is_monotone():
     tails = [exact_two_sample_tail(d, 30, 20) for d in (0.1, 0.2, 0.4, 0.8)]
     assert tails == sorted(tails, reverse=True)
+
+
+def test_scorer_survives_storage(spark, tmp_path):
+    from traceframe.operators import persistence as ps
+    from traceframe.sources import roles
+
+    traces = roles.traces(spark, "/root/testdata/sf0.001")
+    silver, embedder, scaler = ft.silver(traces, k=4)
+    train = tr.assemble(silver, [f"{c}_scaled" for c in scaler.mean])
+    scorer = scoring.TraceScorer(tr.estimator("DecisionTree", {"max_depth": 4}, False).fit(train), scaler, embedder)
+    ps.save_scorer(spark, scorer, str(tmp_path / "scorer"))
+    loaded = ps.load_scorer(spark, str(tmp_path / "scorer"))
+    rows = traces.select("trace_id", "trace_data")
+    assert scorer.score(rows).orderBy("trace_id").collect() == loaded.score(rows).orderBy("trace_id").collect()
+
+
+def test_boosted_model_and_vocabulary_survive_storage(spark, separable, tmp_path):
+    from traceframe.operators import persistence as ps
+
+    model = tr.estimator("GradientBoosting", {"n_estimators": 2, "max_depth": 2}).fit(separable)
+    ps.save_model(model, str(tmp_path / "m"))
+    want = tr.predict(model, separable).orderBy("trace_id").select("scores").collect()
+    assert tr.predict(ps.load_model(str(tmp_path / "m")), separable).orderBy("trace_id").select("scores").collect() == want
+    docs = spark.createDataFrame([(0, "red blue")], "id bigint, t string")
+    fitted = rt.TfidfModel.fit(docs, "t")
+    ps.save_tfidf(spark, fitted, str(tmp_path / "v"))
+    assert ps.load_tfidf(spark, str(tmp_path / "v")) == fitted

@@ -84,7 +84,7 @@ class TraceEmbedder:
         n = stats["count"]
         mean = stats["mean"].toArray().tolist()
         # The summary has the sample variance; scaling uses the population one.
-        deviation = [(v * (n - 1) / n) ** 0.5 or 1.0 for v in stats["variance"].toArray()]
+        deviation = [(v * (n - 1) / n) ** 0.5 or 1.0 for v in stats["variance"].toArray().tolist()]
         scaled = cls._scaled(fitted, "_x", mean, deviation).select(array_to_vector("_z").alias("_v"))
         model = PCA(k=k, inputCol="_v", outputCol="_p").fit(scaled)
         loadings = model.pc.toArray()
@@ -137,7 +137,7 @@ def standardise_positions(df: DataFrame, keys: list[str], trace: str = "trace_da
         .alias("s")
     ).first()["s"]
     n = stats["count"]
-    deviation = [(v * (n - 1) / n) ** 0.5 or 1.0 for v in stats["variance"].toArray()]
+    deviation = [(v * (n - 1) / n) ** 0.5 or 1.0 for v in stats["variance"].toArray().tolist()]
     fitted = df.select(*keys, signal.fit_length(F.col(trace), length).alias("_x"))
     return TraceEmbedder._scaled(fitted, "_x", stats["mean"].toArray().tolist(), deviation).select(
         *keys, F.col("_z").alias("standardised")
