@@ -236,7 +236,7 @@ def feature_summary(spark, sf):
 
 @query(
     "feature_column_set",
-    """SELECT unnest(embedding[1:32]) AS value, unnest(list_transform(range(32), lambda i: 'embedding_' || i)) AS feature,
+    """SELECT CAST(unnest(embedding[1:32]) AS DOUBLE) AS value, unnest(list_transform(range(32), lambda i: 'embedding_' || i)) AS feature,
   vec_id AS trace_id FROM embeddings""",
 )
 def feature_column_set(spark, sf):
