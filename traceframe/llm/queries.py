@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from traceframe.llm import decontaminate, packing, sharding, topk
+from traceframe.llm import decontaminate, neardup, packing, pii, sharding, topk
 from traceframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,64 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op8_personal_data",
+    r"""
+    WITH doc AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    cut AS (
+      SELECT doc_id, kind, rank, m, p FROM (
+        SELECT doc_id, 'email' AS kind, 0 AS rank, regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS m, string_split_regex(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS p FROM doc
+        UNION ALL SELECT doc_id, 'ip', 1, regexp_extract_all(t, '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)'), string_split_regex(t, '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)') FROM doc
+        UNION ALL SELECT doc_id, 'card', 2, regexp_extract_all(t, '[0-9](?:[\x20-]?[0-9])+'), string_split_regex(t, '[0-9](?:[\x20-]?[0-9])+') FROM doc
+        UNION ALL SELECT doc_id, 'phone', 3, regexp_extract_all(t, '\+[0-9][\x20().0-9-]+[0-9]'), string_split_regex(t, '\+[0-9][\x20().0-9-]+[0-9]') FROM doc)
+      WHERE len(m) > 0),
+    each_one AS (SELECT doc_id, kind, rank, unnest(generate_series(1, len(m))) AS i, m, p FROM cut),
+    span AS (
+      SELECT doc_id, kind, rank, m[i] AS s,
+        (list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0))::BIGINT AS a FROM each_one),
+    digits AS (SELECT *, regexp_replace(s, '[^0-9]', '', 'g') AS d FROM span),
+    ok AS (
+      SELECT doc_id, kind, rank, a, a + length(s) AS b FROM digits WHERE CASE kind
+        WHEN 'email' THEN true
+        WHEN 'ip' THEN len(list_filter(string_split(s, '.'), lambda x: x::HUGEINT > 255)) = 0
+        WHEN 'phone' THEN length(d) BETWEEN 10 AND 15
+        ELSE length(d) BETWEEN 14 AND 19 AND
+          list_sum(list_transform(range(length(d)), lambda k: CASE WHEN k % 2 = 0 THEN d[length(d) - k]::INT ELSE (d[length(d) - k]::INT * 2) // 10 + (d[length(d) - k]::INT * 2) % 10 END)) % 10 = 0 END),
+    per AS (
+      SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card,
+        count(*) FILTER (kind = 'phone') AS n_phone, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) AS spans FROM ok GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip, coalesce(n_card, 0)::BIGINT AS n_card,
+      coalesce(n_phone, 0)::BIGINT AS n_phone, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM doc LEFT JOIN per USING (doc_id)
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii")
+    count = lambda kind: F.size(pii.of_kinds(F.col("pii"), kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(pii.listed(pii.of_kinds(F.col("pii"), *pii.BASE)), 256).alias("base_sha256"), pii.listed(F.col("pii")).alias("spans"),
+    )
+
+
+@query(
+    "op9_minhash_near_duplicates",
+    r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    sh AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + least(len(w), 3) - 1], ' ') AS s
+           FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS i FROM w WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+    pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+    reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+    comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, c.doc_id = component_id AS kept FROM comp c LEFT JOIN n USING (doc_id)
+    """,
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 @query(
     "op10_extendible_sharding",
     """
