@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from traceframe.llm import decontaminate, neardup, packing, pii, sharding, topk
-from traceframe.llm.common import table
+from traceframe.llm import decontaminate, langid, neardup, packing, pii, sharding, topk, toxicity
+from traceframe.llm.common import split_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(split_mod("doc_id", 3) == 1, F.lit(False))
+    model = toxicity.fit(docs.where(~held), table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(docs, model).select(
+        "doc_id", held.alias("held_out"), F.col("toxicity").alias("score"), F.col("is_toxic").cast("int").alias("predicted")
+    )
+
+
 @query(
     "op4_exact_top_k",
     """
@@ -47,6 +57,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+@query("op5_language")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(split_mod("doc_id", 5) == 0, F.lit(False))
+    net = langid.fit(docs.where(~held))
+    return langid.language(docs, net).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 @query(
     "op7_benchmark_decontamination",
     r"""
