@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from traceframe.llm.common import slices
@@ -219,7 +220,7 @@ def language(docs: DataFrame, net: Network | None) -> DataFrame:
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
-            sizes = pa.compute.binary_length(texts).to_pylist() if batch.num_rows else []
+            sizes = pc.binary_length(texts).to_pylist() if batch.num_rows else []
             for a, b in slices([n or 0 for n in sizes], 1 << 20):
                 found = predict(sent.value, texts[a:b].to_pylist())
                 yield pa.RecordBatch.from_arrays(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from traceframe.llm import decontaminate, langid, neardup, packing, pii, sharding, topk, toxicity
+from traceframe.llm import decontaminate, langid, neardup, packing, pii, sharding, tokenbin, topk, toxicity
 from traceframe.llm.common import split_mod, table
+from traceframe.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,6 +67,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language(docs, net).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+@query("op6_token_ids")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "token-files")
+    tokenbin.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return tokenbin.read(spark, path).drop("ids")
+
+
 @query(
     "op7_benchmark_decontamination",
     r"""

@@ -27,7 +27,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from traceframe.llm.common import slices
 
@@ -276,7 +277,7 @@ def toxicity(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
     kept = docs.drop("toxicity", "is_toxic")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     key = f"{docs.sparkSession.sparkContext.applicationId}-{sent._jbroadcast.id()}"
-    schema = kept.schema.add("toxicity", "double").add("is_toxic", "boolean")
+    schema = T.StructType([*kept.schema.fields, T.StructField("toxicity", T.DoubleType()), T.StructField("is_toxic", T.BooleanType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _KNOWN:
@@ -285,7 +286,7 @@ def toxicity(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
         known = _KNOWN[key]
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            sizes = pa.compute.binary_length(batch.column(at)).to_pylist() if batch.num_rows else []
+            sizes = pc.binary_length(batch.column(at)).to_pylist() if batch.num_rows else []
             for a, b in slices([n or 0 for n in sizes]):
                 part = batch.slice(a, b - a)
                 found = known.scores(part.column(at).to_pylist())
