@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from traceframe.llm import decontaminate, langid, neardup, packing, pii, sharding, tokenbin, topk, toxicity
+from traceframe.llm import decontaminate, langid, neardup, packing, pii, sharding, substring, tokenbin, topk, toxicity
 from traceframe.llm.common import split_mod, table
 from traceframe.session import shared_folder
 
@@ -41,6 +41,28 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op3_suffix_dedup",
+    """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, greatest(0, length(h) // 2 - 49))) AS i FROM d)),
+    m AS (SELECT s, min(doc_id) AS low FROM w GROUP BY s),
+    f AS (SELECT doc_id, i FROM w JOIN m USING (s) WHERE low < doc_id),
+    g AS (SELECT doc_id, i, i - 50 > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -1000) AS fresh FROM f),
+    n AS (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM g),
+    r AS (SELECT doc_id, span, min(i) AS a, max(i) + 50 AS b FROM n GROUP BY doc_id, span),
+    e AS (SELECT doc_id, a, b, lag(b) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM r),
+    k AS (SELECT e.doc_id, string_agg(substr(h, 2 * coalesce(before, 0) + 1, 2 * (a - coalesce(before, 0))), '' ORDER BY a) AS kept,
+            max(b) AS last, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans FROM e JOIN d USING (doc_id) GROUP BY e.doc_id)
+    SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+      sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+    FROM d LEFT JOIN k USING (doc_id)
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("starts", "ends")
+
+
 @query(
     "op4_exact_top_k",
     """

@@ -49,7 +49,8 @@ LENGTH = 50
 GRAM = 20
 RUN = 256  # most windows in a fragment
 HASH_BITS = 40
-FLUSH_BYTES = 24 << 20  # text behind one emission of a task
+FLUSH_BYTES = 24 << 20  # text behind one emission of anchors by a task
+FRAGMENT_BYTES = 8 << 20  # and of fragments
 RANGE_BYTES = 16 << 20  # text behind one hash range
 MAP_BITS = 30  # the bit map has at most 2**30 bits
 SENT_ROWS = 1_000_000  # rows sent to all executors once counted; more are joined by a shuffle
@@ -142,12 +143,12 @@ def _slices_of(batches: Iterator[pa.RecordBatch]) -> Iterator[_Texts]:
             yield _Texts(ids[a:b].to_pylist(), texts[a:b].to_pylist())
 
 
-def _flushes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[_Texts]]:
+def _flushes(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[_Texts]]:
     held, size = [], 0
     for part in _slices_of(batches):
         held.append(part)
         size += len(part.bytes)
-        if size >= FLUSH_BYTES:
+        if size >= limit:
             yield held
             held, size = [], 0
     if held:
@@ -179,7 +180,7 @@ def _emit_anchors(bits: int):
     """Per flush and hash range: anchors with their least and greatest document."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for parts in _flushes(batches):
+        for parts in _flushes(batches, FLUSH_BYTES):
             anchor = np.concatenate([p.anchor for p in parts])
             docs = np.concatenate([p.ids[p.doc] for p in parts])
             if not len(anchor):
@@ -251,7 +252,7 @@ def _emit_fragments(bits: int, sent):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         map_bits, held = sent.value
-        for parts in _flushes(batches):
+        for parts in _flushes(batches, FRAGMENT_BYTES):
             first: dict[tuple[int, bytes], list] = {}
             done: list[tuple[int, int, int, int]] = []
             for p in parts:
