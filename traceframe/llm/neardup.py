@@ -10,9 +10,10 @@
    posterior probability, from a flat prior, that its similarity reaches the threshold is
    below ``MISS``; survivors are confirmed on their full shingle sets.
 4. Confirmed links are joined into components. Buckets whose members still stand in several
-   components are compared in full, signatures only and in blocks inside tasks: only pairs
-   of different components that the posterior cannot rule out leave a task, and these are
-   confirmed on full sets as well. So no link between components is lost.
+   components are compared in full, in blocks inside tasks: pairs of different components
+   that the posterior cannot rule out are tested on sets of 32-bit hashes, which can only
+   overrate a pair. What is left leaves the task and is confirmed on the full sets. So no
+   link between components is lost, and members of a family too loose to be linked make no rows.
 
 Defined cases: a null text, an empty one and one without words have no shingles, are linked
 with nothing and kept; a text with fewer words than a shingle has one shingle, the whole
@@ -36,7 +37,7 @@ from traceframe.llm.common import Scratch, slices
 HASHES = 128
 ROWS = 4  # hashes in a band; a pair of similarity 0.8 shares none of 32 bands with probability 5e-8
 BATCH = 16  # hashes compared before the next decision
-MISS = 1e-9  # posterior below which a pair is dropped
+MISS = 1e-7  # posterior below which a pair is dropped
 SENT_IDS = 1_000_000  # ids sent to all executors (8 MB); more are joined by a shuffle
 BLOCK = 1024  # members of a bucket compared with as many others in one task
 
@@ -148,10 +149,10 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _bands(reps: DataFrame) -> DataFrame:
-    """bucket, doc: one row per band; the band's number is part of the bucket's hash."""
+    """bucket, band, doc: one row per band; the band's number is part of the bucket's hash."""
     width = 4 * ROWS
     cut = F.array(*[F.xxhash64(F.lit(i), F.substring("sig", 1 + i * width, width)) for i in range(HASHES // ROWS)])
-    return reps.select(F.explode(cut).alias("bucket"), F.col("doc_id").alias("doc"))
+    return reps.select(F.posexplode(cut).alias("band", "bucket"), F.col("doc_id").alias("doc"))
 
 
 def _screened(pairs: DataFrame, reps: DataFrame, keep: dict[int, int]) -> DataFrame:
@@ -170,15 +171,20 @@ def _screened(pairs: DataFrame, reps: DataFrame, keep: dict[int, int]) -> DataFr
     return both.select("doc", "other", "sig_a", "sig_b").mapInArrow(test, "doc long, other long")
 
 
+def _sets_of(ids: DataFrame, texts: DataFrame, words: int, scratch: Scratch) -> DataFrame:
+    """Full sets of the documents with these ids; few ids are sent, so that texts need not move."""
+    own = scratch.save(ids.distinct(), "ids")
+    few = own.count() <= SENT_IDS
+    return scratch.save(_sets(texts.join(F.broadcast(own) if few else own, "doc_id", "left_semi"), words), "sets")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs whose full sets have 100 * intersection >= percent * union.
 
     Only the texts of documents in pairs are cut again; a hub's set meets its candidates in a
     join that Spark splits where one hub is frequent.
     """
-    own = scratch.save(pairs.select(F.explode(F.array("doc", "other")).alias("doc_id")).distinct(), "paired")
-    few = own.count() <= SENT_IDS
-    sets = scratch.save(_sets(texts.join(F.broadcast(own) if few else own, "doc_id", "left_semi"), words), "sets")
+    sets = _sets_of(pairs.select(F.explode(F.array("doc", "other")).alias("doc_id")), texts, words, scratch)
     both = pairs.join(sets.select(F.col("doc_id").alias("doc"), F.col("hashes").alias("a")), "doc").join(
         sets.select(F.col("doc_id").alias("other"), F.col("hashes").alias("b")), "other"
     )
@@ -219,41 +225,61 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         labels = stored.select("node", "component")
 
 
-def _rest(buckets: DataFrame, reps: DataFrame, labels: DataFrame, keep: dict[int, int]) -> DataFrame:
-    """Pairs of different components in one bucket that signatures cannot rule out.
+def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Upper halves of the hashes, still in order and as many: what was equal stays equal."""
+    for batch in batches:
+        short = [(np.frombuffer(x.as_py(), np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in batch.column("hashes")]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(short, pa.binary())], names=["doc", "short"])
+
+
+def _rest(buckets: DataFrame, reps: DataFrame, labels: DataFrame, keep: dict[int, int], texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs of different components in one bucket that short sets cannot rule out.
 
-    ``buckets`` has bucket, doc of all buckets with more than two rows; the only pair of a
-    smaller one was its hub's. A bucket of several blocks is dealt out by pairs of blocks, members ordered by a hash.
+    ``buckets`` has bucket, band, doc of all buckets with more than two rows; the only pair of a
+    smaller one was its hub's. A bucket of several blocks is dealt out by pairs of blocks,
+    members ordered by a hash. A pair is tested in the first band it shares.
     """
     placed = buckets.join(labels.select(F.col("node").alias("doc"), "component"), "doc", "left").select(
-        "bucket", "doc", F.coalesce("component", "doc").alias("component")
+        "bucket", "band", "doc", F.coalesce("component", "doc").alias("component")
     )
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low < high")
-    open_ = placed.join(mixed.select("bucket", "n"), "bucket")
+    open_ = scratch.save(placed.join(mixed.select("bucket", "n"), "bucket"), "open")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
     dealt = (
         open_.withColumn("block", own)
         .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("bucket", "doc", "component", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+        .select("bucket", "band", "doc", "component", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
     )
-    signed = dealt.join(reps.select(F.col("doc_id").alias("doc"), "sig"), "doc").select("bucket", "i", "j", "block", "doc", "component", "sig")
+    short = _sets_of(open_.select(F.col("doc").alias("doc_id")), texts, words, scratch).mapInArrow(_shorten, "doc long, short binary")
+    known = reps.select(F.col("doc_id").alias("doc"), "sig").join(short, "doc")
+    signed = dealt.join(known, "doc").select("bucket", "band", "i", "j", "block", "doc", "component", "sig", "short")
 
     def compare(key: tuple, group: pa.Table) -> pa.Table:
         first, second = key[1].as_py(), key[2].as_py()
-        block = group.column("block").to_numpy()
+        band, block = group.column("band")[0].as_py(), group.column("block").to_numpy()
         docs, parts, sigs = group.column("doc").to_numpy(), group.column("component").to_numpy(), _signatures(group.column("sig"))
+        sets = [np.frombuffer(x.as_py(), np.uint32) for x in group.column("short")]
+        sizes = np.array([len(x) for x in sets])
+        # Places before the band: a pair that is equal in a whole earlier band is tested there.
+        earlier = sigs[:, : band * ROWS].reshape(len(docs), band, ROWS)
         a, b = np.nonzero(block == first)[0], np.nonzero(block == second)[0]
-        found_a, found_b = [], []
+        found = []
         for i in a:
             other = b[(parts[b] != parts[i]) & ((docs[b] > docs[i]) | (first != second))]
+            ratio = 100 * np.minimum(sizes[other], sizes[i]) >= percent * np.maximum(sizes[other], sizes[i])
+            other = other[ratio]
             if len(other):
-                stay = other[_survivors(np.broadcast_to(sigs[i], (len(other), HASHES)), sigs[other], keep)]
-                found_a.append(np.full(len(stay), docs[i]))
-                found_b.append(docs[stay])
-        none = [np.zeros(0, np.int64)]
-        x, y = np.concatenate(found_a or none), np.concatenate(found_b or none)
-        return pa.table({"doc": np.minimum(x, y), "other": np.maximum(x, y)})
+                other = other[_survivors(np.broadcast_to(sigs[i], (len(other), HASHES)), sigs[other], keep)]
+            if len(other) and band:
+                other = other[~(earlier[other] == earlier[i]).all(axis=2).any(axis=1)]
+            for o in other:
+                place = np.searchsorted(sets[i], sets[o])
+                common = int((sets[i][np.minimum(place, sizes[i] - 1)] == sets[o]).sum())
+                if 100 * common >= percent * (sizes[i] + sizes[o] - common):
+                    found.append((min(docs[i], docs[o]), max(docs[i], docs[o])))
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"doc": pairs[:, 0], "other": pairs[:, 1]})
 
     return signed.groupBy("bucket", "i", "j").applyInArrow(compare, "doc long, other long").distinct()
 
@@ -276,7 +302,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     bands = _bands(reps)
     full = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = scratch.save(bands.join(full, "bucket"), "buckets")  # bucket, doc, n
+    buckets = scratch.save(bands.join(full, "bucket"), "buckets")  # bucket, band, doc, n
     central = buckets.groupBy("doc").agg(F.sum("n").alias("degree"))
     ranked = buckets.join(central, "doc")
     hub = ranked.groupBy("bucket").agg(F.min_by("doc", F.struct(-F.col("degree"), F.col("doc"))).alias("hub"))
@@ -288,7 +314,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = scratch.save(_confirmed(tried, texts, words, percent, scratch), "links")
     labels = components(links, scratch)
 
-    more = scratch.save(_rest(buckets.where("n > 2").select("bucket", "doc"), reps, labels, keep), "rest")
+    more = scratch.save(_rest(buckets.where("n > 2").select("bucket", "band", "doc"), reps, labels, keep, texts, words, percent, scratch), "rest")
     fresh = more.join(tried, ["doc", "other"], "left_anti")
     late = scratch.save(_confirmed(fresh, texts, words, percent, scratch), "late-links")
     if late.limit(1).count():

@@ -72,7 +72,7 @@ def _gram_hashes(codes: np.ndarray) -> np.ndarray:
     while size * 2 <= GRAM:
         h = h[:-size] * factor + h[size:]
         size *= 2
-        factor = factor * factor
+        factor = np.uint64(int(factor) ** 2 & 0xFFFFFFFFFFFFFFFF)
         by_size[size] = h
     have = size
     for part in sorted(by_size, reverse=True):
