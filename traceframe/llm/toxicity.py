@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from traceframe.llm.common import slices
 
-SAMPLE_DOCS = (8000, 3000)  # clean and toxic training documents; the bound on what the driver reads
+SAMPLE_DOCS = (6000, 2500)  # clean and toxic training documents; the bound on what the driver reads
 SAMPLE_BYTES = 100_000  # longer texts are scored but not learned from
 BUCKETS, WIDTH = 1 << 18, 8
 DECAY = 6e-5
@@ -52,8 +52,13 @@ def words(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "replace").translate(_FOLD).split()
 
 
-def subwords(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def subwords(vocabulary: list[bytes], chunk: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
     """(bucket of every n-gram of every word, number of n-grams per word), words in order."""
+    parts = [_subwords(vocabulary[i : i + chunk]) for i in range(0, len(vocabulary), chunk)] or [_subwords([])]
+    return np.concatenate([b for b, _ in parts]), np.concatenate([c for _, c in parts])
+
+
+def _subwords(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     marked = b"".join(b"<" + w + b">" for w in vocabulary)
     sizes = np.fromiter((len(w) + 2 for w in vocabulary), np.int64, len(vocabulary))
     codes = np.frombuffer(marked, np.uint8).astype(np.uint64) + np.uint64(1)
@@ -126,8 +131,8 @@ class Model:
 
 class _Adam:
     def __init__(self, *shapes: tuple[int, ...]):
-        self.first = [np.zeros(s) for s in shapes]
-        self.second = [np.zeros(s) for s in shapes]
+        self.first = [np.zeros(s, np.float32) for s in shapes]
+        self.second = [np.zeros(s, np.float32) for s in shapes]
         self.t = 0
 
     def steps(self, grads: list[np.ndarray], rate: float) -> list[np.ndarray]:
@@ -154,46 +159,46 @@ def train(texts: list[str], labels: list[int], rounds: int = ROUNDS, toxic_share
     ids: dict[bytes, int] = {}
     own = [np.array([ids.setdefault(w, len(ids)) for w in words(t)], np.int64) for t in texts]
     buckets, counts = subwords(list(ids))
-    bucket_ends = np.cumsum(counts)
-    per_row = np.repeat(1.0 / counts, counts)
+    n_words = len(ids)
+    del ids
+    starts = np.cumsum(counts) - counts
     firsts = [window_starts(len(d)) for d in own]
     base = np.cumsum([0] + [len(d) for d in own])
-    doc = np.repeat(np.arange(len(own)), [len(f) for f in firsts])
+    per_doc = np.array([len(f) for f in firsts])
+    doc = np.repeat(np.arange(len(own)), per_doc)
     first = np.concatenate([f + b for f, b in zip(firsts, base[:-1], strict=True)])
     last = np.minimum(first + WINDOW, base[1:][doc])
     size = np.maximum(last - first, 1)
-    tokens, bag = np.concatenate(own), np.concatenate([counted(d) for d in own])
-    mark, edge = y[doc], np.cumsum([0] + [len(f) for f in firsts])[:-1]
-    per_doc = np.array([len(f) for f in firsts])
+    tokens, bag = np.concatenate(own), np.concatenate([counted(d) for d in own]).astype(np.float32)
+    del own, firsts
+    mark, edge = y[doc], np.cumsum(per_doc) - per_doc
 
     draw = np.random.default_rng(7)
-    table = draw.normal(0, 0.05, (BUCKETS, WIDTH))
-    rows = draw.normal(0, 0.5, (2, WIDTH))  # of the softmax
-    bias = np.zeros(2)
+    table = draw.normal(0, 0.05, (BUCKETS, WIDTH)).astype(np.float32)
+    rows = draw.normal(0, 0.5, (2, WIDTH)).astype(np.float32)  # of the softmax
+    bias = np.zeros(2, np.float32)
     adam = _Adam(table.shape, rows.shape, bias.shape)
     share = np.array([1 / (2 * (y == 0).sum()), 1 / (2 * (y == 1).sum())])[y.astype(int)][doc]
 
     def logits() -> np.ndarray:
-        value = np.add.reduceat((table @ (rows[1] - rows[0]))[buckets], bucket_ends - counts) / counts
+        value = np.add.reduceat((table @ (rows[1] - rows[0]))[buckets], starts) / counts
         total = np.concatenate([[0.0], np.cumsum(value[tokens] * bag)])
         return bias[1] - bias[0] + SCALE * (total[last] - total[first]) / size
 
     for i in range(rounds):
-        z = logits()
-        p = _sigmoid(z)
+        p = _sigmoid(logits())
         even = 1 / per_doc[doc]
         keen = p / (np.add.reduceat(p, edge)[doc] + 1e-12)
         focus = min(1.0, i / (rounds / 3))  # first all windows of a document alike, then its worst
         blend = np.where(mark == 1, (1 - focus) * even + focus * keen, 0.5 * even + 0.5 * keen)
         g = share * blend * (p - mark)
-        flow = np.zeros(len(tokens) + 1)  # gradient per token: running sum of what starts and ends
-        np.add.at(flow, first, SCALE * g / size)
-        np.add.at(flow, last, -SCALE * g / size)
-        per_word = np.bincount(tokens, np.cumsum(flow)[: len(tokens)] * bag, len(ids))
-        per_bucket = np.bincount(buckets, np.repeat(per_word, counts) * per_row, BUCKETS)
+        # Gradient per token: a running sum of what starts and ends there.
+        flow = np.bincount(first, SCALE * g / size, len(tokens) + 1) - np.bincount(last, SCALE * g / size, len(tokens) + 1)
+        per_word = np.bincount(tokens, np.cumsum(flow)[: len(tokens)] * bag, n_words)
+        per_bucket = np.bincount(buckets, np.repeat((per_word / counts).astype(np.float32), counts), BUCKETS).astype(np.float32)
         way = rows[1] - rows[0]
         to_way = per_bucket @ table
-        grads = [np.outer(per_bucket, way) + DECAY * table, np.stack([-to_way, to_way]) + 1e-5 * rows, np.array([-g.sum(), g.sum()])]
+        grads = [np.outer(per_bucket, way) + np.float32(DECAY) * table, np.stack([-to_way, to_way]) + 1e-5 * rows, np.array([-g.sum(), g.sum()])]
         for part, step in zip((table, rows, bias), adam.steps(grads, 0.05 if i < rounds * 2 // 3 else 0.015), strict=True):
             part -= step
 
@@ -201,7 +206,7 @@ def train(texts: list[str], labels: list[int], rounds: int = ROUNDS, toxic_share
     prior = toxic_share if toxic_share else float(y.mean())
     weight = np.where(y == 1, prior / y.mean(), (1 - prior) / (1 - y.mean()))
     slope, shift = _logistic(worst, y, weight)
-    return Model(table @ (rows[1] - rows[0]), float(bias[1] - bias[0]), slope, shift)
+    return Model((table @ (rows[1] - rows[0])).astype(float), float(bias[1] - bias[0]), slope, shift)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -236,8 +241,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: tuple[int, int] = SAMPL
     sent = F.broadcast(spark.createDataFrame(chosen, "doc_id long, toxic int"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES)).join(sent, "doc_id").select("doc_id", "text", "toxic").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
+    texts, marks = [r["text"] for r in rows], [r["toxic"] for r in rows]
+    del rows
     share = total.get(1, 0) / max(1, sum(total.values()))
-    return train([r["text"] for r in rows], [r["toxic"] for r in rows], rounds, share)
+    return train(texts, marks, rounds, share)
 
 
 class WordValues:
