@@ -24,6 +24,7 @@ digest of their text; an empty table gives empty files and no rows; other column
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -46,7 +47,7 @@ TOTAL = 1 << TOTAL_BITS
 CHECKPOINT = 256  # rows of LANES ids
 BLOCK_IDS = 1 << 19  # a block is closed once it holds so many
 PART_IDS = 8 << 20  # ids behind one part
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_000_000  # pieces of text remembered by a worker
 LOW = np.uint64(1) << np.uint64(31)  # states stay in [2**31, 2**63)
 MAGIC = b"RANS"
 
@@ -58,47 +59,75 @@ MAGIC = b"RANS"
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+#: Full stop or comma that ends a piece but does not follow a letter.
+_APART = re.compile(r"[^a-z\xdf-\u024f][.,](?:\s|$)")
+
+
 class Words:
     """Ids (u32, little endian) per piece of text between white space.
 
     The tokenizer drops white space and never joins over it, so every distinct piece goes
-    through the library once. A piece that ends in a full stop or comma after letters is its
-    two parts, and a capital at its start is folded, because the tokenizer's own pattern parts
-    them and its normaliser lower-cases. Texts with unusual spaces go to the library whole.
+    through the library once. It also lower-cases and parts letters from a full stop or
+    comma, so this is done first, which leaves fewer pieces. Pieces of letters are encoded many
+    at once: each is one word for the model, whose last id carries the mark of a word's
+    end. Texts with unusual spaces or a capital sigma go to the library whole.
+
+    Two generations of pieces are kept; one not met while the younger fills up is dropped.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.ids: dict[str, bytes] = {}
-
-    @staticmethod
-    def plain(piece: str) -> tuple[str, str]:
-        """(piece to look up, full stop or comma after it); only letters of the Latin blocks are taken apart."""
-        head, tail = (piece[:-1], piece[-1]) if piece[-1] in ".," and piece[:-1].isalpha() and piece[-2] < "\u0250" else (piece, "")
-        if head.isalpha() and "A" <= head[0] <= "Z":
-            head = head[0].lower() + head[1:]
-        return head, tail
+        self.older: dict[str, bytes] = {}
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        for token, i in vocabulary.items():
+            self.ends[i] = bool(suffix) and token.endswith(suffix)
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def words(self, pieces: list[str], together: int = 512) -> list[bytes]:
+        """Ids of pieces of letters, encoded many at once; one by one where ends of words don't add up."""
+        out = []
+        for i in range(0, len(pieces), together):
+            part = pieces[i : i + together]
+            joined = self.library([" ".join(part)])[0]
+            cut = (np.nonzero(self.ends[np.frombuffer(joined, "<u4")])[0] + 1) * 4
+            if len(cut) == len(part) and cut[-1] == len(joined):
+                out += [joined[a:b] for a, b in zip([0, *cut[:-1].tolist()], cut.tolist(), strict=True)]
+            else:
+                out += self.library(part)
+        return out
+
     def learn(self, seen: set[str]) -> None:
         fresh = seen - self.ids.keys()
-        if len(self.ids) + len(fresh) > KEPT_WORDS:
-            self.ids, fresh = {}, set(seen)
-        split = {p: self.plain(p) for p in fresh}
-        heads = list({h for h, _ in split.values()}.union(".,") - self.ids.keys())
-        self.ids.update(zip(heads, self.library(heads), strict=True))
-        for p, (h, t) in split.items():
-            if p != h:
-                self.ids[p] = self.ids[h] + self.ids[t] if t else self.ids[h]
+        if len(self.ids) + len(fresh) > KEPT_WORDS // 2:
+            self.older, self.ids, fresh = self.ids, {}, set(seen)
+        known = fresh & self.older.keys()
+        self.ids.update((p, self.older[p]) for p in known)
+        fresh -= known
+        letters = [p for p in fresh if p.isalpha()]
+        others = list(fresh.difference(letters))
+        self.ids.update(zip(letters, self.words(letters), strict=True))
+        self.ids.update(zip(others, self.library(others), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        odd = [bool(t) and bool(_ODD_SPACE.search(t)) for t in texts]
-        cut = [t.split() if t and not o else [] for t, o in zip(texts, odd, strict=True)]
-        self.learn(set().union(*cut))
+        cut: list[list[str] | None] = []
+        for text in texts:
+            if text and ("\u03a3" in text or _ODD_SPACE.search(text)):
+                cut.append(None)
+                continue
+            plain = (text or "").lower()
+            if not _APART.search(plain):
+                plain = plain.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n").replace(",\n", " ,\n")
+                if plain[-1:] in (".", ","):
+                    plain = f"{plain[:-1]} {plain[-1]}"
+            cut.append(plain.split())
+        self.learn(set().union(*(c for c in cut if c)))
         get = self.ids.__getitem__
-        return [self.library([t])[0] if o else b"".join(map(get, own)) for t, own, o in zip(texts, cut, odd, strict=True)]
+        return [self.library([t])[0] if own is None else b"".join(map(get, own)) for t, own in zip(texts, cut, strict=True)]
 
 
 _WORDS: dict[str, Words] = {}
