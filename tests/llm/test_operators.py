@@ -1,0 +1,360 @@
+"""Operators against brute force on small tables with awkward rows."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from traceframe.llm import decontaminate, langid, neardup, packing, pii, sharding, substring, tokenbin, topk, toxicity
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PASSAGE = "the quick brown fox jumps over the lazy dog while seven wizards quietly mix potions beneath an old stone bridge"
+LONG = " ".join(f"word{i % 977} x{i}" for i in range(30_000))
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, place int, sig binary, bucket string, crc int, pii string"
+
+
+def rows():
+    """Nulls, empty and very long texts, ties, repeated rows, shared passages, copies and near copies."""
+    texts = [
+        None, "", "   \n\t ", "one", "two words", PASSAGE, PASSAGE, PASSAGE.upper(), f"intro {PASSAGE} outro é è", f"{PASSAGE} tail words follow here now",
+        LONG, LONG + " end", "é" * 120, "be " * 400, "be " * 390, "Straße, İstanbul. don't stop", "a b\x1cc d", "日本語 テキスト <|endoftext|> x",
+    ]
+    base = [f"token{i}" for i in range(120)]
+    for k in range(12):  # a family around one text, some members linked only through others
+        words = list(base)
+        for j in range(k):
+            words[9 * j + 3] = f"edit{k}x{j}"
+        texts.append(" ".join(words))
+    out = [(i, t, "en" if i % 2 else None, f"s{i % 3}" if i % 5 else None, len(t or ""), i, None, "clash", 1, "clash") for i, t in enumerate(texts)]
+    return [*out, out[8], out[5]]  # repeated rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(rows(), SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_decontamination(spark, docs, nothing):
+    item = PASSAGE.split()
+    items = [(1, PASSAGE.title()), (2, " ".join(item[4:15])), (3, "one"), (4, None), (5, "..."), (10, "dog while"), (None, "two words"), (2, " ".join(item[4:15]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    word = re.compile("[^\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f]+")
+    fold = lambda t: word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    want = []
+    for i, text, *_ in rows():
+        own, hit, found = fold(text), set(), set()
+        for item_id, t in items:
+            w = fold(t)
+            size = min(10, len(w))
+            for a in range(len(w) - size + 1) if w and item_id is not None else []:
+                for b in range(len(own) - size + 1):
+                    if own[b : b + size] == w[a : a + size]:
+                        hit |= set(range(b, b + size))
+                        found.add(str(item_id))
+        want.append((i, len(own), len(hit), tuple(sorted(found))))
+    one = decontaminate.contamination(docs, bench)
+    assert sorted((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in one.collect()) == sorted(want)
+    spans = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in one.collect()}
+    text = dict((r[0], r[1]) for r in rows())
+    assert [text[8][a:b] for a, b in spans[8]] == [PASSAGE]
+    many = decontaminate.contamination(docs, bench, automaton_words=3)  # several automata
+    assert sorted((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in many.collect()) == sorted(want)
+    assert decontaminate.contamination(nothing, bench).count() == 0
+    assert not any(r.contaminated for r in decontaminate.contamination(docs, bench.limit(0)).collect())
+
+
+def shingles(text, n):
+    words = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall("[^\\x20\\x09-\\x0d]+", words)
+    return {tuple(words[i : i + min(n, len(words))]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+@pytest.mark.parametrize(("n", "percent"), [(3, 85), (5, 80)])
+def test_near_duplicates(docs, nothing, n, percent):
+    sets = [(r[0], shingles(r[1], n)) for r in rows()]
+    parent = {i: i for i, _ in sets}
+    find = lambda x: x if parent[x] == x else find(parent[x])
+    for i, a in sets:
+        for j, b in sets:
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                parent[y] = x
+    want = sorted((i, len(s), find(i), find(i) == i) for i, s in sets)
+    got = neardup.near_duplicates(docs, n, percent)
+    assert sorted(map(tuple, got.collect())) == want
+    assert neardup.near_duplicates(nothing, n, percent).count() == 0
+
+
+def test_sequential_bound_keeps_linked_pairs():
+    keep = neardup.least_matches(0.8)
+    draw = np.random.default_rng(3)
+    left = draw.integers(0, 2**32, (4000, neardup.HASHES)).astype(np.uint32)
+    right = np.where(draw.random(left.shape) < 0.8, left, left ^ np.uint32(1))
+    assert neardup._survivors(left, right, keep).all()
+    apart = np.where(draw.random(left.shape) < 0.4, left, left ^ np.uint32(1))
+    assert not neardup._survivors(left, apart, keep).any()
+
+
+def test_substring_removal(docs, nothing, spark):
+    data = rows() + [(None, PASSAGE, *rows()[0][2:])]
+    frame = spark.createDataFrame(data, SCHEMA)
+    first = {}
+    for i, text, *_ in data:
+        raw = (text or "").encode()
+        if i is not None:
+            for a in range(len(raw) - 49):
+                w = raw[a : a + 50]
+                first[w] = min(first.get(w, i), i)
+    want = []
+    for i, text, *_ in data:
+        raw = (text or "").encode()
+        gone = np.zeros(len(raw), bool)
+        for a in range(len(raw) - 49) if i is not None else []:
+            if first[raw[a : a + 50]] < i:
+                gone[a : a + 50] = True
+        edges = int((np.diff(gone.astype(int), prepend=0) == 1).sum())
+        kept = bytes(np.frombuffer(raw, np.uint8)[~gone])
+        want.append((-1 if i is None else i, len(raw), int(gone.sum()), edges, hashlib.sha256(kept).hexdigest()))
+    got = [(-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in substring.remove_repeats(frame).collect()]
+    assert sorted(got) == sorted(want)
+    assert substring.remove_repeats(nothing).count() == 0
+
+
+def test_bounded_prefixes_by_brute_force():
+    draw = np.random.default_rng(5)
+    for n, letters, length in ((300, 2, 6), (500, 3, 9), (64, 1, 50), (2, 2, 5)):
+        symbols = draw.integers(1, letters + 1, n)
+        symbols[-1] = 0
+        order = substring.suffix_order(symbols, length + 1)
+        got = substring.bounded_prefixes(symbols, order, length)
+        text = bytes(symbols.astype(np.uint8))
+        for r in range(1, n):
+            a, b = text[order[r - 1] :], text[order[r] :]
+            common = next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+            if 0 not in a[: min(common, length)] and text[order[r]] != 0:
+                assert got[r] == (common < length), (n, r)
+
+
+def test_top_k(spark):
+    draw = np.random.default_rng(2)
+    data = [(i, draw.normal(0, 0.3, 16).tolist()) for i in range(240)]
+    hot = data[7][1]
+    data += [(1000 + i, hot) for i in range(80)] + [(2000, None), (2001, [None] * 16), (2002, [float("nan")] * 16), (2003, [float("inf")] * 16), (None, hot), (2050, [0.5])]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<float>").withColumn("score", F.lit("clash")).repartition(4)
+    fine = [(i, np.floor(256 * np.array(v, np.float32).astype(float)).astype(int)) for i, v in data if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    want = []
+    for q, a in fine:
+        if q % 50 == 0:
+            found = sorted((-int(a @ b), i) for i, b in fine if i != q and len(a) == len(b))[:5]
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(found)]
+    for block in (2048, 2):
+        got = topk.search(frame, F.col("vec_id") % 50 == 0, 5, block=block)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert topk.search(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_personal_data(spark, docs, nothing):
+    texts = [
+        "mail a.b+c@ex-ample.co.uk, x@y.z_w@q.r @no a@b", "call +1 (234) 555-7890 or +49 30 12 or +123456789012345678", "ip 10.0.0.1 999.1.1.1 1.2.3.4.5.6.7.8 0010.1.1.255",
+        "card 4111 1111 1111 1111, 4111-1111-1111-1112 and 4111 1111 1111 1111 2", "IBAN GB82 WEST 1234 5698 7654 32 not GB83 WEST 1234 5698 7654 32",
+        "ssn 123-45-6789", "number 123-45-6789", "😀 é a@b.cd 5 5 5", "@" * 300 + "1" * 5000, "a" * 60_000 + "@b.c" + ".d" * 9000, None,
+    ]
+    base = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    ]
+
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(d))) % 10 == 0
+
+    def fine(kind, m):
+        d = re.sub("[^0-9]", "", m)
+        return {"email": True, "ip": all(int(x) <= 255 for x in m.split(".")) if kind == "ip" else None, "card": 14 <= len(d) <= 19 and luhn(d), "phone": 10 <= len(d) <= 15}[kind]
+
+    def spans(t):
+        found = [(m.start(), k, m.end(), kind) for k, (kind, p) in enumerate(base) for m in re.finditer(p, t or "") if fine(kind, m[0])]
+        return [(kind, a, b) for a, _, b, kind in sorted(found)]
+
+    frame = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, pii string")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.pii] for r in pii.find(frame).collect()}
+    for i, t in enumerate(texts[:9]):
+        assert [s for s in got[i] if s[0] in pii.BASE] == spans(t), t
+    assert got[9] == [("email", 0, len(texts[9]))] and got[10] == []
+    assert [s[0] for s in got[4] if s[0] not in pii.BASE] == ["iban"]
+    assert [s[0] for s in got[5]] == ["ssn"] and got[6] == []
+    masked = {r.doc_id: r.m for r in pii.find(frame).select("doc_id", pii.mask(F.col("text"), F.col("pii")).alias("m")).collect()}
+    assert masked[7] == "😀 é <EMAIL> 5 5 5" and masked[10] is None
+    assert pii.find(docs).count() == len(rows()) and pii.find(nothing).count() == 0
+
+
+def test_packing(docs, nothing):
+    got = packing.pack(docs, capacity=500, lane_rows=9).collect()
+    words = [(r[0], len(re.findall(r"\S+", r[1] or ""))) for r in rows()]
+    assert Counter(r.doc_id for r in got if r.piece == 0) == Counter(i for i, _ in words)
+    total = Counter()
+    for r in got:
+        total[r.doc_id] += r.n_words
+    assert total == sum((Counter({i: n}) for i, n in words), Counter()) or all(total[i] == sum(n for j, n in words if i == j) for i, _ in words)
+    source = {r[0]: r[3] for r in rows()}
+    cluster = {r[0]: " ".join((r[1] or "").lower().split()) for r in rows()}
+    bins = {}
+    for r in got:
+        bins.setdefault((r.lane, r.bin), []).append(r)
+    for own in bins.values():
+        assert sum(r.n_words for r in own) == own[0].bin_words <= 500
+        assert len({source[r.doc_id] for r in own}) == len(own)
+        filled = [cluster[r.doc_id] for r in own if cluster[r.doc_id]]
+        assert len(set(filled)) == len(filled)
+        assert sorted(r.position for r in own) == list(range(len(own)))
+    assert packing.pack(nothing).count() == 0
+
+
+def test_best_fit_by_brute_force():
+    draw = np.random.default_rng(4)
+    pieces = sorted(((int(draw.integers(0, 60)), i, 0, f"s{draw.integers(9)}", int(draw.integers(40)) if draw.random() < 0.7 else None) for i in range(300)), key=lambda p: (-p[0], p[1]))
+    bins, want = [], []
+    for size, _, _, source, cluster in pieces:
+        fit = [(b["left"], k) for k, b in enumerate(bins) if b["left"] > 0 and b["left"] >= size and source not in b["sources"] and (cluster is None or cluster not in b["clusters"])]
+        if fit:
+            k = min(fit)[1]
+        else:
+            k = len(bins)
+            bins.append({"left": 100, "sources": set(), "clusters": set(), "n": 0})
+        b = bins[k]
+        want.append((k, b["n"]))
+        b["left"] -= size
+        b["n"] += 1
+        b["sources"].add(source)
+        b["clusters"].add(cluster)
+    assert packing.pack_lane(pieces, 100) == want
+
+
+def test_token_files(spark, docs, nothing, tmp_path):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    want, at = [], 0
+    for i, text in sorted(((r[0], r[1] or "") for r in rows()), key=lambda r: r[0]):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+    tokenbin.write(docs, str(tmp_path / "a"), TOKENIZER, part_ids=50_000)
+    assert sorted(map(tuple, tokenbin.read(spark, str(tmp_path / "a")).collect())) == want
+    tokenbin.write(nothing, str(tmp_path / "b"), TOKENIZER)
+    assert tokenbin.read(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_block_round_trip_and_damage():
+    draw = np.random.default_rng(6)
+    for ids in (np.array([7], np.uint32), draw.zipf(1.3, 900_000).clip(1, 60_000).astype(np.uint32), np.full(5000, 3, np.uint32)):
+        table = tokenbin.Table(tokenbin.scaled(Counter(ids.tolist())))
+        data = tokenbin.encode_block(ids, table)
+        block = tokenbin.Block(data)
+        assert (block.decode(table) == ids).all()
+        alone = block.stretch(len(block.marks) - 1, table)  # the last checkpoint needs no earlier one
+        assert (alone == ids[-len(alone) :]).all()
+        if len(table.slot) == int(table.frequency.max()):
+            continue  # with one id, any state stands for it
+        damaged = bytearray(data)
+        damaged[-1] ^= 0x55
+        with pytest.raises(ValueError, match="checksum"):
+            tokenbin.Block(bytes(damaged)).decode(table)
+
+
+def test_sharding(docs, nothing, spark, tmp_path):
+    limit = 3000
+    data = [(i, "x" * (i * 37 % 900)) for i in range(400)] + [(None, "abc"), (None, None), (5, "y" * 5000)]
+    frame = spark.createDataFrame(data, "doc_id long, text string").withColumn("fits", F.lit("clash"))
+    bits = lambda i: bin(int(hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()[:15], 16))[2:].zfill(60)
+    got = sharding.shard(frame, limit).collect()
+    size = Counter()
+    for i, t in data:
+        for d in range(61):
+            size[bits(i)[:d]] += len(t or "")
+    for r in got:
+        depth = next((d for d in range(61) if size[bits(r.doc_id)[:d]] <= limit), 60)
+        assert (r.shard, r.shard_depth, r.shard_bytes, r.fits) == (bits(r.doc_id)[:depth], depth, size[bits(r.doc_id)[:depth]], size[bits(r.doc_id)[:depth]] <= limit)
+    assert len(got) == len(data) and sharding.shard(nothing).count() == 0
+    assert sharding.write_shards(docs, str(tmp_path / "shards"), 100_000).count() == len(rows())
+
+
+def test_toxicity_generalises(spark, nothing):
+    draw = np.random.default_rng(8)
+    calm = [f"w{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    bad = ["idiot", "scumbag", "moronic", "pathetic"]
+    data, labels = [], []
+    for i in range(500):
+        words = draw.choice(calm, int(draw.integers(5, 120))).tolist()
+        if i % 4 == 0:
+            for _ in range(1 + len(words) // 40):
+                words.insert(int(draw.integers(len(words))), str(draw.choice(bad)))
+        data.append((i, " ".join(words), "clash"))
+        labels.append((i, 1, int(i % 4 == 0)))
+    data += [(900, None, "c"), (901, "", "c"), (902, "you are moronicc and pathetik", "c"), (903, " ".join(calm * 40), "c"), (None, "idiot", "c")]
+    labels += [(0, 1, None), (903, 1, 0), (903, 1, 1), (None, 1, 1)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, toxicity string")
+    model = toxicity.fit(frame.where("doc_id % 3 <> 1"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), rounds=60)
+    got = {r.doc_id: r for r in toxicity.toxicity(frame, model).collect()}
+    held = [i for i in range(500) if i % 3 == 1]
+    assert np.mean([got[i].is_toxic == (i % 4 == 0) for i in held]) > 0.97
+    assert got[902].is_toxic and not got[903].is_toxic and not got[900].is_toxic and got[900].toxicity == got[901].toxicity
+    assert toxicity.toxicity(nothing, model).count() == 0
+    empty = toxicity.fit(nothing, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert {r.toxicity for r in toxicity.toxicity(frame, empty).collect()} == {0.0}
+
+
+def test_toxicity_of_subwords_is_the_mean_of_hashed_rows():
+    buckets, counts = toxicity.subwords([b"abc", b"ab"])
+    assert counts.tolist() == [3 + 2 + 1 + 0 + 1, 2 + 1 + 0 + 0 + 1]
+    again, _ = toxicity.subwords([b"zz", b"abc"])
+    assert sorted(again[4:].tolist()) == sorted(buckets[:7].tolist())
+
+
+def test_language(spark, docs, nothing):
+    draw = np.random.default_rng(9)
+    kinds = {"aa": ["the", "shore", "winding", "thought"], "bb": ["über", "schön", "nicht", "weiß"], "cc": ["ça", "être", "leçon", "août"]}
+    data = []
+    for i in range(360):
+        lang = list(kinds)[i % 3]
+        data.append((i, " ".join(draw.choice(kinds[lang], int(draw.integers(1, 80)))), lang))
+    frame = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    net = langid.fit(frame.where("doc_id % 5 <> 0"), sample_docs=80, steps=120)
+    more = frame.select("doc_id", "text").unionByName(spark.createDataFrame([(900, None), (901, ""), (902, "12 !?"), (903, "the thought " * 9000)], "doc_id long, text string"))
+    got = {r.doc_id: r for r in langid.language(more, net).collect()}
+    held = [d for d in data if d[0] % 5 == 0]
+    assert np.mean([got[i].lang_pred == lang for i, _, lang in held]) > 0.95
+    assert [got[i].lang_pred for i in (900, 901, 902, 903)] == ["und", "und", "und", "aa"]
+    assert all(0 <= r.score <= 1 for r in got.values())
+    assert langid.language(docs, net).count() == len(rows()) and langid.language(nothing, None).count() == 0
+    assert langid.fit(nothing) is None
+
+
+def test_network_gradients():
+    draw = np.random.default_rng(1)
+    net = langid.train([b"aaa", b"bbb"], ["x", "y"], steps=1)
+    for part in (net.inputs, net.gates, net.new, net.out):
+        part[...] = draw.normal(0, 0.5, part.shape)
+    net = langid.Network(*(p.astype(np.float64) for p in (net.inputs, net.gates, net.new, net.out)), net.languages)
+    codes, labels = draw.integers(97, 101, (6, 5)).astype(np.uint8), draw.integers(0, 2, 5)
+
+    def loss():
+        p = net.probabilities(net.states(codes, np.ones(codes.shape, np.float32)).astype(np.float64))
+        return -np.log(p[:, np.arange(5), labels]).mean()
+
+    for part, grad in zip((net.inputs, net.gates, net.new, net.out), langid._gradients(net, codes, labels), strict=True):
+        at = np.unravel_index(np.abs(grad).argmax(), grad.shape)
+        kept, step = part[at], 1e-2
+        part[at] = kept + step
+        up = loss()
+        part[at] = kept - step
+        down = loss()
+        part[at] = kept
+        assert abs((up - down) / (2 * step) - grad[at]) < 0.02 * abs(grad[at]) + 1e-4

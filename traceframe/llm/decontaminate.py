@@ -202,5 +202,5 @@ def _joined(scans: list[DataFrame], parts: int) -> DataFrame:
     )
     merged = merged.withColumn("hit_words", united("hit_words", "first", "last", 1)).withColumn("spans", united("spans", "start", "end", 0))
     n_hit = F.aggregate("hit_words", F.lit(0).cast("long"), lambda acc, x: acc + x["last"] - x["first"] + 1)
-    each = F.explode(F.sequence(F.lit(1), F.col("copies") / parts)).alias("copy")
+    each = F.explode(F.sequence(F.lit(1), (F.col("copies") / parts).cast("int"))).alias("copy")
     return merged.select("doc_id", "n_words", n_hit.alias("n_hit"), "items", "spans", each).drop("copy")
