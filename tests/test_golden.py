@@ -2,12 +2,11 @@
 
 import math
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from traceframe.functions import rules, significance as sig
-from traceframe.operators import drift, evaluation as ev, quality
+from traceframe.operators import distribution, drift, evaluation as ev, quality
 
 MATRIX = [[41, 11, 0], [22, 7, 0], [9, 9, 1]]
 
@@ -71,10 +70,19 @@ def test_normality_p_values(statistic, p):
 def test_exact_two_sample_tail(spark, d, n, m, p):
     assert sig.exact_two_sample_tail(d, n, m) == pytest.approx(p, abs=1e-9)
     df = spark.createDataFrame([(d, n, m)], "d double, n bigint, m bigint")
-    assert df.select(sig.ks_p_value(F.col("d"), F.col("n"), F.col("m"))).first()[0] == pytest.approx(p, abs=1e-9)
+    assert df.select(sig.ks_p_value(F.col("d"), F.col("n"), F.col("m"), "exact")).first()[0] == pytest.approx(p, abs=1e-9)
+    # The series is near the exact tail at this size already.
+    assert df.select(sig.ks_p_value(F.col("d"), F.col("n"), F.col("m"))).first()[0] == pytest.approx(p, abs=7e-3)
 
 
-def test_large_samples_use_the_series(spark):
+@pytest.mark.parametrize("d, n, m", [(0.03, 4000, 4000), (0.02, 9000, 7000), (0.05, 3000, 900)])
+def test_series_against_the_exact_tail(spark, d, n, m):
+    df = spark.createDataFrame([(d, n, m)], "d double, n bigint, m bigint")
+    got = df.select(sig.ks_p_value(F.col("d"), F.col("n"), F.col("m"))).first()[0]
+    assert got == pytest.approx(sig.exact_two_sample_tail(d, n, m), abs=3e-3)
+
+
+def test_large_samples(spark):
     df = spark.createDataFrame([(0.01, 20_000, 20_000)], "d double, n bigint, m bigint")
     p = df.select(sig.ks_p_value(F.col("d"), F.col("n"), F.col("m"))).first()[0]
     assert p == pytest.approx(sig.exact_two_sample_tail(0.05, 800, 800), abs=0.03)
@@ -100,10 +108,25 @@ def test_no_anomalies_pass(spark):
     assert got == [("LOW", "PASS"), ("HIGH", "FAIL"), ("MEDIUM", "WARN")]
 
 
-def test_shapiro_against_published_example():
-    x = np.array([148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236])
-    w, p = sig.shapiro_wilk(x)
-    assert (w, p) == pytest.approx((0.78881, 0.006704), abs=1e-5)
+def test_shapiro_against_published_example(spark):
+    """Published W and p of eleven men's weights."""
+    x = [148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236]
+    df = spark.createDataFrame([("a", float(v)) for v in x], "g string, x double")
+    row = distribution.shapiro(df, "x", ["g"]).first()
+    assert (row.statistic, row.p_value) == pytest.approx((0.78881, 0.006704), abs=1e-5)
+
+
+def test_normal_quantile_and_tail(spark):
+    from statistics import NormalDist
+
+    p = [1e-9, 1e-4, 0.01, 0.07, 0.0751, 0.3, 0.5, 0.9, 0.999, 1 - 1e-7]
+    df = spark.createDataFrame([(v,) for v in p], "p double")
+    got = [r[0] for r in df.select(sig.normal_quantile(F.col("p"))).collect()]
+    assert got == pytest.approx([NormalDist().inv_cdf(v) for v in p], rel=1e-9, abs=1e-12)
+    z = [-6.0, -1.0, 0.0, 0.5, 2.0, 7.5]
+    df = spark.createDataFrame([(v,) for v in z], "z double")
+    got = [r[0] for r in df.select(sig.normal_upper_tail(F.col("z"))).collect()]
+    assert got == pytest.approx([math.erfc(v / math.sqrt(2)) / 2 for v in z], rel=1e-6)
 
 
 @pytest.mark.parametrize("x, dof, p", [(3.841459, 1, 0.05), (7.814728, 3, 0.05), (9.487729, 4, 0.05), (11.070498, 5, 0.05), (0.0, 3, 1.0)])

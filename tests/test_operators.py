@@ -259,9 +259,14 @@ def test_vanished_class_counts_as_change(spark):
     assert quality.compare_shares(now, past).agg(F.max("change")).first()[0] == pytest.approx(0.4)
 
 
-def test_shapiro_skips_large_groups(spark):
-    df = spark.range(5100).select(F.when(F.col("id") < 5050, "big").otherwise("small").alias("g"), F.rand(1).alias("x"))
-    assert [r.g for r in distribution.shapiro(df, "x", ["g"]).collect()] == ["small"]
+def test_shapiro_reports_every_group(spark):
+    g = F.when(F.col("id") < 5050, "big").when(F.col("id") < 5052, "two").when(F.col("id") < 5060, "flat").when(F.col("id") < 5063, "three").otherwise("fine")
+    df = spark.range(5100).select(g.alias("g"), F.when(g == "flat", 1.0).otherwise(F.rand(1)).alias("x"))
+    got = {r.g: r for r in distribution.shapiro(df, "x", ["g"]).collect()}
+    assert {k: r.reason for k, r in got.items()} == {
+        "big": "more than 5000 values", "two": "fewer than 3 values", "flat": "all values are equal", "three": None, "fine": None
+    }
+    assert got["big"].statistic is None and 0 < got["fine"].statistic <= 1 and 0 <= got["three"].p_value <= 1
 
 
 # --- features --------------------------------------------------------------
@@ -287,7 +292,12 @@ def test_column_sets():
     assert ft.feature_columns(HANDCRAFTED + scaled, True) == scaled
     assert ft.feature_columns(HANDCRAFTED + EMBEDDINGS) == HANDCRAFTED + EMBEDDINGS
     assert ft.scoring_columns(scaled) == scaled
-    assert len(ft.scoring_columns([f"embedding_{i}" for i in range(64)])) == 40
+    assert len(ft.scoring_columns([f"embedding_{i}" for i in range(64)])) == 64
+    with pytest.raises(ValueError, match="only some"):
+        ft.scoring_columns(scaled[:5] + EMBEDDINGS)
+    with pytest.raises(ValueError, match="fitted"):
+        ft.scoring_columns(scaled, [*scaled, "embedding_0_scaled"])
+    assert ft.scoring_columns([*scaled, "more"], scaled[::-1]) == scaled[::-1]
     with pytest.raises(ValueError):
         ft.scoring_columns(["a", "b"])
 

@@ -1,8 +1,4 @@
-"""Every registered query with a SQL twin gives the same rows as DuckDB.
-
-The scale is one where samples are large: the SQL has the large-sample p-value,
-small samples get the exact one.
-"""
+"""Every registered query with a SQL twin gives the same rows as DuckDB; those with p-values at two scales."""
 
 import pytest
 from check_oracles import compare, connect
@@ -25,6 +21,14 @@ def test_query_matches_sql(spark, con, name):
     assert rows > 0
 
 
+@pytest.mark.parametrize("name", [n for n in sorted(ORACLES) if "drift" in n or n in ("monitoring_report", "shapiro_wilk", "small_sample_distance")])
+def test_query_matches_sql_at_the_smallest_scale(spark, name):
+    small = "/root/testdata/sf0.001"
+    rows, outcome = compare(spark, connect(small), small, name, QUERIES[name], ORACLES[name])
+    assert outcome == "match", outcome
+    assert rows > 0
+
+
 def test_entry_has_rows(spark):
     import __spark_entry__ as entry
 

@@ -46,7 +46,7 @@ def ks_statistics(spark, sf):
 @query(
     "feature_drift",
     f"""WITH {ks_sql(_LINES_SQL)}
-SELECT feature, round(d, 6) AS ks_statistic, n AS n_reference, m AS n_current, round(p, 6) AS ks_pvalue, p < 0.05 AS drifted FROM p""",
+SELECT feature, round(d, 6) AS ks_statistic, n AS n_reference, m AS n_current, round(p, 6) AS ks_pvalue, 'series' AS ks_method, p < 0.05 AS drifted FROM p""",
 )
 def feature_drift(spark, sf):
     df = _lines(spark, sf)
@@ -61,7 +61,7 @@ _GAPPY_EVENTS = f"""SELECT 'value_scaled' AS feature, ts < TIMESTAMP '2024-01-15
 @query(
     "feature_drift_with_gaps",
     f"""WITH {ks_sql(_GAPPY_EVENTS)}
-SELECT feature, round(d, 6) AS ks_statistic, n AS n_reference, m AS n_current, round(p, 6) AS ks_pvalue, p < 0.05 AS drifted FROM p""",
+SELECT feature, round(d, 6) AS ks_statistic, n AS n_reference, m AS n_current, round(p, 6) AS ks_pvalue, 'series' AS ks_method, p < 0.05 AS drifted FROM p""",
 )
 def feature_drift_with_gaps(spark, sf):
     df = roles.table(spark, sf, "events").select(
@@ -88,20 +88,31 @@ def drift_summary(spark, sf):
     return rounded(dr.drift_summary(found, len(COLUMNS)))
 
 
-@query("small_sample_drift")
+_HALVES_SQL = f"""r AS (SELECT embedding, row_number() OVER (ORDER BY vec_id) <= (SELECT count(*) FROM embeddings) // 2 AS is_ref FROM embeddings),
+{ks_sql("SELECT 'embedding_' || unnest(range(64)) AS feature, is_ref, CAST(unnest(embedding) AS DOUBLE) AS value FROM r")}"""
+
+
+@query(
+    "small_sample_drift",
+    # For samples of one size the exact tail is a finite alternating sum, independent of the lattice walk.
+    f"""WITH {_HALVES_SQL},
+h AS (SELECT *, CAST(round(d * n) AS BIGINT) AS h FROM p),
+e AS (SELECT feature, d, n, m, least(1.0, 2 * (SELECT sum(CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END *
+  exp(2 * lgamma(n + 1) - lgamma(n - k * h + 1) - lgamma(n + k * h + 1))) FROM range(1, 2000) t(k) WHERE k * h <= n)) AS p FROM h)
+SELECT feature, round(d, 6) AS ks_statistic, n AS n_reference, m AS n_current, round(p, 6) AS ks_pvalue, 'exact' AS ks_method, p < 0.05 AS drifted FROM e""",
+)
 def small_sample_drift(spark, sf):
-    """Embedding columns of two row-order halves: exact p-values."""
+    """All embedding columns of two row-order halves: exact p-values."""
     from traceframe.operators.sampling import halves
 
     traces = roles.traces(spark, sf).select("trace_id", F.col("trace_data").alias("embedding"))
-    wide = halves(ft.spread_embedding(traces, dim=32), "trace_id")
-    return rounded(dr.feature_drift(wide, ft.drift_columns(wide.columns), F.col("side") == "reference"))
+    wide = halves(ft.spread_embedding(traces, dim=64), "trace_id")
+    return rounded(dr.feature_drift(wide, ft.drift_columns(wide.columns), F.col("side") == "reference", method="exact"))
 
 
 @query(
     "small_sample_distance",
-    f"""WITH r AS (SELECT embedding, row_number() OVER (ORDER BY vec_id) <= (SELECT count(*) FROM embeddings) // 2 AS is_ref FROM embeddings),
-{ks_sql("SELECT 'embedding_' || unnest(range(32)) AS feature, is_ref, CAST(unnest(embedding[1:32]) AS DOUBLE) AS value FROM r")}
+    f"""WITH {_HALVES_SQL}
 SELECT feature, round(d, 6) AS ks_statistic, n AS n_reference, m AS n_current FROM p""",
 )
 def small_sample_distance(spark, sf):

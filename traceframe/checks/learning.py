@@ -42,17 +42,17 @@ def training_assignment(spark, sf):
 
 @query("logistic_regression")
 def logistic_regression(spark, sf):
-    return _metrics(spark, sf, "LogisticRegression", {"max_iter": 100})
+    return _metrics(spark, sf, "LogisticRegression", {"max_iter": 1000})
 
 
 @query("decision_tree")
 def decision_tree(spark, sf):
-    return _metrics(spark, sf, "DecisionTree", {"max_depth": 8})
+    return _metrics(spark, sf, "DecisionTree", {"max_depth": 15})
 
 
 @query("random_forest")
 def random_forest(spark, sf):
-    return _metrics(spark, sf, "RandomForest", {"n_estimators": 20, "max_depth": 8})
+    return _metrics(spark, sf, "RandomForest", {"n_estimators": 100, "max_depth": 15})
 
 
 @query("gradient_boosting")
@@ -62,13 +62,13 @@ def gradient_boosting(spark, sf):
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    model = _fit(_assembled(spark, sf), "RandomForest", {"n_estimators": 20, "max_depth": 6})
+    model = _fit(_assembled(spark, sf), "RandomForest", {"n_estimators": 100, "max_depth": 15})
     return rounded(tr.importance(spark, model, COLUMNS).orderBy(F.col("importance").desc(), "feature"))
 
 
 @query("coefficient_importance")
 def coefficient_importance(spark, sf):
-    model = _fit(_assembled(spark, sf), "LogisticRegression", {"max_iter": 50, "penalty": "l1", "C": 0.37})
+    model = _fit(_assembled(spark, sf), "LogisticRegression", {"max_iter": 1000, "penalty": "l1", "C": 0.37})
     return rounded(tr.importance(spark, model, COLUMNS).orderBy(F.col("importance").desc(), "feature"), 4)
 
 
@@ -89,7 +89,7 @@ def parameter_search(spark, sf):
 @query("table_scoring")
 def table_scoring(spark, sf):
     df = _assembled(spark, sf)
-    model = _fit(df, "RandomForest", {"n_estimators": 10, "max_depth": 6})
+    model = _fit(df, "RandomForest", {"n_estimators": 100, "max_depth": 15})
     scored = scoring.score_table(model, df.select("file_id", "trace_id", "class_label", *COLUMNS), COLUMNS)
     return rounded(scored.select("trace_id", "predicted_class", "predicted_class_name", "prob_normal", "prob_anomaly", "prob_boundary", "confidence"), 4)
 
@@ -109,6 +109,6 @@ def raw_trace_scoring(spark, sf):
     silver, embedder, scaler = ft.silver(traces)
     columns = [f"{c}_scaled" for c in scaler.mean]
     train = tr.assemble(cut_lineage(silver, "silver"), columns)
-    model = tr.estimator("LogisticRegression", {"max_iter": 30}, False, train.count()).fit(train)
+    model = tr.estimator("LogisticRegression", {"max_iter": 1000}, False, train.count()).fit(train)
     scored = scoring.TraceScorer(model, scaler, embedder).score(traces.select("file_id", "trace_id", "trace_data"))
     return rounded(scored, 4)

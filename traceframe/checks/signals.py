@@ -236,13 +236,13 @@ def feature_summary(spark, sf):
 
 @query(
     "feature_column_set",
-    """SELECT CAST(unnest(embedding[1:32]) AS DOUBLE) AS value, unnest(list_transform(range(32), lambda i: 'embedding_' || i)) AS feature,
+    """SELECT CAST(unnest(embedding) AS DOUBLE) AS value, unnest(list_transform(range(64), lambda i: 'embedding_' || i)) AS feature,
   vec_id AS trace_id FROM embeddings""",
 )
 def feature_column_set(spark, sf):
-    """Scoring fallback: with no scaled columns, the first 40 embedding-like ones, here all 32."""
+    """Scoring fallback: with no scaled columns, all embedding-like ones."""
     wide = ft.spread_embedding(
-        roles.traces(spark, sf).select("trace_id", F.col("trace_data").alias("embedding")), dim=32
+        roles.traces(spark, sf).select("trace_id", F.col("trace_data").alias("embedding")), dim=64
     )
     columns = ft.scoring_columns(wide.columns)
     return unpivot(wide, ["trace_id"], columns, "feature", "value")

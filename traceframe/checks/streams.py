@@ -48,13 +48,13 @@ def _run(spark, updates, purpose):
 
 @query("prediction_counts_stream", _COUNTS_SQL)
 def prediction_counts_stream(spark, sf):
-    stored = _run(spark, counters.counted_stream(_scored_stream(spark, sf)), "counts")
+    stored = _run(spark, counters.counted_stream(_scored_stream(spark, sf), None), "counts")
     return _micros(counters.current_state(stored, ["window_start", "predicted_class"]))
 
 
 @query("latency_histogram_stream", _HIST_SQL)
 def latency_histogram_stream(spark, sf):
-    stored = _run(spark, counters.histogram_stream(_scored_stream(spark, sf)), "histogram")
+    stored = _run(spark, counters.histogram_stream(_scored_stream(spark, sf), None), "histogram")
     return rounded(_micros(counters.current_state(stored, ["window_start"])))
 
 

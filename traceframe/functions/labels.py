@@ -30,3 +30,8 @@ def shares(scores: Column) -> Column:
     """Non-negative scores divided by their sum."""
     size = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x)
     return F.transform(scores, lambda x: F.try_divide(x, size))
+
+
+def present(value: Column) -> Column:
+    """The value, or null where it is NaN: both mean that a number is missing."""
+    return F.when(~F.isnan(value), value)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -48,26 +50,35 @@ CHUNK_SIZE, CHUNK_OVERLAP = 500, 50
 SEPARATORS = (". ", ".\n", "\n\n", "\n")
 
 
-def chunk_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> list[str]:
-    """Windows over one text that prefer to end at a sentence or line break.
+def chunk_spans(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Iterator[tuple[int, int]]:
+    """Where the chunks of a text begin and end.
 
-    The end of each window decides where the next begins, which is why this is
-    a loop over one document and not an expression.
+    A chunk that does not reach the end of the text ends after a separator if one of the
+    preferred kind begins in its second half; the places of all separators are found once
+    and each end is picked from them by bisection. The next chunk begins ``overlap`` earlier.
     """
+    places = {s: [m.start() for m in re.finditer(f"(?={re.escape(s)})", text)] for s in SEPARATORS}
+
+    def preferred(begin: int) -> int:
+        for sign, found in places.items():
+            last = bisect_right(found, begin + size - len(sign))
+            if last and found[last - 1] > begin + size // 2:
+                return found[last - 1] + len(sign)
+        return begin + size
+
+    begin = 0
+    while begin < len(text):
+        end = preferred(begin) if begin + size < len(text) else begin + size
+        yield begin, end
+        begin = end - overlap
+
+
+def chunk_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> list[str]:
+    """Chunks without outer white space; a text that fits in one chunk stays as it is."""
     if len(text) <= size:
         return [text]
-    out, start = [], 0
-    while start < len(text):
-        stop = start + size
-        if stop < len(text):
-            window = text[start:stop]
-            cut = next((p + len(s) for s in SEPARATORS if (p := window.rfind(s)) > size // 2), size)
-            stop = start + cut
-        piece = text[start:stop].strip()
-        if piece:
-            out.append(piece)
-        start = stop - overlap
-    return out
+    stripped = (text[a:b].strip() for a, b in chunk_spans(text, size, overlap))
+    return [piece for piece in stripped if piece]
 
 
 def chunker(size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, drop_contained_tail: bool = False):

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from traceframe.functions import rules, significance as sig
+from traceframe.functions.labels import present
 from traceframe.operators.quality import balance, trace_statistics
 from traceframe.plans.ranking import unpivot
 
 NORMAL_LEVEL = 0.05
-SHAPIRO_MAX = 5000
+SHAPIRO_MIN, SHAPIRO_MAX = 3, 5000
 
 
 def _moments(value: str) -> list[Column]:
@@ -39,28 +39,45 @@ def normality(df: DataFrame, value: str, by: list[str]) -> DataFrame:
 
 
 def shapiro(df: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """W test per group of 3 to 5000 values; larger groups are not tested.
+    """W test per group, one row for every group: statistic, p_value, is_normal, n, reason.
 
-    Group sizes are counted first, so no task ever receives a larger group.
+    The published weights and tails hold for 3 to 5000 values that are not all equal; for
+    other groups the statistic is null and ``reason`` says why. Sizes are counted first, so
+    no group above that bound is ever ordered. Nulls and NaN are left out.
     """
-    rows = df.select(*by, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    fit = sizes.filter(F.col("_n").between(3, SHAPIRO_MAX)).select(*by)
-    bounded = rows.join(fit, by, "left_semi")
-    schema = T.StructType(
-        [rows.schema[c] for c in by]
-        + [
-            T.StructField("statistic", T.DoubleType()),
-            T.StructField("p_value", T.DoubleType()),
-            T.StructField("is_normal", T.BooleanType()),
-        ]
+    rows = df.select(*by, present(F.col(value).cast("double")).alias("_x"))
+    sizes = rows.groupBy(*by).agg(F.count("_x").alias("_n"), (F.min("_x") == F.max("_x")).alias("_flat"))
+    reason = (
+        F.when(F.col("_n") < SHAPIRO_MIN, "fewer than 3 values")
+        .when(F.col("_n") > SHAPIRO_MAX, "more than 5000 values")
+        .when(F.col("_flat"), "all values are equal")
     )
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = sig.shapiro_wilk(pdf["_x"].to_numpy())
-        return pd.DataFrame([[*key, w, p, bool(p > NORMAL_LEVEL)]], columns=schema.names)
-
-    return bounded.groupBy(*by).applyInPandas(run, schema)
+    named = sizes.select(*by, F.col("_n").alias("n"), reason.alias("reason"))
+    key = F.to_json(F.struct(*by)).alias("_g")  # null groups are groups
+    fit = named.where("reason is null").select(key, "n")
+    inside = Window.partitionBy("_g").orderBy("_x")
+    scored = (
+        rows.where("_x is not null").select(key, "_x").join(fit, "_g")
+        .withColumn("_i", F.row_number().over(inside))
+        .withColumn("_m", sig.normal_quantile((F.col("_i") - 0.375) / (F.col("n") + 0.25)))
+    )
+    at = lambda i: F.max(F.when(F.col("_i") == i, F.col("_x")))
+    score = lambda i: F.max(F.when(F.col("_i") == i, F.col("_m")))
+    n = F.col("n").cast("double")
+    sums = scored.groupBy("_g", "n").agg(
+        F.sum(F.col("_m") * F.col("_m")).alias("_ssm"), F.sum(F.col("_m") * F.col("_x")).alias("_mx"), (F.var_pop("_x") * F.count("_x")).alias("_ss"),
+        at(F.col("n")).alias("_x1"), at(F.lit(1)).alias("_x0"), at(F.col("n") - 1).alias("_y1"), at(F.lit(2)).alias("_y0"),
+        score(F.col("n")).alias("_last"), score(F.col("n") - 1).alias("_second"),
+    )
+    top, second, divisor = sig.w_weights(n, F.col("_last"), F.col("_second"), F.col("_ssm"))
+    ends, inner = F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0")
+    # The scores of both ends leave the sum and their own weights come in.
+    rest = F.col("_mx") - F.col("_last") * ends - F.when(n > 5, F.col("_second") * inner).otherwise(0.0)
+    total = top * ends + F.when(n > 5, second * inner).otherwise(0.0) + rest / divisor
+    w = F.least(F.lit(1.0), total * total / F.col("_ss"))
+    tested = sums.select("_g", w.alias("statistic")).join(fit.select("_g", n.alias("_size")), "_g").select("_g", "statistic", sig.w_p_value(F.col("statistic"), F.col("_size")).alias("p_value"))
+    out = named.withColumn("_g", key).join(tested, "_g", "left")
+    return out.select(*by, "statistic", "p_value", (F.col("p_value") > NORMAL_LEVEL).alias("is_normal"), "n", "reason")
 
 
 COMPARED = ("mean_of_means", "mean_of_stds")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from traceframe.functions import rules, significance as sig
+from traceframe.functions.labels import present
 from traceframe.plans.ranking import bucket_count, running_totals, unpivot, wide_cuts
 
 LEVEL = 0.05
@@ -15,13 +16,13 @@ def ks_statistics(df: DataFrame, columns: list[str], is_reference: Column, bucke
 
     Values are reduced to counts per distinct value, with map-side combination;
     the running counts are then split into value buckets, so neither a hot value
-    nor a single feature is bound to one task. Nulls are left out per column.
+    nor a single feature is bound to one task. Nulls and NaN are left out per column.
     """
     buckets = buckets or bucket_count(df)
     sides = df.select(
         is_reference.alias("_ref"),
         # Adding zero folds the two signed zeros into one value.
-        *[(F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in columns],
+        *[(present(F.col(c).cast("double")) + F.lit(0.0)).alias(c) for c in columns],
     )
     long = unpivot(sides, ["_ref"], columns, "feature", "value").filter(F.col("value").isNotNull())
     counts = long.groupBy("feature", "value").agg(
@@ -44,12 +45,13 @@ def ks_statistics(df: DataFrame, columns: list[str], is_reference: Column, bucke
 
 
 def feature_drift(
-    df: DataFrame, columns: list[str], is_reference: Column, level: float = LEVEL, buckets: int | None = None
+    df: DataFrame, columns: list[str], is_reference: Column, level: float = LEVEL, buckets: int | None = None,
+    method: str = sig.SERIES,
 ) -> DataFrame:
-    """Distance, p-value and decision per feature."""
+    """Distance, p-value, its method and decision per feature."""
     d = ks_statistics(df, columns, is_reference, buckets)
-    p = sig.ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"))
-    return d.withColumn("ks_pvalue", p).withColumn("drifted", F.col("ks_pvalue") < level)
+    p = sig.ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"), method)
+    return d.withColumn("ks_pvalue", p).withColumn("ks_method", F.lit(method)).withColumn("drifted", F.col("ks_pvalue") < level)
 
 
 def two_tables(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:

@@ -160,21 +160,33 @@ def feature_columns(columns: list[str], use_embeddings: bool = True) -> list[str
     return scaled if have.issuperset(scaled) else chosen
 
 
-def scoring_columns(columns: list[str]) -> list[str]:
-    """Scoring columns: the expected scaled ones, or any 8 to 40 scaled or embedding columns."""
+def scoring_columns(columns: list[str], fitted: list[str] | None = None) -> list[str]:
+    """Columns to score by, in the order a model was fitted on.
+
+    ``fitted`` is the model's own list; a table without all of it is an error. Without a list,
+    the scaled columns count if the handcrafted ones are whole and the embeddings whole or
+    absent, else all columns that look like features, at least 8 of them.
+    """
     have = set(columns)
-    expected = [c for c in (f"{f}_scaled" for f in HANDCRAFTED + EMBEDDINGS) if c in have]
-    if len(expected) >= 8:
-        return expected
+    if fitted is not None:
+        if lost := [c for c in fitted if c not in have]:
+            raise ValueError(f"input lacks columns the model was fitted on: {lost}")
+        return list(fitted)
+    whole = [f"{c}_scaled" for c in HANDCRAFTED], [f"{c}_scaled" for c in EMBEDDINGS]
+    found = [[c for c in part if c in have] for part in whole]
+    if any(found):
+        if found[0] != whole[0] or found[1] not in ([], whole[1]):
+            raise ValueError(f"input has only some of the scaled feature columns: {sum(found, [])}")
+        return sum(found, [])
     fallback = drift_columns(columns)
     if len(fallback) >= 8:
         return fallback
     raise ValueError("input has no pre-extracted feature columns")
 
 
-def drift_columns(columns: list[str], limit: int = 40) -> list[str]:
-    """The first ``limit`` columns whose name has ``scaled`` or ``embedding``."""
-    return [c for c in columns if "scaled" in c or "embedding" in c][:limit]
+def drift_columns(columns: list[str]) -> list[str]:
+    """All columns whose name has ``scaled`` or ``embedding``."""
+    return [c for c in columns if "scaled" in c or "embedding" in c]
 
 
 def feature_source(df: DataFrame, event_time) -> DataFrame:

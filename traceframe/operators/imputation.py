@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
+from traceframe.functions.labels import present
 from traceframe.plans import nearest
 from traceframe.plans.ranking import exact_median
 
@@ -22,15 +23,29 @@ def _donor_score(probes: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return out
 
 
+def _row_name(df: DataFrame, key: list[str]):
+    """One column that names a row: a single key itself, several as text in the order of the keys."""
+    if len(key) == 1:
+        return F.col(key[0])
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    parts = [F.lpad(F.col(c).cast("string"), 20, "0") if isinstance(df.schema[c].dataType, whole) else F.col(c).cast("string") for c in key]
+    return F.concat_ws("\x1f", *parts)
+
+
 def impute_nearest(
-    df: DataFrame, columns: list[str], key: str, k: int = 2, probe_values: int = nearest.PROBE_VALUES
+    df: DataFrame, columns: list[str], key: str | list[str], k: int = 2, probe_values: int = nearest.PROBE_VALUES
 ) -> DataFrame:
     """Replace missing values by the mean of the ``k`` nearest donors, per column.
 
-    Only incomplete rows are searched for. A value without any usable donor gets
-    the column mean. Columns come out as doubles.
+    Null and NaN are missing. ``key`` names a row, by one column or several such as file and
+    trace. Only incomplete rows are searched for; of equally near donors those with the
+    smaller key are taken. A value without any usable donor gets the column mean. Columns
+    come out as doubles.
     """
-    numeric = df.select(key, *[F.col(c).cast("double").alias(c) for c in columns])
+    row = _row_name(df, [key] if isinstance(key, str) else list(key))
+    df = df.withColumn("_row", row)
+    key = "_row"
+    numeric = df.select(key, *[present(F.col(c).cast("double")).alias(c) for c in columns])
     values = [F.col(c) for c in columns]
     missing = F.filter(
         F.array(*[F.when(v.isNull(), F.lit(i)) for i, v in enumerate(values)]), lambda i: i.isNotNull()
@@ -60,26 +75,23 @@ def impute_nearest(
     out = df.join(filled, key, "left")
     return out.select(
         *[
-            F.coalesce(F.col(c).cast("double"), F.col(f"_f_{c}"), means[c]).alias(c) if c in columns else F.col(c)
+            F.coalesce(present(F.col(c).cast("double")), F.col(f"_f_{c}"), means[c]).alias(c) if c in columns else F.col(c)
             for c in df.columns
+            if c != key
         ]
     )
 
 
 def impute_median(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Replace missing values by the exact column median."""
+    """Replace nulls and NaN by the exact column median."""
     medians = exact_median(df, columns)
     # One entry per column.
     table = medians.agg(F.map_from_entries(F.collect_list(F.struct("column_name", "median")))).scalar()
     return df.select(
         *[
-            F.coalesce(F.col(c).cast("double"), table[c]).alias(c) if c in columns else F.col(c)
+            F.coalesce(present(F.col(c).cast("double")), table[c]).alias(c) if c in columns else F.col(c)
             for c in df.columns
         ]
     )
 
 
-def column_medians(df: DataFrame, columns: list[str]) -> DataFrame:
-    return exact_median(df, columns)
-
-

@@ -14,11 +14,13 @@ def _n(condition: Column) -> Column:
 
 
 def missing_profile(df: DataFrame) -> DataFrame:
-    """Missing count and percent of every column that has any; empty arrays count."""
+    """Missing count and percent of every column that has any; NaN and empty arrays count."""
 
     def missing(field: T.StructField) -> Column:
         c = F.col(field.name)
-        return c.isNull() | (F.size(c) == 0) if isinstance(field.dataType, T.ArrayType) else c.isNull()
+        if isinstance(field.dataType, T.ArrayType):
+            return c.isNull() | (F.size(c) == 0)
+        return c.isNull() | F.isnan(c) if isinstance(field.dataType, (T.FloatType, T.DoubleType)) else c.isNull()
 
     wide = df.agg(F.count(F.lit(1)).alias("_n"), *[_n(missing(f)).alias(f.name) for f in df.schema.fields])
     return (
@@ -153,12 +155,17 @@ def column_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     return unpivot(wide, [], columns, "column_name", "s").select("column_name", "s.*")
 
 
-def rate_and_length(df: DataFrame, key: str = "trace_id") -> DataFrame:
+# A trace number starts anew in every file.
+TRACE_KEY = ("file_id", "trace_id")
+
+
+def rate_and_length(df: DataFrame, key: tuple[str, ...] = TRACE_KEY) -> DataFrame:
     """First value by key and consistency of sample rate and trace length."""
+    first = F.struct(*key)
     return df.agg(
-        (F.min_by("sample_rate", key) * 1000).alias("sample_rate_ms"),
+        (F.min_by("sample_rate", first) * 1000).alias("sample_rate_ms"),
         _single_valued("sample_rate").alias("sample_rate_consistent"),
-        F.min_by("num_samples", key).cast("long").alias("num_samples"),
+        F.min_by("num_samples", first).cast("long").alias("num_samples"),
         _single_valued("num_samples").alias("num_samples_consistent"),
     )
 
@@ -175,9 +182,9 @@ def _amplitude() -> list[Column]:
     return [mu.alias("mean_amplitude"), F.sqrt(F.greatest(second - mu * mu, F.lit(0.0))).alias("std_amplitude")]
 
 
-def _domain_measures(key: str) -> list[Column]:
+def _domain_measures(key: tuple[str, ...]) -> list[Column]:
     dead = _n(F.col("_q") == 0)
-    rate = F.min_by("sample_rate", key) * 1000
+    rate = F.min_by("sample_rate", F.struct(*key)) * 1000
     ranges = [
         f(c).cast("double").alias(f"{c}_{name}")
         for c in ("inline", "crossline", "cdp_x", "cdp_y")
@@ -200,7 +207,7 @@ def _domain_measures(key: str) -> list[Column]:
     ]
 
 
-def domain_checks(df: DataFrame, key: str = "trace_id", trace: str = "trace_data") -> DataFrame:
+def domain_checks(df: DataFrame, key: tuple[str, ...] = TRACE_KEY, trace: str = "trace_data") -> DataFrame:
     """One row of amplitude, rate, spatial, coordinate and completeness checks.
 
     Flattened amplitudes come from per-row parts; the samples are never exploded.
@@ -284,7 +291,7 @@ def evaluate(df: DataFrame, history: DataFrame | None = None) -> DataFrame:
     ``history`` is a one-row table as made by :func:`history_record`; without it
     the drift status is ``no_history``.
     """
-    key, trace = "trace_id", "trace_data"
+    key, trace = TRACE_KEY, "trace_data"
     rows = with_row_measures(df, trace).withColumn("_missing", F.col(trace).isNull())
     # One aggregate over the samples for all parts; the rest reads single header columns.
     parts = {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from traceframe.plans.ranking import as_number, bucket_count, hash_rank, ordered_rank, with_value_bucket
+from traceframe.plans.ranking import as_number, bucket_count, hash_rank, nested_rank, ordered_rank, with_value_bucket
 
 
 def sample_rows(df: DataFrame, n: int, keys: list[str], seed: str = "42") -> DataFrame:
@@ -22,9 +22,9 @@ def first_rows(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
     return df.orderBy(*keys).limit(n)
 
 
-def number_files(df: DataFrame, order: str, rows_per_file: int = 100) -> DataFrame:
-    """Append ``file_no``: consecutive files of ``rows_per_file`` rows in ``order``."""
-    ranked = ordered_rank(df, order, name="_r")
+def number_files(df: DataFrame, order: str | list[str], rows_per_file: int = 100) -> DataFrame:
+    """Append ``file_no``: consecutive files of ``rows_per_file`` rows in ``order``, one key or several."""
+    ranked = ordered_rank(df, order, name="_r") if isinstance(order, str) else nested_rank(df, order, name="_r")
     return ranked.withColumn("file_no", F.floor((F.col("_r") - 1) / rows_per_file).cast("long")).drop("_r")
 
 
@@ -66,11 +66,15 @@ def split_threshold(df: DataFrame, order: str, position: Column, buckets: int |
     )
 
 
-def halves(df: DataFrame, order: str, name: str = "side") -> DataFrame:
+def halves(df: DataFrame, order: str | list[str], name: str = "side") -> DataFrame:
     """Tag the first floor(n/2) rows in ``order`` as reference, the rest as current.
 
-    The cut is a value, so the table itself is tagged while it is scanned.
+    With one key the cut is a value, so the table itself is tagged while it is scanned;
+    with several (file and trace) the rows are numbered.
     """
+    if not isinstance(order, str):
+        ranked, half = nested_rank(df, order, name="_r"), F.floor(F.lit(df.count()) / 2)
+        return ranked.withColumn(name, F.when(F.col("_r") <= half, "reference").otherwise("current")).drop("_r")
     cut = split_threshold(df, order, F.floor(F.col("_total") / 2)).scalar()
     inside = F.coalesce(as_number(df, order) <= cut, F.lit(False))
     return df.withColumn(name, F.when(inside, "reference").otherwise("current"))

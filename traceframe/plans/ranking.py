@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from traceframe.functions.hashing import digest
+from traceframe.functions.labels import present
 
 # Hash buckets are the leading hex digits of a digest: 16 ** 4 = 65536 of them,
 # each holding an even share of the rows whatever the keys look like.
@@ -114,6 +115,19 @@ def ordered_rank(df: DataFrame, order: str, name: str = "rank", buckets: int | N
     return out.drop("_b", "_v", "_before")
 
 
+def nested_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
+    """Append the 1-based position of every row in ``order``, a list of keys from coarse to fine.
+
+    Rows are counted per first key (a file, say) and numbered inside it by the others.
+    """
+    group, *rest = order
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).withColumn("_all", F.lit(1))
+    offsets = counts.select(F.col(group).alias("_g"), F.coalesce(F.sum("_n").over(_previous(["_all"], group)), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(group).orderBy(*rest)
+    numbered = df.withColumn("_i", F.row_number().over(inside)).join(offsets, F.col(group).eqNullSafe(F.col("_g")))
+    return numbered.withColumn(name, (F.col("_i") + F.col("_before")).cast("long")).drop("_i", "_g", "_before")
+
+
 def with_value_bucket(df: DataFrame, order: str, buckets: int) -> DataFrame:
     """Append the order value ``_v`` and its even-sized bucket ``_b``.
 
@@ -177,8 +191,9 @@ def unpivot(df: DataFrame, ids: list[str], columns: list[str], name: str, value:
 
 
 def exact_median(df: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
-    """Exact median of each column, nulls left out: rows (column_name, median)."""
+    """Exact median of each column, nulls and NaN left out: rows (column_name, median)."""
     buckets = buckets or bucket_count(df)
+    df = df.select(*[present(F.col(c).cast("double")).alias(c) for c in columns])
     long = unpivot(
         df.select(*[F.col(c).cast("double").alias(c) for c in columns]), [], columns, "column_name", "value"
     ).filter(F.col("value").isNotNull())

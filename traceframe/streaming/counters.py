@@ -77,9 +77,23 @@ def current_state(stored: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def counted_stream(stream: DataFrame, watermark: str = "1 hour", width: str = "1 hour") -> DataFrame:
-    return prediction_counts(stream.withWatermark("ts", watermark), width=width)
+def _bounded(stream: DataFrame, watermark: str | None) -> DataFrame:
+    return stream if watermark is None else stream.withWatermark("ts", watermark)
 
 
-def histogram_stream(stream: DataFrame, watermark: str = "1 hour", width: str = "1 hour") -> DataFrame:
-    return latency_histogram(stream.withWatermark("ts", watermark), width=width)
+def counted_stream(stream: DataFrame, watermark: str | None, width: str = "1 hour") -> DataFrame:
+    """Counts per window. ``watermark`` is how late a row may come before it is dropped and its
+    window forgotten; None for a backfill, whose files come in any order: no row is dropped
+    and all windows are kept. ``late_rows`` tells how many rows a run has dropped.
+    """
+    return prediction_counts(_bounded(stream, watermark), width=width)
+
+
+def histogram_stream(stream: DataFrame, watermark: str | None, width: str = "1 hour") -> DataFrame:
+    """Latency histogram per window; ``watermark`` as in ``counted_stream``."""
+    return latency_histogram(_bounded(stream, watermark), width=width)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows (after the first aggregation of a batch) that a watermark has dropped so far."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
