@@ -33,16 +33,52 @@ def test_segy_bytes(spark, tmp_path):
     assert one.file_id == "002" and one.trace_data == want.trace_data and one.inline == want.inline
 
 
-def test_segy_rejects_other_formats(spark, tmp_path):
+def _file(code: int, samples: bytes, count: int, extended: int = 0) -> bytes:
     head = bytearray(3600)
-    head[3220:3222], head[3224:3226] = (4).to_bytes(2, "big"), (1).to_bytes(2, "big")
-    (tmp_path / "a_1.sgy").write_bytes(bytes(head) + bytes(256))
+    head[3216:3218], head[3220:3222], head[3224:3226] = (2000).to_bytes(2, "big"), count.to_bytes(2, "big"), code.to_bytes(2, "big")
+    head[3504:3506] = extended.to_bytes(2, "big")
+    return bytes(head) + bytes(3200 * extended) + bytes(240) + samples
+
+
+@pytest.mark.parametrize(
+    ("code", "samples", "want"),
+    [
+        # IBM floats: 118.625 negated is the textbook example, 0x41100000 is 1.
+        (1, bytes.fromhex("c276a000" "41100000" "00000000" "40800000"), [-118.625, 1.0, 0.0, 0.5]),
+        (2, b"".join(v.to_bytes(4, "big", signed=True) for v in (-70000, 2, 0, 1 << 30)), [-70000.0, 2.0, 0.0, float(1 << 30)]),
+        (3, b"".join(v.to_bytes(2, "big", signed=True) for v in (-300, 2, 0, 32767)), [-300.0, 2.0, 0.0, 32767.0]),
+        (5, bytes.fromhex("c0000000" "3f800000" "00000000" "3e800000"), [-2.0, 1.0, 0.0, 0.25]),
+        (8, b"".join(v.to_bytes(1, "big", signed=True) for v in (-128, 2, 0, 127)), [-128.0, 2.0, 0.0, 127.0]),
+    ],
+)
+@pytest.mark.parametrize("extended", [0, 2])
+def test_segy_sample_formats(spark, tmp_path, code, samples, want, extended):
+    (tmp_path / "a_7.sgy").write_bytes(_file(code, samples, 4, extended))
+    for options in ({}, {"split_bytes": 100}):
+        rows = segy.read_segy(spark, str(tmp_path), **options).collect()
+        assert [(r.file_id, r.trace_id, r.num_samples, r.sample_rate, r.trace_data) for r in rows] == [("7", 0, 4, 0.002, want)]
+
+
+def test_segy_rejects_what_it_cannot_read(spark, tmp_path):
+    (tmp_path / "a_1.sgy").write_bytes(_file(4, bytes(16), 4))
     with pytest.raises(Exception, match="not supported"):
         segy.read_segy(spark, str(tmp_path)).count()
+    (tmp_path / "a_1.sgy").write_bytes(_file(5, bytes(15), 4))
+    with pytest.raises(Exception, match="truncated"):
+        segy.read_segy(spark, str(tmp_path)).collect()
     with pytest.raises(Exception, match="no SEG-Y files"):
         segy.read_segy(spark, str(tmp_path / "nothing")).count()
 
 
+def test_segy_overwrites(spark, tmp_path):
+    rows = roles.traces(spark, SF).withColumn("file_no", F.floor(F.col("trace_id") / 100).cast("long"))
+    segy.write_segy(rows, str(tmp_path), "trace_id")
+    segy.write_segy(rows.where("file_no = 1"), str(tmp_path), "trace_id")
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["traces_001.sgy"]
+    segy.write_segy(rows.where("file_no = 2"), str(tmp_path), "trace_id", mode="append")
+    assert segy.read_segy(spark, str(tmp_path)).count() == 200
+
+
 def test_layer_schema_is_checked(spark, tmp_path):
     with pytest.raises(ValueError, match="missing"):
         tables.write_layer(spark.range(3), str(tmp_path / "x"), BRONZE)
@@ -68,25 +104,25 @@ def test_text_files(spark, tmp_path):
     assert got == {"a.txt": "one\ntwo", "b.txt": "three"}
 
 
-def _arrivals(spark, folder, late=False):
+def _arrivals(spark, folder, order=(0, 1, 2, 3)):
     start = datetime(2024, 1, 1)
     rows = [(i, start + timedelta(minutes=7 * i), "a" if i % 3 else "b", i / 1000) for i in range(400)]
     schema = "event_id bigint, ts timestamp, predicted_class string, latency double"
-    for n in range(4):
-        spark.createDataFrame(rows[n * 100 : n * 100 + 100], schema).coalesce(1).write.parquet(f"{folder}/{n}")
-    if late:
-        spark.createDataFrame([(999, start, "late", 0.5)], schema).coalesce(1).write.parquet(f"{folder}/9")
+    for place, n in enumerate(order):
+        spark.createDataFrame(rows[n * 100 : n * 100 + 100], schema).coalesce(1).write.parquet(f"{folder}/{place}")
     return spark.createDataFrame(rows, schema)
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2, 3), (3, 1, 2, 0)])
 @pytest.mark.parametrize("form", ["counts", "histogram"])
-def test_stream_equals_batch(spark, tmp_path, form):
-    whole = _arrivals(spark, str(tmp_path / "in"))
+def test_backfill_equals_batch(spark, tmp_path, form, order):
+    """Files in any order, days apart: without a watermark nothing is late."""
+    whole = _arrivals(spark, str(tmp_path / "in"), order)
     stream = counters.stream_table(spark, str(tmp_path / "in" / "*"), whole.schema, files_per_batch=1)
     if form == "counts":
-        updates, keys, want = counters.counted_stream(stream), ["window_start", "predicted_class"], counters.prediction_counts(whole)
+        updates, keys, want = counters.counted_stream(stream, None), ["window_start", "predicted_class"], counters.prediction_counts(whole)
     else:
-        updates, keys, want = counters.histogram_stream(stream), ["window_start"], counters.latency_histogram(whole)
+        updates, keys, want = counters.histogram_stream(stream, None), ["window_start"], counters.latency_histogram(whole)
     counters.run_available(updates, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     stored = spark.read.parquet(str(tmp_path / "out"))
     assert stored.select("batch").distinct().count() > 1
@@ -100,11 +136,13 @@ def test_stream_equals_batch(spark, tmp_path, form):
 def test_late_rows_are_dropped(spark, tmp_path):
     whole = _arrivals(spark, str(tmp_path / "in"))
     source = counters.stream_table(spark, str(tmp_path / "in" / "*"), whole.schema, files_per_batch=1)
-    counters.run_available(counters.counted_stream(source), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    counters.run_available(counters.counted_stream(source, "1 hour"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     late = spark.createDataFrame([(999, datetime(2024, 1, 1), "late", 0.5)], whole.schema)
     late.coalesce(1).write.parquet(str(tmp_path / "in" / "9"))
     source = counters.stream_table(spark, str(tmp_path / "in" / "*"), whole.schema, files_per_batch=1)
-    counters.run_available(counters.counted_stream(source), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    run = counters.run_available(counters.counted_stream(source, "1 hour"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    run.awaitTermination()
+    assert counters.late_rows(run) == 1
     assert spark.read.parquet(str(tmp_path / "out")).filter("predicted_class = 'late'").count() == 0
 
 

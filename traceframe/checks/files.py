@@ -32,3 +32,17 @@ def segy_round_trip(spark, sf):
 def segy_split_read(spark, sf):
     """The same files read in byte ranges that cut through traces."""
     return _read(spark, _written(spark, sf), split_bytes=10_000)
+
+
+@query(
+    "segy_to_bronze",
+    f"""WITH {roles.TRACES_SQL}, u AS (SELECT *, format('{{:03d}}', trace_id // 100) AS f, trace_id % 100 AS t FROM traces),
+c AS (SELECT *, ('0x' || substr(md5('42:' || f || ':' || t), 1, 8))::UBIGINT::DOUBLE / 4294967296.0 AS r FROM u)
+SELECT f AS file_id, t AS trace_id, num_samples, sample_rate, CAST(CASE WHEN r < 0.5 THEN 0 WHEN r < 0.8 THEN 1 ELSE 2 END AS BIGINT) AS class_label,
+  round(list_sum(trace_data), 5) AS sample_sum FROM c""",
+)
+def segy_to_bronze(spark, sf):
+    """Raw files to rows of the bronze schema in one call."""
+    total = F.aggregate("trace_data", F.lit(0.0), lambda a, x: a + x)
+    bronze = segy.read_bronze(spark, _written(spark, sf))
+    return bronze.select("file_id", "trace_id", "num_samples", "sample_rate", "class_label", F.round(total, 5).alias("sample_sum"))

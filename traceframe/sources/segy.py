@@ -1,30 +1,41 @@
-"""SEG-Y files as a Spark data source (format code 5, IEEE floats).
-
-Reading: every input partition is a byte range of one file. The reader of a
-range opens the file, takes the layout from its header and yields the traces
-that begin inside the range as Arrow batches, so a large file is read by many
-tasks and nothing is scanned twice. Writing: each task writes one file per
-file number it receives.
+"""SEG-Y files: IBM and IEEE floats and 4, 2 and 1 byte integers, with extended text headers.
+
+Reading: files are listed by Spark, so any path it can resolve will do, and small files are packed
+into partitions by their size. A file above ``WHOLE_BYTES``, or all of them if
+``split_bytes`` is given, is read by byte ranges: the reader of a range takes the layout from
+the file's header and yields the traces that begin inside it. Writing: each task
+writes one file per file number it receives, under a name of its own; the commit gives the
+files their names, so a repeated task leaves nothing behind.
 """
 
 from __future__ import annotations
 
+import os
 import struct
+import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from traceframe.functions.hashing import three_way_label
+from traceframe.schemas import BRONZE, conform
+
 # The published layout, as byte offsets and field positions.
 TEXT_BYTES, BINARY_BYTES, TRACE_HEADER_BYTES = 3200, 400, 240
 HEADER_BYTES = TEXT_BYTES + BINARY_BYTES
-INTERVAL_AT, SAMPLES_AT, FORMAT_AT = 3216, 3220, 3224
-IEEE_FLOAT = 5
+INTERVAL_AT, SAMPLES_AT, FORMAT_AT, EXTENDED_AT = 3216, 3220, 3224, 3504
+IBM_FLOAT, IEEE_FLOAT = 1, 5
+# Sample type of every format code that is read; IBM floats are taken as their bits.
+SAMPLE_TYPES = {IBM_FLOAT: ">u4", 2: ">i4", 3: ">i2", IEEE_FLOAT: ">f4", 8: ">i1"}
 FIELDS = {
     "field_record": 8,
     "trace_number": 12,
@@ -41,12 +52,54 @@ SCHEMA = (
 )
 HEADER_ORDER = ["inline", "crossline", "cdp_x", "cdp_y", "field_record", "trace_number"]
 BATCH_BYTES = 16 << 20
+WHOLE_BYTES = 256 << 20  # a file up to this size is one row of a scan
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    if urlparse(path).scheme:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
+    """File system and place of a path, by its scheme."""
+    return pafs.FileSystem.from_uri(path if urlparse(path).scheme else f"file://{os.path.abspath(path)}")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark would give it."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+
+
+@dataclass
+class Layout:
+    """Where traces are in a file, from its header."""
+
+    samples: int
+    interval: int
+    code: int
+    begin: int  # first byte of the first trace
+
+    @classmethod
+    def of(cls, head: bytes, name: str) -> Layout:
+        interval, samples, code = (struct.unpack_from(">H", head, at)[0] for at in (INTERVAL_AT, SAMPLES_AT, FORMAT_AT))
+        extended = struct.unpack_from(">h", head, EXTENDED_AT)[0]
+        if code not in SAMPLE_TYPES:
+            raise ValueError(f"{name}: sample format {code} is not supported")
+        if extended < 0:
+            raise ValueError(f"{name}: an unknown number of extended headers is not supported")
+        return cls(samples, interval, code, HEADER_BYTES + TEXT_BYTES * extended)
+
+    @property
+    def step(self) -> int:
+        return TRACE_HEADER_BYTES + np.dtype(SAMPLE_TYPES[self.code]).itemsize * self.samples
+
+    def values(self, rows: np.ndarray) -> np.ndarray:
+        found = rows[:, TRACE_HEADER_BYTES:].copy().view(SAMPLE_TYPES[self.code])
+        return ibm_float(found) if self.code == IBM_FLOAT else found.astype(np.float64)
+
+
+def ibm_float(bits: np.ndarray) -> np.ndarray:
+    """Sign bit, exponent of 16 with bias 64, and a 24-bit fraction."""
+    word = bits.astype(np.int64)
+    size = (word & 0xFFFFFF) / 2.0**24 * 16.0 ** (((word >> 24) & 0x7F) - 64)
+    return np.where(word >> 31, -size, size)
 
 
 def _stem_id(path: str) -> str:
@@ -90,79 +143,99 @@ class SegyReader(DataSourceReader):
     def read(self, part: ByteRange):
         fs, path = _open(part.path)
         with fs.open_input_file(path) as f:
-            head = f.read_at(HEADER_BYTES, 0)
-            interval, samples, code = (
-                struct.unpack_from(">H", head, at)[0] for at in (INTERVAL_AT, SAMPLES_AT, FORMAT_AT)
-            )
-            if code != IEEE_FLOAT:
-                raise ValueError(f"{part.path}: sample format {code} is not supported")
-            step = TRACE_HEADER_BYTES + 4 * samples
+            layout = Layout.of(f.read_at(HEADER_BYTES, 0), part.path)
             # Traces that begin in [start, stop).
-            first = -(-(part.start - HEADER_BYTES) // step)
-            last = -(-(part.stop - HEADER_BYTES) // step)
-            per_batch = max(1, BATCH_BYTES // step)
+            first = max(0, -(-(part.start - layout.begin) // layout.step))
+            last = -(-(part.stop - layout.begin) // layout.step)
+            per_batch = max(1, BATCH_BYTES // layout.step)
             for at in range(first, last, per_batch):
                 n = min(per_batch, last - at)
-                data = f.read_at(n * step, HEADER_BYTES + at * step)
-                if len(data) != n * step:
+                data = f.read_at(n * layout.step, layout.begin + at * layout.step)
+                if len(data) != n * layout.step:
                     raise ValueError(f"{part.path}: truncated trace")
-                yield _batch(data, n, step, samples, interval, at, _stem_id(part.path))
+                yield _batch(data, n, layout, at, _stem_id(part.path))
 
 
-def _batch(data: bytes, n: int, step: int, samples: int, interval: int, first: int, name: str) -> pa.RecordBatch:
-    rows = np.frombuffer(data, dtype=np.uint8).reshape(n, step)
+def _batch(data: bytes, n: int, layout: Layout, first: int, name: str) -> pa.RecordBatch:
+    rows = np.frombuffer(data, dtype=np.uint8).reshape(n, layout.step)
+    samples = layout.samples
 
     def field(at: int) -> np.ndarray:
         return rows[:, at : at + 4].copy().view(">i4").astype(np.int64).ravel()
 
-    values = rows[:, TRACE_HEADER_BYTES:].copy().view(">f4").astype(np.float64).ravel()
+    values = layout.values(rows).ravel()
     offsets = pa.array(np.arange(n + 1, dtype=np.int32) * samples)
     columns = {
         "file_id": pa.array([name] * n, pa.string()),
         "trace_id": pa.array(np.arange(first, first + n, dtype=np.int64)),
         "trace_data": pa.ListArray.from_arrays(offsets, pa.array(values)),
         "num_samples": pa.array(np.full(n, samples, dtype=np.int64)),
-        "sample_rate": pa.array(np.full(n, interval / 1e6)),
+        "sample_rate": pa.array(np.full(n, layout.interval / 1e6)),
         **{c: pa.array(field(FIELDS[c])) for c in HEADER_ORDER},
     }
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 class SegyWriter(DataSourceArrowWriter):
-    """Rows of a task, already grouped by file number and in trace order, to files."""
+    """Rows of a task, already grouped by file number and in trace order, to files.
+
+    A task writes into a folder of its own; ``commit`` moves the files of the tasks that
+    count, after removing earlier SEG-Y files if the write is to overwrite.
+    """
 
-    def __init__(self, path: str, prefix: str):
-        self.path, self.prefix = path, prefix
+    def __init__(self, path: str, prefix: str, overwrite: bool):
+        self.path, self.prefix, self.overwrite = path, prefix, overwrite
 
     def write(self, batches) -> Written:
         fs, root = _open(self.path)
-        fs.create_dir(root, recursive=True)
+        own = f"{root}/_attempt-{uuid.uuid4().hex}"
         done: list[str] = []
         current, out, samples = None, None, None
         try:
             for batch in batches:
-                for row in batch.to_pylist():
-                    if row["file_no"] != current:
+                numbers = batch.column("file_no").to_numpy(zero_copy_only=False)
+                cuts = np.flatnonzero(np.diff(numbers)) + 1
+                for a, b in zip([0, *cuts], [*cuts, len(numbers)]) if len(numbers) else []:
+                    rows = batch.slice(a, b - a)
+                    if numbers[a] != current:
                         if out is not None:
                             out.close()
-                        current, samples = row["file_no"], int(row["num_samples"])
-                        name = f"{root}/{self.prefix}_{current:03d}.sgy"
-                        out = fs.open_output_stream(name)
-                        out.write(_file_header(current, samples, row["sample_rate"]))
-                        done.append(name)
-                    out.write(_trace(row, samples))
+                        current, samples = int(numbers[a]), int(rows.column("num_samples")[0].as_py())
+                        done.append(f"{own}/{self.prefix}_{current:03d}.sgy")
+                        fs.create_dir(own, recursive=True)
+                        out = fs.open_output_stream(done[-1])
+                        out.write(_file_header(current, samples, rows.column("sample_rate")[0].as_py()))
+                    out.write(_traces(rows, samples))
         finally:
             if out is not None:
                 out.close()
         return Written(files=done)
 
     def commit(self, messages) -> None:
-        names = [f for m in messages if m is not None for f in m.files]
+        fs, root = _open(self.path)
+        files = [f for m in messages if m is not None for f in m.files]
+        names = [f.rsplit("/", 1)[-1] for f in files]
         if len(names) != len(set(names)):
             raise ValueError("a file number was split over tasks: write through write_segy()")
+        fs.create_dir(root, recursive=True)
+        if self.overwrite:
+            for old in fs.get_file_info(pafs.FileSelector(root)):
+                if old.path.endswith(".sgy"):
+                    fs.delete_file(old.path)
+        for f, name in zip(files, names):
+            fs.move(f, f"{root}/{name}")
+        self._clear(fs, root)
 
     def abort(self, messages) -> None:
-        """Nothing to undo: a failed write is repeated over the same names."""
+        fs, root = _open(self.path)
+        self._clear(fs, root)
+
+    @staticmethod
+    def _clear(fs: pafs.FileSystem, root: str) -> None:
+        """Remove what attempts have left, also those that were repeated."""
+        for left in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
+            if left.path.rsplit("/", 1)[-1].startswith("_attempt-"):
+                fs.delete_dir(left.path)
 
 
 def _file_header(number: int, samples: int, rate: float) -> bytes:
@@ -175,19 +248,28 @@ def _file_header(number: int, samples: int, rate: float) -> bytes:
     return bytes(head)
 
 
-def _trace(row: dict, samples: int) -> bytes:
-    data = np.asarray(row["trace_data"], dtype=">f4")
-    if len(data) != samples:
+def _traces(rows: pa.RecordBatch, samples: int) -> bytes:
+    """Headers and samples of many traces as one array of bytes."""
+    data = rows.column("trace_data")
+    if pc.any(pc.not_equal(pc.list_value_length(data), samples)).as_py() or data.null_count:
         raise ValueError("all traces of a file must have the same length")
-    head = bytearray(TRACE_HEADER_BYTES)
+    n = rows.num_rows
+    out = np.zeros((n, TRACE_HEADER_BYTES + 4 * samples), np.uint8)
+
+    def put(at: int, values: np.ndarray, kind: str) -> None:
+        width = np.dtype(kind).itemsize
+        out[:, at : at + width] = values.astype(kind).view(np.uint8).reshape(n, width)
+
+    position = rows.column("position").to_numpy(zero_copy_only=False)
     for column, at in FIELDS.items():
-        value = row[column]
-        if value is None and column == "trace_number":
-            value = row["position"] + 1
-        struct.pack_into(">i", head, at, int(value or 0))
-    struct.pack_into(">H", head, SAMPLE_COUNT_AT, samples)
-    struct.pack_into(">H", head, SAMPLE_INTERVAL_AT, round(row["sample_rate"] * 1e6))
-    return bytes(head) + data.tobytes()
+        missing = position + 1 if column == "trace_number" else 0
+        own = rows.column(column)
+        put(at, np.where(np.asarray(own.is_null()), missing, pc.fill_null(own, 0).to_numpy(zero_copy_only=False)), ">i4")
+    put(SAMPLE_COUNT_AT, np.full(n, samples), ">u2")
+    put(SAMPLE_INTERVAL_AT, np.round(rows.column("sample_rate").to_numpy(zero_copy_only=False) * 1e6), ">u2")
+    values = data.flatten().to_numpy(zero_copy_only=False).reshape(n, samples)
+    out[:, TRACE_HEADER_BYTES:] = values.astype(">f4").view(np.uint8).reshape(n, 4 * samples)
+    return out.tobytes()
 
 
 class SegySource(DataSource):
@@ -204,24 +286,63 @@ class SegySource(DataSource):
         return SegyReader(self.options["path"], int(self.options.get("split_bytes", 128 << 20)))
 
     def writer(self, schema: StructType, overwrite: bool) -> SegyWriter:
-        return SegyWriter(self.options["path"], self.options.get("prefix", "traces"))
+        return SegyWriter(self.options["path"], self.options.get("prefix", "traces"), overwrite)
 
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(SegySource)
 
 
-def read_segy(spark: SparkSession, path: str, split_bytes: int = 128 << 20) -> DataFrame:
-    """Traces of one file or of all files in a folder, in one scan."""
+def read_segy(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
+    """Traces of one file or of all files in a folder, in one scan.
+
+    Files up to ``WHOLE_BYTES`` are rows of a binary scan, which Spark packs into
+    partitions; larger ones, or all with ``split_bytes``, are read by byte ranges.
+    """
     register(spark)
-    return spark.read.format("segy").option("split_bytes", split_bytes).load(path)
+    place = qualified(spark, path)
+    by_range = spark.read.format("segy").option("split_bytes", split_bytes or 128 << 20)
+    if split_bytes:
+        return by_range.load(place)
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.sgy").load(place)
+        sizes = files.agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("most")).first()  # names and sizes only
+    except AnalysisException:
+        raise ValueError(f"no SEG-Y files at {path}") from None
+    if not sizes["n"]:
+        raise ValueError(f"no SEG-Y files at {path}")
+    if sizes["most"] > WHOLE_BYTES:
+        return by_range.load(place)
+    return files.select("path", "content").mapInArrow(_whole_files, SCHEMA)
+
+
+def _whole_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+            data = memoryview(content.as_buffer())
+            layout = Layout.of(bytes(data[:HEADER_BYTES]), path)
+            n, rest = divmod(len(data) - layout.begin, layout.step)
+            if rest:
+                raise ValueError(f"{path}: truncated trace")
+            per_batch = max(1, BATCH_BYTES // layout.step)
+            for at in range(0, n, per_batch):
+                some = min(per_batch, n - at)
+                start = layout.begin + at * layout.step
+                yield _batch(data[start : start + some * layout.step], some, layout, at, _stem_id(path))
+
+
+def read_bronze(spark: SparkSession, path: str, seed: str = "42") -> DataFrame:
+    """Raw files to the bronze schema in one call; the class of a trace is drawn by its file and number."""
+    return conform(read_segy(spark, path).withColumn("class_label", three_way_label(seed, "file_id", "trace_id")), BRONZE)
 
 
 WRITE_COLUMNS = ["file_no", "position", "trace_data", "num_samples", "sample_rate", *HEADER_ORDER]
 
 
-def write_segy(df: DataFrame, path: str, position: str, prefix: str = "traces") -> None:
-    """Write rows with ``file_no`` as SEG-Y, one file per number.
+def write_segy(df: DataFrame, path: str, position: str, prefix: str = "traces", mode: str = "overwrite") -> None:
+    """Write rows with ``file_no`` as SEG-Y of IEEE floats, one file per number.
+
+    ``overwrite`` removes the SEG-Y files that are there, ``append`` adds to them.
 
     Rows of one number meet in one task in ``position`` order; a file holds a
     fixed number of traces, so a task never gets an unbounded group.
@@ -233,6 +354,6 @@ def write_segy(df: DataFrame, path: str, position: str, prefix: str = "traces")
         .sortWithinPartitions("file_no", "position")
         .write.format("segy")
         .option("prefix", prefix)
-        .mode("append")
-        .save(path)
+        .mode(mode)
+        .save(qualified(df.sparkSession, path))
     )
