@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+ARCHIVE = "traceframe-package.zip"
 
 
 def local_session(name: str = "traceframe", cpus: str = "8", **conf: str) -> SparkSession:
@@ -27,9 +31,34 @@ def local_session(name: str = "traceframe", cpus: str = "8", **conf: str) -> Spa
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of a session, unless they find it already.
+
+    Workers see what is on PYTHONPATH (or installed) and what a session has sent; the path of
+    the driver's program is not enough, as soon as it runs from another folder.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    context = spark.sparkContext
+    if root in map(os.path.abspath, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))) or "site-packages" in root:
+        return
+    if any(f.endswith(ARCHIVE) for f in context.listFiles):
+        return
+    folder = tempfile.mkdtemp(prefix="traceframe-package-")  # the driver serves the archive from here to the end
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, ARCHIVE)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for at, folders, files in os.walk(os.path.join(root, "traceframe")):
+            folders[:] = [f for f in folders if f != "__pycache__"]
+            for name in files:
+                if name.endswith(".py"):
+                    out.write(os.path.join(at, name), os.path.relpath(os.path.join(at, name), root))
+    context.addPyFile(path)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path all executors can reach, below the configured checkpoint folder.
 
