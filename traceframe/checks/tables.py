@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from traceframe.checks.registry import query, rounded
 from traceframe.functions import rules, text as tx
-from traceframe.operators import audit, evaluation as ev, features as ft, quality, reporting
+from traceframe.operators import audit, evaluation as ev, features as ft, quality, reporting, retrieval as rt, sampling
 from traceframe.schemas import BRONZE, HISTORY, PREDICTIONS
 from traceframe.session import shared_folder
 from traceframe.sources import roles, tables
@@ -202,6 +202,20 @@ def class_lines(spark, sf):
     return maps.select("lang", tx.map_lines("Class Distribution:", F.col("m")).alias("content"))
 
 
+@query(
+    "metadata_record",
+    f"""WITH {roles.GAPPY_SQL},
+c AS (SELECT CASE class_label WHEN 0 THEN 'normal' WHEN 1 THEN 'anomaly' ELSE 'boundary' END AS name, count(*) AS n FROM gappy GROUP BY 1),
+d AS (SELECT string_agg('  - ' || name || ': ' || n, chr(10) ORDER BY name) AS lines FROM c),
+t AS (SELECT count(*) AS n, count(*) FILTER (WHERE len(trace_data) > 0) AS k, max(num_samples) AS s, round(max(sample_rate) * 1000, 6) AS r FROM gappy)
+SELECT 'dataset_metadata' AS source, 'Dataset: embeddings' || chr(10) || 'Total traces: ' || n || chr(10) || 'Sampled traces: ' || k || chr(10) ||
+  'Samples per trace: ' || s || chr(10) || 'Sample rate: ' || r || ' ms' || chr(10) || chr(10) || 'Class Distribution:' || chr(10) || lines AS content FROM t, d""",
+)
+def metadata_record(spark, sf):
+    """Totals of a dataset as the text that a search can find."""
+    return rt.metadata_text(sampling.dataset_totals(roles.gappy_traces(spark, sf), "embeddings"))
+
+
 @query("quality_report_lines")
 def quality_report_lines(spark, sf):
     return reporting.quality_report(quality.evaluate(roles.gappy_traces(spark, sf)))

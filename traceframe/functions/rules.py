@@ -72,7 +72,10 @@ def recommendations(mean_pct: Column, balance: Column, balance_score: Column, ag
 
 
 def alerts(severity: Column, n_drifted: Column, prediction_drift: Column, accuracy: Column) -> Column:
-    """Array of fired alerts. A null accuracy fires nothing."""
+    """Array of fired alerts. A null accuracy fires nothing.
+
+    Kinds, severities and messages are fixed values of the report; the advice is this library's.
+    """
     low = F.format_number(accuracy * 100, 2)
     fired = F.array(
         F.when(
@@ -81,7 +84,7 @@ def alerts(severity: Column, n_drifted: Column, prediction_drift: Column, accura
                 "feature_drift",
                 severity,
                 F.concat(F.lit("Feature drift detected: "), n_drifted.cast("string"), F.lit(" features drifted")),
-                "Consider retraining the model with recent data",
+                "Fit the model again on the rows that moved",
             ),
         ),
         F.when(
@@ -90,7 +93,7 @@ def alerts(severity: Column, n_drifted: Column, prediction_drift: Column, accura
                 "prediction_drift",
                 F.lit("medium"),
                 F.lit("Prediction distribution has shifted"),
-                "Investigate data quality and model performance",
+                "Look at what the model is given before looking at the model",
             ),
         ),
         F.when(
@@ -99,7 +102,7 @@ def alerts(severity: Column, n_drifted: Column, prediction_drift: Column, accura
                 "low_accuracy",
                 F.lit("high"),
                 F.concat(F.lit("Model accuracy ("), low, F.lit("%) below threshold")),
-                "Immediate model review required",
+                "Stop acting on predictions until the cause is known",
             ),
         ),
     )

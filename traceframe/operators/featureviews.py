@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -104,6 +105,9 @@ def as_of_answers(
     feature_time = feature_time or time
     buckets = buckets or bucket_count(spine)
     value = F.struct(*[F.col(f) for f in fields])
+    # A null key matches nothing, so its rows need not be walked; the join back gives them nulls.
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    spine, features = spine.filter(known), features.filter(known)
     order = [F.col(feature_time)] + ([F.col(tie_break)] if tie_break else [])
     latest = (
         features.filter(F.col(feature_time).isNotNull())

@@ -58,6 +58,7 @@ def validation(df: DataFrame) -> DataFrame:
 
 
 def _with_rules(df: DataFrame) -> DataFrame:
+    # The sentences of the validation record.
     fired = F.array(
         F.when(
             F.col("missing_trace_data") > 0,

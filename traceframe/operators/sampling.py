@@ -39,6 +39,18 @@ def dataset_metadata(df: DataFrame) -> DataFrame:
     )
 
 
+def dataset_totals(df: DataFrame, source: str) -> DataFrame:
+    """The record of a sampled dataset: one row of totals and the count of every class by name."""
+    names = F.create_map(F.lit(0), F.lit("normal"), F.lit(1), F.lit("anomaly"), F.lit(2), F.lit("boundary"))
+    classes = df.where("class_label in (0, 1, 2)").groupBy(names[F.col("class_label").cast("int")].alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    # At most three entries.
+    shares = classes.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "n"))))).scalar()
+    return df.agg(
+        F.lit(source).alias("source_file"), F.count(F.lit(1)).alias("total_traces"), F.count_if(F.size("trace_data") > 0).alias("sampled_traces"),
+        F.max("num_samples").alias("samples_per_trace"), (F.max("sample_rate") * 1000).alias("sample_rate_ms"),
+    ).withColumn("class_distribution", shares)
+
+
 def split_threshold(df: DataFrame, order: str, position: Column, buckets: int | None = None) -> DataFrame:
     """One row with the ``order`` value at a 1-based position.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ast
 from dataclasses import dataclass, field
 
 from pyspark.ml import Model
@@ -196,11 +197,33 @@ class SearchResult:
     best_score: float
     all_params: dict = field(default_factory=dict)
 
+    def save(self, path: str) -> None:
+        """Store all trials; the best one follows from them."""
+        self.trials.write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> SearchResult:
+        """Read trials, as many rows as were tried; of equal values the first type and trial win."""
+        trials = spark.read.schema(TRIALS).parquet(path)
+        rows = trials.collect()
+        params = {(r["model_type"], r["trial"]): {k: _value(v) for k, v in r["params"].items()} for r in rows}
+        types = list(SPACES)
+        best = max(rows, key=lambda r: (r["value"], -types.index(r["model_type"]) if r["model_type"] in types else 0, -r["trial"]))
+        return cls(trials, best["model_type"], params[(best["model_type"], best["trial"])], best["value"], params)
+
     def refit(self, df: DataFrame, n: int) -> Model:
         weighted = self.best_params.get("class_weight") == "balanced"
         return estimator(self.best_type, self.best_params, weighted, n).fit(df)
 
 
+def _value(text: str):
+    """A parameter from its stored text: a number, None or a word."""
+    try:
+        return ast.literal_eval(text)
+    except (ValueError, SyntaxError):
+        return text
+
+
 TRIALS = T.StructType(
     [
         T.StructField("model_type", T.StringType()),
@@ -226,7 +249,7 @@ def search(
     The trials of one model type that share an estimator class run through one
     cross-validator, so folds are cached once and fits run side by side.
     """
-    n = df.count()
+    n = df.count() * (n_folds - 1) // n_folds  # a fit sees all folds but one
     evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="f1")
     rows, best = [], None
     params_of = {}

@@ -87,6 +87,25 @@ def quantile_cuts(value: Column, buckets: int) -> Column:
     return F.percentile_approx(value, F.expr(f"array({listed})"), F.lit(max(1000, 20 * buckets)))
 
 
+CUT_GROUPS = 256
+
+
+def even_cuts(df: DataFrame, values: dict[str, Column], buckets: int) -> DataFrame:
+    """One row with cut points of every named value, found in two levels.
+
+    Rows are sketched by up to ``CUT_GROUPS`` groups of scan partitions, each in a task of its
+    own, and the cut points of the groups are cut once more: at most groups x buckets
+    numbers. Borders decide how even buckets are, never the ranks.
+    """
+    part = F.pmod(F.spark_partition_id(), F.lit(CUT_GROUPS)).alias("_part")
+    first = df.select(part, *[v.alias(n) for n, v in values.items()]).groupBy("_part").agg(
+        *[quantile_cuts(F.col(n), buckets).alias(n) for n in values]
+    )
+    none = {f.name: F.array().cast(f.dataType) for f in first.schema.fields if f.name != "_part"}
+    zipped = F.arrays_zip(*[F.coalesce(F.col(n), none[n]).alias(n) for n in values])
+    return first.select(F.inline(zipped)).agg(*[quantile_cuts(F.col(n), buckets).alias(n) for n in values])
+
+
 def with_bucket(df: DataFrame, cuts: Column, value: Column, buckets: int, name: str = "_b") -> DataFrame:
     """Append how many of the ascending ``cuts`` lie below ``value``.
 
@@ -135,7 +154,7 @@ def with_value_bucket(df: DataFrame, order: str, buckets: int) -> DataFrame:
     result agree on them. They decide how even the buckets are, never the ranks.
     """
     number = as_number(df, order)
-    cuts = df.agg(quantile_cuts(number, buckets)).first()[0] or []
+    cuts = even_cuts(df, {"_cut": number}, buckets).first()[0] or []
     listed = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
     return with_bucket(df.withColumn("_v", number), listed, F.col("_v"), buckets)
 
@@ -180,7 +199,7 @@ def running_totals(
 
 def wide_cuts(df: DataFrame, columns: list[str], name: str, buckets: int) -> DataFrame:
     """Cut points of several numeric columns in one pass: rows (name, cuts)."""
-    wide = df.agg(*[quantile_cuts(F.col(c).cast("double"), buckets).alias(c) for c in columns])
+    wide = even_cuts(df, {c: F.col(c).cast("double") for c in columns}, buckets)
     return unpivot(wide, [], columns, name, "cuts")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+# Column names and order of the layer tables, below and in the schemas.
 HANDCRAFTED = [
     "mean_amplitude",
     "std_amplitude",
