@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from traceframe.llm.common import slices
 
-SAMPLE_DOCS = (6000, 2500)  # clean and toxic training documents; the bound on what the driver reads
+SAMPLE_DOCS = (5000, 2000)  # clean and toxic training documents; the bound on what the driver reads
 SAMPLE_BYTES = 100_000  # longer texts are scored but not learned from
 BUCKETS, WIDTH = 1 << 18, 8
 DECAY = 6e-5
@@ -82,7 +82,7 @@ def _subwords(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     owners.append(np.arange(len(vocabulary)))
     who, bucket = np.concatenate(owners), np.concatenate(found).astype(np.int64) % BUCKETS
     order = np.argsort(who, kind="stable")
-    return bucket[order], np.bincount(who, minlength=len(vocabulary))
+    return bucket[order].astype(np.int32), np.bincount(who, minlength=len(vocabulary))
 
 
 def window_starts(n: int) -> np.ndarray:
@@ -161,7 +161,9 @@ def train(texts: list[str], labels: list[int], rounds: int = ROUNDS, toxic_share
     buckets, counts = subwords(list(ids))
     n_words = len(ids)
     del ids
-    starts = np.cumsum(counts) - counts
+    ends = np.cumsum(counts)
+    # Words are taken some thousands at a time, so that temporary arrays stay small.
+    parts = [(a, b, ends[a] - counts[a], ends[b - 1]) for a, b in ((i, min(n_words, i + 20_000)) for i in range(0, n_words, 20_000))]
     firsts = [window_starts(len(d)) for d in own]
     base = np.cumsum([0] + [len(d) for d in own])
     per_doc = np.array([len(f) for f in firsts])
@@ -181,7 +183,8 @@ def train(texts: list[str], labels: list[int], rounds: int = ROUNDS, toxic_share
     share = np.array([1 / (2 * (y == 0).sum()), 1 / (2 * (y == 1).sum())])[y.astype(int)][doc]
 
     def logits() -> np.ndarray:
-        value = np.add.reduceat((table @ (rows[1] - rows[0]))[buckets], starts) / counts
+        per_bucket = table @ (rows[1] - rows[0])
+        value = np.concatenate([np.add.reduceat(per_bucket[buckets[c:d]], ends[a:b] - counts[a:b] - c) / counts[a:b] for a, b, c, d in parts])
         total = np.concatenate([[0.0], np.cumsum(value[tokens] * bag)])
         return bias[1] - bias[0] + SCALE * (total[last] - total[first]) / size
 
@@ -195,7 +198,8 @@ def train(texts: list[str], labels: list[int], rounds: int = ROUNDS, toxic_share
         # Gradient per token: a running sum of what starts and ends there.
         flow = np.bincount(first, SCALE * g / size, len(tokens) + 1) - np.bincount(last, SCALE * g / size, len(tokens) + 1)
         per_word = np.bincount(tokens, np.cumsum(flow)[: len(tokens)] * bag, n_words)
-        per_bucket = np.bincount(buckets, np.repeat((per_word / counts).astype(np.float32), counts), BUCKETS).astype(np.float32)
+        share_of_row = per_word / counts
+        per_bucket = sum(np.bincount(buckets[c:d], np.repeat(share_of_row[a:b], counts[a:b]), BUCKETS) for a, b, c, d in parts).astype(np.float32)
         way = rows[1] - rows[0]
         to_way = per_bucket @ table
         grads = [np.outer(per_bucket, way) + np.float32(DECAY) * table, np.stack([-to_way, to_way]) + 1e-5 * rows, np.array([-g.sum(), g.sum()])]
