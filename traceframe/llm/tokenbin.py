@@ -41,14 +41,14 @@ from tokenizers import Tokenizer
 from traceframe.llm.common import Scratch, slices
 
 END_ID = 2
-LANES = 1024
+LANES = 2048
 TOTAL_BITS = 20  # frequencies add up to 2**20
 TOTAL = 1 << TOTAL_BITS
 CHECKPOINT = 256  # rows of LANES ids
-BLOCK_IDS = 1 << 19  # a block is closed once it holds so many
+BLOCK_IDS = 1 << 20  # a block is closed once it holds so many
 PART_IDS = 8 << 20  # ids behind one part
-KEPT_WORDS = 1_000_000  # pieces of text remembered by a worker
-LOW = np.uint64(1) << np.uint64(31)  # states stay in [2**31, 2**63)
+KEPT_WORDS = 1_600_000  # pieces of text remembered by a worker
+LOW = 1 << 31  # states stay in [2**31, 2**63)
 MAGIC = b"RANS"
 
 
@@ -189,40 +189,42 @@ def scaled(counts: dict[int, int]) -> dict[int, int]:
 
 
 class Table:
-    """Frequency, start and slot of ids for coding."""
+    """Frequency, start and slot of ids for coding; a state at or over ``limit`` gives up 32 bits first."""
 
     def __init__(self, frequencies: dict[int, int]):
         ids = np.array(sorted(frequencies), np.int64)
-        own = np.array([frequencies[i] for i in ids.tolist()], np.uint64)
+        own = np.array([frequencies[i] for i in ids.tolist()], np.int64)
         size = int(ids.max(initial=0)) + 1
-        self.frequency, self.start = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
+        self.frequency, self.start, self.limit = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, np.int64)
         self.frequency[ids] = own
         self.start[ids] = np.cumsum(own) - own
-        self.slot = np.repeat(ids.astype(np.uint32), own.astype(np.int64))
+        # With one id alone the limit would be 2**63, which no state reaches.
+        self.limit[ids] = np.where(own < TOTAL, own << (63 - TOTAL_BITS), np.iinfo(np.int64).max)
+        self.slot = np.repeat(ids.astype(np.int32), own)
 
 
 def encode_block(ids: np.ndarray, table: Table) -> bytes:
     """Code ids; the last row is padded with the first id of the block."""
     rows = -(-len(ids) // LANES)
-    whole = np.full(rows * LANES, ids[0], np.uint32)
+    whole = np.full(rows * LANES, ids[0], np.int64)
     whole[: len(ids)] = ids
     grid = whole.reshape(rows, LANES)
-    state = np.full(LANES, LOW, np.uint64)
-    shift, half = np.uint64(63 - TOTAL_BITS), np.uint64(32)
-    bits = np.uint64(TOTAL_BITS)
+    state = np.full(LANES, LOW, np.int64)
     words: list[np.ndarray] = []
     n = 0
     marks = []
     # Rows are coded from the last to the first, so that decoding goes from first to last.
     for r in range(rows - 1, -1, -1):
-        f, s = table.frequency[grid[r]], table.start[grid[r]]
-        full = state >= (f << shift)
-        if full.any():
-            words.append((state[full] & np.uint64(0xFFFFFFFF)).astype("<u4"))
-            n += len(words[-1])
-            state = np.where(full, state >> half, state)
-        whole_part = state // f
-        state = (whole_part << bits) + (state - whole_part * f) + s
+        own = grid[r]
+        full = np.flatnonzero(state >= table.limit.take(own))
+        if len(full):
+            some = state.take(full)
+            words.append((some & 0xFFFFFFFF).astype("<u4"))
+            n += len(full)
+            state[full] = some >> 32
+        f = table.frequency.take(own)
+        # state // f * TOTAL + state % f + start, with one division of positive numbers
+        state += (state.view(np.uint64) // f.view(np.uint64)).view(np.int64) * (TOTAL - f) + table.start.take(own)
         if r % CHECKPOINT == 0:
             marks.append((r, n, state.astype("<u8").tobytes()))
     stream = np.concatenate(words) if words else np.zeros(0, "<u4")
@@ -241,7 +243,7 @@ class Block:
         self.marks = []
         for i in range(marks):
             row, word = struct.unpack_from("<2I", data, at + i * size)
-            self.marks.append((row, word, np.frombuffer(data, "<u8", LANES, at + i * size + 8).astype(np.uint64)))
+            self.marks.append((row, word, np.frombuffer(data, "<u8", LANES, at + i * size + 8).astype(np.int64)))
         self.stream = np.frombuffer(data, "<u4", words, at + marks * size)
         self.rows = -(-self.n // LANES)
 
@@ -250,18 +252,19 @@ class Block:
         row, word, state = self.marks[i]
         last = self.marks[i + 1][0] if i + 1 < len(self.marks) else self.rows
         out = np.empty((last - row, LANES), np.uint32)
-        mask, bits, half = np.uint64(TOTAL - 1), np.uint64(TOTAL_BITS), np.uint64(32)
         state = state.copy()
         for r in range(last - row):
-            slot = state & mask
-            ids = table.slot[slot]
+            slot = state & (TOTAL - 1)
+            ids = table.slot.take(slot)
             out[r] = ids
-            state = table.frequency[ids] * (state >> bits) + slot - table.start[ids]
-            short = state < LOW
-            need = int(short.sum())
-            if need:
-                state[short] = (state[short] << half) | self.stream[word - need : word].astype(np.uint64)
-                word -= need
+            state >>= TOTAL_BITS
+            state *= table.frequency.take(ids)
+            state += slot
+            state -= table.start.take(ids)
+            short = np.flatnonzero(state < LOW)
+            if len(short):
+                state[short] = (state.take(short) << 32) | self.stream[word - len(short) : word]
+                word -= len(short)
         return out.reshape(-1)[: self.n - row * LANES]
 
     def decode(self, table: Table) -> np.ndarray:
@@ -332,8 +335,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences of ids in a task."""
     held = np.zeros(1 << 16, np.int64)
     for batch in batches:
-        for raw in batch.column("ids"):
-            own = np.bincount(unpacked(raw.as_py()))
+        texts = batch.column("ids")
+        sizes = pc.binary_length(texts).to_pylist() if batch.num_rows else []
+        for a, b in slices(sizes):
+            own = np.bincount(np.concatenate([unpacked(raw) for raw in texts[a:b].to_pylist()]))
             if len(own) > len(held):
                 held = np.pad(held, (0, len(own) - len(held)))
             held[: len(own)] += own
