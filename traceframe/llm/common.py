@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from traceframe.session import shared_folder
@@ -48,10 +47,6 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def slices(sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch whose texts hold at most ``limit`` bytes, or one longer text."""
     start = held = 0
@@ -67,7 +62,3 @@ def slices(sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
 def split_mod(column: str, of: int) -> Column:
     """crc32 of the decimal id modulo ``of``; null ids fall in no class."""
     return F.crc32(F.col(column).cast("string")) % of
-
-
-def columns_of(batch: pa.RecordBatch, *names: str) -> list[list]:
-    return [batch.column(n).to_pylist() for n in names]
