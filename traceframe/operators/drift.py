@@ -28,7 +28,12 @@ def ks_statistics(df: DataFrame, columns: list[str], is_reference: Column, bucke
     counts = long.groupBy("feature", "value").agg(
         F.count(F.when(F.col("_ref"), 1)).alias("a"), F.count(F.when(~F.col("_ref"), 1)).alias("b")
     )
-    ranked = running_totals(counts, wide_cuts(sides, columns, "feature", buckets), "feature", "value", ["a", "b"], buckets)
+    return _distances(counts, wide_cuts(sides, columns, "feature", buckets), buckets)
+
+
+def _distances(counts: DataFrame, cuts: DataFrame, buckets: int) -> DataFrame:
+    """Distance per feature from counts ``a`` and ``b`` per (feature, value)."""
+    ranked = running_totals(counts, cuts, "feature", "value", ["a", "b"], buckets)
     # One row per feature.
     totals = F.broadcast(counts.groupBy("feature").agg(F.sum("a").alias("n_reference"), F.sum("b").alias("n_current")))
     gap = F.abs(F.col("cum_a") / F.col("n_reference") - F.col("cum_b") / F.col("n_current"))
@@ -44,12 +49,31 @@ def ks_statistics(df: DataFrame, columns: list[str], is_reference: Column, bucke
     )
 
 
+def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """How often each value of each column occurs: feature, value, n."""
+    plain = df.select(*[(present(F.col(c).cast("double")) + F.lit(0.0)).alias(c) for c in columns])
+    long = unpivot(plain, [], columns, "feature", "value").filter(F.col("value").isNotNull())
+    return long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def feature_drift_of_counts(
+    reference: DataFrame, current: DataFrame, cuts: DataFrame, buckets: int, level: float = LEVEL, method: str = sig.SERIES
+) -> DataFrame:
+    """``feature_drift`` from the value counts of both sides; ``cuts`` has borders per feature."""
+    side = lambda df, own, other: df.select("feature", "value", F.col("n").alias(own), F.lit(0).cast("long").alias(other))
+    both = side(reference, "a", "b").unionByName(side(current, "b", "a")).groupBy("feature", "value").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    return _decided(_distances(both, cuts, buckets), level, method)
+
+
 def feature_drift(
     df: DataFrame, columns: list[str], is_reference: Column, level: float = LEVEL, buckets: int | None = None,
     method: str = sig.SERIES,
 ) -> DataFrame:
     """Distance, p-value, its method and decision per feature."""
-    d = ks_statistics(df, columns, is_reference, buckets)
+    return _decided(ks_statistics(df, columns, is_reference, buckets), level, method)
+
+
+def _decided(d: DataFrame, level: float, method: str) -> DataFrame:
     p = sig.ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"), method)
     return d.withColumn("ks_pvalue", p).withColumn("ks_method", F.lit(method)).withColumn("drifted", F.col("ks_pvalue") < level)
 

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from traceframe.operators.drift import drift_summary, feature_drift_of
+from traceframe.operators.drift import drift_summary, feature_drift_of_counts, value_counts
 from traceframe.operators.quality import row_rules
+from traceframe.plans.ranking import bucket_count, wide_cuts
 
 
 def _start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -21,10 +22,18 @@ def _start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoi
 
 
 def drift_monitor(stream: DataFrame, reference: DataFrame, columns: list[str], path: str, checkpoint: str) -> StreamingQuery:
-    """Compare every batch with a fixed reference; one summary row per batch."""
+    """Compare every batch with a fixed reference; one summary row per batch.
+
+    The reference is reduced to counts per value once, when the monitor starts, and stored
+    beside the checkpoint; a batch is read once and only its own values are counted.
+    """
+    spark, buckets = reference.sparkSession, bucket_count(reference)
+    value_counts(reference, columns).write.mode("overwrite").parquet(f"{checkpoint}-reference/counts")
+    wide_cuts(reference.select(*columns), columns, "feature", buckets).write.mode("overwrite").parquet(f"{checkpoint}-reference/cuts")
+    counts, cuts = (spark.read.parquet(f"{checkpoint}-reference/{part}") for part in ("counts", "cuts"))
 
     def check(batch: DataFrame, number: int) -> None:
-        found = feature_drift_of(reference, batch, columns)
+        found = feature_drift_of_counts(counts, value_counts(batch, columns), cuts, buckets)
         summary = drift_summary(found, len(columns), edge="upper").withColumn("batch", F.lit(number))
         summary.write.mode("overwrite").parquet(f"{path}/part={number}")
 
