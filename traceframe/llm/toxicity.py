@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from traceframe.llm.common import slices
 
-SAMPLE_DOCS = (5000, 2000)  # clean and toxic training documents; the bound on what the driver reads
-SAMPLE_BYTES = 100_000  # longer texts are scored but not learned from
-BUCKETS, WIDTH = 1 << 18, 8
+SAMPLE_DOCS = (3000, 1200)  # clean and toxic training documents; the bound on what the driver reads
+SAMPLE_BYTES = 50_000  # longer texts are scored but not learned from
+BUCKETS, WIDTH = 1 << 17, 8
 DECAY = 6e-5
 GRAMS = (3, 4, 5, 6)
 WINDOW, STEP = 32, 16
@@ -243,9 +243,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: tuple[int, int] = SAMPL
         return train([], [])
     spark = docs.sparkSession
     sent = F.broadcast(spark.createDataFrame(chosen, "doc_id long, toxic int"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES)).join(sent, "doc_id").select("doc_id", "text", "toxic").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    texts, marks = [r["text"] for r in rows], [r["toxic"] for r in rows]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES)).join(sent, "doc_id").select("doc_id", "text", "toxic")
+    # Partition by partition, so that the texts are held once.
+    rows = sorted(((r["doc_id"], r["text"], r["toxic"]) for r in rows.toLocalIterator()), key=lambda r: r[:2])
+    texts, marks = [r[1] for r in rows], [r[2] for r in rows]
     del rows
     share = total.get(1, 0) / max(1, sum(total.values()))
     return train(texts, marks, rounds, share)
