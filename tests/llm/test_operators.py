@@ -131,6 +131,46 @@ def test_substring_removal(docs, nothing, spark):
     assert substring.remove_repeats(nothing).count() == 0
 
 
+def test_substring_removal_with_many_fragments_of_one_anchor(spark):
+    draw = np.random.default_rng(8)
+    around = lambda n: "".join(draw.choice(list("abcdefghijklmnop"), n))
+    texts = [f"{around(60)}{PASSAGE}{around(60)}" for _ in range(300)]
+    for i in range(0, 90, 3):  # contexts that two documents share, and one that holds the passage twice
+        texts.append(around(40) + texts[i][35:] + (PASSAGE if i % 2 else around(9)))
+    data = [(i, t) for i, t in enumerate(texts)] + [(7, texts[9]), (7, PASSAGE + around(30))]
+    frame = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    first = {}
+    for i, text in data:
+        for a in range(len(text) - 49):
+            first[text[a : a + 50]] = min(first.get(text[a : a + 50], i), i)
+    want = []
+    for i, text in data:
+        gone = np.zeros(len(text), bool)
+        for a in range(len(text) - 49):
+            if first[text[a : a + 50]] < i:
+                gone[a : a + 50] = True
+        want.append((i, len(text), int(gone.sum()), hashlib.sha256(bytes(np.frombuffer(text.encode(), np.uint8)[~gone])).hexdigest()))
+    for frequent in (20, 10_000):
+        got = [(r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in substring.remove_repeats(frame, anchor_bytes=4000, frequent=frequent).collect()]
+        assert sorted(got) == sorted(want)
+
+    # No anchor above the bound is left to one task.
+    sent = spark.sparkContext.broadcast((8, np.full(32, 255, np.uint8)))
+    emitted = frame.selectExpr("doc_id", "cast(text as binary) text").mapInArrow(substring._emit_fragments(2, sent), "place int, doc_id long, crc long, data binary, most long").cache()
+    places, heavy = substring.heavy_anchors(emitted, 4000)
+
+    def weights(df):
+        held = Counter()
+        for r in df.collect():
+            for anchor, n in zip(*substring._weights(bytes(r.data)), strict=True):
+                held[int(anchor)] += int(n)
+        return held
+
+    every, left = weights(emitted.where("place is not null")), weights(substring.without_anchors(emitted, places, heavy))
+    assert heavy and heavy == {a for a, n in every.items() if n > 4000}
+    assert left == Counter({a: n for a, n in every.items() if a not in heavy})
+
+
 def test_bounded_prefixes_by_brute_force():
     draw = np.random.default_rng(5)
     for n, letters, length in ((300, 2, 6), (500, 3, 9), (64, 1, 50), (2, 2, 5)):

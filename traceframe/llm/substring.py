@@ -21,6 +21,9 @@ windows is one fragment of text.
    extension by one symbol, breadth first, splits intervals of suffixes and so derives common
    prefixes by increasing value; it stops at ``LENGTH``, and suffixes not parted by then start
    with the same window.
+   An anchor whose fragments weigh more than ``SUFFIX_BYTES`` is taken out of its range. Its
+   windows are dealt one by one, by a digest: counted with their least document, which every
+   task reduces first; windows that stand in very many places are then sent to all executors.
 5. Removed ranges are joined to their documents and cut out.
 
 Defined cases: a null text is empty; texts shorter than the window lose nothing; a row without
@@ -28,8 +31,8 @@ a doc_id is compared with none and loses nothing; rows that share a doc_id are n
 repeats of each other, whatever their texts; bytes are compared as they are, so a
 multi-byte sign may be cut; an empty table gives no rows; other columns are ignored.
 
-What one task holds grows with the different fragments around one anchor (the places where a
-shared passage begins or ends), not with its copies.
+What one task holds is bounded: an anchor with many different fragments around it (the places
+where a shared passage begins or ends) is dealt by windows, so its fragments need not meet.
 """
 
 from __future__ import annotations
@@ -55,7 +58,10 @@ RANGE_BYTES = 16 << 20  # text behind one hash range
 MAP_BITS = 30  # the bit map has at most 2**30 bits
 SENT_ROWS = 1_000_000  # rows sent to all executors once counted; more are joined by a shuffle
 SENT_BYTES = 64 << 20
-SUFFIX_BYTES = 4 << 20  # text of one transform; an anchor's fragments stay together
+SUFFIX_BYTES = 4 << 20  # text of one transform, and weight of an anchor from which it is dealt by windows
+ENTRY_BYTES = 64  # weight of a fragment's place, besides its text
+FREQUENT = 10_000  # places of a window from which it is sent to all executors, not shuffled
+WINDOWS = 1 << 16  # windows in a batch
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MASK = np.uint64((1 << HASH_BITS) - 1)
@@ -235,7 +241,10 @@ def _ranges_row(ids: np.ndarray, crcs: np.ndarray, start: np.ndarray, end: np.nd
     for a, b in zip(cut, [*cut[1:], len(ids)], strict=True):
         data.append(_pack(*united(start[a:b], end[a:b])))
     none = pa.nulls(len(cut), pa.int32())
-    return pa.RecordBatch.from_arrays([none, pa.array(ids[cut], pa.int64()), pa.array(crcs[cut], pa.int64()), pa.array(data, pa.binary())], names=["place", "doc_id", "crc", "data"])
+    return pa.RecordBatch.from_arrays(
+        [none, pa.array(ids[cut], pa.int64()), pa.array(crcs[cut], pa.int64()), pa.array(data, pa.binary()), pa.nulls(len(cut), pa.int64())],
+        names=["place", "doc_id", "crc", "data", "most"],
+    )
 
 
 def united(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -278,21 +287,36 @@ def _emit_fragments(bits: int, sent):
             for (anchor, text), (doc, places) in first.items():
                 rows_ = by_place.setdefault(anchor >> (HASH_BITS - bits), [])
                 rows_ += [(anchor, doc, crc, start, text if i == 0 else b"") for i, (crc, start) in enumerate(places)]
-            data = []
-            for rows_ in by_place.values():
-                anchor, doc, crc, start, size = (np.array(x, np.int64) for x in (*zip(*(r[:4] for r in rows_), strict=True), [len(r[4]) for r in rows_]))
-                head = _pack(anchor, doc, crc, start, size)
-                data.append(len(head).to_bytes(4, "little") + head + zstandard.compress(b"".join(r[4] for r in rows_), 1))
+            data = [_packed_fragments(rows_) for rows_ in by_place.values()]
             if data:
                 none = pa.nulls(len(data), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(list(by_place), pa.int32()), none, none, pa.array(data, pa.binary())], names=["place", "doc_id", "crc", "data"])
+                most = pa.array([int(_weights(x)[1].max()) for x in data], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(list(by_place), pa.int32()), none, none, pa.array(data, pa.binary()), most], names=["place", "doc_id", "crc", "data", "most"])
 
     return emit
 
 
+def _packed_fragments(rows: list[tuple[int, int, int, int, bytes]]) -> bytes:
+    anchor, doc, crc, start, size = (np.array(x, np.int64) for x in (*zip(*(r[:4] for r in rows), strict=True), [len(r[4]) for r in rows]))
+    head = _pack(anchor, doc, crc, start, size)
+    return len(head).to_bytes(4, "little") + head + zstandard.compress(b"".join(r[4] for r in rows), 1)
+
+
+def _heads(data: bytes) -> list[np.ndarray]:
+    """anchor, doc, crc, start and bytes of text of packed fragments."""
+    return _unpack(data[4 : 4 + int.from_bytes(data[:4], "little")], 5)
+
+
+def _weights(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors of packed fragments and what the fragments of each weigh."""
+    anchor, _, _, _, long = _heads(data)
+    own, at = np.unique(anchor, return_inverse=True)
+    return own, np.bincount(at, long + ENTRY_BYTES).astype(np.int64)
+
+
 def _fragments(data: bytes) -> Iterator[tuple[int, int, int, int, bytes]]:
     size = int.from_bytes(data[:4], "little")
-    anchor, doc, crc, start, long = (x.tolist() for x in _unpack(data[4 : 4 + size], 5))
+    anchor, doc, crc, start, long = (x.tolist() for x in _heads(data))
     text, at, last = zstandard.decompress(data[4 + size :]), 0, b""
     for a, d, c, s, n in zip(anchor, doc, crc, start, long, strict=True):
         if n:  # the places that follow without a text share it
@@ -345,6 +369,97 @@ def _by_transform(fragments: list[tuple[bytes, int, list]]) -> list[tuple[int, i
     return out
 
 
+# --- anchors with many fragments ------------------------------------------------------
+
+
+def heavy_anchors(emitted: DataFrame, limit: int) -> tuple[list[int], set[int]]:
+    """Ranges with anchors whose fragments weigh more than ``limit``, and those anchors.
+
+    The heaviest anchors of a range's rows add up to no less than its heaviest anchor, so other
+    ranges are not opened. An anchor found has ``limit`` bytes of text, so they are few.
+    """
+    sums = emitted.where("place is not null").groupBy("place").agg(F.sum("most").alias("most")).where(F.col("most") > limit)
+    places = [r["place"] for r in sums.collect()]  # one row per RANGE_BYTES of text at most
+    if not places:
+        return [], set()
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place, data in zip(batch.column("place"), batch.column("data"), strict=True):
+                anchor, weight = _weights(data.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array([place.as_py()] * len(anchor), pa.int32()), pa.array(anchor, pa.int64()), pa.array(weight, pa.int64())], names=["place", "anchor", "n"])
+
+    weighed = emitted.where(F.col("place").isin(places)).select("place", "data").mapInArrow(weigh, "place int, anchor long, n long")
+    found = weighed.groupBy("place", "anchor").agg(F.sum("n").alias("n")).where(F.col("n") > limit).collect()
+    return sorted({r["place"] for r in found}), {r["anchor"] for r in found}
+
+
+def without_anchors(emitted: DataFrame, places: list[int], heavy: set[int]) -> DataFrame:
+    """place, data of all fragments but those of ``heavy`` anchors."""
+    packed = emitted.where("place is not null").select("place", "data")
+    if not places:
+        return packed
+    sent = emitted.sparkSession.sparkContext.broadcast(heavy)
+
+    def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place, data in zip(batch.column("place"), batch.column("data"), strict=True):
+                out, last = [], b""
+                for a, d, c, s, text in _fragments(data.as_py()):
+                    if a not in sent.value:
+                        out.append((a, d, c, s, b"" if text is last else text))
+                    last = text
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array([place.as_py()], pa.int32()), pa.array([_packed_fragments(out)], pa.binary())], names=["place", "data"])
+
+    light = ~F.col("place").isin(places)
+    return packed.where(light).unionByName(packed.where(~light).mapInArrow(leave, "place int, data binary"))
+
+
+def by_windows(emitted: DataFrame, places: list[int], heavy: set[int], scratch: Scratch, frequent: int) -> DataFrame:
+    """doc_id, crc, data: ranges of windows in fragments of ``heavy`` anchors that a smaller document has as well."""
+    sent = emitted.sparkSession.sparkContext.broadcast(heavy)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, ids, crcs, ats = [], [], [], []
+
+        def dealt() -> pa.RecordBatch:
+            columns = [pa.array(names, pa.binary()), *(pa.array(x, pa.int64()) for x in (ids, crcs, ats))]
+            return pa.RecordBatch.from_arrays(columns, names=["window", "doc_id", "crc", "at"])
+
+        for batch in batches:
+            for data in batch.column("data"):
+                last, own = b"", []
+                for a, d, c, s, text in _fragments(data.as_py()):
+                    if a not in sent.value:
+                        continue
+                    if text is not last:
+                        last, own = text, [hashlib.blake2b(text[i : i + LENGTH], digest_size=16).digest() for i in range(len(text) - LENGTH + 1)]
+                    names += own
+                    ids += [d] * len(own)
+                    crcs += [c] * len(own)
+                    ats += range(s, s + len(own))
+                    if len(names) >= WINDOWS:
+                        yield dealt()
+                        names, ids, crcs, ats = [], [], [], []
+        yield dealt()
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, crcs, at = (batch.column(c).to_numpy() for c in ("doc_id", "crc", "at"))
+            yield _ranges_row(ids, crcs, at, at + LENGTH).select(["doc_id", "crc", "data"])
+
+    windows = emitted.where(F.col("place").isin(places)).select("data").mapInArrow(deal, "window binary, doc_id long, crc long, at long")
+    least = windows.groupBy("window").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    least = scratch.save(least.select("window", "n", "low"), "windows")
+    # Windows that stand in many places are few: no key of the shuffled join has more than ``frequent`` rows.
+    often = F.broadcast(least.where(F.col("n") > frequent).select("window", F.col("low").alias("often")))
+    marked = windows.join(often, "window", "left")
+    known = marked.where("often < doc_id").select("doc_id", "crc", "at")
+    others = marked.where("often is null").drop("often").join(least.where(F.col("n") <= frequent), "window").where("low < doc_id").select("doc_id", "crc", "at")
+    return known.unionByName(others).mapInArrow(unite, "doc_id long, crc long, data binary")
+
+
 # --- Burrows-Wheeler transform --------------------------------------------------------
 
 
@@ -453,8 +568,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "starts", "ends"])
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, starts, ends (removed byte ranges) of every row."""
+def remove_repeats(docs: DataFrame, anchor_bytes: int = SUFFIX_BYTES, frequent: int = FREQUENT) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, starts, ends (removed byte ranges) of every row.
+
+    Anchors whose fragments weigh more than ``anchor_bytes`` are dealt by windows.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark, "substring")
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
@@ -478,10 +596,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         held[row["place"] * width : (row["place"] + 1) * width] = np.frombuffer(zstandard.decompress(bytes(row["bits"])), np.uint8)
     sent = spark.sparkContext.broadcast((map_bits, held))
 
-    emitted = scratch.save(rest.mapInArrow(_emit_fragments(bits, sent), "place int, doc_id long, crc long, data binary"), "fragments")
+    emitted = scratch.save(rest.mapInArrow(_emit_fragments(bits, sent), "place int, doc_id long, crc long, data binary, most long"), "fragments")
     sent.unpersist()
-    resolved = emitted.where("place is not null").select("place", "data").groupBy("place").applyInArrow(_resolve, "doc_id long, crc long, data binary")
+    places, heavy = heavy_anchors(emitted, anchor_bytes)
+    resolved = without_anchors(emitted, places, heavy).groupBy("place").applyInArrow(_resolve, "doc_id long, crc long, data binary")
     ranges = emitted.where("place is null").select("doc_id", "crc", "data").unionByName(resolved)
+    if heavy:
+        ranges = ranges.unionByName(by_windows(emitted, places, heavy, scratch, frequent))
     ranges = scratch.save(ranges.groupBy("doc_id", "crc").agg(F.collect_list("data").alias("ranges")), "ranges")  # per document
     sizes = ranges.agg(F.count("*").alias("rows"), F.sum(F.aggregate("ranges", F.lit(0), lambda a, x: a + F.octet_length(x))).alias("size")).first()
 
