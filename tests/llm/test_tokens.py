@@ -2,6 +2,7 @@
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from traceframe.llm.tokenbin import Words
@@ -10,6 +11,11 @@ WORDS = Words(public_tokenizers.path("word_bpe_49k.json"))
 SIGNS = st.one_of(st.sampled_from(list("abcXYZ.,. ,'\n\t<|>0é́ΣİßÅK\xa0")), st.characters(blacklist_categories=("Cs",)))
 
 
+@pytest.mark.parametrize("text", ["a <|ENDOFTEXT|> b.", "A<|EndOfText|>, b", "A <|endoftext|>. B", "6 ÷. 2", "÷, x", "a÷. B 3 ÷.", "Ü. ÿ, Ø. ö."])
+def test_special_tokens_and_signs_among_letters(text):
+    assert WORDS.encode([text])[0] == np.array(WORDS.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 @settings(max_examples=600, deadline=None)
 @given(st.lists(st.text(alphabet=SIGNS, max_size=8), max_size=6))
 def test_pieces_give_the_ids_of_the_whole_text(pieces):

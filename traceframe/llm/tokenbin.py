@@ -60,7 +60,7 @@ _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f
 
 
 #: Full stop or comma that ends a piece but does not follow a letter.
-_APART = re.compile(r"[^a-z\xdf-\u024f][.,](?:\s|$)")
+_APART = re.compile(r"[^a-z\xdf-\xf6\xf8-\u024f][.,](?:\s|$)")
 
 
 class Words:
@@ -70,7 +70,8 @@ class Words:
     through the library once. It also lower-cases and parts letters from a full stop or
     comma, so this is done first, which leaves fewer pieces. Pieces of letters are encoded many
     at once: each is one word for the model, whose last id carries the mark of a word's
-    end. Texts with unusual spaces or a capital sigma go to the library whole.
+    end. Texts with unusual spaces or a capital sigma go to the library whole, and so do those in
+    which lower-casing makes or spoils a special token, as '<|EndOfText|>' is none.
 
     Two generations of pieces are kept; one not met while the younger fills up is dropped.
     """
@@ -80,6 +81,7 @@ class Words:
         self.ids: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         for token, i in vocabulary.items():
@@ -120,6 +122,9 @@ class Words:
                 cut.append(None)
                 continue
             plain = (text or "").lower()
+            if any(plain.count(t) != text.count(t) for t in self.special if text):
+                cut.append(None)
+                continue
             if not _APART.search(plain):
                 plain = plain.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n").replace(",\n", " ,\n")
                 if plain[-1:] in (".", ","):
