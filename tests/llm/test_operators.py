@@ -377,6 +377,18 @@ def test_language(spark, docs, nothing):
     assert langid.fit(nothing) is None
 
 
+def test_every_labelled_language_is_learned(spark, monkeypatch):
+    names = [f"l{i:02}" for i in range(70)]
+    data = [(i * 100 + k, chr(0x4E00 + 97 * i) * (4 + k), name) for i, name in enumerate(names) for k in range(3 if i else 4)]
+    data += [(None, "zzz", "rare")] * 3000  # rows that no slice by doc_id can part
+    frame = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    assert langid.fit(frame, sample_docs=3, steps=1).languages == [*names, "rare"]
+    seen = {}
+    monkeypatch.setattr(langid, "train", lambda texts, labels, steps: seen.update(labels=Counter(labels)))
+    langid.fit(frame, sample_docs=10)
+    assert set(seen["labels"]) == {*names, "rare"} and max(seen["labels"].values()) <= 9  # 640 documents among 71
+
+
 def test_network_gradients():
     draw = np.random.default_rng(1)
     net = langid.train([b"aaa", b"bbb"], ["x", "y"], steps=1)

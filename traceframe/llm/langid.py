@@ -22,13 +22,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from traceframe.llm.common import slices
 
-SAMPLE_DOCS = 400  # training documents of each language
+SAMPLE_DOCS = 400  # training documents of each language, of fewer languages than below
 SAMPLE_BYTES = 2000  # bytes of a training text that are read, from its middle
-LANGUAGES = 64  # most languages learned: those with the most training rows
+LANGUAGES = 64  # with more, the documents of so many are shared among all, and steps grow
 SEGMENT = 128
 STATE = 8  # units in each direction
 STEPS, BATCH, TRAIN_LENGTH = 260, 192, 48
@@ -143,7 +143,12 @@ def train(texts: list[bytes], labels: list[str], steps: int = STEPS, seed: int =
     )
     if n == 1:
         return net
-    own = [[np.frombuffer(t, np.uint8) for t, x in zip(texts, labels, strict=True) if x == name and t] for name in languages]
+    by_name: dict[str, list[np.ndarray]] = {name: [] for name in languages}
+    for text, name in zip(texts, labels, strict=True):
+        if text:
+            by_name[name].append(np.frombuffer(text, np.uint8))
+    own = list(by_name.values())
+    steps = max(steps, -(-steps * n // LANGUAGES))
     parts = [net.inputs, net.gates, net.new, net.out]
     first, second = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
     for step in range(1, steps + 1):
@@ -182,11 +187,12 @@ def predict(net: Network | None, texts: list[str | None]) -> list[tuple[str, flo
     last = np.cumsum(segments) - 1
     ends[last] = sizes - (segments - 1) * SEGMENT
     total = np.zeros((len(rows), len(net.languages)))
-    for a in range(0, len(flat), 2048):
-        codes = np.ascontiguousarray(flat[a : a + 2048].T)
-        mask = (np.arange(SEGMENT)[:, None] < ends[a : a + 2048]).astype(np.float32)
+    together = max(1, min(2048, 2048 * LANGUAGES // len(net.languages)))  # segments, for a bounded matrix
+    for a in range(0, len(flat), together):
+        codes = np.ascontiguousarray(flat[a : a + together].T)
+        mask = (np.arange(SEGMENT)[:, None] < ends[a : a + together]).astype(np.float32)
         found = net.probabilities(net.states(codes, mask))
-        np.add.at(total, owner[a : a + 2048], np.einsum("trl,tr->rl", found, mask))
+        np.add.at(total, owner[a : a + together], np.einsum("trl,tr->rl", found, mask))
     mean = total / sizes[:, None]
     best = mean.argmax(axis=1)
     for i, b, m in zip(rows, best, mean, strict=True):
@@ -195,21 +201,30 @@ def predict(net: Network | None, texts: list[str | None]) -> list[tuple[str, flo
 
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS) -> Network | None:
-    """Train on at most ``sample_docs`` documents of each of at most ``LANGUAGES`` languages.
+    """Train on all labelled languages, on at most ``sample_docs`` documents of each.
 
-    Chosen by a hash of their id; of each, ``SAMPLE_BYTES`` bytes from its middle are read.
+    With more than ``LANGUAGES`` languages, as many documents as of those are shared among all,
+    one of each at least. Chosen by a hash of their id; of each, ``SAMPLE_BYTES`` bytes from its middle are read.
     """
     known = docs.where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text")
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per language
+    each = max(1, min(sample_docs, sample_docs * LANGUAGES // max(1, len(counts))))
     middle = F.substring(F.col("text"), F.greatest(F.lit(1), ((F.length("text") - SAMPLE_BYTES) / 2).cast("int")), F.lit(SAMPLE_BYTES))
     ready = known.select("doc_id", "lang", middle.alias("text"), F.xxhash64(F.lit("language"), "doc_id", "lang").alias("draw"))
-    texts, labels = [], []
-    for row in sorted(counts, key=lambda r: r["lang"]):
-        share = min(1.0, 4 * sample_docs / row["n"])  # a slice by hash, large enough for the sample
-        own = ready.where((F.col("lang") == row["lang"]) & (F.pmod("draw", F.lit(1_000_000)) <= int(share * 1_000_000)))
-        for r in own.orderBy("draw", "doc_id").limit(sample_docs).select("text").collect():
-            texts.append(r["text"].encode("utf-8", "replace"))
-            labels.append(row["lang"])
+
+    def least(rows: DataFrame) -> list[tuple[str, str]]:
+        place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "text"))
+        found = rows.withColumn("place", place).where(F.col("place") <= each).select("lang", "place", "text").collect()
+        return [(r["lang"], r["text"]) for r in sorted(found, key=lambda r: (r["lang"], r["place"]))]
+
+    # A slice by hash, large enough for the sample.
+    slices_ = [(lang, int(min(1.0, max(4 * each, 50) / n) * 1_000_000)) for lang, n in counts.items()]
+    share = F.broadcast(docs.sparkSession.createDataFrame(slices_, "lang string, share int"))
+    chosen = least(ready.join(share, "lang").where(F.pmod("draw", F.lit(1_000_000)) <= F.col("share")))
+    missing = sorted(counts.keys() - {lang for lang, _ in chosen})  # rows that repeat one doc_id may all fall outside
+    if missing:
+        chosen += least(ready.where(F.col("lang").isin(missing)))
+    labels, texts = [lang for lang, _ in chosen], [text.encode("utf-8", "replace") for _, text in chosen]
     return train(texts, labels, steps)
 
 
