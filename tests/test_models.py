@@ -50,6 +50,28 @@ def test_search_is_repeatable(separable):
     assert first.refit(separable, separable.count()).transform(separable).count() == 300
 
 
+def test_registered_models_have_the_settings_of_the_reference(monkeypatch):
+    from traceframe.checks import learning
+
+    class Stop(Exception):
+        pass
+
+    seen = []
+
+    def held(*args, **kwargs):
+        seen.append((args, kwargs))
+        raise Stop
+
+    monkeypatch.setattr(learning, "_assembled", lambda spark, sf, k=3: k)
+    monkeypatch.setattr(learning, "_fit", held)
+    monkeypatch.setattr(learning.tr, "search", held)
+    for run in (learning.gradient_boosting, learning.boosted_scoring, learning.parameter_search):
+        with pytest.raises(Stop):
+            run(None, None)
+    boosted = (3, "GradientBoosting", {"n_estimators": 100, "max_depth": 5})
+    assert seen == [(boosted, {}), (boosted, {}), ((5, ["RandomForest", "GradientBoosting", "LogisticRegression"], 30), {"n_folds": 5})]
+
+
 def test_draws_stay_inside_their_space():
     for kind, space in tr.SPACES.items():
         for trial in range(20):

@@ -9,11 +9,11 @@ from traceframe.sources import roles
 COLUMNS = [f"{c}_scaled" for c in HANDCRAFTED]
 
 
-def _assembled(spark, sf):
+def _assembled(spark, sf, k=3):
     """Stored features with split, fold and weight, read by all fits."""
     feats = cut_lineage(ft.extract(roles.traces(spark, sf)), "features")
     scaled = ft.standardise(feats, HANDCRAFTED)
-    return tr.assemble(cut_lineage(sampling.training_assignment(scaled, "class_label", ["trace_id"], k=3), "training"), COLUMNS)
+    return tr.assemble(cut_lineage(sampling.training_assignment(scaled, "class_label", ["trace_id"], k=k), "training"), COLUMNS)
 
 
 def _fit(df, model_type, params):
@@ -57,7 +57,7 @@ def random_forest(spark, sf):
 
 @query("gradient_boosting")
 def gradient_boosting(spark, sf):
-    return _metrics(spark, sf, "GradientBoosting", {"n_estimators": 5, "max_depth": 3})
+    return _metrics(spark, sf, "GradientBoosting", {"n_estimators": 100, "max_depth": 5})
 
 
 @query("feature_importance")
@@ -74,13 +74,9 @@ def coefficient_importance(spark, sf):
 
 @query("parameter_search")
 def parameter_search(spark, sf):
-    """Two trials for each of two model types over three folds."""
-    small = {
-        "DecisionTree": tr.SPACES["DecisionTree"],
-        "LogisticRegression": tr.SPACES["LogisticRegression"],
-    }
-    df = _assembled(spark, sf)
-    found = tr.search(df, list(small), 2, n_folds=3, spaces=small)
+    """Thirty trials for each of three model types over five folds."""
+    df = _assembled(spark, sf, k=5)
+    found = tr.search(df, ["RandomForest", "GradientBoosting", "LogisticRegression"], 30, n_folds=5)
     return rounded(
         found.trials.select("model_type", "trial", "value", F.lit(found.best_type).alias("best_type")), 4
     )
@@ -98,7 +94,7 @@ def table_scoring(spark, sf):
 def boosted_scoring(spark, sf):
     """A model without probabilities: class shares come from its raw scores."""
     df = _assembled(spark, sf)
-    model = _fit(df, "GradientBoosting", {"n_estimators": 3, "max_depth": 3})
+    model = _fit(df, "GradientBoosting", {"n_estimators": 100, "max_depth": 5})
     scored = scoring.score_table(model, df.select("trace_id", *COLUMNS), COLUMNS)
     return rounded(scored.select("trace_id", "predicted_class", "prob_normal", "prob_anomaly", "prob_boundary", "confidence"), 4)
 
