@@ -62,3 +62,11 @@ def slices(sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
 def split_mod(column: str, of: int) -> Column:
     """crc32 of the decimal id modulo ``of``; null ids fall in no class."""
     return F.crc32(F.col(column).cast("string")) % of
+
+
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

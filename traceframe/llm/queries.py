@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from traceframe.llm import decontaminate, langid, neardup, packing, pii, sharding, substring, tokenbin, topk, toxicity
+from traceframe.llm import centroids, decontaminate, infill, langid, linededup, neardup, packing, pii, sharding, substring, tokenbin, topk, toxicity
 from traceframe.llm.common import split_mod, table
 from traceframe.session import shared_folder
 
@@ -197,3 +197,74 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     return sharding.shard(docs, size=F.col("n_bytes"))
+
+
+def _lloyd_sql(k: int, rounds: int) -> str:
+    """The rounds of centroid clustering, one pair of common table expressions each."""
+    def near(centroids: str) -> str:
+        return f"""(
+      SELECT vec_id, g, arg_min(j, (d, j)) AS j, min(d) AS d FROM (
+        SELECT vec_id, g, j, list_sum(list_transform(list_zip(g, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM v, {centroids})
+      GROUP BY vec_id, g)"""
+
+    steps = [
+        f"""a{i} AS MATERIALIZED {near(f"c{i}")},
+    m{i} AS (SELECT j, pos, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n FROM (SELECT j, unnest(g) AS x, unnest(range(1, 65)) AS pos FROM a{i}) GROUP BY j, pos),
+    u{i} AS (SELECT j, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY pos) AS c FROM m{i} GROUP BY j),
+    c{i + 1} AS MATERIALIZED (SELECT o.j, coalesce(u.c, o.c) AS c FROM c{i} o LEFT JOIN u{i} u USING (j))"""
+        for i in range(rounds)
+    ]
+    return f"""
+    WITH v AS MATERIALIZED (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS g FROM embeddings
+      WHERE embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    c0 AS MATERIALIZED (
+      SELECT (row_number() OVER (ORDER BY h))::INT - 1 AS j, g AS c FROM (SELECT g, sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h FROM v ORDER BY h LIMIT {k})),
+    {", ".join(steps)},
+    z AS MATERIALIZED {near(f"c{rounds}")}
+    SELECT vec_id, j::INT AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY j))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+      sha256(array_to_string(c, ',')) AS centroid_sha256 FROM z JOIN c{rounds} USING (j)
+    """
+
+
+@query("op11_centroid_clustering", _lloyd_sql(40, 5))
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2))
+
+
+@query(
+    "op12_line_dedup",
+    r"""
+    WITH l AS (SELECT doc_id, unnest(s) AS line, unnest(range(len(s))) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)),
+    k AS (SELECT doc_id, i, line, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    f AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+    m AS (SELECT k.doc_id, i, line, f.key IS NOT NULL AND k.doc_id < f.last AS gone FROM k LEFT JOIN f USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+    FROM m GROUP BY doc_id
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.drop_shared_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=20, min_docs=3)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    "op13_fill_in_middle",
+    r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    u AS (SELECT doc_id, t, regexp_extract_all(t, '[^
+]*
+|[^
+]+') AS u, [('0x' || substr(h, 8 * i + 1, 8))::BIGINT for i in range(4)] AS h FROM d),
+    c AS (SELECT *, len(u) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+      CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 100 THEN 'plain' WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+    p AS (SELECT *, coalesce(array_to_string(u[1 : a], ''), '') AS prefix, coalesce(array_to_string(u[a + 1 : b], ''), '') AS middle, coalesce(array_to_string(u[b + 1 : n], ''), '') AS suffix FROM c)
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+      sha256(t) AS restored_sha256 FROM p
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), seed=7, percent=100, spm_percent=50)
+    restored = infill.restored(F.col("output"), F.col("form"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
