@@ -24,11 +24,13 @@ digest of their text; an empty table gives empty files and no rows; other column
 
 from __future__ import annotations
 
-import json
 import re
 import struct
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,82 +59,98 @@ MAGIC = b"RANS"
 
 #: Signs that this module and the tokenizer may not both take for white space.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-
+_ODD_ASCII = "\x1c\x1d\x1e\x1f"
 
 #: Full stop or comma that ends a piece but does not follow a letter.
-_APART = re.compile(r"[^a-z\xdf-\xf6\xf8-\u024f][.,](?:\s|$)")
+_APART = re.compile(r"[.,](?<![a-z\xdf-\xf6\xf8-\u024f][.,])(?:\s|$)")
+
+#: Letters and then ASCII signs without an apostrophe: two pieces for the tokenizer.
+_TAILED = re.compile(r"([a-z\xdf-\xf6\xf8-\u024f]+)([!-&(-/:-@\[-`{-~]+)")
+
+#: Byte-level vocabularies write bytes that are no visible sign as the code points from 256 on, in order.
+_VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SIGN_OF_BYTE = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+
+#: Words on which the model alone must agree with the whole tokenizer.
+_TRIAL = ["a", "hello", "zebrafinch", "z\xfcrich", "stra\xdfe", "\xe9\xe8\xea", "\u65e5\u672c\u8a9e", "qzx" * 15]
 
 
 class Words:
     """Ids (u32, little endian) per piece of text between white space.
 
     The tokenizer drops white space and never joins over it, so every distinct piece goes
-    through the library once. It also lower-cases and parts letters from a full stop or
-    comma, so this is done first, which leaves fewer pieces. Pieces of letters are encoded many
-    at once: each is one word for the model, whose last id carries the mark of a word's
-    end. Texts with unusual spaces or a capital sigma go to the library whole, and so do those in
-    which lower-casing makes or spoils a special token, as '<|EndOfText|>' is none.
+    through the library once. It also lower-cases and parts letters from signs, so this is done
+    first, which leaves fewer pieces. A piece of letters is one word for the library's model, which is
+    asked directly (if it agrees with the whole tokenizer on some trial words). Texts with
+    unusual spaces, a capital sigma or a dotted capital I go to the library whole, and so do those in which lower-casing
+    makes or spoils a special token, as '<|EndOfText|>' is none.
 
     Two generations of pieces are kept; one not met while the younger fills up is dropped.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.ids: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
-        for token, i in vocabulary.items():
-            self.ends[i] = bool(suffix) and token.endswith(suffix)
+        self.direct = [self.word(w) for w in _TRIAL] == self.library(_TRIAL)
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def words(self, pieces: list[str], together: int = 512) -> list[bytes]:
-        """Ids of pieces of letters, encoded many at once; one by one where ends of words don't add up."""
-        out = []
-        for i in range(0, len(pieces), together):
-            part = pieces[i : i + together]
-            joined = self.library([" ".join(part)])[0]
-            cut = (np.nonzero(self.ends[np.frombuffer(joined, "<u4")])[0] + 1) * 4
-            if len(cut) == len(part) and cut[-1] == len(joined):
-                out += [joined[a:b] for a, b in zip([0, *cut[:-1].tolist()], cut.tolist(), strict=True)]
-            else:
-                out += self.library(part)
-        return out
+    def word(self, letters: str) -> bytes:
+        """Ids of a piece of letters by the model alone."""
+        if not letters.isascii():
+            letters = letters.encode("utf-8").decode("latin-1").translate(_SIGN_OF_BYTE)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
-    def learn(self, seen: set[str]) -> None:
-        fresh = seen - self.ids.keys()
+    def learn(self, fresh: set[str]) -> None:
+        """Ids of pieces that the younger generation does not hold."""
         if len(self.ids) + len(fresh) > KEPT_WORDS // 2:
-            self.older, self.ids, fresh = self.ids, {}, set(seen)
+            self.older, self.ids = self.ids, {}
         known = fresh & self.older.keys()
         self.ids.update((p, self.older[p]) for p in known)
-        fresh -= known
-        letters = [p for p in fresh if p.isalpha()]
-        others = list(fresh.difference(letters))
-        self.ids.update(zip(letters, self.words(letters), strict=True))
+        fresh = fresh - known
+        tailed = {p: m.groups() for p in fresh if (m := _TAILED.fullmatch(p))}
+        whole = fresh.difference(tailed).union(*tailed.values()).difference(self.ids)
+        letters = [p for p in whole if self.direct and p.isalpha() and (p.isascii() or unicodedata.is_normalized("NFC", p))]
+        others = list(whole.difference(letters))
+        self.ids.update(zip(letters, map(self.word, letters), strict=True))
         self.ids.update(zip(others, self.library(others), strict=True))
+        self.ids.update((p, self.ids[a] + self.ids[b]) for p, (a, b) in tailed.items())
+
+    def cut(self, text: str | None) -> list[str] | None:
+        """The pieces of a text, or None if the library must have it whole."""
+        if not text:
+            return []
+        if any(c in text for c in _ODD_ASCII) if text.isascii() else "\u03a3" in text or "\u0130" in text or _ODD_SPACE.search(text):
+            return None
+        plain = text.lower()
+        if any(plain.count(t) != text.count(t) for t in self.special):
+            return None
+        if not _APART.search(plain):
+            plain = plain.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n").replace(",\n", " ,\n")
+            if plain[-1:] in (".", ","):
+                plain = f"{plain[:-1]} {plain[-1]}"
+        return plain.split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut: list[list[str] | None] = []
-        for text in texts:
-            if text and ("\u03a3" in text or _ODD_SPACE.search(text)):
-                cut.append(None)
-                continue
-            plain = (text or "").lower()
-            if any(plain.count(t) != text.count(t) for t in self.special if text):
-                cut.append(None)
-                continue
-            if not _APART.search(plain):
-                plain = plain.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n").replace(",\n", " ,\n")
-                if plain[-1:] in (".", ","):
-                    plain = f"{plain[:-1]} {plain[-1]}"
-            cut.append(plain.split())
-        self.learn(set().union(*(c for c in cut if c)))
-        get = self.ids.__getitem__
-        return [self.library([t])[0] if own is None else b"".join(map(get, own)) for t, own in zip(texts, cut, strict=True)]
+        cut = [self.cut(t) for t in texts]
+        flat = list(chain.from_iterable(c for c in cut if c))
+        found = list(map(self.ids.get, flat))
+        if None in found:
+            self.learn({p for p, ids in zip(flat, found, strict=True) if ids is None})
+            get = self.ids.__getitem__
+            found = [get(p) if ids is None else ids for p, ids in zip(flat, found, strict=True)]
+        out, at = [], 0
+        for text, own in zip(texts, cut, strict=True):
+            if own is None:
+                out.append(self.library([text])[0])
+            else:
+                out.append(b"".join(found[at : at + len(own)]))
+                at += len(own)
+        return out
 
 
 _WORDS: dict[str, Words] = {}
