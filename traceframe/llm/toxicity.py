@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from traceframe.llm.common import slices
 
-SAMPLE_DOCS = (3000, 1200)  # clean and toxic training documents; the bound on what the driver reads
-SAMPLE_BYTES = 50_000  # longer texts are scored but not learned from
-BUCKETS, WIDTH = 1 << 17, 8
+SAMPLE_DOCS = (5000, 2000)  # clean and toxic training documents,
+SAMPLE_BYTES = (12 << 20, 6 << 20)  # and bytes of their texts: the bounds on what the driver reads
+BUCKETS, WIDTH = 1 << 18, 8
 DECAY = 6e-5
 GRAMS = (3, 4, 5, 6)
 WINDOW, STEP = 32, 16
@@ -67,7 +67,7 @@ def _subwords(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(vocabulary)), sizes)
     rolled = np.zeros(len(codes), np.uint64)
     found, owners = [], []
-    for n in range(1, max(GRAMS) + 1):
+    for n in range(1, min(max(GRAMS), len(codes)) + 1):
         rolled[: len(codes) - n + 1] = rolled[: len(codes) - n + 1] * _PRIME + codes[n - 1 :]
         if n in GRAMS:
             whole = (place + n) <= ends
@@ -136,15 +136,21 @@ class _Adam:
         self.t = 0
 
     def steps(self, grads: list[np.ndarray], rate: float) -> list[np.ndarray]:
+        """Steps to subtract; the gradients are used up."""
         self.t += 1
-        out = []
         for m, v, g in zip(self.first, self.second, grads, strict=True):
             m *= 0.9
             m += 0.1 * g
             v *= 0.99
-            v += 0.01 * g * g
-            out.append(rate * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.99**self.t)) + 1e-8))
-        return out
+            np.square(g, out=g)
+            g *= 0.01
+            v += g
+            np.divide(v, 1 - 0.99**self.t, out=g)
+            np.sqrt(g, out=g)
+            g += 1e-8
+            np.divide(m, g, out=g)
+            g *= rate / (1 - 0.9**self.t)
+        return grads
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -157,7 +163,10 @@ def train(texts: list[str], labels: list[int], rounds: int = ROUNDS, toxic_share
     if len(set(labels)) < 2:
         return Model(np.zeros(BUCKETS), 0.0, 0.0, 0.0, constant=float(y.mean()) if len(y) else 0.0)
     ids: dict[bytes, int] = {}
-    own = [np.array([ids.setdefault(w, len(ids)) for w in words(t)], np.int64) for t in texts]
+    own = []
+    for i, text in enumerate(texts):
+        own.append(np.array([ids.setdefault(w, len(ids)) for w in words(text)], np.int32))
+        texts[i] = ""  # only the words' numbers are held from here on
     buckets, counts = subwords(list(ids))
     n_words = len(ids)
     del ids
@@ -185,7 +194,9 @@ def train(texts: list[str], labels: list[int], rounds: int = ROUNDS, toxic_share
     def logits() -> np.ndarray:
         per_bucket = table @ (rows[1] - rows[0])
         value = np.concatenate([np.add.reduceat(per_bucket[buckets[c:d]], ends[a:b] - counts[a:b] - c) / counts[a:b] for a, b, c, d in parts])
-        total = np.concatenate([[0.0], np.cumsum(value[tokens] * bag)])
+        total = np.zeros(len(tokens) + 1)
+        np.multiply(value[tokens], bag, out=total[1:])
+        np.cumsum(total, out=total)
         return bias[1] - bias[0] + SCALE * (total[last] - total[first]) / size
 
     for i in range(rounds):
@@ -196,13 +207,20 @@ def train(texts: list[str], labels: list[int], rounds: int = ROUNDS, toxic_share
         blend = np.where(mark == 1, (1 - focus) * even + focus * keen, 0.5 * even + 0.5 * keen)
         g = share * blend * (p - mark)
         # Gradient per token: a running sum of what starts and ends there.
-        flow = np.bincount(first, SCALE * g / size, len(tokens) + 1) - np.bincount(last, SCALE * g / size, len(tokens) + 1)
-        per_word = np.bincount(tokens, np.cumsum(flow)[: len(tokens)] * bag, n_words)
+        flow = np.bincount(first, SCALE * g / size, len(tokens) + 1)
+        flow -= np.bincount(last, SCALE * g / size, len(tokens) + 1)
+        np.cumsum(flow, out=flow)
+        flow[:-1] *= bag
+        per_word = np.bincount(tokens, flow[:-1], n_words)
         share_of_row = per_word / counts
-        per_bucket = sum(np.bincount(buckets[c:d], np.repeat(share_of_row[a:b], counts[a:b]), BUCKETS) for a, b, c, d in parts).astype(np.float32)
+        per_bucket = np.zeros(BUCKETS, np.float32)
+        for a, b, c, d in parts:
+            per_bucket += np.bincount(buckets[c:d], np.repeat(share_of_row[a:b], counts[a:b]), BUCKETS)
         way = rows[1] - rows[0]
         to_way = per_bucket @ table
-        grads = [np.outer(per_bucket, way) + np.float32(DECAY) * table, np.stack([-to_way, to_way]) + 1e-5 * rows, np.array([-g.sum(), g.sum()])]
+        pull = np.outer(per_bucket, way)
+        pull += np.float32(DECAY) * table
+        grads = [pull, np.stack([-to_way, to_way]) + np.float32(1e-5) * rows, np.array([-g.sum(), g.sum()], np.float32)]
         for part, step in zip((table, rows, bias), adam.steps(grads, 0.05 if i < rounds * 2 // 3 else 0.015), strict=True):
             part -= step
 
@@ -226,28 +244,35 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(at[0]), float(at[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: tuple[int, int] = SAMPLE_DOCS, rounds: int = ROUNDS) -> Model:
-    """Train on at most ``sample_docs`` labelled documents (clean, toxic), chosen by a hash of their id.
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: tuple[int, int] = SAMPLE_DOCS, rounds: int = ROUNDS, sample_bytes: tuple[int, int] = SAMPLE_BYTES) -> Model:
+    """Train on labelled documents (clean, toxic) in the order of a hash of their id, up to ``sample_docs`` or ``sample_bytes``.
 
-    ``docs`` has doc_id, text; ``labels`` has doc_id, toxic. Only ids and labels are ordered,
-    then the chosen texts are fetched.
+    ``docs`` has doc_id, text; ``labels`` has doc_id, toxic. Only ids, sizes and labels are ordered,
+    then the chosen texts are fetched whole, one row per id. Texts of any length can be chosen:
+    the first of each label always is, the others as long as the texts before them leave room.
     """
     marked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("high"))
     marked = marked.where("toxic = high").select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)")
-    known = docs.where("text is not null").where(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id").distinct().join(marked, "doc_id")
+    known = docs.where("text is not null").groupBy("doc_id").agg(F.max(F.octet_length("text")).alias("bytes")).join(marked, "doc_id")
     ranked = known.withColumn("draw", F.xxhash64(F.lit("toxicity"), "doc_id"))
     total = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     picked = [ranked.where(F.col("toxic") == t).orderBy("draw", "doc_id").limit(sample_docs[t]) for t in (0, 1)]
-    chosen = [(r["doc_id"], r["toxic"]) for p in picked for r in p.select("doc_id", "toxic").collect()]
+    chosen = []
+    for p, room in zip(picked, sample_bytes, strict=True):
+        used = 0
+        for r in p.select("doc_id", "toxic", "bytes").collect():
+            if used == 0 or used + r["bytes"] <= room:
+                chosen.append((r["doc_id"], r["toxic"]))
+                used += r["bytes"]
     if not chosen:
         return train([], [])
     spark = docs.sparkSession
     sent = F.broadcast(spark.createDataFrame(chosen, "doc_id long, toxic int"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES)).join(sent, "doc_id").select("doc_id", "text", "toxic")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").join(sent, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     # Partition by partition, so that the texts are held once.
     rows = sorted(((r["doc_id"], r["text"], r["toxic"]) for r in rows.toLocalIterator()), key=lambda r: r[:2])
     texts, marks = [r[1] for r in rows], [r[2] for r in rows]
-    del rows
+    rows.clear()
     share = total.get(1, 0) / max(1, sum(total.values()))
     return train(texts, marks, rounds, share)
 
