@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 THRESHOLD = 0.5
+CHUNK = 256  # matches handled together
 NEAR = 40  # code points of context on either side
 
 # Patterns. A run that failed as a whole would fail from each of its places, so a match
@@ -92,8 +93,25 @@ def _valid(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
-def _proposed(pieces: Column, matches: Column) -> Column:
-    """array<struct<start, end, match, near>> from the pieces between matches and the matches."""
+def _in_chunks(items: Column) -> Column:
+    """An array as an array of arrays of at most ``CHUNK``, so that what grows item by item stays short."""
+    return F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(items) - 1, F.lit(0)) / CHUNK).cast("int")), lambda i: F.slice(items, i * CHUNK + 1, F.lit(CHUNK)))
+
+
+def _sums_before(values: Column) -> Column:
+    """For every value the sum of those before it; for short arrays, since it copies as it goes."""
+    begin = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(values, begin, lambda acc, v: F.struct((acc["sum"] + v).alias("sum"), F.concat(acc["out"], F.array(acc["sum"])).alias("out")), lambda acc: acc["out"])
+
+
+def _aligned(kind: str) -> list[Column]:
+    """The piece before each match, the match, and the piece after it."""
+    pieces, matches = F.col(f"__p_{kind}"), F.col(f"__m_{kind}")
+    return [F.slice(pieces, F.lit(1), F.size(matches)).alias("piece"), matches.alias("match"), F.slice(pieces, F.lit(2), F.size(matches)).alias("after")]
+
+
+def _placed(pairs: Column) -> Column:
+    """Chunks of matches: array<struct<at, out>> of a chunk's length and its (start, end, match, near), counted from its start."""
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,match:string,near:string>>").alias("out"))
 
     def add(acc: Column, pair: Column) -> Column:
@@ -103,8 +121,14 @@ def _proposed(pieces: Column, matches: Column) -> Column:
         span = F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match"), F.lower(near).alias("near"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-    aligned = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(matches)).alias("piece"), matches.alias("match"), F.slice(pieces, F.lit(2), F.size(matches)).alias("after"))
-    return F.aggregate(aligned, begin, add, lambda acc: acc["out"])
+    return F.transform(_in_chunks(pairs), lambda c: F.aggregate(c, begin, add))
+
+
+def _proposed(chunks: Column) -> Column:
+    """array<struct<start, end, match, near>> of a text, from its chunks."""
+    before = _sums_before(F.transform(chunks, lambda c: c["at"]))
+    moved = lambda c, by: F.transform(c["out"], lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["match"].alias("match"), s["near"].alias("near")))
+    return F.flatten(F.zip_with(chunks, before, moved))
 
 
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,score:double>>"
@@ -135,9 +159,11 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     # Only texts with a match are read once more, for the pieces between matches.
     some = {kind: F.size(f"__m_{kind}") > 0 for kind in KINDS}
     split = matched.select(*own, *[f"__m_{kind}" for kind in KINDS], *[F.when(some[kind], F.split(whole, KINDS[kind][0], -1)).alias(f"__p_{kind}") for kind in KINDS])
+    pairs = split.select(*own, *[F.when(some[kind], F.arrays_zip(*_aligned(kind))).alias(f"__a_{kind}") for kind in KINDS])
+    placed = pairs.select(*own, *[F.when(F.col(f"__a_{kind}").isNotNull(), _placed(F.col(f"__a_{kind}"))).alias(f"__c_{kind}") for kind in KINDS])
     none = F.array().cast(SPAN)
-    spans = [F.when(some[kind], _confirmed(_proposed(F.col(f"__p_{kind}"), F.col(f"__m_{kind}")), kind)).otherwise(none) for kind in KINDS]
-    return split.select(*own, F.array_sort(F.concat(*spans)).alias("pii"))
+    spans = [F.when(F.col(f"__c_{kind}").isNotNull(), _confirmed(_proposed(F.col(f"__c_{kind}")), kind)).otherwise(none) for kind in KINDS]
+    return placed.select(*own, F.array_sort(F.concat(*spans)).alias("pii"))
 
 
 def listed(spans: Column) -> Column:
@@ -150,16 +176,38 @@ def of_kinds(spans: Column, *kinds: str) -> Column:
 
 
 def mask(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in angle brackets; overlaps are one span, named by the first."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def add(acc: Column, s: Column) -> Column:
-        skip = s["start"] < acc["at"]
-        plain = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(skip, acc["out"]).otherwise(F.concat(acc["out"], plain, F.lit("<"), F.upper(s["kind"]), F.lit(">"))).alias("out"),
-        )
-
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, begin, add, rest))
+    """The text with every span replaced by its kind in angle brackets; overlaps are one span, named by the first.
+
+    Spans are taken in chunks, each with its own part of the text: from where the spans before end to
+    where its own do. What a lambda uses more than once is carried in its arguments, as
+    anything else would be worked out anew for every item.
+    """
+    chunks = _in_chunks(spans)
+    reach = F.transform(chunks, lambda c: F.coalesce(F.array_max(F.transform(c, lambda s: s["end"])), F.lit(0)))
+    begin = F.struct(F.lit(0).alias("top"), F.array().cast("array<struct<base:int,top:int>>").alias("out"))
+
+    def widen(acc: Column, end: Column) -> Column:
+        top = F.greatest(acc["top"], end)
+        return F.struct(top.alias("top"), F.concat(acc["out"], F.array(F.struct(acc["top"].alias("base"), top.alias("top")))).alias("out"))
+
+    edges = F.aggregate(reach, begin, widen, lambda acc: acc["out"])
+
+    def masked(c: Column, edge: Column) -> Column:
+        own = F.substring(text, edge["base"] + 1, edge["top"] - edge["base"])
+        start = F.struct(edge["base"].alias("at"), F.lit("").alias("out"), own.alias("own"), edge["base"].alias("base"))
+
+        def add(acc: Column, s: Column) -> Column:
+            skip = s["start"] < acc["at"]
+            plain = F.substring(acc["own"], acc["at"] - acc["base"] + 1, s["start"] - acc["at"])
+            return F.struct(
+                F.greatest(acc["at"], s["end"]).alias("at"),
+                F.when(skip, acc["out"]).otherwise(F.concat(acc["out"], plain, F.lit("<"), F.upper(s["kind"]), F.lit(">"))).alias("out"),
+                acc["own"].alias("own"),
+                acc["base"].alias("base"),
+            )
+
+        return F.aggregate(c, start, add, lambda acc: acc["out"])
+
+    parts = F.zip_with(chunks, edges, masked)
+    last = F.element_at(edges, -1)["top"]
+    return F.when(F.size(spans) == 0, text).otherwise(F.concat(F.array_join(parts, ""), F.substring(text, last + 1, F.length(text))))
