@@ -14,12 +14,14 @@ k-th best of all rows is not lower. So counts are a few rows per query and task.
 Defined cases: a vector that is null, has null or non-finite components, or no id takes no
 part; only vectors of the same length are compared; the query's own rows are those with its
 id; a query that stands in several equal rows is asked once, candidates count row by
-row; fewer candidates than k are all returned; scores beyond 62 bits raise an error; an
-empty table gives no rows; other columns are ignored.
+row; fewer candidates than k are all returned; vectors whose squared length exceeds 61 bits are
+scored in Python integers, so that no finite vector ends the job, and ranked with the others; a
+score beyond 64 bits is null; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,13 +35,25 @@ BLOCK = 2048  # queries asked at once
 CELLS = 512  # cells of a histogram
 CHUNK = 1024  # candidates scored at once
 SALTS = 32
+NARROW = float(1 << 61)  # squared length of vectors that are scored in 64 bits
 
 
 def grid(vector: Column, scale: int = 256) -> Column:
     """floor(scale * x) of every component as a long; null unless all are finite."""
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     cells = F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    return F.when(vector.isNotNull() & fine, cells)
+    return F.when(vector.isNotNull() & fine & (_length(vector, scale) <= NARROW), cells)
+
+
+def _length(vector: Column, scale: int) -> Column:
+    """Squared length on the grid as a double; infinite where it does not fit."""
+    return F.aggregate(F.transform(vector, lambda x: (F.abs(x.cast("double")) + 1) * scale), F.lit(0.0), lambda acc, x: acc + x * x)
+
+
+def wide(vector: Column, scale: int = 256) -> Column:
+    """The components as doubles, of finite vectors that are too long for ``grid``."""
+    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.when(vector.isNotNull() & fine & (_length(vector, scale) > NARROW), vector.cast("array<double>"))
 
 
 def _matrix(column: pa.Array, size: int, kind: type) -> np.ndarray:
@@ -139,6 +153,55 @@ def _block(vectors: DataFrame, block: pd.DataFrame, size: int, bound: int, k: in
     return vectors.mapInArrow(_last(queries, names, low, need, kind), "query_id long, vec_id long, score long")
 
 
+def _whole(x: float, scale: int) -> int:
+    """floor(scale * x); a product beyond the doubles is taken in integers."""
+    y = scale * x
+    return int(np.floor(y)) if np.isfinite(y) else int(x) * scale
+
+
+def sortable(score: int) -> str:
+    """A text for every integer, in the order of the integers."""
+    digits = str(abs(score))
+    if score >= 0:
+        return f"1{len(digits):05d}{digits}"
+    return f"0{99999 - len(digits):05d}" + digits.translate(str.maketrans("0123456789", "9876543210"))
+
+
+def _sortable(score: Column) -> Column:
+    digits = F.abs(score).cast("string")  # of at most 62 bits
+    turned = F.translate(digits, "0123456789", "9876543210")
+    below = F.concat(F.lit("0"), F.lpad((99999 - F.length(digits)).cast("string"), 5, "0"), turned)
+    return F.when(score < 0, below).otherwise(F.concat(F.lit("1"), F.lpad(F.length(digits).cast("string"), 5, "0"), digits))
+
+
+def _with_wide(spark, rows: DataFrame, block: list, k: int, scale: int) -> DataFrame:
+    """query_id, vec_id, score, place: the k best of each task for a block of queries, of pairs with a long vector.
+
+    Pairs of two short vectors are left to the histograms.
+    """
+    sent = spark.sparkContext.broadcast([(r["vec_id"], r["grid"], r["wide"]) for r in block])
+
+    def keep(batches):
+        whole = lambda g, w: np.array([int(x) for x in g] if g is not None else [_whole(x, scale) for x in w], dtype=object)
+        asked = [(i, whole(g, w), g is None) for i, g, w in sent.value]
+        best: list[list] = [[] for _ in asked]
+        for batch in batches:
+            for name, g, w in zip(*(batch.column(c).to_pylist() for c in ("vec_id", "grid", "wide")), strict=True):
+                own = whole(g, w)
+                for (q, theirs, long), held in zip(asked, best, strict=True):
+                    if q != name and (long or g is None):
+                        entry = (int((own * theirs).sum()), -name)
+                        heapq.heappush(held, entry) if len(held) < k else heapq.heappushpop(held, entry)
+        found = [(q, -name, score) for (q, _, _), held in zip(asked, best, strict=True) for score, name in held]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] if abs(f[2]) < 1 << 63 else None for f in found], pa.int64()),
+             pa.array([sortable(f[2]) for f in found], pa.string())],
+            names=["query_id", "vec_id", "score", "place"],
+        )
+
+    return rows.mapInArrow(keep, "query_id long, vec_id long, score long, place string")
+
+
 def search(vectors: DataFrame, queries: Column, k: int = 5, block: int = BLOCK, scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score: the k best rows for every row that ``queries`` marks.
 
@@ -148,16 +211,28 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, block: int = BLOCK,
     spark = vectors.sparkSession
     scratch = Scratch(spark, "topk")
     ready = scratch.save(
-        vectors.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), grid(F.col("embedding"), scale).alias("grid"), queries.alias("asked"))
-        .where("grid is not null"),
+        vectors.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), grid(F.col("embedding"), scale).alias("grid"), wide(F.col("embedding"), scale).alias("wide"), queries.alias("asked"))
+        .where("grid is not null or wide is not null"),
         "vectors",
     )
-    sizes = ready.groupBy(F.size("grid").alias("size")).agg(
-        F.max(F.aggregate("grid", F.lit(0).cast("long"), lambda acc, x: acc + x * x)).alias("bound"), F.count_if("asked").alias("asked")
+    length = F.size(F.coalesce("wide", F.col("grid").cast("array<double>")))
+    short = F.col("grid").isNotNull()
+    sizes = ready.groupBy(length.alias("size")).agg(
+        F.max(F.aggregate("grid", F.lit(0).cast("long"), lambda acc, x: acc + x * x)).alias("bound"), F.count_if(F.col("asked") & short).alias("asked"),
+        F.count_if(~short).alias("long"), F.count_if("asked").alias("all_asked"),
     ).collect()  # one row per vector length
-    found = []
+    found, beyond = [], []
     for row in sizes:
-        own = ready.where(F.size("grid") == row["size"])
+        every = ready.where(length == row["size"])
+        if row["long"]:
+            who = every.where("asked").select("vec_id", "grid", "wide").distinct()
+            blocks = -(-row["all_asked"] // block)
+            dealt = who.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, blocks))))
+            for b in range(blocks):
+                part = dealt.where(F.col("block") == b).drop("block").collect()
+                if part:
+                    beyond.append(_with_wide(spark, every.select("vec_id", "grid", "wide"), part, k, scale))
+        own = every.where(short)
         asked = own.where("asked").select("vec_id", "grid").distinct()
         blocks = -(-row["asked"] // block)
         dealt = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, blocks))))
@@ -165,13 +240,16 @@ def search(vectors: DataFrame, queries: Column, k: int = 5, block: int = BLOCK,
             part = dealt.where(F.col("block") == b).drop("block").orderBy("vec_id").toPandas()
             if len(part):
                 found.append(_block(own.select("vec_id", "grid"), part, row["size"], row["bound"], k))
-    if not found:
+    if not found and not beyond:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    order = [F.col("score").desc(), F.col("vec_id")]
+    if beyond:
+        found = [*(f.withColumn("place", _sortable(F.col("score"))) for f in found), *beyond]
+        order[0] = F.col("place").desc()
     rows = found[0]
     for more in found[1:]:
         rows = rows.unionByName(more)
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)))
-    order = [F.col("score").desc(), F.col("vec_id")]
     first = rows.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "salt").orderBy(*order))).where(F.col("rank") <= k)
     return first.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order))).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
