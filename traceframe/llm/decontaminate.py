@@ -7,8 +7,8 @@ of a match is a word number, which is carried back to offsets of the original te
 
 Defined cases: a null or empty text has no words; a null, empty or word-free item has no
 windows, an item shorter than the window is one window; equal windows of several items name
-all of them; items without an id are left out, as they could not be named; rows that repeat
-a doc_id are scanned each for itself; a null doc_id is kept; other columns are ignored.
+all of them; windows of an item without an id are hit like any other, but no item is named;
+rows that repeat a doc_id are scanned each for itself; a null doc_id is kept; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -63,13 +63,13 @@ def item_windows(item_words: list[bytes], window: int = WINDOW) -> list[tuple[by
 class Automaton:
     """Windows of items over an alphabet of words."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW):
         patterns: dict[str, tuple[int, set[str]]] = {}
         self.letters: dict[bytes, str] = {}
         for item, text in items:
             for w in item_windows(words(text), window):
                 key = "".join(self._letter(x) for x in w)
-                patterns.setdefault(key, (len(w), set()))[1].add(item)
+                patterns.setdefault(key, (len(w), set()))[1].update([item] if item is not None else [])
         self.machine = ahocorasick.Automaton()
         for key, value in patterns.items():
             self.machine.add_word(key, value)
@@ -153,15 +153,14 @@ def _scan_part(docs: DataFrame, items: list[tuple[str, bytes]], window: int) ->
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, automaton_words: int = AUTOMATON_WORDS) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, items (sorted as strings), spans, contaminated.
+    """One row per document: doc_id, digest (of id and text), n_words, n_hit, items (sorted as strings), spans, contaminated.
 
     The benchmark is measured first. Up to ``automaton_words`` words it is one automaton and
-    the documents are scanned once without a shuffle; beyond, items are dealt by a hash of
-    their id over as many automata as the bound asks for and the hits of a document's scans
+    the documents are scanned once without a shuffle; beyond, items are dealt by a hash over as many automata as the bound asks for and the hits of a document's scans
     are joined. No more than one automaton's items are ever at the driver.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("digest"), F.col("text").cast("binary").alias("text"))
-    items = benchmark.where("item_id is not null and text is not null").select(
+    items = benchmark.where("text is not null").select(
         F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")
     )
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
@@ -170,9 +169,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, a
         n = items.agg(F.sum(F.regexp_count(F.col("text").cast("string"), F.lit(WORD))).alias("n")).first()["n"]
         parts = max(1, -(-n // automaton_words))
     if parts == 1:
-        scanned = _scan_part(texts, _collected(items), window).drop("hit_words", "digest")
+        scanned = _scan_part(texts, _collected(items), window).drop("hit_words")
     else:
-        dealt = items.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(parts)))
+        dealt = items.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(parts)))
         scans = [_scan_part(texts, _collected(dealt.where(F.col("part") == p).select("item", "text")), window) for p in range(parts)]
         scanned = _joined(scans, parts)
     return scanned.withColumn("contaminated", F.col("n_hit") > 0)
@@ -203,4 +202,4 @@ def _joined(scans: list[DataFrame], parts: int) -> DataFrame:
     merged = merged.withColumn("hit_words", united("hit_words", "first", "last", 1)).withColumn("spans", united("spans", "start", "end", 0))
     n_hit = F.aggregate("hit_words", F.lit(0).cast("long"), lambda acc, x: acc + x["last"] - x["first"] + 1)
     each = F.explode(F.sequence(F.lit(1), (F.col("copies") / parts).cast("int"))).alias("copy")
-    return merged.select("doc_id", "n_words", n_hit.alias("n_hit"), "items", "spans", each).drop("copy")
+    return merged.select("doc_id", "digest", "n_words", n_hit.alias("n_hit"), "items", "spans", each).drop("copy")
