@@ -9,11 +9,13 @@
 3. A candidate pair is compared hash batch by hash batch. It is dropped as soon as the
    posterior probability, from a flat prior, that its similarity reaches the threshold is
    below ``MISS``; survivors are confirmed on their full shingle sets.
-4. Confirmed links are joined into components. Buckets whose members still stand in several
-   components are compared in full, in blocks inside tasks: pairs of different components
-   that the posterior cannot rule out are tested on sets of 32-bit hashes, which can only
-   overrate a pair. What is left leaves the task and is confirmed on the full sets. So no
-   link between components is lost, and members of a family too loose to be linked make no rows.
+4. Confirmed links are joined into components. In buckets whose members still stand in several
+   components, the members outside the largest one are compared with all of other
+   components, in blocks inside tasks: pairs that the posterior cannot rule out are tested on
+   sets of 32-bit hashes, which can only overrate a pair. What is left leaves the task and is
+   confirmed on the full sets. So no link between components is lost. A bucket with few such
+   members moves each row once or a few times; a family too loose to be linked at all is
+   compared block by block, and its rows move as often as it has blocks.
 
 Defined cases: a null text, an empty one and one without words have no shingles, are linked
 with nothing and kept; a text with fewer words than a shingle has one shingle, the whole
@@ -40,6 +42,7 @@ BATCH = 16  # hashes compared before the next decision
 MISS = 1e-7  # posterior below which a pair is dropped
 SENT_IDS = 1_000_000  # ids sent to all executors (8 MB); more are joined by a shuffle
 BLOCK = 1024  # members of a bucket compared with as many others in one task
+BLOCK_BYTES = 64 << 20  # of their sets
 
 _SEEDS = np.random.default_rng(20240229).integers(1, 2**63, size=(2, HASHES), dtype=np.uint64)
 _A, _B = _SEEDS[0] | np.uint64(1), _SEEDS[1]
@@ -236,37 +239,45 @@ def _rest(buckets: DataFrame, reps: DataFrame, labels: DataFrame, keep: dict[int
     """Pairs of different components in one bucket that short sets cannot rule out.
 
     ``buckets`` has bucket, band, doc of all buckets with more than two rows; the only pair of a
-    smaller one was its hub's. A bucket of several blocks is dealt out by pairs of blocks,
-    members ordered by a hash. A pair is tested in the first band it shares.
+    smaller one was its hub's. Only members outside the bucket's largest component, its strays, are
+    compared with all others: strays and members are dealt into blocks of ``BLOCK`` rows and
+    ``BLOCK_BYTES`` of sets, and every block of strays meets every block of members. A pair is
+    tested in the first band it shares.
     """
     placed = buckets.join(labels.select(F.col("node").alias("doc"), "component"), "doc", "left").select(
         "bucket", "band", "doc", F.coalesce("component", "doc").alias("component")
     )
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low < high")
-    open_ = scratch.save(placed.join(mixed.select("bucket", "n"), "bucket"), "open")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
+    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    mixed = parts.groupBy("bucket").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    open_ = placed.join(mixed, "bucket").withColumn("stray", F.col("component") != F.col("main")).drop("main")
+    open_ = scratch.save(open_.join(reps.select(F.col("doc_id").alias("doc"), (F.col("n_shingles") * 4 + HASHES * 4).alias("bytes")), "doc"), "open")
+    blocks_of = lambda n, held: F.greatest(F.ceil(n / BLOCK), F.ceil(held / BLOCK_BYTES), F.lit(1)).cast("int")
+    sizes = open_.groupBy("bucket").agg(
+        blocks_of(F.count_if("stray"), F.sum(F.when(F.col("stray"), F.col("bytes")).otherwise(0))).alias("stray_blocks"), blocks_of(F.count("*"), F.sum("bytes")).alias("blocks")
+    )
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = lambda n: F.pmod(F.xxhash64("doc"), F.col(n)).cast("int")
+    sized = open_.join(sizes, "bucket")
+    fields = ["bucket", "band", "doc", "component", "stray"]
     dealt = (
-        open_.withColumn("block", own)
-        .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("bucket", "band", "doc", "component", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+        sized.select(*fields, F.lit(False).alias("asks"), F.explode(every("stray_blocks")).alias("i"), own("blocks").alias("j"))
+        .unionByName(sized.where("stray").select(*fields, F.lit(True).alias("asks"), own("stray_blocks").alias("i"), F.explode(every("blocks")).alias("j")))
     )
     short = _sets_of(open_.select(F.col("doc").alias("doc_id")), texts, words, scratch).mapInArrow(_shorten, "doc long, short binary")
     known = reps.select(F.col("doc_id").alias("doc"), "sig").join(short, "doc")
-    signed = dealt.join(known, "doc").select("bucket", "band", "i", "j", "block", "doc", "component", "sig", "short")
+    signed = dealt.join(known, "doc").select(*fields, "asks", "i", "j", "sig", "short")
 
     def compare(key: tuple, group: pa.Table) -> pa.Table:
-        first, second = key[1].as_py(), key[2].as_py()
-        band, block = group.column("band")[0].as_py(), group.column("block").to_numpy()
+        band, asks, stray = group.column("band")[0].as_py(), *(group.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "stray"))
         docs, parts, sigs = group.column("doc").to_numpy(), group.column("component").to_numpy(), _signatures(group.column("sig"))
         sets = [np.frombuffer(x.as_py(), np.uint32) for x in group.column("short")]
         sizes = np.array([len(x) for x in sets])
         # Places before the band: a pair that is equal in a whole earlier band is tested there.
         earlier = sigs[:, : band * ROWS].reshape(len(docs), band, ROWS)
-        a, b = np.nonzero(block == first)[0], np.nonzero(block == second)[0]
+        a, b = np.nonzero(asks)[0], np.nonzero(~asks)[0]
         found = []
         for i in a:
-            other = b[(parts[b] != parts[i]) & ((docs[b] > docs[i]) | (first != second))]
+            other = b[(parts[b] != parts[i]) & ((docs[b] > docs[i]) | ~stray[b])]  # two strays meet twice
             ratio = 100 * np.minimum(sizes[other], sizes[i]) >= percent * np.maximum(sizes[other], sizes[i])
             other = other[ratio]
             if len(other):
@@ -298,7 +309,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     classes = every.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     classes = scratch.save(classes, "classes")
     signed = every.where("set_key is not null").join(classes.withColumnRenamed("rep", "doc_id"), ["set_key", "doc_id"], "left_semi")
-    reps = scratch.save(signed.dropDuplicates(["doc_id", "set_key"]).select("doc_id", "sig"), "representatives")
+    reps = scratch.save(signed.dropDuplicates(["doc_id", "set_key"]).select("doc_id", "sig", "n_shingles"), "representatives")
 
     bands = _bands(reps)
     full = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
