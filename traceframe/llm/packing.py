@@ -14,7 +14,7 @@ lane's share of half-empty last bins is the price: about one bin per lane and so
 Defined cases: a null or empty text has one piece of 0 words and takes part; a null source
 is a source of its own, a null cluster conflicts with nothing; pieces of one document
 share source and cluster, so they never meet in a bin; rows that repeat an id are packed
-each for itself; an empty table has no bins; other columns are ignored.
+each for itself, in lanes of their own choice if there are very many of them; an empty table has no bins; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,8 +24,11 @@ from bisect import bisect_left, insort
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from traceframe.llm.common import Scratch
+
 CAPACITY = 4096
 LANE_ROWS = 8192
+REPEATS = 1024  # rows of one id and cluster that may share a lane
 SCHEMA = "doc_id long, piece int, first_word long, n_words long, lane long, bin long, position int, bin_words long"
 
 
@@ -99,7 +102,18 @@ def pack(
     lanes = max(1, -(-rows // lane_rows))
     slim = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), n_words.alias("words"), F.col("source").cast("string").alias("source"), group.alias("cluster")
-    ).withColumn("lane", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.coalesce("cluster", F.lit(0))), F.lit(lanes)))
+    )
+    name = [F.coalesce("doc_id", F.lit(-1)), F.coalesce("cluster", F.lit(0))]
+    lane = lambda *salt: F.pmod(F.xxhash64(*name, *salt), F.lit(lanes)).alias("lane")
+    repeated = slim.groupBy(*[n.alias(f"_{i}") for i, n in enumerate(name)]).agg(F.count("*").alias("_n")).where(F.col("_n") > REPEATS)
+    if repeated.limit(1).count():
+        # Rows that repeat one name would be one lane: they are numbered, and stored, so that a repeated task numbers them alike.
+        numbered = Scratch(docs.sparkSession, "packing").save(slim.withColumn("_row", F.monotonically_increasing_id()), "rows")
+        many = repeated.withColumn("_many", F.lit(True)).drop("_n")
+        joined = numbered.join(many, (name[0] == F.col("_0")) & (name[1] == F.col("_1")), "left")
+        slim = joined.select(*slim.columns, F.when(F.col("_many"), lane("_row")).otherwise(lane()).alias("lane"))
+    else:
+        slim = slim.select("*", lane())
 
     def lane_of(own: pd.DataFrame) -> pd.DataFrame:
         number = int(own["lane"].iloc[0])
