@@ -57,11 +57,11 @@ def test_decontamination(spark, docs, nothing):
         for item_id, t in items:
             w = fold(t)
             size = min(10, len(w))
-            for a in range(len(w) - size + 1) if w and item_id is not None else []:
+            for a in range(len(w) - size + 1) if w else []:
                 for b in range(len(own) - size + 1):
                     if own[b : b + size] == w[a : a + size]:
                         hit |= set(range(b, b + size))
-                        found.add(str(item_id))
+                        found |= {str(item_id)} if item_id is not None else set()  # hit, but not named
         want.append((i, len(own), len(hit), tuple(sorted(found))))
     one = decontaminate.contamination(docs, bench)
     assert sorted((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in one.collect()) == sorted(want)
@@ -410,3 +410,93 @@ def test_network_gradients():
         down = loss()
         part[at] = kept
         assert abs((up - down) / (2 * step) - grad[at]) < 0.02 * abs(grad[at]) + 1e-4
+
+
+def test_top_k_of_long_vectors(spark):
+    import math
+
+    draw = np.random.default_rng(21)
+    data = [(i, draw.normal(size=4).tolist()) for i in range(60)]
+    data += [(100, [1e300, 1.0, -2.0, 0.5]), (101, [-1e300, 3.0, 0.0, 0.0]), (102, [8.5e6] * 4), (103, [1.7e308, -1.7e308, 0.0, 0.0]), (104, [1e9, 2e9, -3e9, 1.0]), (150, [2e9, 1.0, 1.0, 1.0]), (150, [2e9, 1.0, 1.0, 1.0])]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(4)
+    whole = lambda x: math.floor(256 * x) if math.isfinite(256 * x) else int(x) * 256
+    grid = [(i, [whole(x) for x in v]) for i, v in data]
+    for block in (2048, 1):
+        got = {}
+        for r in topk.search(frame, F.col("vec_id") % 50 == 0, 5, block=block).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        for q, own in dict(grid).items():
+            if q % 50 == 0:
+                scores = sorted(((-sum(a * b for a, b in zip(own, v, strict=True)), i) for i, v in grid if i != q))[:5]
+                assert got[q] == [(i, -s if abs(s) < 1 << 63 else None) for s, i in scores]
+    assert sorted([0, -5, 7, 10**40, -(10**40), 99, -99], key=topk.sortable) == [-(10**40), -99, -5, 0, 7, 99, 10**40]
+
+
+def test_windows_of_items_without_id_are_hit(spark):
+    docs = spark.createDataFrame([(1, f"before {PASSAGE} after"), (2, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, PASSAGE), ("b", " ".join(PASSAGE.split()[:10]))], "item_id string, text string")
+    for words in (200_000, 5):
+        got = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.contamination(docs, items, automaton_words=words).collect()}
+        assert got == {1: (len(PASSAGE.split()), ["b"]), 2: (0, [])}
+
+
+@pytest.mark.parametrize("block, room", [(1024, 64 << 20), (3, 64 << 20), (1024, 3000)])
+def test_near_duplicates_of_mixed_buckets(spark, monkeypatch, block, room):
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", room)
+    draw = np.random.default_rng(31)
+    base = [f"w{i}" for i in range(220)]
+    data = []
+    for i in range(36):  # two loose families whose members are linked by chance, and strays
+        words = list(base) if i % 2 else base[::-1]
+        for j in draw.choice(220, int(draw.integers(1, 9)), replace=False):
+            words[j] = f"x{i}y{j}"
+        data.append((i, " ".join(words)))
+    sets = [{tuple(t.split()[k : k + 3]) for k in range(len(t.split()) - 2)} for _, t in data]
+    group = list(range(len(data)))
+    for _ in data:
+        for i in range(len(data)):
+            for j in range(i):
+                if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                    group[i] = group[j] = min(group[i], group[j])
+    found = neardup.near_duplicates(spark.createDataFrame(data, "doc_id long, text string").repartition(3), words=3, percent=85)
+    assert {r.doc_id: r.component_id for r in found.collect()} == dict(enumerate(group))
+
+
+def test_packing_deals_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(packing, "REPEATS", 50)
+    frame = spark.createDataFrame([(1, "same text", "a")] * 400 + [(None, "", "b")] * 200 + [(i, f"text {i}", "c") for i in range(2, 50)], "doc_id long, text string, source string").repartition(5)
+    out = packing.pack(frame, capacity=8, lane_rows=20).collect()
+    assert Counter(r.doc_id for r in out) == Counter({1: 400, None: 200, **{i: 1 for i in range(2, 50)}})
+    assert max(Counter(r.lane for r in out).values()) < 200
+
+
+def test_toxicity_training_follows_its_loss(monkeypatch):
+    """One round of training moves the softmax along the loss: a larger step than noise lowers it, and scores are those of a loop over windows."""
+    draw = np.random.default_rng(4)
+    texts = [" ".join(draw.choice([f"word{i}" for i in range(40)], int(draw.integers(1, 90)))) + (" scumbag" if i % 3 == 0 else "") for i in range(120)]
+    labels = [int(i % 3 == 0) for i in range(120)]
+    loss = []
+    for rounds in (3, 12, 60):
+        model = toxicity.train(list(texts), labels, rounds)
+        logits = []
+        for t in texts:
+            order = toxicity.words(t)
+            values = dict(zip(dict.fromkeys(order), model.word_values(list(dict.fromkeys(order))), strict=True))
+            means = []
+            for a in toxicity.window_starts(len(order)).tolist():
+                window = order[a : a + toxicity.WINDOW]
+                means.append(sum(values[w] for i, w in enumerate(window, a) if w not in order[max(0, i - toxicity.WINDOW + 1) : i]) / len(window))
+            p = 1 / (1 + np.exp(-(model.slope * (model.bias + toxicity.SCALE * max(means)) + model.shift)))
+            ids = {w: i for i, w in enumerate(values)}
+            order_ids = np.array([ids[w] for w in order])
+            assert model.score(np.array(list(values.values()))[order_ids] * toxicity.counted(order_ids)) == pytest.approx(p)
+            logits.append(p)
+        p = np.clip(np.array(logits), 1e-9, 1 - 1e-9)
+        loss.append(-np.mean(np.where(np.array(labels) == 1, np.log(p), np.log(1 - p))))
+    assert loss[0] > loss[1] > loss[2] and loss[2] < 0.1
+
+
+def test_toxicity_of_one_short_word(spark):
+    model = toxicity.train(["you scumbag", "a fine day", "the idiot", "calm sea"], [1, 0, 1, 0], 20)
+    assert len(model.word_values([b"x"])) == 1 and 0 <= toxicity.toxicity(spark.createDataFrame([(1, "x")], "doc_id long, text string"), model).first().toxicity <= 1
