@@ -19,7 +19,7 @@ from traceframe.operators import (
     registry as reg,
     sampling,
 )
-from traceframe.plans import nearest, ranking
+from traceframe.plans import cells, nearest, postings, ranking
 from traceframe.schemas import EMBEDDINGS, HANDCRAFTED
 
 RNG = np.random.default_rng(7)
@@ -103,6 +103,28 @@ def test_median_with_hot_value_and_nulls(spark):
     assert got["b"] == pytest.approx(np.median([v * 2 for i, v in enumerate(values) if i % 3 == 0]))
 
 
+@pytest.mark.parametrize("rows_left", [1, 10, 20_000])
+def test_median_by_brackets(spark, rows_left):
+    data = {"even": RNG.normal(size=5000), "odd": RNG.normal(size=4999), "hot": np.where(RNG.random(5000) < 0.4, 1.5, RNG.normal(size=5000)), "two": np.repeat([1.0, 2.0], 2500), "one": np.array([7.0]), "large": np.append(RNG.normal(size=20), [np.inf] * 21)}
+    rows = [tuple(float(v[i]) if i < len(v) else None for v in data.values()) + (None,) for i in range(5000)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in [*data, "none"])).repartition(5)
+    got = {r.column_name: r["median"] for r in ranking.exact_median(df, [*data, "none"], rows_left).collect()}
+    assert got == pytest.approx({c: np.median(v) for c, v in data.items()})
+    brackets = ranking.middle_brackets(df, list(data), rows_left)
+    if rows_left < 20_000:
+        assert max(brackets["even"].inside, brackets["odd"].inside) < 50
+
+
+def test_nested_rank_of_one_hot_file(spark):
+    rows = [("b", i, i % 7) for i in range(400)] + [("a", i, 0) for i in range(3)] + [(None, 5, 1), ("c", None, 1)]
+    df = spark.createDataFrame(rows, "file_id string, trace_id int, x int").repartition(6)
+    out = ranking.nested_rank(df, ["file_id", "trace_id"], "r", ranges=16)
+    got = [(r.file_id, r.trace_id) for r in sorted(out.collect(), key=lambda r: r.r)]
+    assert got == sorted([r[:2] for r in rows], key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or 0))
+    assert out.groupBy(F.spark_partition_id()).count().count() > 1
+    assert ranking.nested_rank(df.limit(0), ["file_id", "trace_id"]).count() == 0
+
+
 @pytest.mark.parametrize("buckets", [1, 2, 64, 100, 1000])
 def test_bucket_search(spark, buckets):
     cuts = sorted(RNG.normal(size=buckets - 1).round(1).tolist())
@@ -172,13 +194,15 @@ def test_auc_of_absent_class_is_left_out(spark):
 # --- nearest ---------------------------------------------------------------
 
 
-@pytest.mark.parametrize("probe_values", [10_000, 40])
-def test_top_k_against_numpy(spark, probe_values):
+@pytest.mark.parametrize("pivots, block", [(128, 4096), (4, 7), (1, 3)])
+def test_top_k_against_numpy(spark, monkeypatch, pivots, block):
+    monkeypatch.setattr(cells, "MEMBER_BLOCK", block)
+    monkeypatch.setattr(cells, "PROBE_BLOCK", block)
     q, d = RNG.normal(size=(15, 6)), RNG.normal(size=(80, 6))
     d[40:60] = d[0]  # copies: ties go to the smaller id
     probes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "probe_id bigint, vector array<double>")
     docs = spark.createDataFrame([(f"d{i:03d}", v.tolist()) for i, v in enumerate(d)], "match_id string, vector array<double>")
-    out = nearest.top_k(probes, docs.repartition(5), 4, probe_values=probe_values).toPandas()
+    out = nearest.top_k(probes, docs.repartition(5), 4, pivots=pivots).toPandas()
     scores = (q / np.linalg.norm(q, axis=1)[:, None]) @ (d / np.linalg.norm(d, axis=1)[:, None]).T
     for i in range(len(q)):
         want = sorted(range(len(d)), key=lambda j: (-round(scores[i, j], 12), j))[:4]
@@ -186,14 +210,16 @@ def test_top_k_against_numpy(spark, probe_values):
         assert got == [f"d{j:03d}" for j in want]
 
 
-def test_nearest_imputation_against_loops(spark):
+def test_nearest_imputation_against_loops(spark, monkeypatch):
     x = RNG.integers(0, 20, (40, 3)).astype(float)
     x[RNG.random((40, 3)) < 0.2] = np.nan
     x[0] = [np.nan, np.nan, np.nan]
     rows = [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)]
     df = spark.createDataFrame(rows, "k bigint, a double, b double, c double")
     small = imputation.impute_nearest(df, ["a", "b", "c"], "k").orderBy("k").toPandas()[["a", "b", "c"]].to_numpy()
-    grid = imputation.impute_nearest(df, ["a", "b", "c"], "k", probe_values=20).orderBy("k").toPandas()[["a", "b", "c"]].to_numpy()
+    monkeypatch.setattr(cells, "MEMBER_BLOCK", 3)
+    monkeypatch.setattr(cells, "PROBE_BLOCK", 2)
+    fine = imputation.impute_nearest(df, ["a", "b", "c"], "k", cell_rows=4).orderBy("k").toPandas()[["a", "b", "c"]].to_numpy()
     want = x.copy()
     for i, j in zip(*np.nonzero(np.isnan(x))):
         found = []
@@ -204,7 +230,72 @@ def test_nearest_imputation_against_loops(spark):
         best = [o for _, o in sorted(found)[:2]]
         want[i, j] = x[best, j].mean() if best else np.nanmean(x[:, j])
     assert small == pytest.approx(want)
-    assert grid == pytest.approx(want)
+    assert fine == pytest.approx(want)
+
+
+def test_few_pairs_are_compared(spark):
+    x = RNG.normal(size=(4000, 3)) * 50
+    x[RNG.random(x.shape) < 0.03] = np.nan
+    df = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)], "k bigint, a double, b double, c double")
+    found, stored = imputation.nearest_donors(df, ["a", "b", "c"], "k")
+    best = {(r.probe_id, r.wanted, r["rank"]): (r.match_id, r.cost) for r in found.collect()}
+    for i, j in list(zip(*np.nonzero(np.isnan(x)), strict=True))[::17]:
+        d = np.sqrt(np.nansum((x - x[i]) ** 2, axis=1) * 3 / np.maximum(1, (~np.isnan(x - x[i])).sum(axis=1)))
+        d[np.isnan(x[:, j]) | np.isnan(x - x[i]).all(axis=1)] = np.inf
+        want = sorted(range(len(x)), key=lambda o: (d[o], o))[:2]
+        assert [best[i, j, r][0] for r in (1, 2)] == want
+        assert [best[i, j, r][1] for r in (1, 2)] == pytest.approx(d[want])
+    incomplete = np.isnan(x).any(axis=1).sum()
+    assert sum(pairs for pairs, _ in stored.compared) < 0.05 * incomplete * len(x)
+
+
+def test_top_k_of_odd_vectors(spark):
+    kind = "array<double>"
+    docs = [("a", [0.0, 0.0]), ("b", [1e300, 0.0]), ("c", [1e-300, 1e-300]), ("d", [-1.0, 0.0]), ("e", None), ("f", [float("nan"), 1.0]), ("g", [1.0]), ("h", [None, 1.0]), ("i", [0.0, 0.0])]
+    asks = [(1, [2.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [-1.0, -1.0]), (5, [1.0, 2.0, 3.0])]
+    out = nearest.top_k(spark.createDataFrame(asks, f"probe_id int, vector {kind}"), spark.createDataFrame(docs, f"match_id string, vector {kind}"), 3)
+    got = {}
+    for r in sorted(out.collect(), key=lambda r: (r.probe_id, r["rank"])):
+        got.setdefault(r.probe_id, []).append((r.match_id, round(r.score, 6)))
+    assert got == {1: [("b", 1.0), ("c", 0.707107), ("a", 0.0)], 2: [("a", 0.0), ("b", 0.0), ("c", 0.0)], 4: [("d", 0.707107), ("a", 0.0), ("i", 0.0)]}
+    empty = spark.createDataFrame([], f"match_id string, vector {kind}")
+    assert nearest.top_k(spark.createDataFrame(asks, f"probe_id int, vector {kind}"), empty, 3).count() == 0
+
+
+@pytest.mark.parametrize("champions, salt_rows", [(64, 200_000), (3, 7)])
+def test_sparse_top_k_against_loops(spark, monkeypatch, champions, salt_rows):
+    monkeypatch.setattr(postings, "CHAMPIONS", champions)
+    monkeypatch.setattr(postings, "SALT_ROWS", salt_rows)
+    weight = np.array([0.05, 0.2, 1.0, 2.0, 3.0, 4.0])  # the first terms are common and light
+
+    def vectors(n, common):
+        out = []
+        for _ in range(n):
+            at = [t for t in range(6) if RNG.random() < (common if t < 2 else 0.15)]
+            out.append((at, [float(weight[t] * RNG.integers(1, 4)) for t in at]))
+        return out
+
+    docs, asks = vectors(150, 0.9), [*vectors(12, 0.9), ([], []), ([5], [1.0])]
+    docs[40:60] = [docs[0]] * 20
+    p = spark.createDataFrame([(i, *v) for i, v in enumerate(asks)], "probe_id int, at array<int>, vector array<double>")
+    m = spark.createDataFrame([(f"d{i:03d}", *v) for i, v in enumerate(docs)], "match_id string, at array<int>, vector array<double>")
+    got = {}
+    for r in sorted(postings.top_k(p, m.repartition(3), 4).collect(), key=lambda r: (r.probe_id, r["rank"])):
+        got.setdefault(r.probe_id, []).append((r.match_id, r.score))
+    for i, (at, w) in enumerate(asks):
+        mine = dict(zip(at, w, strict=True))
+        score = [round(sum(mine.get(t, 0.0) * x for t, x in zip(*d, strict=True)), 12) for d in docs]
+        want = sorted(range(len(docs)), key=lambda j: (-score[j], j))[:4]
+        assert [n for n, _ in got[i]] == [f"d{j:03d}" for j in want]
+        assert [s for _, s in got[i]] == pytest.approx([score[j] for j in want])
+
+
+def test_light_terms_stay_closed(spark):
+    rows = [(i, [0, 1], [0.01, 1.0 + i]) if i < 50 else (i, [0], [0.01]) for i in range(500)]
+    lists = spark.createDataFrame(rows, "match_id int, at array<int>, vector array<double>")
+    asked = spark.createDataFrame([(1, 0, 1.0), (1, 1, 1.0)], "probe_id int, term int, weight double")
+    opened = postings.open_terms(asked, *postings.term_facts(postings._postings(lists, "match_id"), 3), 3)
+    assert [r.term for r in opened.collect()] == [1]
 
 
 # --- point-in-time joins ---------------------------------------------------

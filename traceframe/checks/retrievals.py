@@ -185,10 +185,8 @@ def vector_search(spark, sf):
 
 @query("vector_search_in_blocks", _COSINE_SQL)
 def vector_search_in_blocks(spark, sf):
-    """The grid form, taken when the probes are too many to be sent whole."""
-    return _named(
-        nearest.top_k(_vectors(spark, sf, "probe_id"), _vectors(spark, sf, "match_id"), 5, probe_values=16_000)
-    )
+    """With few pivots: large cells, most of them visited by every probe."""
+    return _named(nearest.top_k(_vectors(spark, sf, "probe_id"), _vectors(spark, sf, "match_id"), 5, pivots=4))
 
 
 @query(

@@ -2,25 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from traceframe.functions.labels import present
-from traceframe.plans import nearest
+from traceframe.plans import cells
 from traceframe.plans.ranking import exact_median
-
-
-def _donor_score(probes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Gap-aware closeness; a row without the wanted column cannot be a donor.
-
-    The first value of a probe is the wanted column's position.
-    """
-    out = nearest.gap_distance(probes[:, 1:], rows[:, 1:])
-    wanted = probes[:, 0].astype(int)
-    for c in np.unique(wanted):
-        at = np.flatnonzero(wanted == c)
-        out[np.ix_(at, np.isnan(rows[:, 1 + c]))] = np.nan
-    return out
+from traceframe.session import cut_lineage
 
 
 def _row_name(df: DataFrame, key: list[str]):
@@ -32,52 +19,39 @@ def _row_name(df: DataFrame, key: list[str]):
     return F.concat_ws("\x1f", *parts)
 
 
-def impute_nearest(
-    df: DataFrame, columns: list[str], key: str | list[str], k: int = 2, probe_values: int = nearest.PROBE_VALUES
-) -> DataFrame:
+def nearest_donors(df: DataFrame, columns: list[str], key: str, k: int = 2, cell_rows: int = cells.CELL_ROWS) -> tuple[DataFrame, cells.Stored]:
+    """The ``k`` nearest donors of every gap: (probe_id, wanted column's place, match_id, cost, value, rank).
+
+    Nearness is Euclidean over the columns both rows have, scaled up to all columns; a donor has
+    the wanted column; of equally near ones those with the smaller key are taken. One probe per
+    incomplete row, searched through an index of cells; the second result knows how many
+    pairs were compared.
+    """
+    values = F.array(*[present(F.col(c).cast("double")) for c in columns])
+    rows = cut_lineage(df.select(F.col(key).alias("match_id"), values.alias("vector")), "rows")
+    stored = cells.store(rows, cells.GapIndex.fit(rows, len(columns), cell_rows))
+    probes = rows.where(F.exists("vector", lambda x: x.isNull())).withColumnRenamed("match_id", "probe_id")
+    return cells.search(probes, stored, k), stored
+
+
+def impute_nearest(df: DataFrame, columns: list[str], key: str | list[str], k: int = 2, cell_rows: int = cells.CELL_ROWS) -> DataFrame:
     """Replace missing values by the mean of the ``k`` nearest donors, per column.
 
     Null and NaN are missing. ``key`` names a row, by one column or several such as file and
-    trace. Only incomplete rows are searched for; of equally near donors those with the
-    smaller key are taken. A value without any usable donor gets the column mean. Columns
-    come out as doubles.
+    trace. Only incomplete rows are searched for; a value without any usable donor gets the
+    column mean. Columns come out as doubles.
     """
     row = _row_name(df, [key] if isinstance(key, str) else list(key))
     df = df.withColumn("_row", row)
-    key = "_row"
-    numeric = df.select(key, *[present(F.col(c).cast("double")).alias(c) for c in columns])
-    values = [F.col(c) for c in columns]
-    missing = F.filter(
-        F.array(*[F.when(v.isNull(), F.lit(i)) for i, v in enumerate(values)]), lambda i: i.isNotNull()
-    )
-    gaps = numeric.select(key, *columns, F.explode(missing).alias("_at"))
-    probes = gaps.select(
-        F.struct(F.col(key).alias("key"), F.col("_at").alias("at")).alias("_p"),
-        F.array(F.col("_at").cast("double"), *values).alias("vector"),
-    ).withColumn("probe_id", F.to_json("_p"))
-    candidates = numeric.select(F.col(key).alias("match_id"), F.array(F.lit(0.0), *values).alias("vector"))
-    found = nearest.top_k(probes, candidates, k, _donor_score, probe_values)
-    where = F.from_json("probe_id", f"key {df.schema[key].dataType.simpleString()}, at int")
-    found = found.select("match_id", where["key"].alias("_key"), where["at"].alias("_at"))
-
-    donors = numeric.select(F.col(key).alias("match_id"), F.array(*values).alias("_v"))
-    filled = (
-        found.join(donors, "match_id")
-        .groupBy(F.col("_key").alias(key))
-        .agg(
-            *[
-                F.avg(F.when(F.col("_at") == i, F.element_at("_v", i + 1))).alias(f"_f_{c}")
-                for i, c in enumerate(columns)
-            ]
-        )
-    )
-    means = numeric.agg(F.struct(*[F.avg(c).alias(c) for c in columns])).scalar()
-    out = df.join(filled, key, "left")
+    found, _ = nearest_donors(df, columns, "_row", k, cell_rows)
+    filled = found.groupBy(F.col("probe_id").alias("_row")).agg(*[F.avg(F.when(F.col("wanted") == i, F.col("value"))).alias(f"_f_{c}") for i, c in enumerate(columns)])
+    means = df.agg(F.struct(*[F.avg(present(F.col(c).cast("double"))).alias(c) for c in columns])).scalar()
+    out = df.join(filled, "_row", "left")
     return out.select(
         *[
             F.coalesce(present(F.col(c).cast("double")), F.col(f"_f_{c}"), means[c]).alias(c) if c in columns else F.col(c)
             for c in df.columns
-            if c != key
+            if c != "_row"
         ]
     )
 

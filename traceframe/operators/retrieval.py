@@ -9,7 +9,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
 from traceframe.functions import rules, text as tx
-from traceframe.plans import nearest
+from traceframe.plans import nearest, postings
 from traceframe.session import cut_lineage
 
 
@@ -116,7 +116,7 @@ class TfidfModel:
         """
         q = self._sparse(queries, query_text, F.col(query_key).alias("probe_id"))
         d = self._sparse(documents, content, F.col(key).alias("match_id"), vector)
-        return nearest.top_k(q, d, k, width=len(self.terms))
+        return postings.top_k(q, d, k)
 
     def _sparse(self, df: DataFrame, content: str, key: Column, vector: str | None = None) -> DataFrame:
         coded = df if vector else self.encode(df, content, "_vector")

@@ -1,195 +1,46 @@
-"""Exact nearest-neighbour search in blocks.
-
-Both sides are numeric vectors. Distances are computed as array operations
-inside tasks, each task keeps only the best ``k`` per probe, and the partial
-winners are merged by a ranked window. No pair table is ever produced.
-
-A small probe side is sent to all tasks after its size has been measured. A
-larger one is cut into blocks and both sides meet in a grid of (probe block,
-candidate block) cells; the answer is the same.
-"""
+"""Exact cosine top-k between two tables of vectors, through an index of cells (see ``cells``)."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
-
-# Values (rows x width) the probe side may have to be sent whole to every task.
-PROBE_VALUES = 4_000_000
-
-Score = Callable[[np.ndarray, np.ndarray], np.ndarray]
-
-
-def cosine_scores(probes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Cosine of every probe with every row; a vector without length scores 0."""
-    a = np.linalg.norm(probes, axis=1, keepdims=True)
-    b = np.linalg.norm(rows, axis=1, keepdims=True)
-    a[a == 0] = 1
-    b[b == 0] = 1
-    return (probes / a) @ (rows / b).T
-
-
-class _Winners:
-    """Best ``k`` (score, key) of every probe seen so far, as two arrays."""
-
-    # Cells of one score matrix; larger blocks are worked off in slices.
-    CELLS = 2_000_000
-
-    def __init__(self, n: int, k: int):
-        self.n, self.k = n, k
-        self.scores = np.full((n, k), -np.inf)
-        self.keys = None
-
-    def offer(self, probes: np.ndarray, keys: np.ndarray, rows: np.ndarray, score: Score) -> None:
-        if self.n == 0 or len(keys) == 0:
-            return
-        order = np.argsort(keys, kind="stable")
-        keys, rows = keys[order], rows[order]
-        if self.keys is None:
-            self.keys = np.full((self.n, self.k), keys[0], dtype=keys.dtype)
-        elif keys.dtype.kind == "U" and keys.dtype.itemsize > self.keys.dtype.itemsize:
-            self.keys = self.keys.astype(keys.dtype)
-        step = max(1, self.CELLS // len(keys))
-        for at in range(0, self.n, step):
-            part = slice(at, min(self.n, at + step))
-            self._take(part, keys, np.nan_to_num(score(probes[part], rows), nan=-np.inf))
-
-    def _take(self, part: slice, keys: np.ndarray, found: np.ndarray) -> None:
-        # Keys ascend along the columns, so a stable order breaks ties by key.
-        k = min(self.k, found.shape[1])
-        if found.shape[1] > 4 * k:
-            edge = -np.partition(-found, k - 1, axis=1)[:, k - 1 : k]
-            above = found >= edge
-            clean = above.sum(axis=1) == k
-            pick = np.zeros((len(found), k), dtype=np.int64)
-            pick[clean] = np.nonzero(above[clean])[1].reshape(-1, k)
-            pick[~clean] = np.argsort(-found[~clean], axis=1, kind="stable")[:, :k]
-        else:
-            pick = np.argsort(-found, axis=1, kind="stable")[:, :k]
-        scores = np.concatenate([self.scores[part], np.take_along_axis(found, pick, 1)], axis=1)
-        named = np.concatenate([self.keys[part], keys[pick]], axis=1)
-        best = np.lexsort((named, -scores), axis=1)[:, : self.k]
-        self.scores[part] = np.take_along_axis(scores, best, 1)
-        self.keys[part] = np.take_along_axis(named, best, 1)
-
-    def frame(self, ids: list) -> pd.DataFrame:
-        # Object columns let the declared schema decide the type, also without rows.
-        kept = np.isfinite(self.scores) if self.keys is not None else np.zeros((self.n, self.k), dtype=bool)
-        matched = self.keys[kept] if self.keys is not None else np.array([], dtype=object)
-        return pd.DataFrame(
-            {
-                "probe_id": pd.Series([ids[i] for i in np.nonzero(kept)[0]], dtype=object),
-                "match_id": pd.Series(matched.tolist(), dtype=object),
-                "score": self.scores[kept],
-            }
-        )
-
-
-def _stack(batch: pd.DataFrame, width: int | None) -> np.ndarray:
-    """The vectors of a batch as a matrix; sparse rows are filled in here, in the task."""
-    if len(batch) == 0:
-        return np.zeros((0, width or 0))
-    if width is None:
-        return np.stack([np.asarray(v, dtype=np.float64) for v in batch["vector"]])
-    out = np.zeros((len(batch), width))
-    lengths = batch["vector"].map(len).to_numpy()
-    rows = np.repeat(np.arange(len(batch)), lengths)
-    if len(rows):
-        out[rows, np.concatenate(batch["at"].to_numpy())] = np.concatenate(batch["vector"].to_numpy())
-    return out
-
-
-def _keys(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist())
-
-
-def top_k(
-    probes: DataFrame,
-    candidates: DataFrame,
-    k: int,
-    score: Score = cosine_scores,
-    probe_values: int = PROBE_VALUES,
-    width: int | None = None,
-) -> DataFrame:
-    """Best ``k`` candidates of every probe.
-
-    ``probes`` has (probe_id, vector), ``candidates`` has (match_id, vector).
-    With ``width`` both vectors are sparse: ``vector`` has the values and a
-    column ``at`` their positions below ``width``. Returns (probe_id, match_id,
-    score, rank); equal scores go to the smaller id.
-    """
-    parts = ["vector"] if width is None else ["at", "vector"]
-    probes = probes.select("probe_id", *parts)
-    candidates = candidates.select("match_id", *parts)
-    schema = T.StructType(
-        [probes.schema["probe_id"], candidates.schema["match_id"], T.StructField("score", T.DoubleType())]
-    )
-    size = probes.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vector")), F.lit(1))).first()
-    rows, values = size[0], width or max(1, size[1])
-    if rows * values <= probe_values:
-        partial = _with_sent_probes(probes, candidates, k, score, schema, width)
-    else:
-        partial = _with_grid(probes, candidates, k, score, schema, width, rows, max(1, probe_values // values))
-    order = Window.partitionBy("probe_id").orderBy(F.col("score").desc(), F.col("match_id"))
-    return partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-
-
-def _with_sent_probes(probes, candidates, k, score, schema, width):
-    # Size measured above: at most PROBE_VALUES numbers.
-    held = probes.toPandas()
-    sent = probes.sparkSession.sparkContext.broadcast((held["probe_id"].tolist(), _stack(held, width)))
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, matrix = sent.value
-        winners = _Winners(len(ids), k)
-        for batch in batches:
-            if len(batch):
-                winners.offer(matrix, _keys(batch["match_id"]), _stack(batch, width), score)
-        yield winners.frame(ids)
-
-    return candidates.mapInPandas(scan, schema)
-
+from pyspark.sql import DataFrame, Window, functions as F
 
-def _with_grid(probes, candidates, k, score, schema, width, rows, block_rows):
-    total = candidates.count()
-    probe_blocks = math.ceil(rows / block_rows)
-    match_blocks = max(1, math.ceil(total / block_rows))
+from traceframe.functions.signal import l2_normalise
+from traceframe.plans import cells
 
-    def spread(df, key, own, other, n_own, n_other):
-        block = F.pmod(F.xxhash64(key), F.lit(n_own)).alias(own)
-        return df.select("*", block).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
 
-    left = spread(probes, "probe_id", "pb", "mb", probe_blocks, match_blocks)
-    right = spread(candidates, "match_id", "mb", "pb", match_blocks, probe_blocks)
+def _unit(df: DataFrame, key: str, width: int) -> tuple[DataFrame, DataFrame]:
+    """(unit vectors, keys of vectors without length) of the finite vectors of one width."""
+    vector = F.col("vector").cast("array<double>")
+    fine = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    # Scaled by the largest component first, so that squares neither overflow nor vanish.
+    top = F.array_max(F.transform("vector", F.abs))
+    own = df.select(key, vector.alias("vector")).where(F.col("vector").isNotNull() & (F.size("vector") == width)).where(fine).withColumn("_top", top)
+    scaled = F.transform("vector", lambda x: x / F.col("_top"))
+    return own.where("_top > 0").select(key, l2_normalise(scaled).alias("vector")), own.where("_top = 0").select(key)
 
-    def cell(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        winners = _Winners(len(a), k)
-        if len(a) and len(b):
-            winners.offer(_stack(a, width), _keys(b["match_id"]), _stack(b, width), score)
-        return winners.frame(a["probe_id"].tolist())
 
-    return left.groupBy("pb", "mb").cogroup(right.groupBy("pb", "mb")).applyInPandas(cell, schema)
+def index_vectors(candidates: DataFrame, pivots: int = cells.PIVOTS) -> tuple[cells.Stored, DataFrame]:
+    """Index (match_id, vector): the stored cells, and the ids of vectors without length."""
+    width = candidates.agg(F.coalesce(F.max(F.size("vector")), F.lit(0))).first()[0]
+    full, empty = _unit(candidates, "match_id", width)
+    return cells.store(full, cells.PivotIndex.fit(full, width, pivots)), empty
 
 
-def gap_distance(probes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Negative Euclidean distance over the columns both sides have.
+def top_k(probes: DataFrame, candidates: DataFrame, k: int, pivots: int = cells.PIVOTS) -> DataFrame:
+    """Best ``k`` candidates (match_id, vector) of every probe (probe_id, vector): probe_id, match_id, score, rank.
 
-    The sum of squares is scaled up by (columns / columns present); a pair with
-    nothing in common has no distance.
+    Scores are rounded to 12 digits; equal ones go to the smaller id. A vector without length
+    scores 0 with everything; vectors that are null, not finite or of another width than the
+    longest candidate take no part. ``probe_id`` names a row.
     """
-    width = probes.shape[1]
-    squares = np.zeros((len(probes), len(rows)))
-    common = np.zeros((len(probes), len(rows)))
-    for c in range(width):
-        d = probes[:, c][:, None] - rows[:, c][None, :]
-        ok = ~np.isnan(d)
-        common += ok
-        squares += np.where(ok, d, 0.0) ** 2
-    with np.errstate(divide="ignore", invalid="ignore"):
-        out = -np.sqrt(squares * width / common)
-    out[common == 0] = np.nan
-    return out
+    stored, empty = index_vectors(candidates, pivots)
+    asked, blank = _unit(probes, "probe_id", stored.index.width)
+    found = cells.search(asked, stored, k).select("probe_id", "match_id", (-F.col("cost")).alias("score"))
+    # Score 0 with every probe: of these only the k smallest ids can win.
+    zero = F.broadcast(empty.orderBy("match_id").limit(k))
+    found = found.unionByName(asked.select("probe_id").crossJoin(zero).withColumn("score", F.lit(0.0)))
+    least = F.broadcast(stored.rows.select("match_id").unionByName(empty).orderBy("match_id").limit(k))
+    found = found.unionByName(blank.crossJoin(least).withColumn("score", F.lit(0.0)))
+    # 0 in place of -0.
+    order = Window.partitionBy("probe_id").orderBy(F.col("score").desc(), "match_id")
+    return found.withColumn("score", F.col("score") + F.lit(0.0)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -7,10 +7,14 @@ size, and only single buckets are ever sorted in one task.
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from traceframe.functions.hashing import digest
 from traceframe.functions.labels import present
+from traceframe.session import cut_lineage
 
 # Hash buckets are the leading hex digits of a digest: 16 ** 4 = 65536 of them,
 # each holding an even share of the rows whatever the keys look like.
@@ -134,17 +138,21 @@ def ordered_rank(df: DataFrame, order: str, name: str = "rank", buckets: int | N
     return out.drop("_b", "_v", "_before")
 
 
-def nested_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
+def nested_rank(df: DataFrame, order: list[str], name: str = "rank", ranges: int | None = None) -> DataFrame:
     """Append the 1-based position of every row in ``order``, a list of keys from coarse to fine.
 
-    Rows are counted per first key (a file, say) and numbered inside it by the others.
+    Rows are dealt into ranges of the whole key and stored, so that a file of all rows is spread like
+    any other; a range's rows are numbered in its task, and the rows of the ranges
+    before it are added. The ranges decide how even the tasks are, never the ranks. Rows that are alike in the
+    whole key are numbered among themselves in any order.
     """
-    group, *rest = order
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).withColumn("_all", F.lit(1))
-    offsets = counts.select(F.col(group).alias("_g"), F.coalesce(F.sum("_n").over(_previous(["_all"], group)), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(group).orderBy(*rest)
-    numbered = df.withColumn("_i", F.row_number().over(inside)).join(offsets, F.col(group).eqNullSafe(F.col("_g")))
-    return numbered.withColumn(name, (F.col("_i") + F.col("_before")).cast("long")).drop("_i", "_g", "_before")
+    ranges = ranges or bucket_count(df)
+    dealt = cut_lineage(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    # One row per range.
+    offsets = F.broadcast(_bucket_offsets(dealt.select("_range"), [], "_range").select("_range", "_before"))
+    inside = Window.partitionBy("_range").orderBy(*order)
+    numbered = dealt.join(offsets, "_range").withColumn(name, (F.row_number().over(inside) + F.col("_before")).cast("long"))
+    return numbered.drop("_range", "_before")
 
 
 def with_value_bucket(df: DataFrame, order: str, buckets: int) -> DataFrame:
@@ -209,24 +217,77 @@ def unpivot(df: DataFrame, ids: list[str], columns: list[str], name: str, value:
     return df.select(*ids, F.inline(pairs))
 
 
-def exact_median(df: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
-    """Exact median of each column, nulls and NaN left out: rows (column_name, median)."""
-    buckets = buckets or bucket_count(df)
-    df = df.select(*[present(F.col(c).cast("double")).alias(c) for c in columns])
-    long = unpivot(
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns]), [], columns, "column_name", "value"
-    ).filter(F.col("value").isNotNull())
-    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    cuts = wide_cuts(df, columns, "column_name", buckets)
-    totals = counts.groupBy("column_name").agg(F.sum("n").alias("total"))
-    ranked = running_totals(counts, cuts, "column_name", "value", ["n"], buckets).join(
-        F.broadcast(totals), "column_name"
-    )
-    low, high = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
-    first = F.col("cum_n") - F.col("n")
-    holds = lambda p: (first < p) & (F.col("cum_n") >= p)
-    return ranked.groupBy("column_name").agg(
-        ((F.max(F.when(holds(low), F.col("value"))) + F.max(F.when(holds(high), F.col("value")))) / 2).alias(
-            "median"
-        )
+ACCURACY = 10_000  # a sketch's rank is off by one in so many rows at most
+ROWS_LEFT = 20_000  # values of a column that may be left in its bracket
+
+
+@dataclass
+class _Bracket:
+    """Where the middle of a column is: rows in all, rows below ``low``, rows from ``low`` to ``high``."""
+
+    rows: int
+    low: float = -math.inf
+    high: float = math.inf
+    below: int = 0
+    inside: int = 0
+
+    def holds_middle(self) -> bool:
+        return self.below < (self.rows + 1) // 2 and self.rows // 2 + 1 <= self.below + self.inside
+
+    def shares(self) -> tuple[float, float]:
+        """Shares of the bracket's rows between which the middle lies, with room for the sketch's error."""
+        places = ((self.rows + 1) // 2 - self.below, self.rows // 2 + 1 - self.below)
+        room = 2 / ACCURACY
+        return max(0.0, (places[0] - 1) / self.inside - room), min(1.0, (places[1] + 1) / self.inside + room)
+
+
+def _within(column: str, b: _Bracket) -> Column:
+    # Infinite values lie in an open bracket.
+    return (F.col(column) >= F.lit(b.low)) & (F.col(column) <= F.lit(b.high))
+
+
+def middle_brackets(numbers: DataFrame, columns: list[str], rows_left: int = ROWS_LEFT) -> dict[str, _Bracket]:
+    """A bracket around the middle of each column that holds few rows, or copies of one value.
+
+    Every round sketches the open brackets in one scan and counts in a second which rows lie
+    below and inside the narrower ones; nothing is shuffled but one row per task. A sketch that missed the
+    middle is noticed by the counts and its bracket stays as it was.
+    """
+    first = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
+    out = {c: _Bracket(first[c], inside=first[c]) for c in columns if first[c]}
+    open_columns = list(out)
+    while open_columns := [c for c in open_columns if out[c].inside > rows_left and out[c].low < out[c].high]:
+        ends = {c: out[c].shares() for c in open_columns}
+        sketch = lambda c: F.percentile_approx(F.when(_within(c, out[c]), F.col(c)), F.array(*[F.lit(x) for x in ends[c]]), F.lit(ACCURACY))
+        found = numbers.agg(*[sketch(c).alias(c) for c in open_columns]).first()
+        narrow = {c: _Bracket(out[c].rows, found[c][0], found[c][1]) for c in open_columns}
+        counts = numbers.agg(*[F.count_if(F.col(c) < F.lit(b.low)).alias(f"b_{c}") for c, b in narrow.items()], *[F.count_if(_within(c, b)).alias(f"i_{c}") for c, b in narrow.items()]).first()
+        shrunk = []
+        for c, b in narrow.items():
+            b.below, b.inside = counts[f"b_{c}"], counts[f"i_{c}"]
+            if b.holds_middle() and b.inside < out[c].inside:
+                out[c] = b
+                shrunk.append(c)
+        open_columns = shrunk
+    return out
+
+
+def exact_median(df: DataFrame, columns: list[str], rows_left: int = ROWS_LEFT) -> DataFrame:
+    """Exact median of each column, nulls and NaN left out: rows (column_name, median).
+
+    Only values inside a bracket around the middle are counted one by one.
+    """
+    numbers = df.select(*[present(F.col(c).cast("double")).alias(c) for c in columns])
+    found = middle_brackets(numbers, columns, rows_left)
+    inside = numbers.select(*[F.when(_within(c, b), F.col(c)).alias(c) for c, b in found.items()])
+    spark = df.sparkSession
+    if not found:
+        return spark.createDataFrame([], "column_name string, median double")
+    counts = unpivot(inside, [], list(found), "column_name", "value").where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    before = spark.createDataFrame([(c, b.below, (b.rows + 1) // 2, b.rows // 2 + 1) for c, b in found.items()], "column_name string, below long, p1 long, p2 long")
+    ranked = counts.join(F.broadcast(before), "column_name").withColumn(
+        "upto", F.col("below") + F.sum("n").over(Window.partitionBy("column_name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
     )
+    holds = lambda p: (F.col("upto") - F.col("n") < F.col(p)) & (F.col("upto") >= F.col(p))
+    middle = [F.max(F.when(holds(p), F.col("value"))) for p in ("p1", "p2")]
+    return ranked.groupBy("column_name").agg(((middle[0] + middle[1]) / 2).alias("median"))
