@@ -105,15 +105,15 @@ def pack(
     )
     name = [F.coalesce("doc_id", F.lit(-1)), F.coalesce("cluster", F.lit(0))]
     lane = lambda *salt: F.pmod(F.xxhash64(*name, *salt), F.lit(lanes)).alias("lane")
+    # Stored: read twice without the texts, and a repeated task finds the same row numbers.
+    slim = Scratch(docs.sparkSession, "packing").save(slim.withColumn("_row", F.monotonically_increasing_id()), "rows")
     repeated = slim.groupBy(*[n.alias(f"_{i}") for i, n in enumerate(name)]).agg(F.count("*").alias("_n")).where(F.col("_n") > REPEATS)
     if repeated.limit(1).count():
-        # Rows that repeat one name would be one lane: they are numbered, and stored, so that a repeated task numbers them alike.
-        numbered = Scratch(docs.sparkSession, "packing").save(slim.withColumn("_row", F.monotonically_increasing_id()), "rows")
-        many = repeated.withColumn("_many", F.lit(True)).drop("_n")
-        joined = numbered.join(many, (name[0] == F.col("_0")) & (name[1] == F.col("_1")), "left")
-        slim = joined.select(*slim.columns, F.when(F.col("_many"), lane("_row")).otherwise(lane()).alias("lane"))
+        # Rows that repeat one name would be one lane.
+        joined = slim.join(repeated.withColumn("_many", F.lit(True)), (name[0] == F.col("_0")) & (name[1] == F.col("_1")), "left")
+        slim = joined.select("doc_id", "words", "source", "cluster", F.when(F.col("_many"), lane("_row")).otherwise(lane()).alias("lane"))
     else:
-        slim = slim.select("*", lane())
+        slim = slim.select("doc_id", "words", "source", "cluster", lane())
 
     def lane_of(own: pd.DataFrame) -> pd.DataFrame:
         number = int(own["lane"].iloc[0])
