@@ -164,3 +164,74 @@ def test_validated_ingest_keeps_every_row(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == gappy.count()
     assert got.filter("outcome = 'valid'").filter(F.col("trace_data").isNull()).count() == 0
+
+
+def _segy_folder(spark, tmp_path, n=400):
+    from traceframe.operators import sampling
+
+    rows = spark.range(n).select(
+        F.col("id").alias("trace_id"), F.lit("x").alias("file_id"), F.transform(F.sequence(F.lit(1), F.lit(30)), lambda i: (i * F.col("id")).cast("double")).alias("trace_data"),
+        F.lit(30).cast("long").alias("num_samples"), F.lit(0.004).alias("sample_rate"), (F.col("id") / 25).cast("long").alias("inline"), (F.col("id") % 25).alias("crossline"),
+        F.col("id").alias("cdp_x"), F.col("id").alias("cdp_y"), F.col("id").alias("field_record"), F.col("id").alias("trace_number"),
+    )
+    folder = str(tmp_path / "raw")
+    segy.write_segy(sampling.number_files(rows, "trace_id", 100), folder, "trace_id")
+    return folder
+
+
+def test_segy_index_prunes_ranges(spark, tmp_path):
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In, LessThanOrEqual, StringStartsWith
+
+    folder, index = _segy_folder(spark, tmp_path), str(tmp_path / "index")
+    rows = segy.index_segy(spark, folder, index, split_bytes=6000)
+    assert rows.count() > 20
+    loaded = segy._load_index(index)
+    whole = segy.SegyReader(folder, 6000, loaded)
+    other = StringStartsWith(("file_id",), "0")
+    assert list(whole.pushFilters([other])) == [other] and len(whole.partitions()) == len(loaded)
+    for tests, low, high in (([EqualTo(("inline",), 7)], 7, 7), ([GreaterThan(("inline",), 12), LessThanOrEqual(("inline",), 13)], 13, 13), ([In(("inline",), (2, 3))], 2, 3)):
+        reader = segy.SegyReader(folder, 6000, loaded)
+        assert list(reader.pushFilters(tests)) == []
+        parts = reader.partitions()
+        assert len(parts) < len(loaded) / 2
+        got = [i for p in parts for b in reader.read(p) for i in b.column("inline").to_pylist()]
+        assert len(got) == 25 * (high - low + 1) and low <= min(got) and max(got) <= high
+    nothing = segy.SegyReader(folder, 6000, loaded)
+    assert list(nothing.pushFilters([EqualTo(("inline",), 99)])) == [] and [b for p in nothing.partitions() for b in nothing.read(p)] == []
+    found = segy.read_segy(spark, folder, index=index).where("inline in (2, 3) and crossline > 20 and trace_id < 90")
+    assert sorted(r.cdp_x for r in found.collect()) == [i for i in range(400) if i // 25 in (2, 3) and i % 25 > 20 and i % 100 < 90]
+    assert sorted(r.trace_data[1] for r in found.collect()) == sorted(2.0 * r.cdp_x for r in found.collect())
+    # A file that the index does not know as it is now is read whole.
+    more = spark.range(100, 103).select(F.col("id").alias("trace_id"), F.array(F.lit(1.0)).alias("trace_data"), F.lit(1).cast("long").alias("num_samples"), F.lit(0.004).alias("sample_rate"), F.lit(2).cast("long").alias("inline"), *[F.lit(24).cast("long").alias(c) for c in ("crossline", "cdp_x", "cdp_y", "field_record", "trace_number")], F.lit(9).alias("file_no"))
+    segy.write_segy(more, folder, "trace_id", mode="append")
+    assert segy.read_segy(spark, folder, index=index).where("inline = 2 and crossline = 24").count() == 4
+
+
+@pytest.mark.parametrize("long", [1 << 20, 1])
+def test_segy_headers_and_nested_folders(spark, tmp_path, monkeypatch, long):
+    monkeypatch.setattr(segy, "FAR_APART", long)
+    folder = _segy_folder(spark, tmp_path)
+    found = segy.read_segy(spark, str(tmp_path), headers_only=True)
+    assert "trace_data" not in found.columns and found.agg(F.sum("cdp_x")).first()[0] == sum(range(400))
+    assert segy.read_segy(spark, str(tmp_path)).count() == segy.read_segy(spark, str(tmp_path), split_bytes=5000).count() == 400
+    assert segy._prefix("hdfs://host:9000/a/b", "/a/b") == "hdfs://host:9000" and segy._prefix("s3://bucket/a", "bucket/a") == "s3://" and segy._prefix(folder, folder) == ""
+
+
+@pytest.mark.parametrize("split", [None, 5000])
+def test_segy_stream_takes_each_file_once(spark, tmp_path, split):
+    folder = _segy_folder(spark, tmp_path)
+    out, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "checkpoint")
+
+    def run():
+        stream = segy.to_bronze(segy.stream_segy(spark, folder, split, files_per_batch=3))
+        stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
+        return spark.read.parquet(out)
+
+    first = run()
+    want = segy.read_bronze(spark, folder)
+    assert first.count() == 400 and first.exceptAll(want.select(first.columns)).count() == 0
+    assert run().count() == 400  # a restart repeats nothing
+    rows = want.withColumn("file_no", F.lit(50)).where("file_id = '001'")
+    segy.write_segy(rows, folder, "trace_id", prefix="late", mode="append")
+    again = run()
+    assert again.count() == 500 and again.where("file_id = '050'").count() == 100

@@ -1,9 +1,14 @@
 """SEG-Y files: IBM and IEEE floats and 4, 2 and 1 byte integers, with extended text headers.
 
-Reading: files are listed by Spark, so any path it can resolve will do, and small files are packed
-into partitions by their size. A file above ``WHOLE_BYTES``, or all of them if
-``split_bytes`` is given, is read by byte ranges: the reader of a range takes the layout from
-the file's header and yields the traces that begin inside it. Writing: each task
+Reading: files are listed by Spark, folders are walked down, and any path Spark can resolve
+will do; small files are packed into partitions by their size. A file above ``WHOLE_BYTES``, or all of
+them if ``split_bytes`` is given, is read by byte ranges: the reader of a range takes the layout
+from the file's header and yields the traces that begin inside it. A stream takes files as
+they arrive, whole or by ranges, each once.
+
+An index (``index_segy``) holds, per byte range, the least and largest value of every header.
+A reader that is given one opens only the ranges that a filter's headers leave possible, and
+decodes the samples of the traces that fit; ``headers_only`` skips samples altogether. Writing: each task
 writes one file per file number it receives, under a name of its own; the commit gives the
 files their names, so a repeated task leaves nothing behind.
 """
@@ -21,9 +26,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import (
+    DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual,
+    WriterCommitMessage,
+)
 from pyspark.sql.types import StructType
 
 from traceframe.functions.hashing import three_way_label
@@ -50,16 +59,46 @@ SCHEMA = (
     "file_id string, trace_id bigint, trace_data array<double>, num_samples bigint, sample_rate double, "
     "inline bigint, crossline bigint, cdp_x bigint, cdp_y bigint, field_record bigint, trace_number bigint"
 )
+HEADER_SCHEMA = SCHEMA.replace("trace_data array<double>, ", "")
 HEADER_ORDER = ["inline", "crossline", "cdp_x", "cdp_y", "field_record", "trace_number"]
 BATCH_BYTES = 16 << 20
 WHOLE_BYTES = 256 << 20  # a file up to this size is one row of a scan
 
 
+INDEX_SCHEMA = "path string, size bigint, start bigint, stop bigint, low array<bigint>, high array<bigint>"
+INDEX_ARROW = pa.schema([("path", pa.string()), *[(c, pa.int64()) for c in ("size", "start", "stop")], *[(c, pa.list_(pa.int64())) for c in ("low", "high")]])
+INDEXED = ["trace_id", *HEADER_ORDER]  # whole numbers known of every trace without its samples
+FAR_APART = 64 << 10  # headers of longer traces are read one by one, where samples are skipped
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+
+
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and place of a path, by its scheme."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = f"file://{path[5:]}"
     return pafs.FileSystem.from_uri(path if urlparse(path).scheme else f"file://{os.path.abspath(path)}")
 
 
+def _prefix(path: str, root: str) -> str:
+    """What a place on the file system of ``path`` needs to be opened again: scheme and, if not part of the place, authority."""
+    uri = urlparse(path)
+    if uri.scheme in ("", "file"):
+        return ""
+    inside = root == uri.netloc or root.startswith(f"{uri.netloc}/")  # a bucket
+    return f"{uri.scheme}://" if inside or not uri.netloc else f"{uri.scheme}://{uri.netloc}"
+
+
+def _listed(path: str) -> list[tuple[str, int]]:
+    """(path, size) of one SEG-Y file or of all in a folder and below, but for attempts of writers."""
+    fs, root = _open(path)
+    info = fs.get_file_info(root)
+    found = [info] if info.type == pafs.FileType.File else []
+    if info.type == pafs.FileType.Directory:
+        found = [f for f in fs.get_file_info(pafs.FileSelector(root, recursive=True)) if f.path.endswith(".sgy") and "/_" not in f.path[len(root) :]]
+    prefix = _prefix(path, root)
+    return sorted((prefix + f.path, f.size) for f in found)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with the scheme that Spark would give it."""
     jvm = spark._jvm
@@ -118,61 +157,125 @@ class Written(WriterCommitMessage):
     files: list
 
 
+def _ranges(path: str, size: int, split_bytes: int) -> list[ByteRange]:
+    return [ByteRange(path, at, min(at + split_bytes, size)) for at in range(HEADER_BYTES, size, split_bytes)]
+
+
+_TESTS = {
+    EqualTo: lambda x, v: x == v,
+    EqualNullSafe: lambda x, v: x == v,
+    GreaterThan: lambda x, v: x > v,
+    GreaterThanOrEqual: lambda x, v: x >= v,
+    LessThan: lambda x, v: x < v,
+    LessThanOrEqual: lambda x, v: x <= v,
+    In: lambda x, v: np.isin(x, list(v)),
+}
+
+
+@dataclass
+class HeaderTest:
+    """A filter on one whole-number header."""
+
+    column: str
+    test: Filter
+
+    @classmethod
+    def of(cls, test: Filter) -> HeaderTest | None:
+        if type(test) not in _TESTS or len(test.attribute) != 1 or test.attribute[0] not in INDEXED:
+            return None
+        values = test.value if isinstance(test, In) else [test.value]
+        return cls(test.attribute[0], test) if all(isinstance(v, int) for v in values) else None
+
+    def holds(self, values: np.ndarray) -> np.ndarray:
+        return _TESTS[type(self.test)](values, self.test.value)
+
+    def possible(self, low: int, high: int) -> bool:
+        """Whether a value from ``low`` to ``high`` can pass."""
+        value = self.test.value
+        if isinstance(self.test, (GreaterThan, GreaterThanOrEqual)):
+            return bool(self.holds(np.int64(high)))
+        if isinstance(self.test, (LessThan, LessThanOrEqual)):
+            return bool(self.holds(np.int64(low)))
+        return any(low <= v <= high for v in (value if isinstance(self.test, In) else [value]))
+
+
 class SegyReader(DataSourceReader):
-    def __init__(self, path: str, split_bytes: int):
-        self.path, self.split_bytes = path, split_bytes
+    def __init__(self, path: str, split_bytes: int, index: list | None = None, headers_only: bool = False):
+        self.path, self.split_bytes, self.headers_only = path, split_bytes, headers_only
+        self.index = index or []  # (path, size, start, stop, low, high)
+        self.tests: list[HeaderTest] = []
+
+    def pushFilters(self, filters):  # noqa: N802
+        """Filters on headers are applied here, to ranges and then to traces; others are Spark's."""
+        for f in filters:
+            test = HeaderTest.of(f)
+            if test is None:
+                yield f
+            else:
+                self.tests.append(test)
 
     def partitions(self) -> list[ByteRange]:
-        """Cut the listed files into ranges; only sizes are looked at here."""
-        fs, root = _open(self.path)
-        info = fs.get_file_info(root)
-        if info.type == pafs.FileType.Directory:
-            files = [f for f in fs.get_file_info(pafs.FileSelector(root)) if f.path.endswith(".sgy")]
-        else:
-            files = [info] if info.type == pafs.FileType.File else []
+        """Ranges of the listed files; those of the index that no trace can pass are left out.
+
+        Only sizes are looked at here. A file whose size is not the index's is cut anew.
+        """
+        files = _listed(self.path)
         if not files:
             raise ValueError(f"no SEG-Y files at {self.path}")
-        scheme = urlparse(self.path).scheme
-        prefix = f"{scheme}://" if scheme and scheme != "file" else ""
-        return [
-            ByteRange(prefix + f.path, at, min(at + self.split_bytes, f.size))
-            for f in sorted(files, key=lambda f: f.path)
-            for at in range(HEADER_BYTES, f.size, self.split_bytes)
-        ]
+        known: dict[tuple[str, int], list] = {}
+        for path, size, start, stop, low, high in self.index:
+            known.setdefault((path, size), []).append((start, stop, low, high))
+        out = []
+        for path, size in files:
+            if (path, size) not in known:
+                out += _ranges(path, size, self.split_bytes)
+            for start, stop, low, high in sorted(known.get((path, size), [])):
+                if all(t.possible(low[INDEXED.index(t.column)], high[INDEXED.index(t.column)]) for t in self.tests):
+                    out.append(ByteRange(path, start, stop))
+        return out or [ByteRange(files[0][0], HEADER_BYTES, HEADER_BYTES)]  # a range without traces
 
     def read(self, part: ByteRange):
-        fs, path = _open(part.path)
-        with fs.open_input_file(path) as f:
-            layout = Layout.of(f.read_at(HEADER_BYTES, 0), part.path)
-            # Traces that begin in [start, stop).
-            first = max(0, -(-(part.start - layout.begin) // layout.step))
-            last = -(-(part.stop - layout.begin) // layout.step)
-            per_batch = max(1, BATCH_BYTES // layout.step)
-            for at in range(first, last, per_batch):
-                n = min(per_batch, last - at)
+        yield from read_range(part, self.tests, self.headers_only)
+
+
+def read_range(part: ByteRange, tests: list[HeaderTest] | None = None, headers_only: bool = False) -> Iterator[pa.RecordBatch]:
+    """Traces that begin in [start, stop) and pass the tests; samples are decoded of those only."""
+    fs, path = _open(part.path)
+    with fs.open_input_file(path) as f:
+        layout = Layout.of(f.read_at(HEADER_BYTES, 0), part.path)
+        first = max(0, -(-(part.start - layout.begin) // layout.step))
+        last = -(-(part.stop - layout.begin) // layout.step)
+        step = TRACE_HEADER_BYTES if headers_only else layout.step
+        per_batch = max(1, BATCH_BYTES // layout.step)
+        for at in range(first, last, per_batch):
+            n = min(per_batch, last - at)
+            if headers_only and layout.step > FAR_APART:
+                data = b"".join(f.read_at(step, layout.begin + i * layout.step) for i in range(at, at + n))
+            else:
                 data = f.read_at(n * layout.step, layout.begin + at * layout.step)
-                if len(data) != n * layout.step:
-                    raise ValueError(f"{part.path}: truncated trace")
-                yield _batch(data, n, layout, at, _stem_id(part.path))
-
-
-def _batch(data: bytes, n: int, layout: Layout, first: int, name: str) -> pa.RecordBatch:
-    rows = np.frombuffer(data, dtype=np.uint8).reshape(n, layout.step)
+                if len(data) == n * layout.step and headers_only:
+                    data = np.frombuffer(data, np.uint8).reshape(n, layout.step)[:, :step].tobytes()
+            if len(data) != n * step:
+                raise ValueError(f"{part.path}: truncated trace")
+            yield _batch(data, n, layout, at, _stem_id(part.path), tests or [], headers_only)
+
+
+def _batch(data: bytes, n: int, layout: Layout, first: int, name: str, tests: list[HeaderTest] | tuple = (), headers_only: bool = False) -> pa.RecordBatch:
+    rows = np.frombuffer(data, dtype=np.uint8).reshape(n, -1)
+    numbers = {"trace_id": np.arange(first, first + n, dtype=np.int64)}
+    for c in HEADER_ORDER:
+        numbers[c] = rows[:, FIELDS[c] : FIELDS[c] + 4].copy().view(">i4").astype(np.int64).ravel()
+    fits = np.ones(n, bool)
+    for t in tests:
+        fits &= t.holds(numbers[t.column])
+    if not fits.all():
+        rows, n, numbers = rows[fits], int(fits.sum()), {c: v[fits] for c, v in numbers.items()}
     samples = layout.samples
-
-    def field(at: int) -> np.ndarray:
-        return rows[:, at : at + 4].copy().view(">i4").astype(np.int64).ravel()
-
-    values = layout.values(rows).ravel()
-    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * samples)
-    columns = {
-        "file_id": pa.array([name] * n, pa.string()),
-        "trace_id": pa.array(np.arange(first, first + n, dtype=np.int64)),
-        "trace_data": pa.ListArray.from_arrays(offsets, pa.array(values)),
-        "num_samples": pa.array(np.full(n, samples, dtype=np.int64)),
-        "sample_rate": pa.array(np.full(n, layout.interval / 1e6)),
-        **{c: pa.array(field(FIELDS[c])) for c in HEADER_ORDER},
-    }
+    columns = {"file_id": pa.array([name] * n, pa.string()), "trace_id": pa.array(numbers["trace_id"])}
+    if not headers_only:
+        offsets = pa.array(np.arange(n + 1, dtype=np.int32) * samples)
+        columns["trace_data"] = pa.ListArray.from_arrays(offsets, pa.array(layout.values(rows).ravel()))
+    columns |= {"num_samples": pa.array(np.full(n, samples, dtype=np.int64)), "sample_rate": pa.array(np.full(n, layout.interval / 1e6)), **{c: pa.array(numbers[c]) for c in HEADER_ORDER}}
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
@@ -273,39 +376,95 @@ def _traces(rows: pa.RecordBatch, samples: int) -> bytes:
 
 
 class SegySource(DataSource):
-    """``spark.read.format("segy").load(path)``; option ``split_bytes``."""
+    """``spark.read.format("segy").load(path)``; options ``split_bytes``, ``headers_only`` and ``index`` (a folder of ``index_segy``)."""
 
     @classmethod
     def name(cls) -> str:
         return "segy"
 
+    def _headers_only(self) -> bool:
+        return self.options.get("headers_only", "false").lower() == "true"
+
     def schema(self) -> str:
-        return SCHEMA
+        return HEADER_SCHEMA if self._headers_only() else SCHEMA
 
     def reader(self, schema: StructType) -> SegyReader:
-        return SegyReader(self.options["path"], int(self.options.get("split_bytes", 128 << 20)))
+        index = _load_index(self.options["index"]) if "index" in self.options else []
+        return SegyReader(self.options["path"], int(self.options.get("split_bytes", 128 << 20)), index, self._headers_only())
 
     def writer(self, schema: StructType, overwrite: bool) -> SegyWriter:
         return SegyWriter(self.options["path"], self.options.get("prefix", "traces"), overwrite)
 
 
+def _load_index(folder: str) -> list:
+    """The rows of an index: one per byte range, a few hundred bytes each."""
+    fs, root = _open(folder)
+    rows = []
+    for f in fs.get_file_info(pafs.FileSelector(root)):
+        if f.path.endswith(".parquet"):
+            rows += pq.read_table(f.path, filesystem=fs).to_pylist()
+    return [(r["path"], r["size"], r["start"], r["stop"], r["low"], r["high"]) for r in rows]
+
+
+def _spread_ranges(files: DataFrame, split_bytes: int) -> DataFrame:
+    """(path, size, start, stop) of files (path, length), dealt out evenly."""
+    starts = F.sequence(F.lit(HEADER_BYTES).cast("long"), F.greatest(F.col("length") - 1, F.lit(HEADER_BYTES)), F.lit(split_bytes).cast("long"))
+    ranges = files.select("path", F.col("length").alias("size"), F.explode(starts).alias("start"))
+    return ranges.withColumn("stop", F.least(F.col("start") + split_bytes, F.col("size")))
+
+
+def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, start, stop in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "stop")), strict=True):
+            yield from read_range(ByteRange(path, start, stop))
+
+
+def index_segy(spark: SparkSession, path: str, folder: str, split_bytes: int = 8 << 20) -> DataFrame:
+    """Write the index of all files at ``path`` into ``folder``: the ranges of each header, per byte range.
+
+    One task per some ranges reads headers only; the result has one row per range.
+    """
+    files = spark.createDataFrame(_listed(qualified(spark, path)), "path string, length long")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                low, high = np.full(len(INDEXED), np.iinfo(np.int64).max), np.full(len(INDEXED), np.iinfo(np.int64).min)
+                for found in read_range(ByteRange(row["path"], row["start"], row["stop"]), headers_only=True):
+                    if found.num_rows:
+                        values = np.stack([found.column(c).to_numpy() for c in INDEXED])
+                        low, high = np.minimum(low, values.min(axis=1)), np.maximum(high, values.max(axis=1))
+                out.append({**row, "low": low.tolist(), "high": high.tolist()})
+            yield pa.RecordBatch.from_pylist(out, schema=INDEX_ARROW)
+
+    ranges = _spread_ranges(files, split_bytes)
+    ranges.repartition(2 * spark.sparkContext.defaultParallelism).mapInArrow(measure, INDEX_SCHEMA).write.mode("overwrite").parquet(folder)
+    return spark.read.schema(INDEX_SCHEMA).parquet(folder)
+
+
 def register(spark: SparkSession) -> None:
+    spark.conf.set(PUSHDOWN, "true")  # a reader that takes filters is refused without it
     spark.dataSource.register(SegySource)
 
 
-def read_segy(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
-    """Traces of one file or of all files in a folder, in one scan.
+def read_segy(spark: SparkSession, path: str, split_bytes: int | None = None, index: str | None = None, headers_only: bool = False) -> DataFrame:
+    """Traces of one file or of all files in a folder and below, in one scan.
 
     Files up to ``WHOLE_BYTES`` are rows of a binary scan, which Spark packs into
-    partitions; larger ones, or all with ``split_bytes``, are read by byte ranges.
+    partitions; larger ones, or all with ``split_bytes``, are read by byte ranges. With ``index``,
+    a folder that ``index_segy`` wrote, filters on headers decide which ranges are opened.
+    ``headers_only`` gives all columns but the samples.
     """
     register(spark)
     place = qualified(spark, path)
     by_range = spark.read.format("segy").option("split_bytes", split_bytes or 128 << 20)
-    if split_bytes:
-        return by_range.load(place)
+    if index:
+        by_range = by_range.option("index", qualified(spark, index))
+    if split_bytes or index or headers_only:
+        return by_range.option("headers_only", str(headers_only).lower()).load(place)
     try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.sgy").load(place)
+        files = _binary(spark.read).load(place)
         sizes = files.agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("most")).first()  # names and sizes only
     except AnalysisException:
         raise ValueError(f"no SEG-Y files at {path}") from None
@@ -316,6 +475,26 @@ def read_segy(spark: SparkSession, path: str, split_bytes: int | None = None) ->
     return files.select("path", "content").mapInArrow(_whole_files, SCHEMA)
 
 
+def _binary(reader):
+    return reader.format("binaryFile").option("pathGlobFilter", "*.sgy").option("recursiveFileLookup", "true")
+
+
+def stream_segy(spark: SparkSession, path: str, split_bytes: int | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """Traces of files as they arrive in a folder or below.
+
+    Spark's file source remembers which files it has taken, so a restart from its checkpoint
+    neither loses nor repeats one; ``files_per_batch`` bounds a batch. Files come whole, on any file
+    system Spark knows, or with ``split_bytes`` as byte ranges that are dealt over the tasks.
+    """
+    source = _binary(spark.readStream).schema("path string, modificationTime timestamp, length long, content binary")
+    if files_per_batch:
+        source = source.option("maxFilesPerTrigger", files_per_batch)
+    files = source.load(qualified(spark, path))
+    if not split_bytes:
+        return files.select("path", "content").mapInArrow(_whole_files, SCHEMA)
+    return _spread_ranges(files.select("path", "length"), split_bytes).repartition(2 * spark.sparkContext.defaultParallelism).mapInArrow(_read_ranges, SCHEMA)
+
+
 def _whole_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
@@ -333,7 +512,12 @@ def _whole_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_bronze(spark: SparkSession, path: str, seed: str = "42") -> DataFrame:
     """Raw files to the bronze schema in one call; the class of a trace is drawn by its file and number."""
-    return conform(read_segy(spark, path).withColumn("class_label", three_way_label(seed, "file_id", "trace_id")), BRONZE)
+    return to_bronze(read_segy(spark, path), seed)
+
+
+def to_bronze(traces: DataFrame, seed: str = "42") -> DataFrame:
+    """Read traces, a table or a stream, in the bronze schema."""
+    return conform(traces.withColumn("class_label", three_way_label(seed, "file_id", "trace_id")), BRONZE)
 
 
 WRITE_COLUMNS = ["file_no", "position", "trace_data", "num_samples", "sample_rate", *HEADER_ORDER]
