@@ -51,7 +51,7 @@ SELECT feature, round(d, 6) AS ks_statistic, n AS n_reference, m AS n_current, r
 def feature_drift(spark, sf):
     df = _lines(spark, sf)
     # Two tables, as a stored reference and a new load would come.
-    return rounded(dr.feature_drift_of(df.filter(_early()), df.filter(~_early()), COLUMNS))
+    return rounded(dr.feature_drift_of(df.filter(_early()), df.filter(~_early()), COLUMNS, method="series"))
 
 
 _GAPPY_EVENTS = f"""SELECT 'value_scaled' AS feature, ts < TIMESTAMP '2024-01-15' AS is_ref,
@@ -70,7 +70,7 @@ def feature_drift_with_gaps(spark, sf):
         F.when(uniform("gap-value", "event_id") >= 0.05, F.col("value")).alias("value_scaled"),
     )
     early = F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00"))
-    return rounded(dr.feature_drift(df, ft.drift_columns(df.columns), early))
+    return rounded(dr.feature_drift(df, ft.drift_columns(df.columns), early, method="series"))
 
 
 _SUMMARY_SQL = """s AS (SELECT count(*) AS features_tested, count(*) FILTER (WHERE p < 0.05) AS features_drifted FROM p)"""
@@ -84,7 +84,7 @@ SELECT features_tested, features_drifted, round(features_drifted / features_test
     WHEN features_drifted / features_tested < 0.3 THEN 'medium' ELSE 'high' END AS severity FROM s""",
 )
 def drift_summary(spark, sf):
-    found = dr.feature_drift(_lines(spark, sf), COLUMNS, _early())
+    found = dr.feature_drift(_lines(spark, sf), COLUMNS, _early(), method="series")
     return rounded(dr.drift_summary(found, len(COLUMNS)))
 
 
@@ -107,7 +107,7 @@ def small_sample_drift(spark, sf):
 
     traces = roles.traces(spark, sf).select("trace_id", F.col("trace_data").alias("embedding"))
     wide = halves(ft.spread_embedding(traces, dim=64), "trace_id")
-    return rounded(dr.feature_drift(wide, ft.drift_columns(wide.columns), F.col("side") == "reference", method="exact"))
+    return rounded(dr.feature_drift(wide, ft.drift_columns(wide.columns), F.col("side") == "reference"))
 
 
 @query(
@@ -187,7 +187,7 @@ def important_feature_drift(spark, sf):
     df = _lines(spark, sf)
     wide = df.agg(*[F.countDistinct(c).cast("double").alias(c) for c in COLUMNS])
     imp = unpivot(wide, [], COLUMNS, "feature", "importance")
-    return rounded(ev.important_drift(imp, dr.feature_drift(df, COLUMNS, _early()), n=3))
+    return rounded(ev.important_drift(imp, dr.feature_drift(df, COLUMNS, _early(), method="series"), n=3))
 
 
 _WIDE_EVENTS = f"""SELECT feature, ts < TIMESTAMP '2024-01-15' AS is_ref, v AS value FROM
@@ -216,7 +216,7 @@ def monitoring_report(spark, sf):
         F.when(F.col("value") > 20, "view").otherwise("click").alias("class_label"),
     )
     early = F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00"))
-    out = dr.monitoring_report(df, ft.drift_columns(df.columns), early, "predicted_class")
+    out = dr.monitoring_report(df, ft.drift_columns(df.columns), early, "predicted_class", method="series")
     return rounded(
         out.select(
             "features_tested", "features_drifted", "drift_ratio", "drift_detected", "severity",

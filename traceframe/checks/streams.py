@@ -101,7 +101,7 @@ def drift_stream(spark, sf):
     early = F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00"))
     reference = roles.table(spark, sf, "events").filter(early).select(*both)
     stream = _stream(spark, sf).select(*both)
-    monitors.drift_monitor(stream, reference, columns, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    monitors.drift_monitor(stream, reference, columns, f"{folder}/out", f"{folder}/checkpoint", method="series").awaitTermination()
     stored = spark.read.parquet(f"{folder}/out")
     return rounded(stored.select("features_tested", "features_drifted", "drift_ratio", "severity"))
 

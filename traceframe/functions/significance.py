@@ -95,22 +95,30 @@ def exact_ks_p_value(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(a) else exact_two_sample_tail(a, int(b), int(c)) for a, b, c in zip(d, n, m)], dtype="float64")
 
 
-# How a two-sample p-value is found: the limit series, or all lattice paths.
-SERIES, EXACT = "series", "exact"
+# How a two-sample p-value is found: the limit series, all lattice paths, or the latter up to a size.
+SERIES, EXACT, AUTO = "series", "exact", "auto"
+EXACT_UPTO = 10_000  # values of the larger side, as in the reference
 
 
-def ks_p_value(d: Column, n: Column, m: Column, method: str = SERIES) -> Column:
-    """Upper tail of a two-sample distance by the named method, the same one for all sizes.
+def ks_method(n: Column, m: Column, method: str = AUTO, exact_upto: int = EXACT_UPTO) -> Column:
+    """The method that ``ks_p_value`` takes for samples of n and m values."""
+    if method not in (SERIES, EXACT, AUTO):
+        raise ValueError(f"unknown method {method}")
+    return F.when(F.greatest(n, m) <= exact_upto, EXACT).otherwise(SERIES) if method == AUTO else F.lit(method)
 
-    ``series`` is an expression; it is within 0.007 of the exact tail for
-    samples of some hundred values and closer for larger ones. ``exact`` takes n x m steps per
-    result row, so it is meant for samples of some thousands.
+
+def ks_p_value(d: Column, n: Column, m: Column, method: str = AUTO, exact_upto: int = EXACT_UPTO) -> Column:
+    """Upper tail of a two-sample distance.
+
+    ``exact`` takes n x m steps per result row; ``series`` is an expression, within 0.007 of
+    the exact tail for samples of some hundred values and closer for larger ones; ``auto``, the
+    default, is exact as long as the larger sample has at most ``exact_upto`` values.
     """
+    chosen = ks_method(n, m, method, exact_upto)
+    exact = exact_ks_p_value(F.when(chosen == EXACT, d), n.cast("long"), m.cast("long"))
     if method == SERIES:
         return kolmogorov_series(d, n, m)
-    if method == EXACT:
-        return exact_ks_p_value(d, n.cast("long"), m.cast("long"))
-    raise ValueError(f"unknown method {method}")
+    return exact if method == EXACT else F.when(chosen == EXACT, exact).otherwise(kolmogorov_series(d, n, m))
 
 
 def k_squared(n: Column, skew: Column, excess: Column) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from traceframe.functions import rules, significance as sig
 from traceframe.functions.labels import present
-from traceframe.plans.ranking import bucket_count, running_totals, unpivot, wide_cuts
+from traceframe.plans.gaps import largest_gaps
+from traceframe.plans.ranking import bucket_count, running_totals, unpivot
 
 LEVEL = 0.05
 
@@ -14,9 +15,9 @@ LEVEL = 0.05
 def ks_statistics(df: DataFrame, columns: list[str], is_reference: Column, buckets: int | None = None) -> DataFrame:
     """Two-sample distance of every column between the two sides of one table.
 
-    Values are reduced to counts per distinct value, with map-side combination;
-    the running counts are then split into value buckets, so neither a hot value
-    nor a single feature is bound to one task. Nulls and NaN are left out per column.
+    Values are counted in cells; only cells that can hold the largest gap are counted value by
+    value, so what moves does not grow with the distinct values. Nulls and NaN are left
+    out per column.
     """
     buckets = buckets or bucket_count(df)
     sides = df.select(
@@ -24,11 +25,7 @@ def ks_statistics(df: DataFrame, columns: list[str], is_reference: Column, bucke
         # Adding zero folds the two signed zeros into one value.
         *[(present(F.col(c).cast("double")) + F.lit(0.0)).alias(c) for c in columns],
     )
-    long = unpivot(sides, ["_ref"], columns, "feature", "value").filter(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").agg(
-        F.count(F.when(F.col("_ref"), 1)).alias("a"), F.count(F.when(~F.col("_ref"), 1)).alias("b")
-    )
-    return _distances(counts, wide_cuts(sides, columns, "feature", buckets), buckets)
+    return largest_gaps(sides, columns, buckets)
 
 
 def _distances(counts: DataFrame, cuts: DataFrame, buckets: int) -> DataFrame:
@@ -57,25 +54,30 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def feature_drift_of_counts(
-    reference: DataFrame, current: DataFrame, cuts: DataFrame, buckets: int, level: float = LEVEL, method: str = sig.SERIES
+    reference: DataFrame, current: DataFrame, cuts: DataFrame, buckets: int, level: float = LEVEL, method: str = sig.AUTO, exact_upto: int = sig.EXACT_UPTO
 ) -> DataFrame:
     """``feature_drift`` from the value counts of both sides; ``cuts`` has borders per feature."""
     side = lambda df, own, other: df.select("feature", "value", F.col("n").alias(own), F.lit(0).cast("long").alias(other))
     both = side(reference, "a", "b").unionByName(side(current, "b", "a")).groupBy("feature", "value").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    return _decided(_distances(both, cuts, buckets), level, method)
+    return _decided(_distances(both, cuts, buckets), level, method, exact_upto)
 
 
 def feature_drift(
     df: DataFrame, columns: list[str], is_reference: Column, level: float = LEVEL, buckets: int | None = None,
-    method: str = sig.SERIES,
+    method: str = sig.AUTO, exact_upto: int = sig.EXACT_UPTO,
 ) -> DataFrame:
-    """Distance, p-value, its method and decision per feature."""
-    return _decided(ks_statistics(df, columns, is_reference, buckets), level, method)
+    """Distance, p-value, its method and decision per feature.
+
+    The p-value is exact where no side has more than ``exact_upto`` values, else the limit
+    series; ``method`` asks for one of them at every size.
+    """
+    return _decided(ks_statistics(df, columns, is_reference, buckets), level, method, exact_upto)
 
 
-def _decided(d: DataFrame, level: float, method: str) -> DataFrame:
-    p = sig.ks_p_value(F.col("ks_statistic"), F.col("n_reference"), F.col("n_current"), method)
-    return d.withColumn("ks_pvalue", p).withColumn("ks_method", F.lit(method)).withColumn("drifted", F.col("ks_pvalue") < level)
+def _decided(d: DataFrame, level: float, method: str, exact_upto: int) -> DataFrame:
+    n, m = F.col("n_reference"), F.col("n_current")
+    p = sig.ks_p_value(F.col("ks_statistic"), n, m, method, exact_upto)
+    return d.withColumn("ks_pvalue", p).withColumn("ks_method", sig.ks_method(n, m, method, exact_upto)).withColumn("drifted", F.col("ks_pvalue") < level)
 
 
 def two_tables(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
@@ -85,8 +87,8 @@ def two_tables(reference: DataFrame, current: DataFrame, columns: list[str]) ->
     )
 
 
-def feature_drift_of(reference: DataFrame, current: DataFrame, columns: list[str], level: float = LEVEL) -> DataFrame:
-    return feature_drift(two_tables(reference, current, columns), columns, F.col("_reference"), level)
+def feature_drift_of(reference: DataFrame, current: DataFrame, columns: list[str], level: float = LEVEL, method: str = sig.AUTO) -> DataFrame:
+    return feature_drift(two_tables(reference, current, columns), columns, F.col("_reference"), level, method=method)
 
 
 def drift_summary(per_feature: DataFrame, n_columns: int, edge: str = "lower") -> DataFrame:
@@ -161,10 +163,10 @@ def scored_accuracy(df: DataFrame) -> DataFrame:
 
 
 def monitoring_report(
-    df: DataFrame, columns: list[str], is_reference: Column, category: str, level: float = LEVEL
+    df: DataFrame, columns: list[str], is_reference: Column, category: str, level: float = LEVEL, method: str = sig.AUTO
 ) -> DataFrame:
     """One row: drift summary, prediction drift, accuracy and the fired alerts."""
-    summary = drift_summary(feature_drift(df, columns, is_reference, level), len(columns), edge="upper")
+    summary = drift_summary(feature_drift(df, columns, is_reference, level, method=method), len(columns), edge="upper")
     chi = chi_square(aligned_counts(df, category, is_reference), level)
     metrics = scored_accuracy(df)
     out = (

@@ -21,7 +21,7 @@ def _unit(df: DataFrame, key: str, width: int) -> tuple[DataFrame, DataFrame]:
 
 def index_vectors(candidates: DataFrame, pivots: int = cells.PIVOTS) -> tuple[cells.Stored, DataFrame]:
     """Index (match_id, vector): the stored cells, and the ids of vectors without length."""
-    width = candidates.agg(F.coalesce(F.max(F.size("vector")), F.lit(0))).first()[0]
+    width = max(1, candidates.agg(F.coalesce(F.max(F.size("vector")), F.lit(0))).first()[0])
     full, empty = _unit(candidates, "match_id", width)
     return cells.store(full, cells.PivotIndex.fit(full, width, pivots)), empty
 

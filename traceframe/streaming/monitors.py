@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from traceframe.functions.significance import AUTO
 from traceframe.operators.drift import drift_summary, feature_drift_of_counts, value_counts
 from traceframe.operators.quality import row_rules
 from traceframe.plans.ranking import bucket_count, wide_cuts
@@ -21,7 +22,7 @@ def _start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoi
     )
 
 
-def drift_monitor(stream: DataFrame, reference: DataFrame, columns: list[str], path: str, checkpoint: str) -> StreamingQuery:
+def drift_monitor(stream: DataFrame, reference: DataFrame, columns: list[str], path: str, checkpoint: str, method: str = AUTO) -> StreamingQuery:
     """Compare every batch with a fixed reference; one summary row per batch.
 
     The reference is reduced to counts per value once, when the monitor starts, and stored
@@ -33,7 +34,7 @@ def drift_monitor(stream: DataFrame, reference: DataFrame, columns: list[str], p
     counts, cuts = (spark.read.parquet(f"{checkpoint}-reference/{part}") for part in ("counts", "cuts"))
 
     def check(batch: DataFrame, number: int) -> None:
-        found = feature_drift_of_counts(counts, value_counts(batch, columns), cuts, buckets)
+        found = feature_drift_of_counts(counts, value_counts(batch, columns), cuts, buckets, method=method)
         summary = drift_summary(found, len(columns), edge="upper").withColumn("batch", F.lit(number))
         summary.write.mode("overwrite").parquet(f"{path}/part={number}")
 
