@@ -115,6 +115,30 @@ def test_median_by_brackets(spark, rows_left):
         assert max(brackets["even"].inside, brackets["odd"].inside) < 50
 
 
+def test_largest_gap_by_cells(spark):
+    from traceframe.operators import drift
+    from traceframe.plans import gaps
+
+    n = 4000
+    data = {"smooth": RNG.normal(size=n), "hot": np.where(RNG.random(n) < 0.4, 0.25, RNG.normal(size=n)), "few": RNG.integers(0, 3, n).astype(float), "gap": RNG.normal(size=n)}
+    side = RNG.random(n) < 0.4
+    data["smooth"][side] += 0.1
+    data["gap"][RNG.random(n) < 0.3] = np.nan
+    data["one"] = np.where(side, 1.0, np.nan)
+    df = spark.createDataFrame([(bool(side[i]), *[float(v[i]) for v in data.values()]) for i in range(n)], "side boolean, " + ", ".join(f"{c} double" for c in data)).repartition(4)
+    for buckets in (2, 64, 1000):
+        got = {r.feature: (r.ks_statistic, r.n_reference, r.n_current) for r in drift.ks_statistics(df, list(data), F.col("side"), buckets).collect()}
+        assert set(got) == set(data) - {"one"}
+        for c in got:
+            a, b = (np.sort(data[c][s & ~np.isnan(data[c])]) for s in (side, ~side))
+            every = np.concatenate([a, b])
+            want = np.abs(np.searchsorted(a, every, "right") / len(a) - np.searchsorted(b, every, "right") / len(b)).max()
+            assert got[c] == (pytest.approx(want, abs=1e-12), len(a), len(b))
+    sides = df.select(F.col("side").alias("_ref"), "smooth")
+    _, counts = gaps.cell_counts(sides, ["smooth"], 400)
+    assert gaps.open_cells(counts).where("open").count() < 40
+
+
 def test_nested_rank_of_one_hot_file(spark):
     rows = [("b", i, i % 7) for i in range(400)] + [("a", i, 0) for i in range(3)] + [(None, 5, 1), ("c", None, 1)]
     df = spark.createDataFrame(rows, "file_id string, trace_id int, x int").repartition(6)
@@ -320,6 +344,23 @@ def test_as_of_join_against_loops(spark, monkeypatch, hot_rows, sent_keys):
     assert len(got) == len(asks)
 
 
+def test_online_table_merges_in_buckets(spark, tmp_path):
+    online = fv.OnlineTable(spark, str(tmp_path / "online"), ["k"], buckets=4)
+    frame = lambda rows: spark.createDataFrame(rows, "k long, event_timestamp timestamp, x double")
+    day = lambda d: datetime(2024, 1, d)
+    with pytest.raises(ValueError):
+        online.read()
+    assert online.merge(frame([(i, day(5), float(i)) for i in range(20)])) == 1
+    assert online.merge(frame([(1, day(6), -1.0), (2, day(4), -2.0), (50, day(1), 50.0)])) == 2
+    (tmp_path / "online" / "version-3").mkdir()  # a merge that was cut short
+    again = fv.OnlineTable(spark, str(tmp_path / "online"), ["k"], buckets=4)
+    found = again.lookup(frame([(k, day(1), 0.0) for k in (1, 2, 3, 50, 99)]).select("k"), ["x"])
+    assert {r.k: r.x for r in found.collect()} == {1: -1.0, 2: 2.0, 3: 3.0, 50: 50.0, 99: None}
+    assert again.read().count() == 21
+    plan = again.lookup(spark.range(5).withColumnRenamed("id", "k"), ["x"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "SortMergeJoin" in plan  # of the keys; the stored side lies in its buckets
+
+
 def test_unknown_reference_is_an_error(spark):
     view = fv.FeatureView("v", spark.range(1), ["id"], ["x"])
     with pytest.raises(ValueError):

@@ -47,11 +47,13 @@ SELECT *, concat_ws('; ',
   CASE WHEN missing_trace_data > 0 THEN 'Found ' || missing_trace_data || ' traces with missing data' END,
   CASE WHEN NOT sample_rate_consistency THEN 'Inconsistent sample rates across traces' END,
   CASE WHEN NOT num_samples_consistency THEN 'Inconsistent number of samples across traces' END) AS anomaly_list,
-  missing_trace_data = 0 AND sample_rate_consistency AND num_samples_consistency AS validation_passed FROM v"""
+  missing_trace_data = 0 AND sample_rate_consistency AND num_samples_consistency AS validation_passed,
+  (SELECT string_agg(class_label || ':' || n, ',' ORDER BY class_label) FROM (SELECT class_label, count(*) AS n FROM {t} WHERE class_label IS NOT NULL GROUP BY 1)) AS class_list FROM v"""
 
 
 def _validation(df):
-    return quality.validation(df).withColumn("anomaly_list", F.concat_ws("; ", "anomalies")).drop("anomalies")
+    classes = F.array_join(F.transform(F.map_entries("class_counts"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))), ",")
+    return quality.validation(df).withColumn("anomaly_list", F.concat_ws("; ", "anomalies")).withColumn("class_list", classes).drop("anomalies", "class_counts")
 
 
 @query("validation_clean", f"WITH {roles.TRACES_SQL},\n{_VALIDATION_SQL.format(t='traces')}")

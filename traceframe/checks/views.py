@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from traceframe.checks.registry import query, rounded
 from traceframe.functions.signal import rms, mean
 from traceframe.operators import featureviews as fv
+from traceframe.session import shared_folder
 from traceframe.sources import roles
 
 DAY, YEAR = timedelta(days=1), timedelta(days=365)
@@ -76,6 +77,22 @@ def online_lookup(spark, sf):
     return fv.online_features(entities, _online(spark, sf), ["user_id"], ["value", "event_type"])
 
 
+@query(
+    "online_merges",
+    f"WITH {_ONLINE_SQL}\nSELECT c.c_custkey AS user_id, o.value, o.event_type FROM customer c LEFT JOIN online o ON o.user_id = c.c_custkey",
+)
+def online_merges(spark, sf):
+    """The same lookup in a bucketed table into which three windows were merged, one of them twice."""
+    rows = roles.feature_events(spark, sf)
+    view = fv.FeatureView("event_values", rows, ["user_id"], ["value", "event_type"], "ts", YEAR, "event_id")
+    day = lambda text: F.to_timestamp_ntz(F.lit(f"{text} 00:00:00"))
+    online = fv.OnlineTable(spark, shared_folder(spark, "online"), ["user_id"], buckets=8)
+    for start, end in (("2024-01-05", "2024-01-12"), ("2023-01-20", "2024-01-05"), ("2024-01-12", "2024-01-20"), ("2024-01-05", "2024-01-12")):
+        online.merge(fv.materialise(view, day(end), day(start)))
+    entities = roles.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
+    return online.lookup(entities, ["value", "event_type"])
+
+
 @query(
     "multi_view_features",
     f"""WITH {roles.SPINE_SQL}, {_LATEST_EVENTS_SQL},

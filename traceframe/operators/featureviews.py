@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from dataclasses import dataclass, field
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from traceframe.plans.ranking import bucket_count, quantile_cuts, with_bucket
 
@@ -208,6 +210,62 @@ def save_online(df: DataFrame, path: str, keys: list[str], files: int = 64) -> N
     df.repartition(files, *keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
+class OnlineTable:
+    """The latest features per entity, stored in buckets of the key, a new version with every merge.
+
+    A merge joins the rows of a new window to the last version bucket by bucket, and a lookup joins
+    the wanted keys to it: only the window and the keys are dealt out, the stored side is
+    read where its rows already lie together. A version counts once it is written whole, so a merge
+    that is cut short leaves the last one as it is.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, keys: list[str], buckets: int = 64, time: str = "event_timestamp"):
+        self.spark, self.folder, self.keys, self.buckets, self.time = spark, folder.rstrip("/"), keys, buckets, time
+
+    def version(self) -> int:
+        """Number of the last whole version, 0 if there is none."""
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.folder)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+        whole = [n for n in names if n.startswith("version-") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{n}/_SUCCESS"))]
+        return max((int(n.split("-")[1]) for n in whole), default=0)
+
+    def _path(self, version: int) -> str:
+        return f"{self.folder}/version-{version}"
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """A version as a bucketed table of this session, the last one by default."""
+        version = version or self.version()
+        if not version:
+            raise ValueError(f"no version at {self.folder}")
+        name = f"online_{hashlib.md5(self._path(version).encode()).hexdigest()}"
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(self._path(version)).schema.fields)
+            by = ", ".join(f"`{k}`" for k in self.keys)
+            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {self.buckets} BUCKETS LOCATION '{self._path(version)}'")
+        return self.spark.table(name)
+
+    def merge(self, window: DataFrame) -> int:
+        """Take in rows of a new window, one per entity; of two rows the later stays. Returns the new version."""
+        last = self.version()
+        out = window.repartition(self.buckets, *self.keys)
+        if last:
+            old = self.read(last)
+            row = F.struct(*[c for c in old.columns if c not in self.keys])
+            both = window.select(*self.keys, row.alias("_new")).join(old.select(*self.keys, row.alias("_old")).hint("merge"), self.keys, "full_outer")
+            newer = F.col("_old").isNull() | (F.col(f"_new.{self.time}") >= F.col(f"_old.{self.time}"))
+            out = both.select(*self.keys, F.when(newer, F.col("_new")).otherwise(F.col("_old")).alias("_row")).select(*self.keys, "_row.*").select(*old.columns)
+        name = f"online_write_{uuid.uuid4().hex}"
+        out.write.format("parquet").mode("overwrite").bucketBy(self.buckets, *self.keys).sortBy(*self.keys).option("path", self._path(last + 1)).saveAsTable(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the files stay, they are outside the warehouse
+        return last + 1
+
+    def lookup(self, entities: DataFrame, fields: list[str]) -> DataFrame:
+        """Stored features of the given entities; an unknown entity gets nulls."""
+        return entities.join(self.read().select(*self.keys, *fields).hint("merge"), self.keys, "left")
+
+
 def online_features(entities: DataFrame, online: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
     """Stored features of the given entities; an unknown entity gets nulls."""
     return entities.join(online.select(*keys, *fields), keys, "left")

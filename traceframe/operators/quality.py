@@ -52,9 +52,17 @@ def _validation_measures() -> list[Column]:
     ]
 
 
+def class_counts(df: DataFrame, label: str = "class_label") -> Column:
+    """Rows per class as one map, classes in ascending order; one entry per class."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    entries = F.array_sort(F.collect_list(F.struct(label, "n")))
+    return counts.agg(F.map_from_entries(F.transform(entries, lambda e: F.struct(e[label].cast("string").alias("key"), e["n"].alias("value"))))).scalar()
+
+
 def validation(df: DataFrame) -> DataFrame:
-    """One row of validation results with the list of broken rules."""
-    return _with_rules(df.agg(*_validation_measures()))
+    """One row of validation results with rows per class, if there are classes, and the list of broken rules."""
+    found = _with_rules(df.agg(*_validation_measures()))
+    return found.withColumn("class_counts", class_counts(df)) if "class_label" in df.columns else found
 
 
 def _with_rules(df: DataFrame) -> DataFrame:

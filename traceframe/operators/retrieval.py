@@ -194,7 +194,8 @@ def validation_text(df: DataFrame) -> DataFrame:
         "\n", F.lit("\nAnomalies detected:"), F.transform("anomalies", lambda a: F.concat(F.lit("  - "), a))
     )
     anomalies = F.when(F.size("anomalies") > 0, found).otherwise("\nNo anomalies detected.")
-    return df.select(F.lit("validation_results").alias("source"), F.concat_ws("\n", body, anomalies).alias("content"))
+    classes = [tx.map_lines("\nClass Distribution:", F.col("class_counts"))] if "class_counts" in df.columns else []
+    return df.select(F.lit("validation_results").alias("source"), F.concat_ws("\n", body, *classes, anomalies).alias("content"))
 
 
 def feature_summary_text(summary: DataFrame, samples: int | None = None) -> DataFrame:

@@ -21,8 +21,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from traceframe.functions.labels import first_maximum
 from traceframe.operators.evaluation import outcome_counts, summary_metrics
+from traceframe.session import cut_lineage
 
 FEATURES, LABEL, WEIGHT = "features", "label", "weight"
+# Both use the weights of the whole training set, which are those of a resampled one on average.
+FIT_ROWS = 20_000  # rows of a partition, where there are few
+WEIGHTED = ("balanced", "balanced_subsample")
 
 
 def assemble(df: DataFrame, columns: list[str], label: str = "class_label") -> DataFrame:
@@ -46,6 +50,9 @@ def _random_forest(p: dict, weighted: bool):
 
 
 def _decision_tree(p: dict, weighted: bool):
+    if "max_features" in p:
+        # One tree of a forest without resampling: the only tree of MLlib that draws features per split.
+        return _random_forest({"max_depth": 15, "min_samples_leaf": 2, **p, "n_estimators": 1}, weighted).setBootstrap(False)
     est = DecisionTreeClassifier(
         featuresCol=FEATURES,
         labelCol=LABEL,
@@ -148,7 +155,7 @@ SPACES: dict[str, dict] = {
         "max_depth": (3, 20),
         "min_samples_leaf": (1, 10),
         "max_features": ["sqrt", "log2", None],
-        "class_weight": ["balanced", None],
+        "class_weight": ["balanced", "balanced_subsample", None],
     },
     "GradientBoosting": {
         "n_estimators": (50, 300),
@@ -165,6 +172,7 @@ SPACES: dict[str, dict] = {
     "DecisionTree": {
         "max_depth": (3, 30),
         "min_samples_leaf": (1, 10),
+        "max_features": ["sqrt", "log2", None],
         "class_weight": ["balanced", None],
     },
 }
@@ -212,7 +220,7 @@ class SearchResult:
         return cls(trials, best["model_type"], params[(best["model_type"], best["trial"])], best["value"], params)
 
     def refit(self, df: DataFrame, n: int) -> Model:
-        weighted = self.best_params.get("class_weight") == "balanced"
+        weighted = self.best_params.get("class_weight") in WEIGHTED
         return estimator(self.best_type, self.best_params, weighted, n).fit(df)
 
 
@@ -240,16 +248,21 @@ def search(
     n_trials: int,
     fold: str = "fold",
     n_folds: int = 5,
-    parallelism: int = 2,
+    parallelism: int | None = None,
     seed: int = 42,
     spaces: dict | None = None,
 ) -> SearchResult:
     """Random search by k-fold weighted F1 over assembled rows with a fold column.
 
-    The trials of one model type that share an estimator class run through one
-    cross-validator, so folds are cached once and fits run side by side.
+    The trials of one model type run through one cross-validator, so folds are cached once
+    and fits run side by side, as many as there are cores (or ``parallelism``). Assembled rows of
+    little data are gathered in few partitions, as each fit runs hundreds of short stages.
     """
-    n = df.count() * (n_folds - 1) // n_folds  # a fit sees all folds but one
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parallelism = parallelism or cores
+    total = df.count()
+    n = total * (n_folds - 1) // n_folds  # a fit sees all folds but one
+    df = cut_lineage(df.coalesce(max(1, min(cores, -(-total // FIT_ROWS)))), "search")
     evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="f1")
     rows, best = [], None
     params_of = {}
@@ -259,11 +272,11 @@ def search(
             params_of[(model_type, trial)] = p
         # The cross-validator takes parameter maps of one estimator; every trial
         # is one map over the estimator's own parameters.
-        base = estimator(model_type, {}, False, n)
+        base = estimator(model_type, {"max_features": None} if "max_features" in (spaces or SPACES)[model_type] else {}, False, n)
         maps = []
         for trial in range(n_trials):
             p = params_of[(model_type, trial)]
-            tuned = estimator(model_type, p, p.get("class_weight") == "balanced", n)
+            tuned = estimator(model_type, p, p.get("class_weight") in WEIGHTED, n)
             if model_type == "GradientBoosting":
                 maps.append({base.classifier: tuned.getClassifier()})
             else:
