@@ -156,6 +156,47 @@ def test_drift_monitor_reports_per_batch(spark, tmp_path):
     assert sorted(r[0] for r in got) == [0, 1]
 
 
+def test_cumulative_drift_of_a_stream_stays_within_its_error(spark, tmp_path):
+    from traceframe.operators.drift import feature_drift_of
+
+    def values(seed, n, shift=0.0):
+        gaps = F.when(F.col("id") % 50 == 0, F.lit(None)).when(F.col("id") % 50 == 1, F.lit(float("nan")))
+        x = gaps.otherwise(F.randn(seed) + shift)
+        return spark.range(n).select(x.alias("x"), F.floor(F.rand(seed) * 4).cast("double").alias("few"), F.lit(None).cast("double").alias("none"))
+
+    parts = [values(1, 3000), values(2, 6000, 0.02), values(3, 12000, 0.2)]
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+    reference = values(9, 20000)
+    stream = counters.stream_table(spark, str(tmp_path / "in" / "*"), "x double, few double, none double", files_per_batch=1)
+    out, place, columns = str(tmp_path / "out"), str(tmp_path / "cp"), ["x", "few", "none"]
+    for size in (64, monitors.SKETCH_SIZE):
+        monitors.cumulative_drift_monitor(stream, reference, columns, f"{out}{size}", f"{place}{size}", size, method="series").awaitTermination()
+        stored = spark.read.parquet(f"{out}{size}")
+        assert stored.select("batch").distinct().count() == 3
+        got = {r.feature: r for r in counters.current_state(stored, ["feature"]).collect()}
+        # A column without values has no row, as in the exact form.
+        assert sorted(got) == ["few", "x"]
+        arrived = spark.read.parquet(str(tmp_path / "in" / "*"))
+        for r in feature_drift_of(reference, arrived, columns, method="series").collect():
+            mine = got[r.feature]
+            assert (mine.n_reference, mine.n_current) == (r.n_reference, r.n_current)
+            assert abs(mine.ks_statistic - r.ks_statistic) <= mine.ks_error
+            assert not mine.certain or mine.drifted == r.drifted
+
+
+def test_sketches_that_hold_all_values_lose_one_step(spark):
+    from traceframe.operators.drift import feature_drift_of
+
+    a = spark.range(300).select((F.col("id") % 40).cast("double").alias("x"))
+    b = spark.range(200).select((F.col("id") % 50).cast("double").alias("x"))
+    got = monitors.sketch_drift(monitors.sketches(a, ["x"]), monitors.sketches(b, ["x"])).first()
+    exact = feature_drift_of(a, b, ["x"]).first()
+    assert got.ks_error == pytest.approx(1 / monitors.GRID)
+    assert got.ks_statistic == pytest.approx(exact.ks_statistic, abs=1 / monitors.GRID) and got.drifted == exact.drifted
+    assert monitors.sketches(a.limit(0), ["x"]).count() == 0
+
+
 def test_validated_ingest_keeps_every_row(spark, tmp_path):
     gappy = roles.gappy_traces(spark, SF)
     gappy.repartition(3).write.parquet(str(tmp_path / "in"))

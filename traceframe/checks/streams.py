@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from traceframe.checks.drifts import ks_sql
 from traceframe.checks.registry import query, rounded
+from traceframe.operators import drift
 from traceframe.session import shared_folder
 from traceframe.sources import roles
 from traceframe.streaming import counters, monitors
@@ -106,6 +107,25 @@ def drift_stream(spark, sf):
     return rounded(stored.select("features_tested", "features_drifted", "drift_ratio", "severity"))
 
 
+@query(
+    "cumulative_drift_stream",
+    f"""WITH {ks_sql(_DRIFT_SQL)} SELECT feature, n AS n_reference, m AS n_current, p < 0.05 AS drifted, true AS within_error FROM p""",
+)
+def cumulative_drift_stream(spark, sf):
+    """Sketches of all events so far against those of the first half month, held against the exact distance."""
+    folder = shared_folder(spark, "cumulative")
+    columns = ["value", "latency"]
+    both = [F.col("value"), (F.col("value") / 1000).alias("latency")]
+    events = roles.table(spark, sf, "events")
+    reference = events.filter(F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-15 00:00:00"))).select(*both)
+    stream = _stream(spark, sf).select(*both)
+    monitors.cumulative_drift_monitor(stream, reference, columns, f"{folder}/out", f"{folder}/checkpoint", method="series").awaitTermination()
+    found = counters.current_state(spark.read.parquet(f"{folder}/out"), ["feature"])
+    exact = drift.feature_drift_of(reference, events.select(*both), columns, method="series").select("feature", F.col("ks_statistic").alias("exact"))
+    within = F.abs(F.col("ks_statistic") - F.col("exact")) <= F.col("ks_error")
+    return found.join(exact, "feature").select("feature", "n_reference", "n_current", "drifted", within.alias("within_error"))
+
+
 @query(
     "validated_ingest_stream",
     f"""WITH {roles.GAPPY_SQL}
