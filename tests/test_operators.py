@@ -1,5 +1,6 @@
 """Operators against brute force on small fixtures, skew included."""
 
+import random
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -488,3 +489,37 @@ def test_audit_success(spark):
     observed = audit.observe({"x": spark.range(3), "y": spark.range(1)})
     rows = audit.audit(spark, ["x", "y"], observed).collect()
     assert {r.status for r in rows} == {"success"} and {r.overall_status for r in rows} == {"success"}
+
+
+def _occurrences(spark, documents, n):
+    texts = spark.createDataFrame([(d,) for d in documents], "terms array<string>").repartition(n)
+    return texts.withColumn("doc", F.monotonically_increasing_id()).select("doc", F.explode("terms").alias("term"))
+
+
+@pytest.mark.parametrize("k", [1, 3, 20, 500])
+@pytest.mark.parametrize("fold_rows, list_rows", [(1, 1), (7, 40), (250_000, 10**6)])
+def test_most_frequent_terms_are_those_of_a_plain_count(spark, monkeypatch, k, fold_rows, list_rows):
+    from collections import Counter
+
+    from traceframe.plans import frequent
+
+    monkeypatch.setattr(frequent, "FOLD_ROWS", fold_rows)
+
+    rng = random.Random(k)
+    # A few frequent terms, ties, many rare ones, and one that is spread evenly and leads no list.
+    documents = [["even"] + [f"t{int(rng.paretovariate(0.7)) % 97}" for _ in range(rng.randint(0, 12))] + [f"rare{i}"] * (i % 3) for i in range(120)]
+    tf, df = Counter(t for d in documents for t in d), Counter(t for d in documents for t in set(d))
+    want = sorted(tf, key=lambda t: (-tf[t], t))[:k]
+    got = frequent.most_frequent(_occurrences(spark, documents, 5), k, list_rows).collect()
+    assert [(r.term, r.corpus_tf, r["df"]) for r in got] == [(t, tf[t], df[t]) for t in want]
+
+
+def test_rare_terms_are_no_candidates(spark):
+    from traceframe.plans import frequent
+    from traceframe.session import cut_lineage
+
+    documents = [[f"common{j}" for j in range(10)] * 5 + [f"rare{i}-{j}" for j in range(50)] for i in range(60)]
+    lists = cut_lineage(frequent.local_lists(_occurrences(spark, documents, 4), 10))
+    assert {r.term for r in frequent.candidates(lists, 10).collect()} == {f"common{j}" for j in range(10)}
+    empty = frequent.most_frequent(_occurrences(spark, documents, 4).limit(0), 10)
+    assert empty.count() == 0 and empty.columns == ["term", "corpus_tf", "df"]

@@ -9,7 +9,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
 from traceframe.functions import rules, text as tx
-from traceframe.plans import nearest, postings
+from traceframe.plans import frequent, nearest, postings
 from traceframe.session import cut_lineage
 
 
@@ -44,26 +44,14 @@ def vocabulary(
 ) -> DataFrame:
     """Most frequent terms with document frequency and idf, most frequent first.
 
-    Each document emits its terms once for the corpus count and its distinct
-    terms once for the document count; a single aggregate by term, combined on
-    the map side, adds both up.
+    Texts are read once; only terms that can be among the most frequent are added up over
+    the corpus (``plans.frequent``).
     """
     texts = df.filter(F.col(content).isNotNull())
-    listed = texts.select(tx.terms(F.col(content), stop_words).alias("_t"))
-    both = F.array(
-        F.struct(F.lit(False).alias("once"), F.col("_t").alias("list")),
-        F.struct(F.lit(True).alias("once"), F.array_distinct("_t").alias("list")),
-    )
+    listed = texts.select(F.monotonically_increasing_id().alias("doc"), tx.terms(F.col(content), stop_words).alias("_t"))
     total = texts.agg(F.count(F.lit(1))).scalar()
-    return (
-        listed.select(F.inline(both))
-        .select("once", F.explode("list").alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.when(~F.col("once"), 1)).alias("corpus_tf"), F.count(F.when(F.col("once"), 1)).alias("df"))
-        .orderBy(F.col("corpus_tf").desc(), "term")
-        .limit(max_features)
-        .withColumn("idf", F.log((total + 1) / (F.col("df") + 1)) + 1)
-    )
+    occurrences = listed.select("doc", F.explode("_t").alias("term"))
+    return frequent.most_frequent(occurrences, max_features).withColumn("idf", F.log((total + 1) / (F.col("df") + 1)) + 1)
 
 
 @dataclass
