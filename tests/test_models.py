@@ -41,8 +41,39 @@ def test_models_learn_and_score(spark, separable, kind, params):
     assert top.feature == "a"
 
 
+@pytest.mark.parametrize("kind", ["DecisionTree", "RandomForest"])
+@pytest.mark.parametrize("least", [2, 40, 10**6])
+def test_no_node_below_the_split_size_is_split(spark, separable, tmp_path, kind, least):
+    params = {"n_estimators": 3, "max_depth": 6, "min_samples_leaf": 1}
+    noisy = separable.withColumn("label", F.when(F.col("trace_id") % 7 == 0, 0.0).otherwise(F.col("label")))
+    grown = tr.estimator(kind, {**params, "min_samples_split": 2}, False).fit(noisy)
+    cut = tr.estimator(kind, {**params, "min_samples_split": least}, False).fit(noisy)
+    assert type(cut) is type(grown)
+
+    def nodes(model, name):
+        model.save(str(tmp_path / name))
+        stored = spark.read.parquet(str(tmp_path / name / "data"))
+        stored = stored.select("treeID", "nodeData.*") if "treeID" in stored.columns else stored.withColumn("treeID", F.lit(0))
+        return {(r.treeID, r.id): r for r in stored.collect()}
+
+    before, after = nodes(grown, "grown"), nodes(cut, "cut")
+
+    def walk(t, old, new):
+        """Both trees side by side: same node, and split only where large enough."""
+        a, b = before[t, old], after[t, new]
+        assert (a.prediction, a.rawCount, a.impurityStats) == (b.prediction, b.rawCount, b.impurityStats)
+        assert (b.leftChild >= 0) == (a.leftChild >= 0 and a.rawCount >= least)
+        if b.leftChild < 0:
+            return 1
+        assert a.split == b.split
+        return 1 + walk(t, a.leftChild, b.leftChild) + walk(t, a.rightChild, b.rightChild)
+
+    assert sum(walk(t, 0, 0) for t in {t for t, _ in before}) == len(after)
+    assert cut.transform(noisy).count() == 300
+
+
 def test_search_is_repeatable(separable):
-    spaces = {"DecisionTree": {"max_depth": (1, 4), "class_weight": ["balanced", None]}}
+    spaces = {"DecisionTree": {"max_depth": (1, 4), "min_samples_split": (2, 90), "class_weight": ["balanced", None]}}
     first = tr.search(separable, ["DecisionTree"], 2, n_folds=2, spaces=spaces)
     again = tr.search(separable, ["DecisionTree"], 2, n_folds=2, spaces=spaces)
     assert first.best_params == again.best_params and first.best_score == again.best_score

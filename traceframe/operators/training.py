@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from traceframe.functions.labels import first_maximum
 from traceframe.operators.evaluation import outcome_counts, summary_metrics
+from traceframe.operators.pruning import SplitSize
 from traceframe.session import cut_lineage
 
 FEATURES, LABEL, WEIGHT = "features", "label", "weight"
@@ -99,10 +100,9 @@ def estimator(model_type: str, params: dict | None = None, weighted: bool = True
     ``C`` is relative to it.
     """
     p = params or {}
-    if model_type == "RandomForest":
-        return _random_forest(p, weighted)
-    if model_type == "DecisionTree":
-        return _decision_tree(p, weighted)
+    if model_type in ("RandomForest", "DecisionTree"):
+        tree = (_random_forest if model_type == "RandomForest" else _decision_tree)(p, weighted)
+        return SplitSize(classifier=tree, minSplit=p.get("min_samples_split", 5))
     if model_type == "LogisticRegression":
         return _logistic(p, weighted, n)
     if model_type == "GradientBoosting":
@@ -153,6 +153,7 @@ SPACES: dict[str, dict] = {
     "RandomForest": {
         "n_estimators": (50, 300),
         "max_depth": (3, 20),
+        "min_samples_split": (2, 20),
         "min_samples_leaf": (1, 10),
         "max_features": ["sqrt", "log2", None],
         "class_weight": ["balanced", "balanced_subsample", None],
@@ -171,6 +172,7 @@ SPACES: dict[str, dict] = {
     },
     "DecisionTree": {
         "max_depth": (3, 30),
+        "min_samples_split": (2, 20),
         "min_samples_leaf": (1, 10),
         "max_features": ["sqrt", "log2", None],
         "class_weight": ["balanced", None],
@@ -277,7 +279,9 @@ def search(
         for trial in range(n_trials):
             p = params_of[(model_type, trial)]
             tuned = estimator(model_type, p, p.get("class_weight") in WEIGHTED, n)
-            if model_type == "GradientBoosting":
+            if isinstance(tuned, SplitSize):
+                maps.append({base.classifier: tuned.getClassifier(), base.minSplit: tuned.getOrDefault("minSplit")})
+            elif model_type == "GradientBoosting":
                 maps.append({base.classifier: tuned.getClassifier()})
             else:
                 maps.append({getattr(base, q.name): tuned.getOrDefault(q) for q in tuned.params if tuned.isSet(q)})
