@@ -523,3 +523,32 @@ def test_rare_terms_are_no_candidates(spark):
     assert {r.term for r in frequent.candidates(lists, 10).collect()} == {f"common{j}" for j in range(10)}
     empty = frequent.most_frequent(_occurrences(spark, documents, 4).limit(0), 10)
     assert empty.count() == 0 and empty.columns == ["term", "corpus_tf", "df"]
+
+
+@pytest.mark.parametrize("list_rows", [1, 60, 10**6])
+def test_most_frequent_terms_and_pairs_of_whole_documents(spark, list_rows):
+    from collections import Counter
+
+    from traceframe.plans import frequent
+
+    rng = random.Random(list_rows)
+    words = [[f"w{int(rng.paretovariate(0.8)) % 41}" for _ in range(rng.choice([0, 1, 2, 9, 300]))] for _ in range(150)]
+    documents = [d + [f"{a} {b}" for a, b in zip(d, d[1:])] for d in words]
+    tf, df = Counter(t for d in documents for t in d), Counter(t for d in documents for t in set(d))
+    want = sorted(tf, key=lambda t: (-tf[t], t))[:80]
+    rows = spark.createDataFrame(list(enumerate(words)), "doc long, term array<string>").coalesce(3)
+    got = frequent.most_frequent(rows, 80, list_rows, pairs=True).collect()
+    assert [(r.term, r.corpus_tf, r["df"]) for r in got] == [(t, tf[t], df[t]) for t in want]
+
+
+def test_local_lists_hold_a_bounded_number_of_terms():
+    """A list is closed before its terms weigh a worker down, in rows and in bytes."""
+    import numpy as np
+    import pyarrow as pa
+
+    from traceframe.plans import frequent
+
+    assert frequent.LIST_ROWS <= 1_000_000 and frequent.LIST_BYTES <= 32 << 20
+    rows = pa.RecordBatch.from_pydict({"doc": np.arange(3000), "term": [["x" * 200] * 100] * 3000})
+    parts = list(frequent._flat(rows))
+    assert max(p.num_rows for p in parts) <= frequent.FOLD_ROWS and sum(p.num_rows for p in parts) == 300_000

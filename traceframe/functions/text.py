@@ -31,13 +31,17 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def terms(text: Column, stop_words: list[str] | None = None) -> Column:
-    """Words without stop words, then every pair of words that are now neighbours."""
+def kept_words(text: Column, stop_words: list[str] | None = None) -> Column:
+    """Words without stop words."""
     stop = STOP_WORDS if stop_words is None else stop_words
     # A long list of literals becomes a hash set.
-    kept = F.filter(words(text), lambda w: ~w.isin(*stop)) if stop else words(text)
+    return F.filter(words(text), lambda w: ~w.isin(*stop)) if stop else words(text)
+
+
+def terms(text: Column, stop_words: list[str] | None = None) -> Column:
+    """Words without stop words, then every pair of words that are now neighbours."""
     # Each kept list is turned into pairs by zipping it with its own tail.
-    return F.transform(F.array(kept), _with_pairs)[0]
+    return F.transform(F.array(kept_words(text, stop_words)), _with_pairs)[0]
 
 
 def _with_pairs(kept: Column) -> Column:

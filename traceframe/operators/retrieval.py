@@ -48,10 +48,9 @@ def vocabulary(
     the corpus (``plans.frequent``).
     """
     texts = df.filter(F.col(content).isNotNull())
-    listed = texts.select(F.monotonically_increasing_id().alias("doc"), tx.terms(F.col(content), stop_words).alias("_t"))
+    occurrences = texts.select(F.monotonically_increasing_id().alias("doc"), tx.kept_words(F.col(content), stop_words).alias("term"))
     total = texts.agg(F.count(F.lit(1))).scalar()
-    occurrences = listed.select("doc", F.explode("_t").alias("term"))
-    return frequent.most_frequent(occurrences, max_features).withColumn("idf", F.log((total + 1) / (F.col("df") + 1)) + 1)
+    return frequent.most_frequent(occurrences, max_features, pairs=True).withColumn("idf", F.log((total + 1) / (F.col("df") + 1)) + 1)
 
 
 @dataclass
