@@ -552,3 +552,27 @@ def test_local_lists_hold_a_bounded_number_of_terms():
     rows = pa.RecordBatch.from_pydict({"doc": np.arange(3000), "term": [["x" * 200] * 100] * 3000})
     parts = list(frequent._flat(rows))
     assert max(p.num_rows for p in parts) <= frequent.FOLD_ROWS and sum(p.num_rows for p in parts) == 300_000
+
+
+def test_the_chunker_holds_a_slice_of_a_batch_at_a_time(spark):
+    """Few and large batches come in; each is cut in slices of bounded bytes and rows, in order."""
+    import pyarrow as pa
+
+    from traceframe.functions import text as tx
+
+    texts = [None, "", "short", "word. " * 500_000] + [f"{i} " + "some text. " * (i % 200) for i in range(3000)]
+    slices = list(tx.chunker(drop_contained_tail=True).func(iter([pa.array(texts), pa.array([], pa.string())])))
+    assert len(slices) > 6 and max(len(s) for s in slices) <= tx.SLICE_ROWS
+    assert max(sum(len(t or "") for t in texts[a : a + len(s)]) for a, s in zip(_starts(slices), slices) if len(s) > 1) <= tx.SLICE_BYTES
+    flat = [p for s in slices for p in s.to_pylist()]
+    assert [p and len(p) for p in flat[:3]] == [None, 1, 1] and len(flat) == len(texts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(2)
+    got = dict(rows.select("id", tx.chunker(drop_contained_tail=True)("text")).collect())
+    assert [got[i] for i in range(len(texts))] == flat
+
+
+def _starts(slices):
+    at = 0
+    for s in slices:
+        yield at
+        at += len(s)

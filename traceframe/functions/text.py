@@ -6,7 +6,8 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F, types as T
 
 # Default English stop words. Any other list can be passed to
@@ -51,6 +52,7 @@ def _with_pairs(kept: Column) -> Column:
 
 # Chunk length, overlap and the separators in order of preference.
 CHUNK_SIZE, CHUNK_OVERLAP = 500, 50
+SLICE_BYTES, SLICE_ROWS = 2 << 20, 500  # texts that a task cuts at one time, or one longer text
 SEPARATORS = (". ", ".\n", "\n\n", "\n")
 
 
@@ -90,15 +92,21 @@ def chunker(size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, drop_contained
     if not 0 <= overlap < size // 2:
         raise ValueError("overlap must be smaller than half the chunk size")
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def pieces(text: str | None) -> list[str] | None:
+        own = None if text is None else chunk_text(text, size, overlap)
+        return own[:-1] if drop_contained_tail and own and len(own) > 1 and own[-2].endswith(own[-1]) else own
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def split(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            pieces = batch.map(lambda t: None if t is None else chunk_text(t, size, overlap))
-            if drop_contained_tail:
-                pieces = pieces.map(
-                    lambda p: p[:-1] if p and len(p) > 1 and p[-2].endswith(p[-1]) else p
-                )
-            yield pieces
+            at = held = 0
+            sizes = pc.fill_null(pc.binary_length(batch), 0).to_pylist()
+            # Texts and their chunks are Python strings for a slice of the batch at a time.
+            for i, n in enumerate([*sizes, SLICE_BYTES]):
+                if i > at and (i == len(sizes) or i - at == SLICE_ROWS or held + n > SLICE_BYTES):
+                    yield pa.array([pieces(t) for t in batch[at:i].to_pylist()], pa.list_(pa.string()))
+                    at, held = i, 0
+                held += n
 
     return split
 
