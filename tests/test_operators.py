@@ -576,3 +576,22 @@ def _starts(slices):
     for s in slices:
         yield at
         at += len(s)
+
+
+def test_blocks_of_a_search_are_large_and_fewer_for_wide_vectors():
+    """Rows moved grow with members times probes over the size of a block."""
+    assert cells._block_rows(64) == (32_768, 16_384) and cells._block_rows(4096) == (4096, 2048)
+
+
+def test_visits_leave_a_task_few_at_a_time():
+    import numpy as np
+    import pyarrow as pa
+
+    probes = pa.RecordBatch.from_pydict({"probe_id": np.arange(50), "vector": [[float(i)] * 64 for i in range(50)]})
+    who, where = np.divmod(np.arange(50 * 800), 800)
+    limits = np.arange(50.0)[:, None]
+    found = list(cells._visit_batches(probes, limits, who, where, np.arange(800) + 7, 64))
+    assert max(b.num_rows for b in found) * 64 <= cells.VISIT_VALUES
+    table = pa.Table.from_batches(found)
+    assert table["probe_id"].to_pylist() == who.tolist() and table["cell"].to_pylist() == (where + 7).tolist()
+    assert [x[0] for x in table["limits"].to_pylist()] == who.tolist() == [x[63] for x in table["vector"].to_pylist()]

@@ -37,7 +37,9 @@ PATTERNS = 64  # gap patterns with leaves of their own
 PATTERN_BITS = 52  # columns beyond share bits; a box knows which of its members have which columns
 SAMPLE = 20_000  # rows a tree or the pivots are fitted to
 PIVOTS = 128
-MEMBER_BLOCK, PROBE_BLOCK = 4096, 2048
+MEMBER_BLOCK, PROBE_BLOCK = 32_768, 16_384  # rows of a block; fewer of more than 64 numbers, but not less than an eighth
+BLOCK_WIDTH = 64
+VISIT_VALUES = 500_000  # numbers in a batch of visits that leaves a task
 CHUNK_VALUES = 2_000_000  # numbers in a temporary array of a task
 
 
@@ -309,6 +311,21 @@ def _places(bounds: np.ndarray, members: np.ndarray, wanted: np.ndarray, k: int)
     return place, need
 
 
+def _visit_batches(probes: pa.RecordBatch, limits: np.ndarray, who: np.ndarray, where: np.ndarray, cells: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+    """Visits (probe_id, vector, limits, cell) of probes ``who`` to cells ``where``, few at a time, as each holds the probe's vector."""
+    some = max(1, VISIT_VALUES // width)
+    for i in range(0, len(who), some):
+        took, own = probes.take(pa.array(who[i : i + some])), limits[who[i : i + some]]
+        listed = pa.ListArray.from_arrays(np.arange(len(own) + 1, dtype=np.int32) * own.shape[1], own.ravel())
+        yield pa.RecordBatch.from_arrays([took.column("probe_id"), took.column("vector"), listed, pa.array(cells[where[i : i + some]], pa.int64())], names=["probe_id", "vector", "limits", "cell"])
+
+
+def _block_rows(width: int) -> tuple[int, int]:
+    """Rows of a block of members and of probes; as many as a task can hold, as each goes to all blocks of the other side."""
+    parts = min(8, max(1, width // BLOCK_WIDTH))
+    return max(1, MEMBER_BLOCK // parts), max(1, PROBE_BLOCK // parts)
+
+
 def _visits(probes: DataFrame, stored: Stored, k: int, after: int | None = None, upto: int | None = None) -> DataFrame:
     """(probe_id, vector, limits, cell): which cells every probe visits.
 
@@ -341,12 +358,7 @@ def _visits(probes: DataFrame, stored: Stored, k: int, after: int | None = None,
                         with np.errstate(invalid="ignore"):
                             near |= (bounds <= index.reach(limits[:, c])[:, None]) & np.isfinite(bounds) & (members[:, c] > 0)[None, :] & wanted[:, c][:, None]
                     visit = near & (behind > after) & (behind <= (upto or n_cells))
-                who, where = np.nonzero(visit)
-                took = part.take(pa.array(who))
-                yield pa.RecordBatch.from_arrays(
-                    [took.column("probe_id"), took.column("vector"), pa.array(list(limits[who]), pa.list_(pa.float64())), pa.array(index.boxes.cells[where], pa.int64())],
-                    names=["probe_id", "vector", "limits", "cell"],
-                )
+                yield from _visit_batches(part, limits, *np.nonzero(visit), index.boxes.cells, width)
 
     return probes.select("probe_id", "vector", *(["limits"] if limited else [])).mapInArrow(choose, schema)
 
@@ -358,7 +370,8 @@ def _meet(visits: DataFrame, stored: Stored, k: int) -> DataFrame:
     asked = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per cell
     held = dict(zip(index.boxes.cells.tolist(), index.boxes.rows.tolist(), strict=True))
     stored.compared.append((sum(n * held[c] for c, n in asked.items()), sum(asked.values())))
-    blocks = spark.createDataFrame([(c, -(-held[c] // MEMBER_BLOCK), -(-n // PROBE_BLOCK)) for c, n in asked.items()], "cell long, m_blocks long, p_blocks long")
+    m_rows, p_rows = _block_rows(index.width)
+    blocks = spark.createDataFrame([(c, -(-held[c] // m_rows), -(-n // p_rows)) for c, n in asked.items()], "cell long, m_blocks long, p_blocks long")
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n))
     blocks = F.broadcast(blocks)  # one row per cell
