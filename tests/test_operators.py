@@ -578,6 +578,25 @@ def _starts(slices):
         at += len(s)
 
 
+def test_term_counts_shuffle_no_row_per_document_and_term(spark):
+    """Rows of one key are one document, null included; the others are counted where they are read."""
+    from collections import Counter, defaultdict
+    from traceframe.operators import retrieval as rt
+
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices(["the", "alpha", "beta", "gamma", "x", "delta"], k=rng.randint(0, 9)))) for i in range(60)]
+    rows += [(3, "alpha beta"), (3, None), (None, "alpha zeta"), (None, "zeta"), (70, None)]
+    tf, df = Counter(), defaultdict(set)
+    for key, text in rows:
+        kept = [w for w in (text or "").split() if len(w) > 1 and w != "the"]
+        for t in kept + [f"{a} {b}" for a, b in zip(kept, kept[1:])]:
+            tf[t] += 1
+            df[t].add(key)
+    got = rt.term_counts(spark.createDataFrame(rows, "doc_id long, text string"), "text", "doc_id")
+    assert sorted(map(tuple, got.collect())) == sorted((t, n, len(df[t])) for t, n in tf.items())
+    assert "MapInArrow" in got._jdf.queryExecution().toString()
+
+
 def test_blocks_of_a_search_are_large_and_fewer_for_wide_vectors():
     """Rows moved grow with members times probes over the size of a block."""
     assert cells._block_rows(64) == (32_768, 16_384) and cells._block_rows(4096) == (4096, 2048)

@@ -87,10 +87,7 @@ terms AS (SELECT k, unnest(list_concat(w, list_transform(list_zip(w[1:len(w) - 1
     f"WITH {terms_sql('documents', 'doc_id')}\nSELECT term, count(*) AS corpus_tf, count(DISTINCT k) AS df FROM terms GROUP BY term",
 )
 def document_terms(spark, sf):
-    docs = roles.documents(spark, sf)
-    exploded = docs.select("doc_id", F.explode(tx.terms(F.col("text"))).alias("term"))
-    per_doc = exploded.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    return per_doc.groupBy("term").agg(F.sum("tf").alias("corpus_tf"), F.count(F.lit(1)).alias("df"))
+    return rt.term_counts(roles.documents(spark, sf), "text", "doc_id")
 
 
 _VOCAB_SQL = f"""{terms_sql('documents', 'doc_id')},

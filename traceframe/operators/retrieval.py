@@ -53,6 +53,25 @@ def vocabulary(
     return frequent.most_frequent(occurrences, max_features, pairs=True).withColumn("idf", F.log((total + 1) / (F.col("df") + 1)) + 1)
 
 
+def term_counts(df: DataFrame, content: str, key: str) -> DataFrame:
+    """How often every term occurs and in how many documents: term, corpus_tf, df.
+
+    A document that is one row is counted where it is read, and only the counts of many documents
+    together are shuffled. Rows that share a key, null included, are one document; they meet by key and term.
+    """
+    own = df.select(F.col(key).alias("_k"), F.col(content).alias("_c"))
+    shared = cut_lineage(own.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("_k").alias("_s")), "shared-keys")
+    if shared.count() <= frequent.SENT_TERMS:
+        shared = F.broadcast(shared)  # so that texts stay where they are read
+    same = F.col("_k").eqNullSafe(F.col("_s"))
+    alone = own.join(shared, same, "left_anti").where("_c is not null")
+    rows = alone.select(F.monotonically_increasing_id().alias("doc"), tx.kept_words(F.col("_c")).alias("term"))
+    single = frequent.local_lists(rows, 1, pairs=True).where("term is not null").select("term", "tf", "df")
+    spread = own.join(shared, same, "left_semi").select("_k", F.explode(tx.terms(F.col("_c"))).alias("term"))
+    merged = spread.groupBy("_k", "term").agg(F.count(F.lit(1)).alias("tf")).select("term", "tf", F.lit(1).cast("long").alias("df"))
+    return single.unionByName(merged).groupBy("term").agg(F.sum("tf").alias("corpus_tf"), F.sum("df").alias("df"))
+
+
 @dataclass
 class TfidfModel:
     """A fitted vocabulary; encoding is row-local and shuffles nothing."""
