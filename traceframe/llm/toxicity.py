@@ -22,6 +22,7 @@ rows the score is the share of toxic ones (0 without any); other columns are ign
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +35,7 @@ from traceframe.llm.common import slices
 
 SAMPLE_DOCS = (5000, 2000)  # clean and toxic training documents,
 SAMPLE_BYTES = (12 << 20, 6 << 20)  # and bytes of their texts: the bounds on what the driver reads
+TEXT_PARTS = 8  # partitions in which it reads them
 BUCKETS, WIDTH = 1 << 18, 8
 DECAY = 6e-5
 GRAMS = (3, 4, 5, 6)
@@ -41,6 +43,7 @@ WINDOW, STEP = 32, 16
 SCALE = 32.0
 ROUNDS = 100
 LIMIT = 0.7
+SOME = 1 << 18  # tokens of the training texts that are turned into floats at a time
 
 _FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256)
@@ -180,8 +183,10 @@ def train(texts: list[str], labels: list[int], rounds: int = ROUNDS, toxic_share
     first = np.concatenate([f + b for f, b in zip(firsts, base[:-1], strict=True)])
     last = np.minimum(first + WINDOW, base[1:][doc])
     size = np.maximum(last - first, 1)
-    tokens, bag = np.concatenate(own), np.concatenate([counted(d) for d in own]).astype(np.float32)
+    tokens, bag = np.concatenate(own), np.concatenate([counted(d).astype(np.float32) for d in own])
     del own, firsts
+    spans = [(a, min(a + SOME, len(tokens))) for a in range(0, len(tokens), SOME)]
+    closing, closes = np.unique(last, return_inverse=True)
     mark, edge = y[doc], np.cumsum(per_doc) - per_doc
 
     draw = np.random.default_rng(7)
@@ -195,7 +200,8 @@ def train(texts: list[str], labels: list[int], rounds: int = ROUNDS, toxic_share
         per_bucket = table @ (rows[1] - rows[0])
         value = np.concatenate([np.add.reduceat(per_bucket[buckets[c:d]], ends[a:b] - counts[a:b] - c) / counts[a:b] for a, b, c, d in parts])
         total = np.zeros(len(tokens) + 1)
-        np.multiply(value[tokens], bag, out=total[1:])
+        for a, b in spans:
+            np.multiply(value[tokens[a:b]], bag[a:b], out=total[a + 1 : b + 1])
         np.cumsum(total, out=total)
         return bias[1] - bias[0] + SCALE * (total[last] - total[first]) / size
 
@@ -208,10 +214,13 @@ def train(texts: list[str], labels: list[int], rounds: int = ROUNDS, toxic_share
         g = share * blend * (p - mark)
         # Gradient per token: a running sum of what starts and ends there.
         flow = np.bincount(first, SCALE * g / size, len(tokens) + 1)
-        flow -= np.bincount(last, SCALE * g / size, len(tokens) + 1)
+        flow[closing] -= np.bincount(closes, SCALE * g / size)
         np.cumsum(flow, out=flow)
         flow[:-1] *= bag
-        per_word = np.bincount(tokens, flow[:-1], n_words)
+        per_word = np.zeros(n_words)
+        for a, b in spans:  # added up in the order of the tokens, whatever the spans
+            np.add.at(per_word, tokens[a:b].astype(np.intp), flow[a:b])
+        del flow
         share_of_row = per_word / counts
         per_bucket = np.zeros(BUCKETS, np.float32)
         for a, b, c, d in parts:
@@ -269,12 +278,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: tuple[int, int] = SAMPL
     spark = docs.sparkSession
     sent = F.broadcast(spark.createDataFrame(chosen, "doc_id long, toxic int"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").join(sent, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    # Partition by partition, so that the texts are held once.
-    rows = sorted(((r["doc_id"], r["text"], r["toxic"]) for r in rows.toLocalIterator()), key=lambda r: r[:2])
+    # Partition by partition, so that the texts are held once; each costs a job, so there are few.
+    rows = sorted(((r["doc_id"], r["text"], r["toxic"]) for r in rows.coalesce(TEXT_PARTS).toLocalIterator()), key=lambda r: r[:2])
     texts, marks = [r[1] for r in rows], [r[2] for r in rows]
     rows.clear()
     share = total.get(1, 0) / max(1, sum(total.values()))
-    return train(texts, marks, rounds, share)
+    model = train(texts, marks, rounds, share)
+    _give_back()
+    return model
+
+
+def _give_back() -> None:
+    """Hand memory that the training has freed back to the system, where the C library can: the driver goes on."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 class WordValues:
