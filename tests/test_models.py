@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from traceframe.functions.significance import exact_two_sample_tail
-from traceframe.operators import features as ft, retrieval as rt, sampling, scoring, synthetic, training as tr
+from traceframe.operators import features as ft, pruning, retrieval as rt, sampling, scoring, synthetic, training as tr
 
 
 @pytest.fixture(scope="module")
@@ -182,3 +182,29 @@ def test_boosted_model_and_vocabulary_survive_storage(spark, separable, tmp_path
     fitted = rt.TfidfModel.fit(docs, "t")
     ps.save_tfidf(spark, fitted, str(tmp_path / "v"))
     assert ps.load_tfidf(spark, str(tmp_path / "v")) == fitted
+
+
+def test_pruned_forest_is_stored_by_many_tasks(spark, tmp_path, monkeypatch):
+    """One task for all trees, and a second whole copy of the model, grew with the forest."""
+    from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(Vectors.dense([float(i * 7 % 31), float(i * 5 % 17)]), float(i * 3 % 11 > 4)) for i in range(300)]
+    grown = RandomForestClassifier(numTrees=6, maxDepth=6, seed=1).fit(spark.createDataFrame(rows, ["features", "label"]))
+    saves, write = [], RandomForestClassificationModel.write
+    monkeypatch.setattr(RandomForestClassificationModel, "write", lambda self: saves.append(self) or write(self))
+    monkeypatch.setattr(pruning, "shared_folder", lambda *_: f"{tmp_path}/trees")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        cut = pruning.prune(spark, grown, 30)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(saves) == 1 and len(list((tmp_path / "trees/cut/data").glob("*.parquet"))) > 1
+    assert cut.getNumTrees == 6 and cut.uid == grown.uid and 0 < cut.totalNumNodes < grown.totalNumNodes
+    nodes = spark.read.parquet(f"{tmp_path}/trees/cut/data").select("treeID", "nodeData.*").toPandas()
+    for _, tree in nodes.groupby("treeID"):
+        tree = tree.sort_values("id").reset_index(drop=True)
+        inner = tree[tree.leftChild >= 0]
+        assert tree.id.tolist() == list(range(len(tree))) and (inner.rawCount >= 30).all()
+        assert sorted([0, *inner.leftChild, *inner.rightChild]) == tree.id.tolist()

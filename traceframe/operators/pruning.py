@@ -7,6 +7,7 @@ features are drawn at random per node, where it is one of the trees that may be
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -23,29 +24,31 @@ def cut_small(nodes: pd.DataFrame, min_split: int) -> pd.DataFrame:
     Nodes below a cut go, the others are numbered anew without gaps, in the same order.
     """
     nodes = nodes.sort_values("id")
-    left, right, rows = (nodes[c].tolist() for c in ("leftChild", "rightChild", "rawCount"))
-    split = [child >= 0 and n >= min_split for child, n in zip(left, rows)]
-    kept = {0}
-    for i in range(len(nodes)):
-        if i in kept and split[i]:
-            kept |= {left[i], right[i]}
-    number = {old: new for new, old in enumerate(sorted(kept))}
-    out = nodes[[i in kept for i in range(len(nodes))]].copy()
+    left, right, rows = (nodes[c].to_numpy() for c in ("leftChild", "rightChild", "rawCount"))
+    split = (left >= 0) & (rows >= min_split)
+    kept = np.zeros(len(nodes), bool)
+    level = np.zeros(1, np.int64)
+    while len(level):
+        kept[level] = True
+        level = level[split[level]]
+        level = np.concatenate([left[level], right[level]])
+    number = np.cumsum(kept) - 1
+    out, still = nodes[kept].copy(), split[kept]
     for name, child in (("leftChild", left), ("rightChild", right)):
-        out[name] = [number[child[i]] if split[i] else -1 for i in number]
-    out["gain"] = [g if split[i] else -1.0 for i, g in zip(number, out["gain"])]
-    out["id"] = list(number.values())
+        out[name] = np.where(still, number[np.where(still, child[kept], 0)], -1)
+    out["gain"] = np.where(still, out["gain"], -1.0)
+    out["id"] = np.arange(len(out))
     return out
 
 
 def prune(spark: SparkSession, model: Model, min_split: int) -> Model:
     """The model with every node of fewer than ``min_split`` rows a leaf; forests tree by tree.
 
-    The stored form of the model is read as a table, cut and stored again beside it.
+    The stored form of the model is read as a table, cut and stored again beside it, tree by tree
+    in as many tasks as there are; what else the model has is copied.
     """
     path = shared_folder(spark, "trees")
     model.write().save(f"{path}/grown")
-    model.write().save(f"{path}/cut")
     nodes = spark.read.parquet(f"{path}/grown/data")
     forest = "treeID" in nodes.columns
     # One group is one tree, which the driver has held whole as part of the model.
@@ -61,11 +64,22 @@ def prune(spark: SparkSession, model: Model, min_split: int) -> Model:
     cut = kept.join(rest, ["treeID", "old"]).withColumn("split", threshold)
     fields = nodes.schema["nodeData"].dataType.names if forest else nodes.columns
     out = cut.select("treeID", F.struct(*fields).alias("nodeData")) if forest else cut.select(*fields)
-    # Few rows: as many as the trees have nodes.
-    out.coalesce(1).write.mode("overwrite").parquet(f"{path}/cut/data")
+    out.write.parquet(f"{path}/cut/data")
+    _copy_but(spark, f"{path}/grown", f"{path}/cut", "data")
     return type(model).load(f"{path}/cut")
 
 
+def _copy_but(spark: SparkSession, source: str, target: str, left_out: str) -> None:
+    """Copy a folder on whatever file system it is, but for one entry."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    root = hadoop.Path(source)
+    files = root.getFileSystem(conf)
+    for found in files.listStatus(root):
+        name = found.getPath().getName()
+        if name != left_out:
+            hadoop.FileUtil.copy(files, found.getPath(), files, hadoop.Path(f"{target}/{name}"), False, conf)
+
+
 class SplitSize(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
     """A tree or forest classifier whose nodes split only from ``minSplit`` rows on."""
 
