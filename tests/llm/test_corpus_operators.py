@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -186,6 +187,19 @@ def test_bounded_prefixes_by_brute_force():
                 assert got[r] == (common < length), (n, r)
 
 
+def test_intervals_are_ordered_without_wide_keys(monkeypatch):
+    """Sorting 64-bit keys through an index in every round was most of the operator's time."""
+    text = np.frombuffer(b"the cat sat on the mat; the cat sat; a mat on a cat \0" * 40, np.uint8).astype(np.int64) + 1
+    text[-1] = 0  # the end of the last fragment
+    order, widths, plain = substring.suffix_order(text, 51), [], np.argsort
+    want = substring.bounded_prefixes(text, order, 50)
+    monkeypatch.setattr(np, "argsort", lambda a, *args, **named: widths.append(a.dtype.itemsize) or plain(a, *args, **named))
+    got = substring.bounded_prefixes(text, order, 50)
+    assert (got == want).all() and max(widths) <= 2
+    own = text.tolist()
+    assert got.tolist() == [True] + [own[a : a + 50] != own[b : b + 50] for a, b in zip(order[:-1].tolist(), order[1:].tolist())]
+
+
 def test_top_k(spark):
     draw = np.random.default_rng(2)
     data = [(i, draw.normal(0, 0.3, 16).tolist()) for i in range(240)]
@@ -500,3 +514,34 @@ def test_toxicity_training_follows_its_loss(monkeypatch):
 def test_toxicity_of_one_short_word(spark):
     model = toxicity.train(["you scumbag", "a fine day", "the idiot", "calm sea"], [1, 0, 1, 0], 20)
     assert len(model.word_values([b"x"])) == 1 and 0 <= toxicity.toxicity(spark.createDataFrame([(1, "x")], "doc_id long, text string"), model).first().toxicity <= 1
+
+
+def test_toxicity_training_holds_few_copies_of_its_tokens(monkeypatch):
+    monkeypatch.setattr(toxicity, "BUCKETS", 1 << 10)
+    monkeypatch.setattr(toxicity, "SOME", 1 << 14, raising=False)
+    own = np.random.default_rng(3).integers(0, 500, (400, 1000))
+    texts = [" ".join(f"w{i}" for i in row) for row in own.tolist()]
+    tracemalloc.start()
+    toxicity.train(texts, [i % 2 for i in range(400)], 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 35 * own.size
+
+
+def test_toxicity_fit_reads_texts_in_few_jobs(spark):
+    """Every partition of the chosen texts is a job of its own."""
+    data = [(i, "alpha beta gamma" if i % 2 else "bad worse worst") for i in range(40)]
+    frame = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in data], "doc_id long, toxic int")
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    context = spark.sparkContext
+    context.setJobGroup("fit-of-few", "fit")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        toxicity.fit(frame, labels, rounds=2)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("fit-of-few")) < 50

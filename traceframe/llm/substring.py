@@ -470,7 +470,7 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for i in range(7):  # seven symbols of nine bits
         key = (key << 9) | padded[i : i + n]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)  # suffixes with equal keys may stand in any order
     size = 7
     while size < depth:
         ordered = key[order]
@@ -479,7 +479,7 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
         later = np.zeros(n, np.int64)
         later[: max(0, n - size)] = rank[size:] + 1
         key = rank * (n + 1) + later
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         size *= 2
     return order
 
@@ -493,9 +493,12 @@ def bounded_prefixes(symbols: np.ndarray, order: np.ndarray, length: int) -> np.
     values come by increasing length, and the search stops at ``length``.
     """
     n = len(symbols)
-    before = symbols[order - 1]  # the transform; the first suffix is preceded by the last symbol
+    narrow = symbols.astype(np.uint16)  # numpy orders short numbers by radix
+    before = narrow[order - 1]  # the transform; the first suffix is preceded by the last symbol
+    begins = narrow[order]  # first symbol of the suffix at a place
     step = np.empty(n, np.int64)  # place of a suffix extended by the symbol before it
     step[np.argsort(before, kind="stable")] = np.arange(n)
+    bits = max(1, n.bit_length())
     ends = np.zeros(n + 1, bool)
     ends[0] = ends[n] = True
     low, high = np.array([0]), np.array([n])
@@ -503,13 +506,17 @@ def bounded_prefixes(symbols: np.ndarray, order: np.ndarray, length: int) -> np.
         size = high - low
         if not len(size):
             break
+        single = size == 1  # one suffix is extended by one symbol
+        alone, low, size = step[low[single]], low[~single], size[~single]
         owner = np.repeat(np.arange(len(size)), size)
-        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + low[owner]
-        key = owner * 512 + before[place]
-        group = np.argsort(key, kind="stable")
-        key, to = key[group], step[place[group]]
-        head = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0]
-        first, last = to[head], to[np.concatenate([head[1:] - 1, [len(to) - 1]])] + 1
+        place = np.arange(len(owner)) + np.repeat(low - np.cumsum(size) + size, size)
+        # Extended suffixes stand by symbol, so their places in order are grouped by it.
+        key = np.sort((owner << bits) | step[place])
+        owner, to = key >> bits, key & ((1 << bits) - 1)
+        symbol = begins[to]
+        fresh = (owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1])
+        first = np.concatenate([alone, to[:1], to[1:][fresh]])
+        last = np.concatenate([alone, to[:-1][fresh], to[-1:]]) + 1
         fresh = ~ends[last]
         low, high = first[fresh], last[fresh]
         ends[high] = True
