@@ -1,5 +1,7 @@
 """Model operators on separable rows."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -208,3 +210,20 @@ def test_pruned_forest_is_stored_by_many_tasks(spark, tmp_path, monkeypatch):
         inner = tree[tree.leftChild >= 0]
         assert tree.id.tolist() == list(range(len(tree))) and (inner.rawCount >= 30).all()
         assert sorted([0, *inner.leftChild, *inner.rightChild]) == tree.id.tolist()
+
+
+def test_pairs_are_scored_like_plain_sums(spark):
+    from traceframe.plans import postings
+
+    draw = np.random.default_rng(5)
+    def vector(n, words):  # noqa: E306
+        return [f"t{i}" for i in draw.choice(words, n, replace=False).tolist()], draw.uniform(0, 1, n).tolist()
+
+    probes = [(i, *vector(n, 60)) for i, n in enumerate([0, 1, 20, 50])]
+    candidates = [(100 + i, *vector(n, 90)) for i, n in enumerate([0, 1, 30, 80])] + [(200, ["t1", None, "t1"], [0.5, 0.25, 0.5]), (201, None, None)]
+    pairs = [(p[0], c[0]) for p in probes for c in candidates] * 300
+    frame = lambda rows, key: spark.createDataFrame(rows, f"{key} long, at array<string>, vector array<double>")
+    found = postings._scored(spark.createDataFrame(pairs, "probe_id long, match_id long"), frame(probes, "probe_id"), frame(candidates, "match_id"))
+    got = Counter((r.probe_id, r.match_id, r.score) for r in found.collect())
+    want = {(p, c, round(sum(dict(zip(a, v)).get(t, 0.0) * w for t, w in zip(b or [], x or []) if t), 12)) for p, a, v in probes for c, b, x in candidates}
+    assert set(got.values()) == {300} and set(got) == want

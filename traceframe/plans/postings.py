@@ -14,7 +14,12 @@ Lists of terms that very many candidates have are dealt into salts, and the prob
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from traceframe.session import cut_lineage
 
@@ -22,6 +27,7 @@ CHAMPIONS = 64  # champions of a term, if k is not more
 SALT_ROWS = 200_000  # candidates of a term in one salt
 SLACK = 1e-9  # room for rounding in comparisons with the threshold
 DIGITS = 12
+SCORED_ROWS = 1000  # pairs that a task scores at a time
 
 
 def _postings(df: DataFrame, key: str) -> DataFrame:
@@ -64,6 +70,41 @@ def _candidates(opened: DataFrame, lists: DataFrame, facts: DataFrame) -> DataFr
     return partial.where(F.col("part") + F.col("rest") >= F.col("threshold") - SLACK).select("probe_id", "match_id")
 
 
+def _products(asked: pa.Array, asked_weights: pa.Array, own: pa.Array, own_weights: pa.Array) -> np.ndarray:
+    """For every row, the sum of the products of weights of common terms, in the order of ``own``.
+
+    Terms become numbers, so that all rows are looked up at once; a term of null is in no other vector.
+    """
+    n = len(own)
+    of_row = lambda lists: np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    terms = pa.concat_arrays([asked.flatten(), own.flatten()]).dictionary_encode()
+    codes = pc.fill_null(terms.indices, len(terms.dictionary)).to_numpy(zero_copy_only=False).astype(np.int64)
+    split, span, row = len(asked.flatten()), len(terms.dictionary) + 1, of_row(own)
+    known, wanted = of_row(asked) * span + codes[:split], row * span + codes[split:]
+    weights = pc.fill_null(asked_weights.flatten(), 0.0).to_numpy(zero_copy_only=False)
+    order = np.argsort(known)
+    known, weights = np.append(known[order], -1), np.append(weights[order], 0.0)
+    place = np.searchsorted(known[:-1], wanted)
+    return np.bincount(row, np.where(known[place] == wanted, weights[place], 0.0) * own_weights.flatten().to_numpy(zero_copy_only=False), n)
+
+
+def _scored(pairs: DataFrame, probes: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(probe_id, match_id, score) of pairs (probe_id, match_id), from the stored vectors."""
+    weights = F.map_from_arrays("at", "vector")  # no term twice
+    both = pairs.join(probes.select("probe_id", weights.alias("_q")), "probe_id").join(candidates, "match_id")
+    both = both.select("probe_id", "match_id", F.map_keys("_q").alias("asked"), F.map_values("_q").alias("weights"), "at", "vector")
+    schema = T.StructType([*pairs.select("probe_id", "match_id").schema.fields, T.StructField("score", T.DoubleType())])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SCORED_ROWS):
+                part = batch.slice(at, SCORED_ROWS)
+                found = _products(*(part.column(c) for c in ("asked", "weights", "at", "vector")))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found)], names=["probe_id", "match_id", "score"])
+
+    return both.mapInArrow(score, schema).withColumn("score", F.round("score", DIGITS))
+
+
 def top_k(probes: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     """Best ``k`` candidates (match_id, at, vector) of every probe (probe_id, at, vector): probe_id, match_id, score, rank.
 
@@ -78,13 +119,9 @@ def top_k(probes: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
     facts, champions = (cut_lineage(t, "terms") for t in term_facts(lists, k))
     opened = cut_lineage(open_terms(asked, facts, champions, k), "opened")
     pairs = _candidates(opened, lists, facts)
-    weights = F.map_from_arrays("at", "vector")
-    scored = pairs.join(probes.select("probe_id", weights.alias("_q")), "probe_id").join(candidates, "match_id")
-    own = F.zip_with("at", "vector", lambda t, w: F.coalesce(F.element_at("_q", t), F.lit(0.0)) * w)
-    score = F.round(F.aggregate(own, F.lit(0.0), lambda acc, x: acc + x), DIGITS)
     order = Window.partitionBy("probe_id").orderBy(F.col("score").desc(), "match_id")
     ranked = lambda df: df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    hits = cut_lineage(ranked(scored.select("probe_id", "match_id", score.alias("score"))), "hits")
+    hits = cut_lineage(ranked(_scored(pairs, probes, candidates)), "hits")
     short = probes.select("probe_id").join(hits.where(F.col("rank") == k).select("probe_id"), "probe_id", "left_anti")
     # A probe has fewer than k hits here, so k more are among the 2 k smallest ids.
     first = F.broadcast(candidates.select("match_id").orderBy("match_id").limit(2 * k))
