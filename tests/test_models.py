@@ -83,6 +83,29 @@ def test_search_is_repeatable(separable):
     assert first.refit(separable, separable.count()).transform(separable).count() == 300
 
 
+def test_search_fits_boosting_with_the_drawn_parameters(spark, separable, monkeypatch):
+    """A copy of OneVsRest dropped a classifier given by a map, so every trial grew 100 rounds of depth 5."""
+    from pyspark.ml.classification import GBTClassifier
+
+    noisy = separable.withColumn("label", F.when(F.col("trace_id") % 4 == 0, (F.col("trace_id") % 12 / 4).cast("int")).otherwise(F.col("label")).cast("double"))
+    space = {"n_estimators": (1, 3), "max_depth": (1, 3), "learning_rate": (0.01, 0.3, "log"), "min_samples_leaf": (1, 10), "subsample": (0.6, 1.0, "real")}
+    seen, fit = [], GBTClassifier._fit
+
+    def seeing(self, df):
+        seen.append((self.getMaxIter(), self.getMaxDepth(), self.getStepSize(), self.getMinInstancesPerNode(), self.getSubsamplingRate()))
+        return fit(self, df)
+
+    monkeypatch.setattr(GBTClassifier, "_fit", seeing)
+    found = tr.search(noisy, ["GradientBoosting"], 2, n_folds=2, spaces={"GradientBoosting": space})
+    drawn = [tr.draw_parameters("GradientBoosting", trial, space=space) for trial in range(2)]
+    assert drawn[0] != drawn[1] and set(seen) == {tuple(p.values()) for p in drawn}
+    evaluator = tr.MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="f1")
+    for row in found.trials.collect():
+        folds = [(noisy.filter(F.col("fold") != i), noisy.filter(F.col("fold") == i)) for i in range(2)]
+        values = [evaluator.evaluate(tr.estimator("GradientBoosting", drawn[row.trial]).fit(train).transform(held)) for train, held in folds]
+        assert row.value == pytest.approx(np.mean(values), abs=0.05)
+
+
 def test_registered_models_have_the_settings_of_the_reference(monkeypatch):
     from traceframe.checks import learning
 
