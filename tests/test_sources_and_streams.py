@@ -276,3 +276,40 @@ def test_segy_stream_takes_each_file_once(spark, tmp_path, split):
     segy.write_segy(rows, folder, "trace_id", prefix="late", mode="append")
     again = run()
     assert again.count() == 500 and again.where("file_id = '050'").count() == 100
+
+
+def test_segy_streams_run_side_by_side(spark, tmp_path, monkeypatch):
+    """One stream took all files two by two, so its batches followed each other by the hundred."""
+    from traceframe.checks import files
+
+    vectors = spark.range(4000).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("float"), F.lit(0.5).cast("float")).alias("embedding"), F.col("id").cast("int").alias("label"))
+    vectors.write.parquet(str(tmp_path / "embeddings.parquet"))
+    monkeypatch.setattr(files, "shared_folder", lambda spark, purpose: str(tmp_path / purpose))
+    found = files.segy_stream_to_bronze(spark, str(tmp_path))
+    assert found.count() == 4000 and found.exceptAll(files.segy_to_bronze(spark, str(tmp_path))).count() == 0
+    checkpoint = tmp_path / "segy-stream/checkpoint"
+    assert max(len([n for n in f.iterdir() if n.name.isdigit()]) for f in checkpoint.rglob("commits")) == 2  # four names of each digit
+    taken = [n.read_text().count("\"path\"") for f in checkpoint.rglob("sources") for n in (f / "0").iterdir() if n.name.isdigit()]
+    assert sum(taken) == 40 and max(taken) == 2
+
+
+def test_segy_streams_take_each_name_once(spark, tmp_path):
+    folder, out = _segy_folder(spark, tmp_path), str(tmp_path / "out")
+    other = segy.read_bronze(spark, folder).where("file_id = '001'").withColumn("file_no", F.lit(7))
+    segy.write_segy(other, str(tmp_path / "more"), "trace_id")
+    below = tmp_path / "below"
+    for source, name in (("raw", "a"), ("more", "b")):
+        (below / name).mkdir(parents=True)
+        for f in sorted((tmp_path / source).glob("*.sgy")):
+            (below / name / f.name.replace("_007", "_007x").replace("_002", "_é")).write_bytes(f.read_bytes())
+    taken = segy.stream_to_bronze(spark, str(below), out, files_per_batch=3)
+    want = segy.read_bronze(spark, str(below))
+    assert taken.count() == want.count() == 500 and want.exceptAll(taken.select(want.columns)).count() == 0
+    assert {"007x", "é"} <= {r.file_id for r in taken.select("file_id").distinct().collect()}
+    assert segy.stream_to_bronze(spark, str(below), out).count() == 500  # a restart repeats nothing
+    (below / "late_12.sgy").write_bytes((tmp_path / "more/traces_007.sgy").read_bytes())
+    assert segy.stream_to_bronze(spark, str(below), out).where("file_id = '12'").count() == 100
+    (below / "cut_3.sgy").write_bytes((tmp_path / "more/traces_007.sgy").read_bytes()[:-1])
+    with pytest.raises(Exception, match="truncated"):
+        segy.stream_to_bronze(spark, str(below), out)
+    assert not spark.streams.active

@@ -73,9 +73,6 @@ def segy_to_bronze(spark, sf):
 
 @query("segy_stream_to_bronze", _BRONZE_SQL)
 def segy_stream_to_bronze(spark, sf):
-    """The same as a stream of files, two to a batch, into a bronze table."""
+    """The same as streams of files, two to a batch, into a bronze table."""
     folder, out = _written(spark, sf), shared_folder(spark, "segy-stream")
-    stream = segy.to_bronze(segy.stream_segy(spark, folder, files_per_batch=2))
-    ingest = stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(f"{out}/bronze")
-    ingest.awaitTermination()
-    return _bronze(spark.read.schema(stream.schema).parquet(f"{out}/bronze"))
+    return _bronze(segy.stream_to_bronze(spark, folder, out, files_per_batch=2))

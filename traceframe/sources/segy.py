@@ -20,6 +20,7 @@ import struct
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from urllib.parse import urlparse
 
 import numpy as np
@@ -63,6 +64,7 @@ HEADER_SCHEMA = SCHEMA.replace("trace_data array<double>, ", "")
 HEADER_ORDER = ["inline", "crossline", "cdp_x", "cdp_y", "field_record", "trace_number"]
 BATCH_BYTES = 16 << 20
 WHOLE_BYTES = 256 << 20  # a file up to this size is one row of a scan
+LAST = [*"0123456789", "[!0-9]"]  # last character of a file's name: every name fits one
 
 
 INDEX_SCHEMA = "path string, size bigint, start bigint, stop bigint, low array<bigint>, high array<bigint>"
@@ -475,18 +477,18 @@ def read_segy(spark: SparkSession, path: str, split_bytes: int | None = None, in
     return files.select("path", "content").mapInArrow(_whole_files, SCHEMA)
 
 
-def _binary(reader):
-    return reader.format("binaryFile").option("pathGlobFilter", "*.sgy").option("recursiveFileLookup", "true")
+def _binary(reader, names: str = "*.sgy"):
+    return reader.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", "true")
 
 
-def stream_segy(spark: SparkSession, path: str, split_bytes: int | None = None, files_per_batch: int | None = None) -> DataFrame:
-    """Traces of files as they arrive in a folder or below.
+def stream_segy(spark: SparkSession, path: str, split_bytes: int | None = None, files_per_batch: int | None = None, names: str = "*.sgy") -> DataFrame:
+    """Traces of files as they arrive in a folder or below, of those that ``names`` fits.
 
     Spark's file source remembers which files it has taken, so a restart from its checkpoint
     neither loses nor repeats one; ``files_per_batch`` bounds a batch. Files come whole, on any file
     system Spark knows, or with ``split_bytes`` as byte ranges that are dealt over the tasks.
     """
-    source = _binary(spark.readStream).schema("path string, modificationTime timestamp, length long, content binary")
+    source = _binary(spark.readStream, names).schema("path string, modificationTime timestamp, length long, content binary")
     if files_per_batch:
         source = source.option("maxFilesPerTrigger", files_per_batch)
     files = source.load(qualified(spark, path))
@@ -520,6 +522,28 @@ def to_bronze(traces: DataFrame, seed: str = "42") -> DataFrame:
     return conform(traces.withColumn("class_label", three_way_label(seed, "file_id", "trace_id")), BRONZE)
 
 
+def stream_to_bronze(spark: SparkSession, path: str, out: str, files_per_batch: int | None = None, seed: str = "42") -> DataFrame:
+    """Take all files that have arrived and were not taken before into the bronze table at ``out``; gives the whole table.
+
+    A batch of few files costs the driver about as much as one of many and leaves most cores idle,
+    so several streams run side by side, each for the names of one ``LAST`` character and with a
+    checkpoint and a part of the table of its own. A name always meets the same checkpoint.
+    """
+    schema, running = None, []
+    try:
+        for i, last in enumerate(LAST):
+            stream = to_bronze(stream_segy(spark, path, files_per_batch=files_per_batch, names=f"*{last}.sgy"), seed)
+            schema = stream.schema
+            writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint/{i}").trigger(availableNow=True)
+            running.append(writer.start(f"{out}/bronze/{i}"))
+        for query in running:
+            query.awaitTermination()
+    finally:
+        for query in running:  # the others, if one failed
+            query.stop()
+    return reduce(DataFrame.union, [spark.read.schema(schema).parquet(f"{out}/bronze/{i}") for i in range(len(LAST))])
+
+
 WRITE_COLUMNS = ["file_no", "position", "trace_data", "num_samples", "sample_rate", *HEADER_ORDER]
 
 
