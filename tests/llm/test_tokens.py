@@ -21,3 +21,23 @@ def test_special_tokens_and_signs_among_letters(text):
 def test_pieces_give_the_ids_of_the_whole_text(pieces):
     text = " ".join(pieces)
     assert WORDS.encode([text])[0] == np.array(WORDS.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+class _Counted(dict):
+    """Counts what is looked up."""
+
+    asked = 0
+
+    def get(self, *key):
+        self.asked += 1
+        return super().get(*key)
+
+
+def test_a_piece_is_looked_up_once_for_all_texts_of_a_slice():
+    own = Words(public_tokenizers.path("word_bpe_49k.json"))
+    own.ids = _Counted()
+    texts = ["alpha beta, gamma. " * 300, None, " ", "beta alpha!! été　x " * 200, "gamma gamma"]
+    want = [np.array(own.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert own.encode(texts) == want
+    assert 0 < own.ids.asked < 10
+    assert own.encode(texts) == want and own.encode([]) == []

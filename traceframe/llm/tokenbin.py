@@ -30,7 +30,7 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,7 @@ TOTAL = 1 << TOTAL_BITS
 CHECKPOINT = 256  # rows of LANES ids
 BLOCK_IDS = 1 << 20  # a block is closed once it holds so many
 PART_IDS = 8 << 20  # ids behind one part
+TEXT_BYTES = 4 << 20  # text whose pieces are looked up together
 KEPT_WORDS = 1_600_000  # pieces of text remembered by a worker
 LOW = 1 << 31  # states stay in [2**31, 2**63)
 MAGIC = b"RANS"
@@ -94,16 +95,18 @@ class Words:
         self.ids: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.direct = [self.word(w) for w in _TRIAL] == self.library(_TRIAL)
+        self.direct = self.words(_TRIAL) == self.library(_TRIAL)
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def word(self, letters: str) -> bytes:
-        """Ids of a piece of letters by the model alone."""
-        if not letters.isascii():
-            letters = letters.encode("utf-8").decode("latin-1").translate(_SIGN_OF_BYTE)
-        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+    def words(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces of letters by the model alone."""
+        tokenize = self.model.tokenize
+        found = [[t.id for t in tokenize(p if p.isascii() else p.encode("utf-8").decode("latin-1").translate(_SIGN_OF_BYTE))] for p in pieces]
+        whole = array("I", chain.from_iterable(found)).tobytes()
+        ends = accumulate(map(len, found))
+        return [whole[4 * (end - len(ids)) : 4 * end] for ids, end in zip(found, ends, strict=True)]
 
     def learn(self, fresh: set[str]) -> None:
         """Ids of pieces that the younger generation does not hold."""
@@ -112,18 +115,19 @@ class Words:
         known = fresh & self.older.keys()
         self.ids.update((p, self.older[p]) for p in known)
         fresh = fresh - known
-        tailed = {p: m.groups() for p in fresh if (m := _TAILED.fullmatch(p))}
+        signs = [p for p in fresh if not p.isalpha()]
+        tailed = {p: m.groups() for p in signs if (m := _TAILED.fullmatch(p))}
         whole = fresh.difference(tailed).union(*tailed.values()).difference(self.ids)
         letters = [p for p in whole if self.direct and p.isalpha() and (p.isascii() or unicodedata.is_normalized("NFC", p))]
         others = list(whole.difference(letters))
-        self.ids.update(zip(letters, map(self.word, letters), strict=True))
+        self.ids.update(zip(letters, self.words(letters), strict=True))
         self.ids.update(zip(others, self.library(others), strict=True))
         self.ids.update((p, self.ids[a] + self.ids[b]) for p, (a, b) in tailed.items())
 
-    def cut(self, text: str | None) -> list[str] | None:
-        """The pieces of a text, or None if the library must have it whole."""
+    def plain(self, text: str | None) -> str | None:
+        """A text whose pieces are those between its white space, or None if the library must have it whole."""
         if not text:
-            return []
+            return ""
         if any(c in text for c in _ODD_ASCII) if text.isascii() else "\u03a3" in text or "\u0130" in text or _ODD_SPACE.search(text):
             return None
         plain = text.lower()
@@ -133,24 +137,32 @@ class Words:
             plain = plain.replace(". ", " . ").replace(", ", " , ").replace(".\n", " .\n").replace(",\n", " ,\n")
             if plain[-1:] in (".", ","):
                 plain = f"{plain[:-1]} {plain[-1]}"
-        return plain.split()
+        return plain
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [self.cut(t) for t in texts]
-        flat = list(chain.from_iterable(c for c in cut if c))
-        found = list(map(self.ids.get, flat))
-        if None in found:
-            self.learn({p for p, ids in zip(flat, found, strict=True) if ids is None})
-            get = self.ids.__getitem__
-            found = [get(p) if ids is None else ids for p, ids in zip(flat, found, strict=True)]
-        out, at = [], 0
-        for text, own in zip(texts, cut, strict=True):
-            if own is None:
-                out.append(self.library([text])[0])
-            else:
-                out.append(b"".join(found[at : at + len(own)]))
-                at += len(own)
-        return out
+        plain = [self.plain(t) for t in texts]
+        # Pieces at the ends of a text may be empty, which has no ids.
+        cut = pc.ascii_split_whitespace(pa.array([p or "" for p in plain], pa.large_string()))
+        coded = cut.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.ids.get, distinct))
+        unknown = [i for i, ids in enumerate(found) if ids is None]
+        if unknown:
+            self.learn({distinct[i] for i in unknown})
+            for i in unknown:
+                found[i] = self.ids[distinct[i]]
+        # Ids of the distinct pieces, one after the other, are gathered in the order of all pieces.
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        which = coded.indices.to_numpy()
+        own = sizes.take(which)
+        ends = np.concatenate([[0], np.cumsum(own)])
+        shift = (np.cumsum(sizes) - sizes).take(which) - ends[:-1]
+        ids = np.frombuffer(b"".join(found), "<u4").take(np.arange(ends[-1]) + np.repeat(shift, own))
+        bounds = ends[cut.offsets.to_numpy()].tolist()
+        return [
+            ids[a:b].tobytes() if p is not None else self.library([text])[0]
+            for text, p, a, b in zip(texts, plain, bounds[:-1], bounds[1:], strict=True)
+        ]
 
 
 _WORDS: dict[str, Words] = {}
@@ -172,7 +184,7 @@ def tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
         for batch in batches:
             texts = batch.column("text")
             sizes = pc.binary_length(texts).to_pylist() if batch.num_rows else []
-            for a, b in slices([n or 0 for n in sizes]):
+            for a, b in slices([n or 0 for n in sizes], TEXT_BYTES):
                 found = [np.frombuffer(x + end, "<u4") for x in coder.encode(texts[a:b].to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id")[a:b], batch.column("digest")[a:b], pa.array([len(x) for x in found], pa.int64()), pa.array(map(packed, found), pa.binary())],
