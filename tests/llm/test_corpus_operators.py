@@ -5,9 +5,11 @@ import re
 import tracemalloc
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -172,6 +174,33 @@ def test_substring_removal_with_many_fragments_of_one_anchor(spark):
     assert left == Counter({a: n for a, n in every.items() if a not in heavy})
 
 
+def test_only_fragments_with_a_common_context_reach_the_transform(monkeypatch):
+    draw = np.random.default_rng(4)
+    some = lambda n: bytes(draw.choice(list(b"abcdefgh"), n).astype(np.uint8))
+    gram = min((some(20) for _ in range(3000)), key=lambda g: int(substring._gram_hashes(np.frombuffer(g, np.uint8))[0]))
+    texts = [some(60) + gram + some(60) for _ in range(60)]
+    texts += [some(40) + t[30:100] + some(40) for t in texts[:5]]
+    texts += [some(9) + texts[7][10:60] + some(20), some(9) + texts[8][55:125]]  # the gram at either end of what is shared
+    texts += [b"ab" * 60 + some(9), some(3) + b"ba" * 50, gram * 5, some(30) + gram * 4, texts[0], some(49)]  # several grams in a window
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.binary())})
+    emitted, ranges, given, plain = [], [], [], substring.repeated
+    for out in substring._emit_fragments(2, SimpleNamespace(value=(8, np.full(32, 255, np.uint8))))(iter([batch])):
+        emitted += [r for r in out.to_pylist() if r["place"] is not None]
+        ranges += [r for r in out.to_pylist() if r["place"] is None]
+    monkeypatch.setattr(substring, "repeated", lambda fragments, docs: given.extend(fragments) or plain(fragments, docs))
+    for place in {r["place"] for r in emitted}:
+        ranges += substring._resolve(pa.table({"data": pa.array([r["data"] for r in emitted if r["place"] == place], pa.binary())})).to_pylist()
+
+    first = {}
+    for i, text in enumerate(texts):
+        for a in range(len(text) - 49):
+            first.setdefault(text[a : a + 50], i)
+    want = {(i, b) for i, t in enumerate(texts) for a in range(len(t) - 49) if first[t[a : a + 50]] < i for b in range(a, a + 50)}
+    got = {(r["doc_id"], b) for r in ranges for low, high in np.frombuffer(r["data"], "<u4").reshape(-1, 2).tolist() for b in range(low, high)}
+    assert got == want and len(want) > 500
+    assert 0 < len(given) < 40  # not every fragment around the common gram
+
+
 def test_bounded_prefixes_by_brute_force():
     draw = np.random.default_rng(5)
     for n, letters, length in ((300, 2, 6), (500, 3, 9), (64, 1, 50), (2, 2, 5)):

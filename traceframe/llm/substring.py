@@ -58,14 +58,18 @@ RANGE_BYTES = 16 << 20  # text behind one hash range
 MAP_BITS = 30  # the bit map has at most 2**30 bits
 SENT_ROWS = 1_000_000  # rows sent to all executors once counted; more are joined by a shuffle
 SENT_BYTES = 64 << 20
-SUFFIX_BYTES = 4 << 20  # text of one transform, and weight of an anchor from which it is dealt by windows
+TRANSFORM_BYTES = 1 << 19  # text of one transform, or that of one anchor
+SUFFIX_BYTES = 4 << 20  # weight of an anchor from which it is dealt by windows
 ENTRY_BYTES = 64  # weight of a fragment's place, besides its text
 FREQUENT = 10_000  # places of a window from which it is sent to all executors, not shuffled
 WINDOWS = 1 << 16  # windows in a batch
+BLOCK = 1 << 14  # windows hashed at a time
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MASK = np.uint64((1 << HASH_BITS) - 1)
 
+SIDE = (LENGTH - GRAM) // 2  # a window has so many bytes on one side of its gram at least
+
 
 # --- anchors --------------------------------------------------------------------------
 
@@ -101,6 +105,15 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return low if size == width else np.minimum(low[: len(values) - width + 1], low[width - size :])
 
 
+def _in_blocks(codes: np.ndarray, width: int, of) -> np.ndarray:
+    """``of`` a block of ``codes`` at a time, joined; it gives one value for every ``width`` codes in a row."""
+    n = max(0, len(codes) - width + 1)
+    out = np.empty(n, np.uint64)
+    for a in range(0, n, BLOCK):  # arrays of one block stay in the processor's cache
+        out[a : a + BLOCK] = of(codes[a : min(n, a + BLOCK) + width - 1])
+    return out
+
+
 def runs(joined: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, document, first byte in ``joined``, windows) of all runs of windows with one anchor.
 
@@ -109,23 +122,30 @@ def runs(joined: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     if not len(joined):
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none
-    least = _sliding_min(_gram_hashes(joined), LENGTH - GRAM + 1)
-    sizes = np.diff(ends, prepend=0)
-    owner = np.repeat(np.arange(len(ends)), sizes)[: len(least)]
-    inside = np.arange(len(least)) + LENGTH <= ends[owner]
-    at = np.nonzero(inside)[0]
-    value, doc = least[at], owner[at]
-    fresh = np.ones(len(at), bool)
-    fresh[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
-    head = np.nonzero(fresh)[0]
-    long = np.diff(head, append=len(at))
+    least = _in_blocks(joined, LENGTH, lambda codes: _sliding_min(_gram_hashes(codes), LENGTH - GRAM + 1))
+    # A run ends where the minimum changes, a document begins, or windows would reach over its end.
+    fresh = np.ones(len(least), bool)
+    np.not_equal(least[1:], least[:-1], out=fresh[1:])
+    fresh[ends[:-1]] = True
+    fresh[ends[:-1] - LENGTH + 1] = True
+    head = np.flatnonzero(fresh)
+    long = np.diff(head, append=len(least))
+    doc = np.searchsorted(ends, head, "right")
+    inside = head + LENGTH <= ends[doc]
+    head, long, doc = head[inside], long[inside], doc[inside]
+    value = least[head]
     if long.max() > RUN:  # cut long runs
         pieces = -(-long // RUN)
         step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         long = np.minimum(RUN, np.repeat(long, pieces) - step * RUN)
         head = np.repeat(head, pieces) + step * RUN
-    # Minima are small numbers; a multiplication spreads them over the whole range again.
-    return (value[head] * _ODD) & _MASK, doc[head], at[head], long
+        value, doc = np.repeat(value, pieces), np.repeat(doc, pieces)
+    return _name(value), doc, head, long
+
+
+def _name(hashes: np.ndarray) -> np.ndarray:
+    """Minima are small numbers; a multiplication spreads them over the whole range again."""
+    return (hashes * _ODD) & _MASK
 
 
 class _Texts:
@@ -233,20 +253,31 @@ def _mark_shared(bits: int, map_bits: int):
 
 
 def _ranges_row(ids: np.ndarray, crcs: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-    """Removed ranges, united per document: place null, doc_id, crc, data."""
+    """Removed ranges, united per document: place null, doc_id, crc, data (start and end of each as u32)."""
     order = np.lexsort((start, crcs, ids))
     ids, crcs, start, end = ids[order], crcs[order], start[order], end[order]
-    cut = np.nonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (crcs[1:] != crcs[:-1])]))[0] if len(ids) else np.zeros(0, np.int64)
-    data = []
-    for a, b in zip(cut, [*cut[1:], len(ids)], strict=True):
-        data.append(_pack(*united(start[a:b], end[a:b])))
-    none = pa.nulls(len(cut), pa.int32())
+    cut = np.flatnonzero(_fresh(ids) | _fresh(crcs))
+    # Each document's ranges are set behind those of the one before, out of their reach.
+    apart = int(end.max(initial=0)) + 1
+    behind = np.repeat(np.arange(len(cut)), np.diff(cut, append=len(ids))) * apart
+    start, end = united(start + behind, end + behind)
+    owner = start // apart
+    pairs = np.stack([start, end], 1) - (owner * apart)[:, None]
+    offsets = 8 * np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(cut)))])
+    data = pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(pairs.astype("<u4"))])
     return pa.RecordBatch.from_arrays(
-        [none, pa.array(ids[cut], pa.int64()), pa.array(crcs[cut], pa.int64()), pa.array(data, pa.binary()), pa.nulls(len(cut), pa.int64())],
+        [pa.nulls(len(cut), pa.int32()), pa.array(ids[cut], pa.int64()), pa.array(crcs[cut], pa.int64()), data, pa.nulls(len(cut), pa.int64())],
         names=["place", "doc_id", "crc", "data", "most"],
     )
 
 
+def _fresh(values: np.ndarray) -> np.ndarray:
+    """True where a value differs from the one before it."""
+    out = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=out[1:])
+    return out
+
+
 def united(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ranges ordered by start, with those that touch or overlap joined."""
     if not len(start):
@@ -256,50 +287,60 @@ def united(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[fresh], reach[np.concatenate([np.nonzero(fresh)[0][1:] - 1, [len(start) - 1]])]
 
 
+def _first_documents(code: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Least document of every text, by its number."""
+    least = np.full(int(code.max(initial=-1)) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, code, docs)
+    return least
+
+
 def _emit_fragments(bits: int, sent):
     """Fragments with a marked anchor, packed per flush and hash range; and ranges already known to be repeats."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         map_bits, held = sent.value
         for parts in _flushes(batches, FRAGMENT_BYTES):
-            first: dict[tuple[int, bytes], list] = {}
-            done: list[tuple[int, int, int, int]] = []
+            rows: list[tuple[np.ndarray, ...]] = []
+            texts: list[bytes] = []
             for p in parts:
                 slot = p.anchor >> np.uint64(HASH_BITS - map_bits)
-                marked = np.nonzero((held[(slot >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (slot & np.uint64(7)).astype(np.uint8))) & 1)[0]
-                base = p.starts
-                rows = zip(p.anchor[marked].tolist(), p.ids[p.doc[marked]].tolist(), p.crcs[p.doc[marked]].tolist(), p.at[marked].tolist(), (p.at[marked] - base[p.doc[marked]]).tolist(), p.windows[marked].tolist(), strict=True)
-                for anchor, doc, crc, at, start, windows in rows:
-                    text = p.bytes[at : at + windows + LENGTH - 1]
-                    own = first.get((anchor, text))
-                    if own is None:
-                        first[anchor, text] = [doc, [(crc, start)]]
-                    elif doc == own[0]:
-                        own[1].append((crc, start))
-                    elif doc > own[0]:
-                        done.append((doc, crc, start, start + len(text)))
-                    else:
-                        done += [(own[0], c, s, s + len(text)) for c, s in own[1]]
-                        first[anchor, text] = [doc, [(crc, start)]]
-            if done:
-                yield _ranges_row(*np.array(done, np.int64).T)
-            by_place: dict[int, list] = {}
-            for (anchor, text), (doc, places) in first.items():
-                rows_ = by_place.setdefault(anchor >> (HASH_BITS - bits), [])
-                rows_ += [(anchor, doc, crc, start, text if i == 0 else b"") for i, (crc, start) in enumerate(places)]
-            data = [_packed_fragments(rows_) for rows_ in by_place.values()]
-            if data:
-                none = pa.nulls(len(data), pa.int64())
-                most = pa.array([int(_weights(x)[1].max()) for x in data], pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(list(by_place), pa.int32()), none, none, pa.array(data, pa.binary()), most], names=["place", "doc_id", "crc", "data", "most"])
+                marked = np.flatnonzero((held[(slot >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (slot & np.uint64(7)).astype(np.uint8))) & 1)
+                at, doc = p.at[marked], p.doc[marked]
+                size = p.windows[marked] + (LENGTH - 1)
+                rows.append((p.anchor[marked].astype(np.int64), p.ids[doc], p.crcs[doc], at - p.starts[doc], size))
+                texts += [p.bytes[a:b] for a, b in zip(at.tolist(), (at + size).tolist(), strict=True)]
+            if not texts:
+                continue
+            anchor, docs, crcs, start, size = map(np.concatenate, zip(*rows, strict=True))
+            code = pa.array(texts, pa.large_binary()).dictionary_encode().indices.to_numpy().astype(np.int64)
+            later = docs > _first_documents(code, docs)[code]
+            if later.any():
+                yield _ranges_row(docs[later], crcs[later], start[later], (start + size)[later])
+            first = np.flatnonzero(~later)
+            place = anchor >> (HASH_BITS - bits)
+            first = first[np.lexsort((code[first], place[first]))]  # a text determines its anchor
+            once = np.where(_fresh(code[first]), size[first], 0)  # places of one text follow each other
+            cut = np.flatnonzero(_fresh(place[first]))
+            data, most = [], []
+            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(first)], strict=True):
+                own = first[a:b]
+                text = b"".join([texts[i] for i in own[once[a:b] > 0].tolist()])
+                data.append(_packed(anchor[own], docs[own], crcs[own], start[own], once[a:b], text))
+                most.append(int(_weighed(anchor[own], once[a:b])[1].max()))
+            none = pa.nulls(len(data), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(place[first[cut]], pa.int32()), none, none, pa.array(data, pa.binary()), pa.array(most, pa.int64())], names=["place", "doc_id", "crc", "data", "most"])
 
     return emit
 
 
-def _packed_fragments(rows: list[tuple[int, int, int, int, bytes]]) -> bytes:
-    anchor, doc, crc, start, size = (np.array(x, np.int64) for x in (*zip(*(r[:4] for r in rows), strict=True), [len(r[4]) for r in rows]))
+def _packed(anchor: np.ndarray, doc: np.ndarray, crc: np.ndarray, start: np.ndarray, size: np.ndarray, text: bytes) -> bytes:
     head = _pack(anchor, doc, crc, start, size)
-    return len(head).to_bytes(4, "little") + head + zstandard.compress(b"".join(r[4] for r in rows), 1)
+    return len(head).to_bytes(4, "little") + head + zstandard.compress(text, 1)
+
+
+def _packed_fragments(rows: list[tuple[int, int, int, int, bytes]]) -> bytes:
+    columns = (np.array(x, np.int64) for x in (*zip(*(r[:4] for r in rows), strict=True), [len(r[4]) for r in rows]))
+    return _packed(*columns, b"".join(r[4] for r in rows))
 
 
 def _heads(data: bytes) -> list[np.ndarray]:
@@ -310,6 +351,10 @@ def _heads(data: bytes) -> list[np.ndarray]:
 def _weights(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Anchors of packed fragments and what the fragments of each weigh."""
     anchor, _, _, _, long = _heads(data)
+    return _weighed(anchor, long)
+
+
+def _weighed(anchor: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     own, at = np.unique(anchor, return_inverse=True)
     return own, np.bincount(at, long + ENTRY_BYTES).astype(np.int64)
 
@@ -326,47 +371,95 @@ def _fragments(data: bytes) -> Iterator[tuple[int, int, int, int, bytes]]:
 
 def _resolve(group: pa.Table) -> pa.Table:
     """Removed ranges among all fragments of a hash range."""
-    own: dict[int, dict[bytes, list]] = {}
-    done: list[tuple[int, int, int, int]] = []
+    heads, whole, known = [], [], 0
     for data in group.column("data").to_pylist():
-        for anchor, doc, crc, start, text in _fragments(data):
-            texts = own.setdefault(anchor, {})
-            held = texts.get(text)
-            if held is None:
-                texts[text] = [doc, [(crc, start)]]
-            elif doc == held[0]:
-                held[1].append((crc, start))
-            elif doc > held[0]:
-                done.append((doc, crc, start, start + len(text)))
-            else:
-                done += [(held[0], c, s, s + len(text)) for c, s in held[1]]
-                texts[text] = [doc, [(crc, start)]]
-    several: list[tuple[bytes, int, list]] = []
-    size = 0
-    for texts in own.values():
-        if len(texts) < 2 or len({doc for doc, _ in texts.values()}) < 2:
+        anchor, doc, crc, start, long = _heads(data)
+        raw = zstandard.decompress(data[4 + int.from_bytes(data[:4], "little") :])
+        # The places that follow without a text share it.
+        offsets = np.concatenate([[0], np.cumsum(long[long > 0])])
+        whole.append(pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)]))
+        heads.append((anchor, doc, crc, start, known + np.cumsum(long > 0) - 1))
+        known += len(offsets) - 1
+    anchors, docs, crcs, start, text = map(np.concatenate, zip(*heads, strict=True))
+    coded = pa.concat_arrays(whole).dictionary_encode()
+    del whole, heads
+    code = coded.indices.to_numpy().astype(np.int64)[text]
+    texts = coded.dictionary
+    size = np.diff(np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset))
+    least = _first_documents(code, docs)
+    later = docs > least[code]
+    done = [(docs[later], crcs[later], start[later], start[later] + size[code[later]])]
+    # What is left stands in the least document of its text; its places follow each other by text.
+    first = np.flatnonzero(~later)
+    first = first[np.argsort(code[first], kind="stable")]
+    places = np.searchsorted(code[first], np.arange(len(texts) + 1))
+    own = anchors[first[places[:-1]]]
+    kept = _with_context(texts, own, least)
+    cut = [0, *(np.flatnonzero(_fresh(own[kept]))[1:]).tolist(), len(kept)] if len(kept) else [0]
+    weight = np.concatenate([[0], np.cumsum(size[kept])])
+    a = 0
+    for b, after in zip(cut[1:], [*cut[2:], 0], strict=True):  # whole anchors, until there is text enough
+        if after and weight[b] - weight[a] < TRANSFORM_BYTES:
             continue
-        several += [(text, doc, places) for text, (doc, places) in texts.items()]
-        size += sum(map(len, texts))
-        if size >= SUFFIX_BYTES:
-            done += _by_transform(several)
-            several, size = [], 0
-    if several:
-        done += _by_transform(several)
-    found = np.array(done, np.int64).reshape(-1, 4).T
-    return pa.Table.from_batches([_ranges_row(*found)]).select(["doc_id", "crc", "data"])
-
-
-def _by_transform(fragments: list[tuple[bytes, int, list]]) -> list[tuple[int, int, int, int]]:
-    """Ranges of fragments' windows that also start in a fragment of a smaller document."""
-    docs = np.array([d for _, d, _ in fragments], np.int64)
-    again = repeated([t for t, _, _ in fragments], docs)
-    out = []
-    for (_, doc, places), at in zip(fragments, again, strict=True):
-        if len(at):
-            start, end = united(at, at + LENGTH)
-            out += [(doc, crc, s + a, s + b) for crc, s in places for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-    return out
+        some = kept[a:b]
+        a = b
+        which, low, high = _by_transform(texts.take(pa.array(some)).to_numpy(zero_copy_only=False).tolist(), least[some])
+        which = some[which]
+        many = places[which + 1] - places[which]
+        at = first[np.repeat(places[which] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        done.append((docs[at], crcs[at], start[at] + np.repeat(low, many), start[at] + np.repeat(high, many)))
+    return pa.Table.from_batches([_ranges_row(*map(np.concatenate, zip(*done, strict=True)))]).select(["doc_id", "crc", "data"])
+
+
+def _with_context(texts: pa.Array, anchors: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Fragments that can share a window with one of another document, ordered by anchor.
+
+    A window reaches over a gram of the anchor's hash, and ``SIDE`` bytes to its left or to its right at
+    least. So fragments with a common window have a gram there in common as well, at the same
+    distance from the anchor's. Hashes that meet by chance cost work, not results.
+    """
+    order = np.argsort(anchors, kind="stable")
+    group = np.cumsum(_fresh(anchors[order])) - 1
+    low, high = np.full(len(docs), np.iinfo(np.int64).max), np.full(len(docs), np.iinfo(np.int64).min)
+    np.minimum.at(low, group, docs[order])
+    np.maximum.at(high, group, docs[order])
+    order = order[(low < high)[group]]
+    if not len(order):
+        return order
+    own = texts.take(pa.array(order))
+    ends = np.frombuffer(own.buffers()[1], np.int64, len(own) + 1, 8 * own.offset)
+    joined = np.frombuffer(own.buffers()[2], np.uint8, ends[-1] - ends[0], ends[0])
+    ends = ends[1:] - ends[0]
+    hashes = _in_blocks(joined, GRAM, _gram_hashes)
+    owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))[: len(hashes)]
+    at = np.flatnonzero(_name(hashes) == anchors[order].astype(np.uint64)[owner])
+    begin = ends - np.diff(ends, prepend=0)
+    inside = at + GRAM <= ends[owner[at]]
+    left = at[inside & (at - SIDE >= begin[owner[at]])]
+    right = at[inside & (at + SIDE + GRAM <= ends[owner[at]])]
+    key = np.concatenate([hashes[left - SIDE] << np.uint64(1), (hashes[right + SIDE] << np.uint64(1)) + np.uint64(1)])
+    who = np.concatenate([owner[left], owner[right]])
+    name = anchors[order].astype(np.uint64)[who]
+    by = np.lexsort((key, name))
+    key, name, who = key[by], name[by], who[by]
+    head = np.flatnonzero(_fresh(key) | _fresh(name))
+    doc = docs[order][who]
+    several = np.minimum.reduceat(doc, head) < np.maximum.reduceat(doc, head)
+    kept = np.zeros(len(order), bool)
+    kept[who[np.repeat(several, np.diff(head, append=len(who)))]] = True
+    return order[kept]
+
+
+def _by_transform(fragments: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fragment, start and end of the ranges of its windows that also start in a fragment of a smaller document."""
+    again = repeated(fragments, docs)
+    which = np.repeat(np.arange(len(again)), [len(x) for x in again])
+    at = np.concatenate(again)
+    behind = which * (max(map(len, fragments)) + 1)
+    start, end = united(at + behind, at + behind + LENGTH)
+    which = start // (max(map(len, fragments)) + 1)
+    behind = which * (max(map(len, fragments)) + 1)
+    return which, start - behind, end - behind
 
 
 # --- anchors with many fragments ------------------------------------------------------
@@ -471,15 +564,22 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     for i in range(7):  # seven symbols of nine bits
         key = (key << 9) | padded[i : i + n]
     order = np.argsort(key)  # suffixes with equal keys may stand in any order
+    ordered = key[order]
+    bits = n.bit_length()
     size = 7
     while size < depth:
-        ordered = key[order]
         rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
+        rank[order] = np.cumsum(_fresh(ordered)) - 1
         later = np.zeros(n, np.int64)
         later[: max(0, n - size)] = rank[size:] + 1
-        key = rank * (n + 1) + later
-        order = np.argsort(key)
+        key = (rank << bits) | later
+        if 3 * bits < 64:  # numbers are sorted faster than an index of them
+            ordered = np.sort((key << bits) | np.arange(n))
+            order = ordered & ((1 << bits) - 1)
+            ordered >>= bits
+        else:
+            order = np.argsort(key)
+            ordered = key[order]
         size *= 2
     return order
 
@@ -560,8 +660,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if copy:
                 start, end = np.array([0]), np.array([len(whole)])
             elif ranges:
-                pairs = np.concatenate([np.stack(_unpack(r, 2)) for r in ranges], axis=1)
-                start, end = united(*pairs[:, np.argsort(pairs[0], kind="stable")])
+                pairs = np.frombuffer(b"".join(ranges), "<u4").reshape(-1, 2).astype(np.int64)
+                start, end = united(*pairs[np.argsort(pairs[:, 0])].T)
             else:
                 start = end = np.zeros(0, np.int64)
             kept, at = hashlib.sha256(), 0
@@ -611,7 +711,7 @@ def remove_repeats(docs: DataFrame, anchor_bytes: int = SUFFIX_BYTES, frequent:
     if heavy:
         ranges = ranges.unionByName(by_windows(emitted, places, heavy, scratch, frequent))
     ranges = scratch.save(ranges.groupBy("doc_id", "crc").agg(F.collect_list("data").alias("ranges")), "ranges")  # per document
-    sizes = ranges.agg(F.count("*").alias("rows"), F.sum(F.aggregate("ranges", F.lit(0), lambda a, x: a + F.octet_length(x))).alias("size")).first()
+    sizes = ranges.agg(F.count("*").alias("rows"), F.sum(F.aggregate("ranges", F.lit(0), lambda a, x: a + F.octet_length(x) + 8)).alias("size")).first()
 
     keyed = whole.withColumn("crc", F.crc32("text"))
     joined = keyed.join(sent_copies.withColumn("copy", F.lit(True)), ["doc_id", "crc"], "left").join(_small(ranges, sizes["rows"], sizes["size"] or 0), ["doc_id", "crc"], "left")
