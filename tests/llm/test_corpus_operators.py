@@ -574,3 +574,17 @@ def test_toxicity_fit_reads_texts_in_few_jobs(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
         context.setLocalProperty("spark.jobGroup.id", None)
     assert len(context.statusTracker().getJobIdsForGroup("fit-of-few")) < 50
+
+
+def test_toxicity_is_learned_in_a_task(spark, monkeypatch):
+    """The driver has little memory: it gets the model, neither texts nor what training needs."""
+    texts = ["a calm day at sea", "you idiot", "", "what a scumbag you are", "tea and cake", "idiot and scumbag"]
+    frame = spark.createDataFrame([*enumerate(texts), (6, None), (3, texts[3])], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, toxic int")
+    want = toxicity.train(list(texts), [i % 2 for i in range(6)], 5, 0.5)
+    monkeypatch.setattr(toxicity, "subwords", lambda *args: pytest.fail("trained at the driver"))
+    got = toxicity.fit(frame, labels, rounds=5)
+    assert np.allclose(got.per_bucket, want.per_bucket, atol=1e-5) and want.per_bucket.any()  # a task's sums are added by one thread
+    assert (got.bias, got.slope, got.shift) == pytest.approx((want.bias, want.slope, want.shift), abs=1e-4) and got.constant is None
+    alone = toxicity.fit(frame, labels.where("toxic = 1"), rounds=5)
+    assert alone.constant == 1 and not alone.per_bucket.any()

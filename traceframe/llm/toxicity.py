@@ -34,8 +34,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from traceframe.llm.common import slices
 
 SAMPLE_DOCS = (5000, 2000)  # clean and toxic training documents,
-SAMPLE_BYTES = (12 << 20, 6 << 20)  # and bytes of their texts: the bounds on what the driver reads
-TEXT_PARTS = 8  # partitions in which it reads them
+SAMPLE_BYTES = (12 << 20, 6 << 20)  # and bytes of their texts: the bounds on what the training task reads
 BUCKETS, WIDTH = 1 << 18, 8
 DECAY = 6e-5
 GRAMS = (3, 4, 5, 6)
@@ -132,6 +131,9 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * worst + self.shift, -50, 50))))
 
 
+MODEL = pa.schema([("per_bucket", pa.binary()), *((c, pa.float64()) for c in ("bias", "slope", "shift", "constant"))])
+
+
 class _Adam:
     def __init__(self, *shapes: tuple[int, ...]):
         self.first = [np.zeros(s, np.float32) for s in shapes]
@@ -257,7 +259,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: tuple[int, int] = SAMPL
     """Train on labelled documents (clean, toxic) in the order of a hash of their id, up to ``sample_docs`` or ``sample_bytes``.
 
     ``docs`` has doc_id, text; ``labels`` has doc_id, toxic. Only ids, sizes and labels are ordered,
-    then the chosen texts are fetched whole, one row per id. Texts of any length can be chosen:
+    then the chosen texts are read whole by one task, one row per id. Texts of any length can be chosen:
     the first of each label always is, the others as long as the texts before them leave room.
     """
     marked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("high"))
@@ -278,18 +280,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: tuple[int, int] = SAMPL
     spark = docs.sparkSession
     sent = F.broadcast(spark.createDataFrame(chosen, "doc_id long, toxic int"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").join(sent, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    # Partition by partition, so that the texts are held once; each costs a job, so there are few.
-    rows = sorted(((r["doc_id"], r["text"], r["toxic"]) for r in rows.coalesce(TEXT_PARTS).toLocalIterator()), key=lambda r: r[:2])
-    texts, marks = [r[1] for r in rows], [r[2] for r in rows]
-    rows.clear()
     share = total.get(1, 0) / max(1, sum(total.values()))
-    model = train(texts, marks, rounds, share)
-    _give_back()
-    return model
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted((r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic")), strict=True)), key=lambda r: r[:2])
+        texts, marks = [r[1] for r in found], [r[2] for r in found]
+        found.clear()
+        model = train(texts, marks, rounds, share)
+        yield pa.RecordBatch.from_pylist([vars(model) | {"per_bucket": model.per_bucket.tobytes()}], MODEL)
+        _give_back()
+
+    # The bounded sample is learned from in a task, so that the driver holds neither texts nor gradients.
+    fitted = rows.coalesce(1).mapInArrow(learn, "per_bucket binary, bias double, slope double, shift double, constant double").collect()[0]
+    return Model(**fitted.asDict() | {"per_bucket": np.frombuffer(fitted["per_bucket"])})
 
 
 def _give_back() -> None:
-    """Hand memory that the training has freed back to the system, where the C library can: the driver goes on."""
+    """Hand memory that the training has freed back to the system, where the C library can: the worker goes on."""
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
