@@ -132,6 +132,33 @@ def test_registered_models_have_the_settings_of_the_reference(monkeypatch):
     assert {t: sorted(s) for t, s in options["spaces"].items()} == {t: sorted(s) for t, s in tr.SPACES.items()}
 
 
+def test_registered_search_tries_the_whole_spaces(separable, monkeypatch):
+    """It tried two parameters of each type over two folds, of ensembles a tenth as large as the spaces have."""
+    from traceframe.checks import learning
+
+    folds, seen = [], []
+
+    class Held:
+        def __init__(self, estimatorParamMaps, numFolds, **_):
+            seen.append((numFolds, estimatorParamMaps))
+            self.avgMetrics = [0.5] * len(estimatorParamMaps)
+
+        def fit(self, df):
+            return self
+
+    monkeypatch.setattr(learning, "_assembled", lambda spark, sf, k=3: folds.append(k) or separable)
+    monkeypatch.setattr(tr, "CrossValidator", Held)
+    n_types = ["RandomForest", "GradientBoosting", "LogisticRegression"]
+    assert Counter(r.model_type for r in learning.parameter_search(None, None).collect()) == dict.fromkeys(n_types, 30)
+    assert folds == [5] and [(n, len(maps)) for n, maps in seen] == [(5, 30)] * 3
+    drawn = {t: [tr.draw_parameters(t, trial) for trial in range(30)] for t in n_types}
+    forests = [next(v for k, v in m.items() if k.name == "classifier") for m in seen[0][1]]
+    assert [(f.getNumTrees(), f.getMaxDepth()) for f in forests] == [(p["n_estimators"], p["max_depth"]) for p in drawn["RandomForest"]]
+    boosted = [{k.name: v for k, v in m.items()} for m in seen[1][1]]
+    assert [(b["maxIter"], b["maxDepth"]) for b in boosted] == [(p["n_estimators"], p["max_depth"]) for p in drawn["GradientBoosting"]]
+    assert max(f.getNumTrees() for f in forests) > 250 and max(b["maxIter"] for b in boosted) > 250
+
+
 def test_draws_stay_inside_their_space():
     for kind, space in tr.SPACES.items():
         for trial in range(20):
